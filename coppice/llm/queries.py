@@ -32,6 +32,12 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(_table(spark, sf_dir, "pages"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard_join import join_components
+
+    return join_components(_table(spark, sf_dir, "documents"))
+
+
 def op6_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ordinal import ratings, score, train
 
@@ -47,6 +53,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), P.path("byte_bpe_50k.json"), limit=1024)
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import dedup_lines
+
+    return dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "text")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_rules import judge
 
@@ -60,9 +72,24 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "pages"), shared_dir(spark, "warc"))
 
 
-QUERIES = {f.__name__: f for f in (op2_multi_index, op3_byte_bpe, op4_html_extraction, op6_ordinal_quality, op7_token_counts, op9_quality_rules, op10_warc)}
+QUERIES = {f.__name__: f for f in (op2_multi_index, op3_byte_bpe, op4_html_extraction, op5_jaccard_join, op6_ordinal_quality, op7_token_counts, op8_line_dedup, op9_quality_rules, op10_warc)}
 
 ORACLE_SQL = {
+    # Lines within two edits have lengths within two; DuckDB's levenshtein counts bytes.
+    "op8_line_dedup": """
+        WITH s AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+        l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM s),
+        f AS (SELECT line, strlen(line) AS n, min((doc_id, i)) AS first FROM l WHERE strlen(line) >= 32 GROUP BY line),
+        near AS (SELECT DISTINCT CASE WHEN a.first > b.first THEN a.line ELSE b.line END AS line
+                 FROM f a JOIN f b ON (b.n BETWEEN a.n AND a.n + 2) AND a.line <> b.line
+                 AND (b.n > a.n OR b.line > a.line) AND levenshtein(a.line, b.line) <= 2),
+        j AS (SELECT l.doc_id, l.i, l.line,
+                     strlen(l.line) >= 32 AND (near.line IS NOT NULL OR (l.doc_id, l.i) <> f.first) AS gone
+              FROM l LEFT JOIN f ON f.line = l.line LEFT JOIN near ON near.line = l.line),
+        g AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+                     coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS text FROM j GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(g.n_lines, 0) AS n_lines, coalesce(g.n_dropped, 0) AS n_dropped, g.text
+        FROM documents d LEFT JOIN g ON g.doc_id = d.doc_id""",
     "op10_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
         d AS (SELECT page_id, strlen(h) AS payload_bytes, sha256(h) AS payload_digest FROM p),
