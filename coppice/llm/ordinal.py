@@ -159,6 +159,23 @@ def score(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str =
     return rows.mapInArrow(run, f"`{key}` {kind}, expected_grade double, tail_probability double, kept boolean")
 
 
+def select(docs: DataFrame, model: Model | None, text: str = "text", least_grade: int = 2, least_tail: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``score`` would keep; nothing is shuffled."""
+    if model is None:
+        return docs
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = shipped.value.dense()
+        for batch in batches:
+            for part, texts in C.slices(batch, text):
+                off, b, v = features(texts)
+                tails = shipped.value.tails(_sums(weights[b] * v, off))
+                yield part.filter(pa.array(tails[:, min(least_grade, tails.shape[1]) - 1] >= least_tail))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def ratings(labels: DataFrame) -> DataFrame:
     """Grades of the labels table: 0 junk, 1 fluent but toxic, 2 clean. Null labels are left out."""
     return labels.select("doc_id", F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2).alias("grade"))

@@ -9,6 +9,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as P
+
+    from .packing import pack
+
+    return pack(_table(spark, sf_dir, "documents"), P.path("word_bpe_49k.json"), window=2048)
+
+
 def op2_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -72,7 +80,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "pages"), shared_dir(spark, "warc"))
 
 
-QUERIES = {f.__name__: f for f in (op2_multi_index, op3_byte_bpe, op4_html_extraction, op5_jaccard_join, op6_ordinal_quality, op7_token_counts, op8_line_dedup, op9_quality_rules, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_lexical_packing, op2_multi_index, op3_byte_bpe, op4_html_extraction, op5_jaccard_join, op6_ordinal_quality, op7_token_counts, op8_line_dedup, op9_quality_rules, op10_warc)}
 
 ORACLE_SQL = {
     # Lines within two edits have lengths within two; DuckDB's levenshtein counts bytes.
