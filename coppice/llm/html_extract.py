@@ -2,7 +2,8 @@
 
 A page is read as a row of tokens. Each word scores 1; each tag scores below zero, with weights from labelled pages:
 the log ratio of how often a tag stands inside and outside their main text. Words in containers that announce
-themselves as boilerplate (by tag, class, id or role) score -1. One linear scan finds the contiguous region with the
+themselves as boilerplate (by tag, class, id or role) score -0.1 and their tags 0, so that a form or an advert inside an
+article does not split it. One linear scan finds the contiguous region with the
 largest sum; its words outside such containers are the text.
 """
 
@@ -75,7 +76,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
             depth += name == mask and name not in VOID
         elif name not in VOID and (_announces(name, attributes) and not (name in ("article", "main", "body", "html"))) or (name == "header" and not content):
             mask, depth, inside = name, 1, content
-        yield name, "", bool(mask)
+        yield name, "", bool(mask)  # a container's own tags count as masked
         if name in RAW:  # no markup inside
             end = re.compile(f"</{name}(?=[\\s/>]|\\Z)", re.I).search(page, at)
             at = end.start() if end else len(page)
@@ -87,7 +88,7 @@ def kind(tag: str) -> str:
 
 
 #: For tags that no labelled page has.
-UNSEEN = -2.0
+UNSEEN, UNSEEN_INLINE = -2.0, -0.1
 
 
 def weights(pages: DataFrame, html: str = "html") -> dict[str, float]:
@@ -122,12 +123,13 @@ def main_text(page: str, weight: dict[str, float]) -> str:
     start, found = 0, (0, 0)
     for tag, text, masked in tokens(page):
         if tag:
-            score = weight.get(kind(tag), UNSEEN)
-            parts.append("" if tag.lstrip("/") in INLINE else " ")
+            inline = tag.lstrip("/") in INLINE
+            score = 0.0 if masked else weight.get(kind(tag), UNSEEN_INLINE if inline else UNSEEN)
+            parts.append("" if inline else " ")
         else:
             text = _html.unescape(text)
             n = len(text.split())
-            score = float(-n if masked else n)
+            score = -0.1 * n if masked else float(n)
             parts.append(" " if masked else text)
         if total <= 0:
             total, start = 0.0, len(parts) - 1
