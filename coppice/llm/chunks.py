@@ -8,6 +8,8 @@ look-ahead of ``\\s+(?!\\S)`` never meets a cut inside a run.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -15,6 +17,8 @@ import pyarrow.compute as pc
 #: Unicode's White_Space property beyond ASCII, and the information separators that some libraries add.
 OTHER_SPACE = "[\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\u001c-\u001f]"
 
+_LIBC = ctypes.CDLL(None)
+
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -62,7 +66,14 @@ def summed(values: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.diff(np.concatenate(([0], np.cumsum(values, dtype=np.int64)))[off])
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 16 << 20):
+def trim() -> None:
+    """Gives memory that Arrow and the C library keep after use back to the system: a worker outlives many operators."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
+def slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20):
     """``batch`` in parts whose texts hold about ``most`` bytes: memory stays bounded for very long texts."""
     texts = plain(batch.column(column))
     _, off = raw(texts)
@@ -71,3 +82,4 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 16 << 20):
         j = max(i + 1, int(np.searchsorted(off, off[i] + most, side="right")) - 1)
         yield batch.slice(i, j - i), pa.concat_arrays([texts.slice(i, j - i)])
         i = j
+    trim()

@@ -25,8 +25,16 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Spark cuts Arrow batches by rows only unless told otherwise; texts differ in length by five orders of magnitude.
+BATCH_BYTES = 16 << 20
+
+
 def numbered(df: DataFrame, column: str) -> DataFrame:
-    """``df`` with ``column`` as text without nulls under the fixed name ``text``."""
+    """``df`` with ``column`` as text without nulls under the fixed name ``text``, in Arrow batches of bounded size."""
     from pyspark.sql import functions as F
 
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int(df.sparkSession.conf.get(name).rstrip("b"))
+    if now <= 0 or now > BATCH_BYTES:
+        df.sparkSession.conf.set(name, BATCH_BYTES)
     return df.withColumn("text", F.coalesce(F.col(column).cast("string"), F.lit("")))
