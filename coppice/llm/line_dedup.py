@@ -14,6 +14,7 @@ to apply the decisions. Lines are known by a 64-bit hash.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -128,8 +129,25 @@ def _places(least: int):
     return run
 
 
+@lru_cache(maxsize=1 << 14)
+def entries(n: int, k: int) -> list[tuple[int, int, int, int]]:
+    """(length, segment, start, size) of the k + 1 index entries, then of the probes, of a line of n bytes."""
+    return [(n, i, s, z) for i, (s, z) in enumerate(segments(n, k))] + probes(n, k)
+
+
+_tables: dict = {}
+
+
+def powers(base: np.uint64, n: int) -> np.ndarray:
+    """base ** i modulo 2 ** 64 for i up to n at least."""
+    if len(_tables.get(base, ())) <= n:
+        _tables[base] = np.concatenate(([np.uint64(1)], np.cumprod(np.full(max(n, 1 << 20), base, np.uint64))))
+    return _tables[base]
+
+
 def _entries(least: int, k: int, parts: int):
     """Packed index and probe entries of the distinct lines of each batch."""
+    most = max(len(entries(n, k)) for n in range(4 * k + 4))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,25 +158,29 @@ def _entries(least: int, k: int, parts: int):
                 data, off = C.raw(C.plain(distinct))
                 # Sums of bytes times powers of an odd base; shifted back they are hashes of substrings, wherever they stand.
                 n = len(data)
-                up = np.concatenate(([np.uint64(1)], np.cumprod(np.full(n, _UP, np.uint64))))
-                sums = np.concatenate(([np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1])))
-                del up
-                back = np.concatenate(([np.uint64(1)], np.cumprod(np.full(n, _DOWN, np.uint64))))
-                size = np.diff(off)
-                order = np.argsort(size, kind="stable")
+                sums = np.zeros(n + 1, np.uint64)
+                np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_UP, n)[:n], out=sums[1:])
+                back = powers(_DOWN, n)
+                lengths, of = np.unique(np.diff(off), return_inverse=True)
+                # One column for each entry that a line can have; shorter lists end with empty substrings.
+                wanted = np.full((len(lengths), most, 4), -1, np.int64)
+                for row, length in enumerate(lengths.tolist()):
+                    own = entries(length, k)
+                    wanted[row, : len(own)] = own
+                keys, spans = wanted[:, :, 0] << 8 | wanted[:, :, 1], wanted[:, :, 2:]
+                salt = mixed(keys.astype(np.uint64).ravel()).reshape(keys.shape)
                 found: list[list[np.ndarray]] = [[], [], []]
-                for length, a, b in zip(*bounds(size[order]), strict=True):
-                    own = order[a:b]
-                    wanted = [(length, i, s, z, 0) for i, (s, z) in enumerate(segments(int(length), k))] + [(*p, 1) for p in probes(int(length), k)]
-                    for of, i, s, z, role in wanted:
-                        start = off[own] + s
-                        h = (sums[start + z] - sums[start]) * back[start]
-                        found[0].append(mixed(h ^ mixed(np.full(len(own), int(of) << 8 | i, np.uint64))))
-                        found[1].append(ids[own])
-                        found[2].append(np.full(len(own), role, np.int8))
+                for e in range(most):
+                    start, size = spans[of, e, 0], spans[of, e, 1]
+                    has = size >= 0
+                    begin = (off[:-1] + start)[has]
+                    h = (sums[begin + size[has]] - sums[begin]) * back[begin]
+                    found[0].append(mixed(h ^ salt[of[has], e]))
+                    found[1].append(ids[has])
+                    found[2].append(np.full(int(has.sum()), e > k, np.int8))
                 h, line, role = map(np.concatenate, found)
                 part = (h % np.uint64(parts)).astype(np.int32)
-                order = np.lexsort((role, part))
+                order = np.argsort(part << 1 | role, kind="stable")
                 part, h, line, role = part[order], h[order], line[order], role[order]
                 out = [(int(p), h[a:b].tobytes(), line[a:b].tobytes(), int((role[a:b] == 0).sum())) for p, a, b in zip(*bounds(part), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.int32()), strict=True)], ["part", "hashes", "lines", "indexed"])
