@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,7 @@ _encoders: dict = {}
 class Encoder:
     """Ids of texts by a tokenizers file, chunk by chunk through a cache."""
 
-    def __init__(self, path: str, cache_size: int = 1 << 19) -> None:
+    def __init__(self, path: str, cache_size: int = 400_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import tokenizers
 
@@ -37,7 +38,9 @@ class Encoder:
         self.model.no_truncation()
         self.model.no_padding()
         self.kind = np.uint16 if self.model.get_vocab_size() <= 1 << 16 else np.uint32
-        self.cache: dict[str, bytes] = {}
+        # Two generations: what is used again moves from the old one to the young one, the rest goes with the old.
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.cache_size = cache_size
 
     def encode(self, texts: pa.Array) -> tuple[memoryview, np.ndarray]:
@@ -47,15 +50,17 @@ class Encoder:
         if not len(index):
             return memoryview(b""), np.zeros(len(texts) + 1, np.int64)
         chunks = distinct.to_pylist()
-        known = [self.cache.get(c) for c in chunks]
+        young, old = self.young, self.old
+        known = [young.get(c) or old.get(c) for c in chunks]
         new = [i for i, x in enumerate(known) if x is None]
+        code = "H" if self.kind is np.uint16 else "I"
         for at in range(0, len(new), 8192):
             some = new[at : at + 8192]
             for i, e in zip(some, self.model.encode_batch([chunks[i] for i in some], add_special_tokens=False), strict=True):
-                known[i] = np.array(e.ids, self.kind).tobytes()
-        if len(self.cache) + len(new) > self.cache_size:
-            self.cache.clear()
-        self.cache.update((chunks[i], known[i]) for i in new[: self.cache_size] if len(chunks[i]) <= 64)
+                known[i] = array(code, e.ids).tobytes()
+        if len(young) > self.cache_size // 2:
+            self.old, self.young = young, {}
+        self.young.update((c, x) for c, x in zip(chunks, known, strict=True) if len(c) <= 64)
         taken = pa.array(known, pa.large_binary()).take(pa.array(index))
         _, offsets, data = taken.buffers()
         return memoryview(data), np.frombuffer(offsets, np.int64)[: len(index) + 1][off]
@@ -148,7 +153,7 @@ def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", wi
         own = encoder(path)
         done = np.uint64(TaskContext.get().partitionId() << 40)
         for batch in batches:
-            for rows, texts in C.slices(batch, "text", 32 << 20):
+            for rows, texts in C.slices(batch, "text"):
                 data, off = own.encode(texts)
                 # Rows are dealt by their place in the input, so that no key can fill a shard.
                 shard = mixed(done + np.arange(len(texts), dtype=np.uint64)) % np.uint64(shards)
