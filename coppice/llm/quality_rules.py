@@ -20,14 +20,16 @@ COMMON_WORDS = {
     "es": "de la que el en y a los se del las un por con no una su para es al lo como más o pero".split(),
 }
 
-#: Character classes: what each takes out of the text as it stands. Letters and the rest follow from the others.
-CLASSES = {"space": r"[\x20\x09-\x0D]", "symbol": r"[#*$%&|<>]", "digit": "[0-9]", "upper": r"\p{Lu}", "lower": r"\p{Ll}", "point": r"[.,;:!?'\"()-]", "bang": "[!|]"}
+#: Character classes, by what a pattern finds (loud marks count twice); white space is counted with the words, lower case and the rest is what is left.
+CLASSES = {"symbol": r"[#*$%&|<>]", "digit": "[0-9]", "upper": r"\p{Lu}", "point": r"[.,;:!?'\"()-]", "loud": "[!|]"}
 
 _GAP = r"[\x20\x09-\x0D]+"
 
 
-def _without(c: Column, pattern: str) -> Column:
-    return F.regexp_replace(c, pattern, "")
+def _found(c: Column, pattern: str) -> Column:
+    """How many characters of a class a text has; a text without any is only scanned."""
+    size = F.length if "Lu" in pattern else F.octet_length  # the bytes of ASCII characters need no counting
+    return F.when(c.rlike(pattern), size(c) - size(F.regexp_replace(c, pattern, ""))).otherwise(0)
 
 
 def _repeated(words: Column) -> Column:
@@ -41,11 +43,14 @@ def features(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     """key, lang, the base counts, and the two histograms ``classes`` and ``common``."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     d = docs.select(F.col(key).alias("key"), F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"), t.alias("t"))
-    d = d.withColumn("words", F.filter(F.split("t", _GAP), lambda w: w != ""))
+    inner = F.btrim("t", F.lit(" \t\n\x0b\x0c\r"))
+    d = d.withColumn("words", F.when(inner != "", F.split(inner, _GAP)).otherwise(F.array().cast("array<string>")))
     d = d.withColumn("windows", _repeated(F.col("words")))
     d = d.withColumn("lines", F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     every = sorted({w for ws in COMMON_WORDS.values() for w in ws})
-    d = d.withColumn("seen", F.filter(F.transform("words", F.lower), lambda w: w.isin(every)))
+    # The common words of a text as one string: counting one of them is then a byte search.
+    seen = F.filter("words", lambda w: F.lower(w).isin(every))
+    d = d.withColumn("seen", F.concat(F.lit(" "), F.lower(F.array_join(seen, "  ")), F.lit(" ")))
     # The sorted (window, position) pairs tell which windows stand next to an equal one; the runs of their positions are joined.
     order = F.array_sort(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     d = d.withColumn("order", F.when(F.size(F.array_distinct("windows")) < F.size("windows"), order))
@@ -53,15 +58,15 @@ def features(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     d = d.withColumn("twice", twice)
     covered = F.aggregate(F.transform("twice", lambda i, k: F.when(k + 1 < F.size("twice"), F.least(F.lit(5), F.get("twice", k + 1) - i)).otherwise(5)), F.lit(0).cast("long"), lambda a, x: a + x)
     n_chars = F.length("t")
-    left = {k: n_chars - F.length(_without(F.col("t"), p)) for k, p in CLASSES.items()}
-    classes = F.array(*[F.greatest(left[k], F.lit(0)).cast("double") for k in CLASSES], F.greatest(n_chars - sum(left[k] for k in ("space", "symbol", "digit", "upper", "lower", "point")), F.lit(0)).cast("double"))
+    d = d.withColumns({k: _found(F.col("t"), p) for k, p in CLASSES.items()}).withColumn("word_chars", F.length(F.regexp_replace("t", _GAP, "")))
+    classes = F.array(*[F.col(k).cast("double") for k in CLASSES], (n_chars - F.col("word_chars")).cast("double"), F.greatest(F.lit(0), F.col("word_chars") - sum(F.col(k) for k in CLASSES if k != "loud")).cast("double"))
     listed = F.create_map(*[x for k, ws in COMMON_WORDS.items() for x in (F.lit(k), F.array(*map(F.lit, ws)))])
-    common = F.transform(F.get(F.filter(F.array(F.element_at(listed, F.col("lang"))), lambda x: x.isNotNull()), F.lit(0)), lambda w: (F.size("seen") - F.size(F.array_remove("seen", w))).cast("double"))
+    common = F.transform(F.get(F.filter(F.array(F.element_at(listed, F.col("lang"))), lambda x: x.isNotNull()), F.lit(0)), lambda w: ((F.octet_length("seen") - F.octet_length(F.replace("seen", F.concat(F.lit(" "), w, F.lit(" ")), F.lit("")))) / (F.octet_length(w) + 2)).cast("double"))
     n_words = F.size("words").cast("long")
     return d.select(
         "key", "lang", n_words.alias("n_words"),
-        F.length(F.regexp_replace("t", _GAP, "")).cast("long").alias("word_chars"),
-        left["symbol"].cast("long").alias("n_symbols"),
+        F.col("word_chars").cast("long").alias("word_chars"),
+        F.col("symbol").cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
         classes.alias("classes"),
@@ -111,6 +116,6 @@ def judge(
     j = f.join(refs, "lang", "left").withColumn("long", F.col("n_words") >= min_words)
     j = j.withColumn("class_distance", F.when(F.col("long"), js_distance(F.col("classes"), F.col("ref_classes"))))
     j = j.withColumn("word_distance", F.when(F.col("long"), js_distance(F.col("common"), F.col("ref_common"))))
-    noise = 1 / F.sqrt("n_words")  # what sampling adds to a distance shrinks with the root of the length
+    noise = 1 / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))  # what sampling adds to a distance shrinks with the root of the length
     far = F.coalesce(F.col("class_distance") > max_class_distance + class_noise * noise, F.lit(False)) | F.coalesce(F.col("word_distance") > max_word_distance + word_noise * noise, F.lit(False))
     return j.select(F.col("key").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", (~F.col("base_failed") & ~far).alias("kept"))
