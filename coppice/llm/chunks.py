@@ -73,7 +73,7 @@ def trim() -> None:
         _LIBC.malloc_trim(0)
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20):
+def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20):
     """``batch`` in parts whose texts hold about ``most`` bytes: memory stays bounded for very long texts."""
     texts = plain(batch.column(column))
     _, off = raw(texts)

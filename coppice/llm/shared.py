@@ -26,7 +26,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 
 
 #: Spark cuts Arrow batches by rows only unless told otherwise; texts differ in length by five orders of magnitude.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def numbered(df: DataFrame, column: str) -> DataFrame:
