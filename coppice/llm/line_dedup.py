@@ -5,7 +5,8 @@ within ``max_edits`` edits of it, counted on UTF-8 bytes; the earlier line may i
 into max_edits + 1 segments. If two lines are within max_edits edits, one segment of the shorter line stands unchanged
 in the longer one, shifted by a few bytes at most. So each line is indexed under (its length, segment number, segment),
 and probes the index, for its own length and those up to max_edits below, with the substrings that the multi-match
-rule leaves: for segment i, starts from both ends agree. Candidates are verified by banded bit-parallel edit distance.
+rule leaves: for segment i, starts from both ends agree. Candidates whose byte counts alone need more edits go at once; the others
+are verified by banded bit-parallel edit distance.
 
 Index and probe entries travel as packed blobs. Texts are shuffled only for lines with candidates, and once at the end
 to apply the decisions. Lines are known by a 64-bit hash.
@@ -169,7 +170,8 @@ def _entries(least: int, k: int, parts: int):
                     wanted[row, : len(own)] = own
                 keys, spans = wanted[:, :, 0] << 8 | wanted[:, :, 1], wanted[:, :, 2:]
                 salt = mixed(keys.astype(np.uint64).ravel()).reshape(keys.shape)
-                found: list[list[np.ndarray]] = [[], [], []]
+                bag = bags(data, off)
+                found: list[list[np.ndarray]] = [[], [], [], []]
                 for e in range(most):
                     start, size = spans[of, e, 0], spans[of, e, 1]
                     has = size >= 0
@@ -178,45 +180,64 @@ def _entries(least: int, k: int, parts: int):
                     found[0].append(mixed(h ^ salt[of[has], e]))
                     found[1].append(ids[has])
                     found[2].append(np.full(int(has.sum()), e > k, np.int8))
-                h, line, role = map(np.concatenate, found)
+                    found[3].append(bag[has])
+                h, line, role, bag = map(np.concatenate, found)
                 part = (h % np.uint64(parts)).astype(np.int32)
                 order = np.argsort(part << 1 | role, kind="stable")
-                part, h, line, role = part[order], h[order], line[order], role[order]
-                out = [(int(p), h[a:b].tobytes(), line[a:b].tobytes(), int((role[a:b] == 0).sum())) for p, a, b in zip(*bounds(part), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.int32()), strict=True)], ["part", "hashes", "lines", "indexed"])
+                part, h, line, role, bag = part[order], h[order], line[order], role[order], bag[order]
+                out = [(int(p), h[a:b].tobytes(), line[a:b].tobytes(), bag[a:b].tobytes(), int((role[a:b] == 0).sum())) for p, a, b in zip(*bounds(part), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int32()), strict=True)], ["part", "hashes", "lines", "bags", "indexed"])
 
     return run
 
 
-def _candidates(table: pa.Table, step: int = 1 << 22) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of different lines of which one probes an entry of the other, within one part."""
-    h = [np.frombuffer(x, np.uint64) for x in table.column("hashes").to_pylist()]
-    line = [np.frombuffer(x, np.int64) for x in table.column("lines").to_pylist()]
+def bags(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Of each line: sixteen counts modulo 16, four bits each, of its bytes by their low four bits."""
+    n = len(off) - 1
+    row = np.repeat(np.arange(n), np.diff(off))
+    counts = np.bincount(row << 4 | (data[int(off[0]) : int(off[-1])] & 15), minlength=16 * n).reshape(n, 16).astype(np.uint64) & np.uint64(15)
+    return (counts << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=1, dtype=np.uint64)
+
+
+def bag_distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sum of the circular differences of the counts: an edit adds two at most, so lines within k edits differ by 2 k at most."""
+    total = np.zeros(len(x), np.uint8)
+    for i in range(0, 64, 4):
+        d = (((x >> np.uint64(i)) - (y >> np.uint64(i))) & np.uint64(15)).astype(np.uint8)
+        total += np.minimum(d, 16 - d)
+    return total
+
+
+def _candidates(table: pa.Table, k: int, step: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of different lines of which one probes an entry of the other, within one part, and whose bags allow ``k`` edits."""
     cut = table.column("indexed").to_pylist()
-    kh, kl = np.concatenate([x[:c] for x, c in zip(h, cut, strict=True)]), np.concatenate([x[:c] for x, c in zip(line, cut, strict=True)])
-    ph, pl = np.concatenate([x[c:] for x, c in zip(h, cut, strict=True)]), np.concatenate([x[c:] for x, c in zip(line, cut, strict=True)])
 
-    def distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def side(probing: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        out = []
+        for c, kind in (("hashes", np.uint64), ("lines", np.int64), ("bags", np.uint64)):
+            out.append(np.concatenate([np.frombuffer(x, kind)[n:] if probing else np.frombuffer(x, kind)[:n] for x, n in zip(table.column(c).to_pylist(), cut, strict=True)]))
+        a, b, bag = out
         order = np.lexsort((b, a))
-        a, b = a[order], b[order]
+        a, b, bag = a[order], b[order], bag[order]
         new = np.ones(len(a), bool)
         new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        return a[new], b[new]
+        return a[new], b[new], bag[new]
 
-    (kh, kl), (ph, pl) = distinct(kh, kl), distinct(ph, pl)
+    (kh, kl, kb), (ph, pl, pb) = side(False), side(True)
     first, last = np.searchsorted(kh, ph, "left"), np.searchsorted(kh, ph, "right")
     n = last - first
     some = n > 0
-    first, n, pl = first[some], n[some], pl[some]
+    first, n, pl, pb = first[some], n[some], pl[some], pb[some]
     total = np.cumsum(n)
     at = 0
     while at < len(n):  # in steps, so that a crowded key does not fill the memory
         to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + step)))
         own = n[at:to]
-        k = np.repeat(first[at:to] - (np.cumsum(own) - own), own) + np.arange(own.sum())
-        a, b = np.repeat(pl[at:to], own), kl[k]
-        other = a != b
-        yield distinct(np.maximum(a[other], b[other]), np.minimum(a[other], b[other]))
+        entry = np.repeat(first[at:to] - (np.cumsum(own) - own), own) + np.arange(own.sum())
+        a, b = np.repeat(pl[at:to], own), kl[entry]
+        good = (a != b) & (bag_distance(np.repeat(pb[at:to], own), kb[entry]) <= 2 * k)
+        pairs = np.unique(np.stack([np.maximum(a[good], b[good]), np.minimum(a[good], b[good])], axis=1), axis=0)
+        yield pairs[:, 0], pairs[:, 1]
         at = to
 
 
@@ -232,10 +253,10 @@ def near_lines(docs: DataFrame, max_edits: int, min_bytes: int, bits: int = 26)
     """a, b: ids of different lines within ``max_edits`` edits. ``docs`` has key and text."""
     spark = docs.sparkSession
     texts = docs.select("text")
-    packed = texts.mapInArrow(_entries(min_bytes, max_edits, parts := parts_for(docs, 8)), "part int, hashes binary, lines binary, indexed int")
+    packed = texts.mapInArrow(_entries(min_bytes, max_edits, parts := parts_for(docs, 8)), "part int, hashes binary, lines binary, bags binary, indexed int")
 
     def match(table: pa.Table) -> pa.Table:
-        found = list(_candidates(table))
+        found = list(_candidates(table, max_edits))
         return pa.table({c: pa.array(np.concatenate([x[i] for x in found]) if found else np.zeros(0, np.int64), pa.int64()) for i, c in enumerate("ab")})
 
     pairs = stored(packed.groupBy("part").applyInArrow(match, "a long, b long").distinct(), "pairs")
