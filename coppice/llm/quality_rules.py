@@ -12,6 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import stored
+
+#: Parts into which a language's rows are dealt where its reference can't be broadcast.
+SALTS = 64
+
 #: The commonest function words of the languages that the rules know.
 COMMON_WORDS = {
     "en": "the of and to in a is that for it was on are with as be this by from or at an not have but".split(),
@@ -92,13 +97,14 @@ def js_distance(p: Column, q: Column) -> Column:
 
 
 def judge(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", min_words: int = 30, min_reference: int = 20, max_class_distance: float = 0.16, class_noise: float = 0.8, max_word_distance: float = 0.20, word_noise: float = 1.0
+    docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", min_words: int = 30, min_reference: int = 20, max_class_distance: float = 0.16, class_noise: float = 0.8, max_word_distance: float = 0.20, word_noise: float = 1.0, max_broadcast: int = 1000
 ) -> DataFrame:
     """One row per row of ``docs``: key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, class_distance, word_distance, kept.
 
     A null or empty text has no words and fails the base rules. Null or unknown languages have no word histogram; they
     share one class reference. Repeated rows are judged one by one; extra columns are not read; an empty table gives no
-    rows. The distances are null where a guard holds, and a null distance rejects nothing.
+    rows. The distances are null where a guard holds, and a null distance rejects nothing. The references are broadcast
+    if they are ``max_broadcast`` rows at most; more are joined with each language's rows salted.
     """
     from pyspark import StorageLevel
 
@@ -113,7 +119,14 @@ def judge(
         return each.groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "x"))), lambda s: s.x).alias(f"ref_{column}"), F.max("n").alias(f"n_{column}"))
 
     refs = reference("classes").join(reference("common"), "lang", "left").where(F.col("n_classes") >= min_reference)
-    j = f.join(refs, "lang", "left").withColumn("long", F.col("n_words") >= min_words)
+    refs = stored(refs, "references")
+    # Rows go to their reference, not to the task of their language, of which a corpus has few.
+    if refs.count() <= max_broadcast:
+        j = f.join(F.broadcast(refs), "lang", "left")
+    else:
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        j = f.withColumn("salt", F.pmod(F.xxhash64("key", "classes"), F.lit(SALTS)).cast("int")).join(refs.withColumn("salt", salts), ["lang", "salt"], "left")
+    j = j.withColumn("long", F.col("n_words") >= min_words)
     j = j.withColumn("class_distance", F.when(F.col("long"), js_distance(F.col("classes"), F.col("ref_classes"))))
     j = j.withColumn("word_distance", F.when(F.col("long"), js_distance(F.col("common"), F.col("ref_common"))))
     noise = 1 / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))  # what sampling adds to a distance shrinks with the root of the length

@@ -81,6 +81,8 @@ def test_quality_rules(spark, docs, empty):
         text = (more[r.doc_id - 100] if r.doc_id >= 100 else TEXTS[r.doc_id] or "") if r.doc_id is not None else "a b c d e"
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute_rules(text)
         assert not (r.base_failed and r.kept)
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(judge(d, min_reference=2)) == rows(judge(d, min_reference=2, max_broadcast=0))
     assert judge(empty).count() == 0
 
 
