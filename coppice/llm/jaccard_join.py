@@ -10,9 +10,10 @@
    combinations of two. Sets over ``combine`` shingles, whose combinations would be too many, use single keys only;
    those up to ``combine / t`` use both, so that sets on either side of the border meet.
 5. Sets that share a key are joined to candidate families by their components, from star-shaped edges, so that a key
-   with m sets costs m rows. Families are cut into blocks, and each pair of blocks is verified exactly in one task, from
-   an inverted index over its shingles. A task returns only a spanning forest of its links: the links' components are
-   whole, but no group is expanded to all its pairs.
+   with m sets costs m rows. Each set is verified against its family's first set. Those that link to it are connected
+   already, so that only pairs with one of the others are left: families are cut into blocks, and each pair of blocks
+   with such sets is verified exactly in one task, from an inverted index over its shingles. A task returns only a
+   spanning forest of its links: the links' components are whole, but no group is expanded to all its pairs.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import chunks as C
-from .components import components
+from .components import components, joined
 from .exchange import bounds, mixed, parts_for
 from .shared import numbered, stored
 
@@ -276,13 +277,27 @@ def forest(ids: np.ndarray, n: np.ndarray, s: np.ndarray, off: np.ndarray, perce
 
 
 def _links(sets: DataFrame, families: DataFrame, percent: int, block: int) -> DataFrame:
-    """a, b: links whose components are those of all links. Families over ``block`` sets are verified by pairs of blocks."""
-    sized = families.groupBy("component").count().select("component", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
-    placed = sets.select("sid", "n", "shingles").join(families.withColumnRenamed("node", "sid"), "sid").join(sized, "component")
-    placed = placed.withColumn("own", F.pmod(F.xxhash64("sid"), "blocks").cast("int"))
-    # Small families share tasks; a pair of blocks of a large one is a task of its own.
-    at = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(F.col("own"), o).alias("i"), F.greatest(F.col("own"), o).alias("j")))
-    sent = placed.withColumn("at", F.explode(at)).select("component", "sid", "n", "shingles", "own", F.col("at.i").alias("i"), F.col("at.j").alias("j"))
+    """a, b: links whose components are those of all links.
+
+    Sets that link to their family's first set need no verifying among themselves; the others are verified against
+    all of the family, by pairs of blocks of about ``block`` sets.
+    """
+    sets = sets.select("sid", "n", "shingles")
+    placed = sets.join(families.withColumnRenamed("node", "sid"), "sid")
+    heads = placed.where("sid = component").select("component", F.col("n").alias("head_n"), F.col("shingles").alias("head"))
+    common = F.size(F.array_intersect("shingles", "head"))
+    near = (F.col("sid") == F.col("component")) | (100 * common >= percent * (F.col("n") + F.col("head_n") - common))
+    judged = stored(placed.join(heads, "component").select("sid", "component", near.alias("near")), "judged")
+    direct = judged.where("near AND sid <> component").select(F.col("sid").alias("a"), F.col("component").alias("b"))
+
+    blocks = lambda c: F.ceil(F.count_if(c) / block).cast("int")
+    sized = judged.groupBy("component").agg(blocks(F.col("near")).alias("near_blocks"), blocks(~F.col("near")).alias("other_blocks")).where("other_blocks > 0")
+    left = sets.join(joined(judged, sized, "component"), "sid")
+    h = F.xxhash64("sid")
+    left = left.withColumn("own", F.when(F.col("near"), F.pmod(h, "near_blocks")).otherwise(F.col("near_blocks") + F.pmod(h, "other_blocks")).cast("int"))
+    partners = F.sequence(F.when(F.col("near"), F.col("near_blocks")).otherwise(0), F.col("near_blocks") + F.col("other_blocks") - 1)
+    at = F.transform(partners, lambda o: F.struct(F.least(F.col("own"), o).alias("i"), F.greatest(F.col("own"), o).alias("j")))
+    sent = left.withColumn("at", F.explode(at)).select("component", "sid", "n", "shingles", "own", F.col("at.i").alias("i"), F.col("at.j").alias("j"))
 
     def verify(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by("sid")
@@ -292,7 +307,7 @@ def _links(sets: DataFrame, families: DataFrame, percent: int, block: int) -> Da
         e = forest(ids, n, s, off, percent, None if i[0] == j[0] else own == i[0])
         return pa.table({"a": pa.array([x for x, _ in e], pa.int64()), "b": pa.array([x for _, x in e], pa.int64())})
 
-    return sent.groupBy("component", "i", "j").applyInArrow(verify, "a long, b long")
+    return direct.unionByName(sent.groupBy("component", "i", "j").applyInArrow(verify, "a long, b long"))
 
 
 def join_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 75, frequent: int = 64, combine: int = 128, block: int = 2048) -> DataFrame:
@@ -307,12 +322,13 @@ def join_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     own = stored(_sets(rows, "text", words), "sets")
     known = stored(_shared(rows, words, percent, parts_for(docs, 8)), "shared")
     index = stored(_keys(known, percent, frequent, combine), "keys")
-    stars = index.join(index.groupBy("k").agg(F.min("sid").alias("first"), F.count("*").alias("m")).where("m > 1"), "k").where("sid <> first").select(F.col("sid").alias("a"), F.col("first").alias("b"))
+    firsts = index.groupBy("k").agg(F.min("sid").alias("first"), F.count("*").alias("m")).where("m > 1")
+    stars = joined(index, firsts, "k").where("sid <> first").select(F.col("sid").alias("a"), F.col("first").alias("b"))
     families = stored(components(stars.distinct()), "families")
     links = components(_links(known, families, percent, block))
     # Each set's component, then the smallest key of all rows whose sets lie in it.
     by_set = own.where("n > 0").groupBy("sid").agg(F.min("key").alias("least"))
     of_set = by_set.join(links.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     least = of_set.groupBy("component").agg(F.min("least").alias("component_id"))
-    out = own.join(of_set.join(least, "component").select("sid", "component_id"), "sid", "left")
+    out = own.join(joined(of_set, least, "component").select("sid", "component_id"), "sid", "left")
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "key")).otherwise(F.col("key")).alias("component_id"))

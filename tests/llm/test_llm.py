@@ -202,6 +202,22 @@ def test_jaccard(spark, frequent, combine, block):
     assert join_components(df.where("false")).count() == 0
 
 
+def test_components(spark):
+    from coppice.llm.components import components
+
+    rnd = random.Random(7)
+    chain = [(k, k + 1) for k in range(100, 160)]
+    edges = [*chain, *((5, k) for k in range(200, 260)), *((rnd.randrange(300, 400), rnd.randrange(300, 400)) for _ in range(70)), (7, 7)]
+    comp = {x: x for e in edges for x in e if e[0] != e[1]}
+    for _ in comp:
+        for a, b in edges:
+            if a != b:
+                comp[a] = comp[b] = min(comp[a], comp[b])
+    got = components(spark.createDataFrame(edges * 2, "a long, b long")).collect()
+    assert len(got) == len(comp) and {r.node: r.component for r in got} == comp
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def lev(a, b):
     p = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
