@@ -110,21 +110,23 @@ def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return lists.flatten(), row, np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-def _identified(texts: pa.Array, least: int) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct long lines and their ids, and for each occurrence of one its place in these, its row and number."""
+def _identified(texts: pa.Array, least: int, short: bool = False) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct long lines (``short``: and shorter ones that aren't blank) and their ids, and for each occurrence of one its place in these, its row and number."""
     lines, row, number = _split(texts)
     long = pc.binary_length(lines).to_numpy(zero_copy_only=False) >= least
+    if short:
+        long |= pc.match_substring_regex(lines, r"[^\x20\x09-\x0D]").to_numpy(zero_copy_only=False)
     lines, row, number = lines.filter(pa.array(long)), row[long], number[long]
     index, distinct = C.coded(lines)
     ids = np.array([xxhash.xxh64_intdigest(x) for x in distinct.cast(pa.large_binary()).to_pylist()], np.uint64).view(np.int64)
     return distinct, ids, index, np.stack([row, number], 1) if len(row) else np.zeros((0, 2), np.int64)
 
 
-def _places(least: int):
+def _places(least: int, short: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in C.slices(batch, "text"):
-                _, ids, index, at = _identified(texts, least)
+                _, ids, index, at = _identified(texts, least, short)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[index], pa.int64()), rows.column("key").take(pa.array(at[:, 0])), pa.array(at[:, 1].astype(np.int32))], ["line", "key", "number"])
 
     return run
@@ -283,15 +285,16 @@ def near_lines(docs: DataFrame, max_edits: int, min_bytes: int, bits: int = 26)
     return both.mapInArrow(verify, "a long, b long")
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", max_edits: int = 2, min_bytes: int = 32) -> DataFrame:
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", max_edits: int = 2, min_bytes: int = 32, short: bool = False) -> DataFrame:
     """The rows and columns of ``docs``, with ``text`` without its dropped lines, and two columns more: n_lines, n_dropped.
 
-    Lines shorter than ``min_bytes`` are never dropped. Null texts stay null, with 0 lines; empty texts have one line.
+    Lines shorter than ``min_bytes`` are dropped only with ``short``, and then where an earlier line equals them; blank
+    ones stay. Null texts stay null, with 0 lines; empty texts have one line.
     Rows with the same key count as one document; rows with a null key neither lose lines nor cost others any. Columns
     of ``docs`` named n_lines or n_dropped are replaced. An empty table gives no rows.
     """
     rows = numbered(docs.where(F.col(key).isNotNull()), text).select(F.col(key).alias("key"), "text")
-    places = stored(rows.mapInArrow(_places(min_bytes), f"line long, key {docs.schema[key].dataType.simpleString()}, number int"), "places")
+    places = stored(rows.mapInArrow(_places(min_bytes, short), f"line long, key {docs.schema[key].dataType.simpleString()}, number int"), "places")
     first = places.groupBy("line").agg(F.min(F.struct("key", "number")).alias("first"), F.count("*").alias("n"))
     near = near_lines(rows, max_edits, min_bytes)
     of = first.select("line", "first")

@@ -271,6 +271,15 @@ def test_line_dedup(spark):
     assert dedup_lines(df.where("false")).count() == 0
 
 
+def test_line_dedup_short_repeats(spark, tmp_path):
+    import corpus_pipeline
+
+    texts = ["All rights reserved.\n\nfirst\n  \n短い行", "second\n\nAll rights reserved.\n  \n短い行", "All rights reserved", "All rights reserved."]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, df, str(tmp_path)).collect()}
+    assert got == {0: texts[0], 1: "second\n\n  ", 2: texts[2]}
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
 
