@@ -251,17 +251,9 @@ def _bitmap(ids: DataFrame, bits: int) -> np.ndarray:
     return out.view(np.uint8)
 
 
-def near_lines(docs: DataFrame, max_edits: int, min_bytes: int, bits: int = 26) -> DataFrame:
-    """a, b: ids of different lines within ``max_edits`` edits. ``docs`` has key and text."""
+def with_texts(docs: DataFrame, pairs: DataFrame, min_bytes: int, bits: int) -> DataFrame:
+    """``pairs`` of ids a, b of lines of ``docs``, and the lines' bytes x, y. Only texts of lines in ``pairs`` are shuffled."""
     spark = docs.sparkSession
-    texts = docs.select("text")
-    packed = texts.mapInArrow(_entries(min_bytes, max_edits, parts := parts_for(docs, 8)), "part int, hashes binary, lines binary, bags binary, indexed int")
-
-    def match(table: pa.Table) -> pa.Table:
-        found = list(_candidates(table, max_edits))
-        return pa.table({c: pa.array(np.concatenate([x[i] for x in found]) if found else np.zeros(0, np.int64), pa.int64()) for i, c in enumerate("ab")})
-
-    pairs = stored(packed.groupBy("part").applyInArrow(match, "a long, b long").distinct(), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct()
     hits = spark.sparkContext.broadcast(_bitmap(wanted, bits))
 
@@ -273,9 +265,22 @@ def near_lines(docs: DataFrame, max_edits: int, min_bytes: int, bits: int = 26)
                 hit = (hits.value[p >> 3] >> (p & 7).astype(np.uint8)) & 1 > 0
                 yield pa.RecordBatch.from_arrays([pa.array(ids[hit], pa.int64()), distinct.filter(pa.array(hit)).cast(pa.binary())], ["line", "bytes"])
 
-    lines = texts.mapInArrow(fetch, "line long, bytes binary").join(wanted, "line", "left_semi").groupBy("line").agg(F.min("bytes").alias("bytes"))
+    lines = docs.select("text").mapInArrow(fetch, "line long, bytes binary").join(wanted, "line", "left_semi").groupBy("line").agg(F.min("bytes").alias("bytes"))
     lines = stored(lines, "lines")
-    both = pairs.join(lines.select(F.col("line").alias("a"), F.col("bytes").alias("x")), "a").join(lines.select(F.col("line").alias("b"), F.col("bytes").alias("y")), "b")
+    return pairs.join(lines.select(F.col("line").alias("a"), F.col("bytes").alias("x")), "a").join(lines.select(F.col("line").alias("b"), F.col("bytes").alias("y")), "b")
+
+
+def near_lines(docs: DataFrame, max_edits: int, min_bytes: int, bits: int = 26) -> DataFrame:
+    """a, b: ids of different lines within ``max_edits`` edits. ``docs`` has key and text."""
+    texts = docs.select("text")
+    packed = texts.mapInArrow(_entries(min_bytes, max_edits, parts := parts_for(docs, 8)), "part int, hashes binary, lines binary, bags binary, indexed int")
+
+    def match(table: pa.Table) -> pa.Table:
+        found = list(_candidates(table, max_edits))
+        return pa.table({c: pa.array(np.concatenate([x[i] for x in found]) if found else np.zeros(0, np.int64), pa.int64()) for i, c in enumerate("ab")})
+
+    pairs = stored(packed.groupBy("part").applyInArrow(match, "a long, b long").distinct(), "pairs")
+    both = with_texts(docs, pairs, min_bytes, bits)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -285,11 +290,12 @@ def near_lines(docs: DataFrame, max_edits: int, min_bytes: int, bits: int = 26)
     return both.mapInArrow(verify, "a long, b long")
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", max_edits: int = 2, min_bytes: int = 32, short: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", max_edits: int = 2, min_bytes: int = 32, short: bool = False, words_per_edit: int | None = None) -> DataFrame:
     """The rows and columns of ``docs``, with ``text`` without its dropped lines, and two columns more: n_lines, n_dropped.
 
     Lines shorter than ``min_bytes`` are dropped only with ``short``, and then where an earlier line equals them; blank
-    ones stay. Null texts stay null, with 0 lines; empty texts have one line.
+    ones stay. With ``words_per_edit``, a line of ``min_bytes`` or more also goes where an earlier one is within so many
+    word edits as the shorter has times that many words (see ``word_lines``). Null texts stay null, with 0 lines; empty texts have one line.
     Rows with the same key count as one document; rows with a null key neither lose lines nor cost others any. Columns
     of ``docs`` named n_lines or n_dropped are replaced. An empty table gives no rows.
     """
@@ -299,7 +305,12 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", max_ed
     near = near_lines(rows, max_edits, min_bytes)
     of = first.select("line", "first")
     ordered = near.join(of.select(F.col("line").alias("a"), F.col("first").alias("fa")), "a").join(of.select(F.col("line").alias("b"), F.col("first").alias("fb")), "b")
-    late = ordered.select(F.when(F.col("fa") > F.col("fb"), F.col("a")).otherwise(F.col("b")).alias("line")).distinct().withColumn("late", F.lit(True))
+    late = ordered.select(F.when(F.col("fa") > F.col("fb"), F.col("a")).otherwise(F.col("b")).alias("line")).distinct()
+    if words_per_edit:
+        from .word_lines import late_lines
+
+        late = late.union(late_lines(rows, words_per_edit, min_bytes)).distinct()
+    late = late.withColumn("late", F.lit(True))
     judged = first.join(late, "line", "left").where("n > 1 or late")
     gone = places.join(judged, "line").where(F.col("late") | (F.struct("key", "number") != F.col("first")))
     # A document's list is no longer than its text.

@@ -28,8 +28,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated lines of any length go; so do documents that had lines and have none left. ``n_chars`` follows the text."""
-    out = dedup_lines(docs, short=True).where((F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    """Repeated lines of any length go, and near copies with a tenth of the words edited; so do documents that had lines and have none left. ``n_chars`` follows the text."""
+    out = dedup_lines(docs, short=True, words_per_edit=10).where((F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(docs.columns)

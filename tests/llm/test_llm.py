@@ -280,6 +280,30 @@ def test_line_dedup_short_repeats(spark, tmp_path):
     assert got == {0: texts[0], 1: "second\n\n  ", 2: texts[2]}
 
 
+def test_line_dedup_word_edits(spark):
+    from coppice.llm.line_dedup import dedup_lines
+
+    rnd = random.Random(11)
+    texts = {}
+    for i in range(90):
+        lines = []
+        for _ in range(rnd.randrange(1, 4)):
+            own = [*("rot grün weiß blau".split() * 2), *(f"w{k}" for k in range(rnd.choice([2, 12, 13, 45])))] if rnd.random() < 0.8 else list("これは短い行ですがかなり長い行の写しです。")
+            for _ in range(rnd.choice([0, 1, 2, 4, 6, 9])):
+                at = rnd.randrange(len(own))
+                own[at : at + 1] = rnd.choice([[], [f"new{rnd.randrange(9**6)}"], [own[at], "plus"]])
+            lines.append((" " if len(own[0]) > 1 else "").join(own))
+        texts[f"k{i}"] = "\n".join(lines)
+    cut = lambda x: re.sub("([\u3040-\u30ff\u4e00-\u9fff])", r" \1 ", x).split()
+    near = lambda x, y: lev(x.encode(), y.encode()) <= 2 or min(len(cut(x)), len(cut(y))) >= 10 and lev(cut(x), cut(y)) <= min(len(cut(x)), len(cut(y))) // 10
+    lines = [(i, k, x) for i, t in sorted(texts.items()) for k, x in enumerate(t.split("\n"))]
+    gone = {(i, k) for n, (i, k, x) in enumerate(lines) if any(len(x.encode()) >= 32 <= len(y.encode()) and near(x, y) for _, _, y in lines[:n])}
+    df = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    want = {i: "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in gone) for i, t in texts.items()}
+    assert {r.doc_id: r.text for r in dedup_lines(df, words_per_edit=10).collect()} == want
+    assert want != {r.doc_id: r.text for r in dedup_lines(df).collect()}
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
 
