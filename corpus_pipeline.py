@@ -16,10 +16,16 @@ from coppice.llm.quality_rules import judge
 from coppice.llm.shared import stored
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """``docs``, written with a number for each row: null and repeated keys don't tell rows apart."""
+    return stored(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go. Rows with a null key can't be named and stay."""
-    rejected = judge(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
+    """Documents that the rules reject go, whatever their keys."""
+    rows = _rows(docs)
+    rejected = judge(rows, key="__row").where(~F.col("kept")).select("__row")
+    return rows.join(rejected, "__row", "left_anti").select(docs.columns)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +42,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
-    others = join_components(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    """Of each group of near duplicates one row stays, of those with the smallest id; a null id comes last."""
+    rows = _rows(docs)
+    groups = stored(join_components(rows, key="__row").select("__row", "component_id"), "groups")
+    ids = rows.select("__row", F.col("doc_id").isNull().alias("unnamed"), "doc_id")
+    first = groups.join(ids, "__row").groupBy("component_id").agg(F.min(F.struct("unnamed", "doc_id", "__row")).alias("first"))
+    others = groups.join(first.select(F.col("first.__row").alias("__row")), "__row", "left_anti").select("__row")
+    return rows.join(others, "__row", "left_anti").select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -363,3 +363,16 @@ def test_pipeline(spark, tmp_path):
     spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(range(60))
+
+
+def test_pipeline_null_and_repeated_keys(spark):
+    import corpus_pipeline
+
+    rnd = random.Random(12)
+    a, b = (" ".join(f"w{rnd.randrange(4000)}" for _ in range(60)) for _ in range(2))
+    rows = [(1, a), (None, "spam " * 80), (2, "spam " * 80), (None, a), (1, a), (3, a), (4, b), (None, b + " tail"), (None, None), (None, "")]
+    df = spark.createDataFrame([(k, t, "en") for k, t in rows], "doc_id long, text string, lang string")
+    kept = corpus_pipeline.quality_rules(spark, df, "")
+    assert collections.Counter((r.doc_id, r.text) for r in kept.collect()) == collections.Counter(rows[:1] + rows[3:8])
+    left = corpus_pipeline.near_duplicates(spark, df, "")
+    assert collections.Counter((r.doc_id, r.text) for r in left.collect()) == collections.Counter([(1, a), (2, "spam " * 80), (4, b), (None, None), (None, "")])
