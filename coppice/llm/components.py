@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stored
+from .shared import release, stored
 
 
 def joined(rows: DataFrame, per_key: DataFrame, on: str) -> DataFrame:
@@ -42,6 +42,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = joined(large, least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")).where("a <> b")
         small = small.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
-        e = stored(small, "edges")
+        last, e = e, stored(small, "edges")
+        release(last)
     stars = e.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return stars.unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def parts_for(df: DataFrame, factor: int) -> int:
@@ -30,3 +31,16 @@ def bounds(sorted_parts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
         return sorted_parts, np.zeros(0, np.int64), np.zeros(0, np.int64)
     first = np.flatnonzero(np.concatenate(([True], sorted_parts[1:] != sorted_parts[:-1])))
     return sorted_parts[first], first, np.append(first[1:], len(sorted_parts))
+
+
+def bitmap(ids: DataFrame, column: str, bits: int) -> np.ndarray:
+    """Which values of ``column`` modulo 2 ** bits occur: at most 2 ** bits / 8 bytes, whatever the number of rows."""
+    words = ids.select(F.col(column).bitwiseAND(F.lit((1 << bits) - 1)).alias("p")).select(F.shiftright("p", 6).alias("w"), F.expr("shiftleft(1L, cast(p & 63 AS int))").alias("m")).groupBy("w").agg(F.bit_or("m").alias("m")).toArrow()
+    out = np.zeros(1 << bits - 6, np.int64)
+    out[words.column("w").to_numpy()] = words.column("m").to_numpy()
+    return out.view(np.uint8)
+
+
+def in_bitmap(ids: np.ndarray, marks: np.ndarray, bits: int) -> np.ndarray:
+    p = ids & ((1 << bits) - 1)
+    return (marks[p >> 3] >> (p & 7).astype(np.uint8)) & 1 > 0

@@ -1,16 +1,20 @@
 """Exact Jaccard join of word 5-gram sets with token-combination prefixes.
 
-1. Texts with equal shingle sets become one set. Its id is a 64-bit digest of the set.
-2. A packed exchange by shingle finds the shingles that lie in two sets or more, and their frequency. What only one set
-   has can't be in an intersection.
-3. A packed exchange by set brings each set its shared shingles. A set of n shingles can only link if it shares
-   ceil(t n) of them; the others leave.
-4. Prefixes: shingles are ordered from rare to frequent. Sets that link share one of the first n - ceil(t n) + 1, and
-   two of the first n - ceil(t n) + 2. So rare shingles of the extended prefix are keys alone, frequent ones in
-   combinations of two. Sets over ``combine`` shingles, whose combinations would be too many, use single keys only;
-   those up to ``combine / t`` use both, so that sets on either side of the border meet.
-5. Sets that share a key are joined to candidate families by their components, from star-shaped edges, so that a key
-   with m sets costs m rows. Each set is verified against its family's first set. Those that link to it are connected
+The tokens of a set are its shingles, in an order that all tasks agree on: rare ones first, then frequent ones, each by
+hash. A shingle is rare for sure if it holds a word that occurs at most ``frequent`` times in all documents; a broadcast
+bitmap of word classes tells. So a key made of one rare shingle never has more than ``frequent`` sets.
+
+1. Sets of sizes n that link lack at most n - ceil(t n) = m of each other's shingles. The first shared shingle is among
+   the first m + 1 of both. If it is rare, they meet in it: rare shingles of the prefix are keys alone.
+2. If it is frequent, all that they share is frequent. They share at least three times as many shingles (t = 0.75) as
+   lie in only one of them, so that, among the first 3 (1 - t) n + 3 of either, three shared ones stand side by side
+   with no other frequent shingle of either set between: each such triple of the extended prefix is a key. A triple
+   comes from a text that is mostly shared; one common passage makes hardly any. Sets with more than m rare shingles
+   need no triples. Small sets (under 12 shingles, for which the count does not hold) use single keys of both classes;
+   those up to 12 / t use all keys, so that sets on either side of the border meet.
+3. A packed exchange by key finds the sets that share one. Star-shaped edges about the first set of each key make
+   candidate families, so that a key with m sets costs m rows. Only now the full sets of those in a family are read.
+4. Each set is verified against its family's first set. Those that link to it are connected
    already, so that only pairs with one of the others are left: families are cut into blocks, and each pair of blocks
    with such sets is verified exactly in one task, from an inverted index over its shingles. A task returns only a
    spanning forest of its links: the links' components are whole, but no group is expanded to all its pairs.
@@ -22,14 +26,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import chunks as C
 from .components import components, joined
-from .exchange import bounds, mixed, parts_for
-from .shared import numbered, stored
+from .exchange import bitmap, bounds, in_bitmap, mixed, parts_for
+from .shared import numbered, release, stored
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -60,20 +65,34 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return h[index], np.searchsorted(begin, off)
 
 
-def shingle_sets(texts: pa.Array, words: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct shingle hashes of each text, sorted, one text after the other, and the n + 1 offsets."""
+#: Word classes whose counts are taken: their table, and the bitmap of rare ones, have this size at any scale.
+WORD_CLASSES = 22
+
+
+def classes(words: np.ndarray) -> np.ndarray:
+    return (words >> np.uint64(64 - WORD_CLASSES)).astype(np.int64)
+
+
+def shingle_sets(texts: pa.Array, words: int = 5, rare: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct shingle hashes of each text, one text after the other, the n + 1 offsets, and which shingles are frequent.
+
+    The shingles of a text that hold a word of a class in ``rare`` come first, then the others, each sorted.
+    """
     h, off = word_hashes(texts)
     n = np.diff(off)
     doc = np.repeat(np.arange(len(n)), n)
+    often = np.ones(len(h), bool) if rare is None else ~rare[classes(h)]
     full = len(h) - words + 1
-    out_d, out_s = [], []
+    out_d, out_s, out_o = [], [], []
     if full > 0:
-        s = np.zeros(full, np.uint64)
+        s, o = np.zeros(full, np.uint64), np.ones(full, bool)
         for k in range(words):
             s = mixed(s * np.uint64(3) + h[k : k + full])
+            o &= often[k : k + full]
         inside = doc[:full] == doc[words - 1 :]
         out_d.append(doc[:full][inside])
         out_s.append(s[inside])
+        out_o.append(o[inside])
     few = np.flatnonzero((n > 0) & (n < words))
     if len(few):
         s = np.zeros(len(few), np.uint64)
@@ -82,15 +101,18 @@ def shingle_sets(texts: pa.Array, words: int = 5) -> tuple[np.ndarray, np.ndarra
             s[has] = mixed(s[has] * np.uint64(5) + h[off[few[has]] + k])
         out_d.append(few)
         out_s.append(mixed(s + np.uint64(1)))
+        out_o.append(np.ones(len(few), bool))
     if not out_d:
-        return np.zeros(0, np.uint64), np.zeros(len(n) + 1, np.int64)
-    d, s = np.concatenate(out_d), np.concatenate(out_s)
-    order = np.lexsort((s, d))
-    d, s = d[order], s[order]
+        return np.zeros(0, np.uint64), np.zeros(len(n) + 1, np.int64), np.zeros(0, bool)
+    d, s, o = (np.concatenate(x) for x in (out_d, out_s, out_o))
+    order = np.argsort(s)
+    place = d[order] << 1 | o[order]
+    order = order[np.argsort(place.astype(np.uint16) if len(n) < 1 << 15 else place, kind="stable")]  # short keys are sorted in linear time
+    d, s, o = d[order], s[order], o[order]
     new = np.ones(len(d), bool)
     new[1:] = (d[1:] != d[:-1]) | (s[1:] != s[:-1])
-    d, s = d[new], s[new]
-    return s, np.searchsorted(d, np.arange(len(n) + 1))
+    d, s, o = d[new], s[new], o[new]
+    return s, np.searchsorted(d, np.arange(len(n) + 1)), o
 
 
 def set_ids(s: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -104,133 +126,133 @@ def _needed(n: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * n // 100)
 
 
-def _sets(docs: DataFrame, text: str, words: int) -> DataFrame:
+def prefix_keys(s: np.ndarray, off: np.ndarray, often: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The index keys of sets in the order of ``shingle_sets``, and the set of each."""
+    n = np.diff(off)
+    row = np.repeat(np.arange(len(n)), n)
+    at = np.arange(len(s)) - off[row]
+    lacks = n - _needed(n, percent)
+    least = -(-300 // (3 * percent - 200)) if percent > 66 else np.iinfo(np.int64).max  # from here on triples are sure
+    border = n * percent < least * 100
+    single = (at <= lacks[row]) & (~often | border[row])
+    keys, of = [mixed(s[single])], [row[single]]
+    rare = np.bincount(row[~often], minlength=len(n))
+    reach = np.where((n >= least) & (rare <= lacks), np.minimum(n, 3 * n * (100 - percent) // 100 + 3), 0)
+    i = np.flatnonzero(often & (at + 2 < reach[row]))
+    if len(i):
+        keys.append(mixed(mixed(mixed(s[i] * np.uint64(3) + s[i + 1]) * np.uint64(5) + s[i + 2]) ^ np.uint64(0x2545F4914F6CDD1D)))
+        of.append(row[i])
+    return np.concatenate(keys), np.concatenate(of)
+
+
+def rare_classes(docs: DataFrame, frequent: int) -> np.ndarray:
+    """Which word classes occur at most ``frequent`` times, counted over all words of all documents."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << WORD_CLASSES, np.int64)
         for batch in batches:
-            for rows, texts in C.slices(batch, "text"):
-                s, off = shingle_sets(texts, words)
-                yield pa.RecordBatch.from_arrays([rows.column("key"), pa.array(np.diff(off)), pa.array(set_ids(s, off))], ["key", "n", "sid"])
+            for _, texts in C.slices(batch, "text"):
+                total += np.bincount(classes(word_hashes(texts)[0]), minlength=1 << WORD_CLASSES)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["class", "n"])
+
+    got = docs.select("text").mapInArrow(run, "class int, n long").groupBy("class").agg(F.sum("n").alias("n")).where(F.col("n") > frequent).select("class").toArrow()
+    out = np.ones(1 << WORD_CLASSES, bool)
+    out[got.column("class").to_numpy()] = False
+    return out
 
-    return docs.mapInArrow(run, f"key {docs.schema['key'].dataType.simpleString()}, n long, sid long")
 
+_ROW = ["part", "key", "n", "sid", "text_id", "keys", "sids", "counts"]
 
-def _shared(docs: DataFrame, words: int, percent: int, parts: int) -> DataFrame:
-    """sid, n, shingles and df of each set that shares enough: its shared shingles and in how many sets each lies."""
 
-    def by_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _entries(docs: DataFrame, words: int, percent: int, parts: int, rare) -> DataFrame:
+    """A row for each document (key, n, sid, text_id), and rows of packed keys of the distinct sets of each batch (keys, sids, counts); all dealt by part."""
+    kind = docs.schema["key"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, texts in C.slices(batch, "text"):
-                s, off = shingle_sets(texts, words)
+            for rows, texts in C.slices(batch, "text"):
+                s, off, often = shingle_sets(texts, words, rare.value)
                 sid, n = set_ids(s, off), np.diff(off)
+                m = len(n)
+                nulls = lambda m, *t: [pa.nulls(m, x) for x in t]
+                # The rows of documents are dealt by place, not by set, of which one may be very common.
+                yield pa.RecordBatch.from_arrays([pa.array((np.arange(m) * 7919 % parts).astype(np.int32)), rows.column("key"), pa.array(n), pa.array(sid), rows.column("text_id"), *nulls(m, *[pa.binary()] * 3)], _ROW)
                 _, first = np.unique(sid, return_index=True)  # copies within the batch count once
-                first = first[n[first] > 0]
-                keep = np.zeros(len(n), bool)
-                keep[first] = True
-                row = np.repeat(np.arange(len(n)), n)
-                take = keep[row]
-                s, row = s[take], row[take]
-                part = (s % np.uint64(parts)).astype(np.int64)
-                order = np.lexsort((row, part))
-                part, s, row = part[order], s[order], row[order]
-                rest = s // np.uint64(parts)
-                # Six bytes of each shingle beyond its part, and once for each set its id, size and number here.
-                six = np.ascontiguousarray(rest.view(np.uint8).reshape(-1, 8)[:, :6]) if len(rest) else np.zeros((0, 6), np.uint8)
+                keep = np.zeros(m, bool)
+                keep[first[n[first] > 0]] = True
+                k, row = prefix_keys(s, off, often, percent)
+                k, row = k[keep[row]], row[keep[row]]
+                if not len(k):
+                    continue
+                part = (k % np.uint64(parts)).astype(np.int64)
+                order = np.argsort(row, kind="stable")
+                order = order[np.argsort(part[order].astype(np.uint16) if parts < 1 << 16 else part[order], kind="stable")]
+                part, row, k = part[order], row[order], k[order] // np.uint64(parts)
+                # Six bytes of each key beyond its part: a chance collision makes one candidate more, which verifying drops.
+                six = np.ascontiguousarray(k.view(np.uint8).reshape(-1, 8)[:, :6])
                 out = []
                 for p, a, b in zip(*bounds(part), strict=True):
                     r, i, j = bounds(row[a:b])
-                    out.append((int(p), six[a:b].tobytes(), sid[r].tobytes(), n[r].astype(np.int32).tobytes(), (j - i).astype(np.int32).tobytes()))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)], ["part", "shingles", "sids", "sizes", "counts"])
+                    out.append((int(p), six[a:b].tobytes(), sid[r].tobytes(), (j - i).astype(np.int32).tobytes()))
+                p, *packed = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), *[pa.binary()] * 3), strict=True)]
+                yield pa.RecordBatch.from_arrays([p, *nulls(len(out), rows.column("key").type, *[pa.int64()] * 3), *packed], _ROW)
+
+    return docs.mapInArrow(run, f"part int, key {kind}, n long, sid long, text_id long, keys binary, sids binary, counts binary")
 
-    sent = docs.select("text").mapInArrow(by_shingle, "part int, shingles binary, sids binary, sizes binary, counts binary")
+
+def _met(entries: DataFrame) -> DataFrame:
+    """The rows of documents (key, n, sid, text_id), and a, b: each set that shares a key with others, and the first of them."""
+    kind = entries.schema["key"].dataType.simpleString()
 
     def find(table: pa.Table) -> pa.Table:
-        p = np.uint64(table.column("part")[0].as_py())
-        six = np.concatenate([np.frombuffer(x, np.uint8) for x in table.column("shingles").to_pylist()]).reshape(-1, 6)
-        rest = np.zeros((len(six), 8), np.uint8)
-        rest[:, :6] = six
-        s = rest.view(np.uint64).ravel() * np.uint64(parts) + p
-        read = lambda c, t: np.concatenate([np.frombuffer(x, t) for x in table.column(c).to_pylist()])
-        counts = read("counts", np.int32)
-        sid, n = np.repeat(read("sids", np.int64), counts), np.repeat(read("sizes", np.int32), counts)
-        order = np.argsort(s, kind="stable")
-        s = s[order]
-        twin = np.zeros(len(s), bool)
-        twin[1:] = s[1:] == s[:-1]
+        packed = table.filter(pc.is_valid(table.column("keys")))
+        own = table.filter(pc.is_null(table.column("keys"))).select(_ROW[1:5])
+        read = lambda c, t: np.concatenate([np.zeros(0, t), *(np.frombuffer(x, t) for x in packed.column(c).to_pylist())])
+        six = read("keys", np.uint8).reshape(-1, 6)
+        k = np.zeros((len(six), 8), np.uint8)
+        k[:, :6] = six
+        k = k.view(np.uint64).ravel()
+        sid = np.repeat(read("sids", np.int64), read("counts", np.int32))
+        order = np.argsort(k)
+        k = k[order]
+        twin = np.zeros(len(k), bool)
+        twin[1:] = k[1:] == k[:-1]
         twin[:-1] |= twin[1:]
-        order, s = order[twin], s[twin]
-        sid, n = sid[order], n[order]
-        order = np.lexsort((sid, s))  # copies of a set in several batches count once
-        s, sid, n = s[order], sid[order], n[order]
-        new = np.ones(len(s), bool)
-        new[1:] = (s[1:] != s[:-1]) | (sid[1:] != sid[:-1])
-        s, sid, n = s[new], sid[new], n[new]
-        _, a, b = bounds(s)
-        df = np.repeat(b - a, b - a)
-        several = df > 1
-        s, sid, n, df = s[several], sid[several], n[several], np.minimum(df[several], 65535).astype(np.uint16)
-        part = sid % parts
-        order = np.lexsort((sid, part))
-        part, s, sid, n, df = part[order], s[order], sid[order], n[order], df[order]
-        out = []
-        for q, a, b in zip(*bounds(part), strict=True):
-            _, i, j = bounds(sid[a:b])
-            out.append((int(q), s[a:b].tobytes(), df[a:b].tobytes(), sid[a:b][i].tobytes(), n[a:b][i].astype(np.int32).tobytes(), (j - i).astype(np.int32).tobytes()))
-        cols = zip(*out, strict=True) if out else [[]] * 6
-        return pa.table({k: pa.array(list(c), t) for k, c, t in zip(("part", "shingles", "dfs", "sids", "sizes", "counts"), cols, (pa.int32(), *[pa.binary()] * 5), strict=True)})
-
-    schema = "part int, shingles binary, dfs binary, sids binary, sizes binary, counts binary"
-    found = sent.groupBy("part").applyInArrow(find, schema)
-
-    def gather(table: pa.Table) -> pa.Table:
-        read = lambda c, t: np.concatenate([np.frombuffer(x, t) for x in table.column(c).to_pylist()])
-        counts = read("counts", np.int32)
-        s, sid, n = read("shingles", np.uint64), np.repeat(read("sids", np.int64), counts), np.repeat(read("sizes", np.int32), counts).astype(np.int64)
-        df = read("dfs", np.uint16).astype(np.int32)
-        order = np.lexsort((s, sid))
-        s, sid, n, df = s[order], sid[order], n[order], df[order]
-        ids, a, b = bounds(sid)
-        enough = b - a >= _needed(n[a], percent)
-        keep = np.repeat(enough, b - a)
-        off = pa.array(np.concatenate(([0], np.cumsum((b - a)[enough]))), pa.int32())
-        lists = [pa.ListArray.from_arrays(off, pa.array(x[keep])) for x in (s.view(np.int64), df)]
-        return pa.table({"sid": pa.array(ids[enough]), "n": pa.array(n[a][enough]), "shingles": lists[0], "df": lists[1]})
-
-    return found.groupBy("part").applyInArrow(gather, "sid long, n long, shingles array<long>, df array<int>")
-
-
-def prefix_keys(n: int, shingles: np.ndarray, df: np.ndarray, percent: int, frequent: int, combine: int) -> np.ndarray:
-    """The index keys of one set. ``shingles`` are those that other sets share; the n - len(shingles) others are rarest of all."""
-    order = np.lexsort((shingles, df))
-    alone = n - len(shingles)
-    length = n - int(_needed(np.array([n]), percent)[0])  # what a linked set may lack
-    first = mixed(shingles[order].view(np.uint64))
-    d = df[order]
-    single = first[: max(0, length + 1 - alone)]
-    if n > combine * 100 // percent:
-        return single
-    wide = first[: max(0, length + 2 - alone)]
-    rare = d[: len(wide)] <= frequent
-    often = wide[~rare]
-    i, j = np.triu_indices(len(often), 1)
-    pairs = mixed(often[i] * np.uint64(3) + often[j])
-    # Where two shared shingles can't be asked for, because one suffices to link, single keys stay.
-    if n <= 2:
-        return np.concatenate([single, wide[rare]])
-    keys = [wide[rare], pairs]
-    if n > combine:
-        keys.append(single)
-    return np.unique(np.concatenate(keys))
-
-
-def _keys(sets: DataFrame, percent: int, frequent: int, combine: int) -> DataFrame:
+        k, sid = k[twin], sid[order[twin]]
+        order = np.lexsort((sid, k))
+        k, sid = k[order], sid[order]
+        _, a, b = bounds(k)
+        first = np.repeat(sid[a], b - a)
+        edges = np.unique(np.stack([sid, first], axis=1)[sid != first], axis=0)
+        m, e = len(own), len(edges)
+        columns = [pa.concat_arrays([own.column(c).combine_chunks(), pa.nulls(e, own.schema.field(c).type)]) for c in _ROW[1:5]]
+        columns += [pa.concat_arrays([pa.nulls(m, pa.int64()), pa.array(edges[:, x], pa.int64())]) for x in (0, 1)]
+        return pa.table(dict(zip([*_ROW[1:5], "a", "b"], columns, strict=True)))
+
+    return entries.groupBy("part").applyInArrow(find, f"key {kind}, n long, sid long, text_id long, a long, b long")
+
+
+def _members(docs: DataFrame, own: DataFrame, families: DataFrame, words: int, bits: int) -> DataFrame:
+    """sid, component, n, shingles of the sets in families. Only texts whose hash is that of such a set's text are cut again."""
+    wanted = own.join(families.select(F.col("node").alias("sid")), "sid", "left_semi").groupBy("sid").agg(F.min("text_id").alias("text_id"))
+    marks = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, "text_id", bits))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for sid, n, s, df in zip(*(batch.column(c).to_pylist() if c in ("sid", "n") else batch.column(c) for c in ("sid", "n", "shingles", "df")), strict=True):
-                k = prefix_keys(n, s.values.to_numpy(), df.values.to_numpy(), percent, frequent, combine)
-                yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(np.full(len(k), sid))], ["k", "sid"])
+            hit = in_bitmap(batch.column("text_id").to_numpy(), marks.value, bits)
+            if not hit.any():
+                continue
+            for _, texts in C.slices(batch.filter(pa.array(hit)), "text"):
+                s, off, _ = shingle_sets(texts, words)
+                sid = set_ids(s, off)
+                _, first = np.unique(sid, return_index=True)
+                lists = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(s.view(np.int64))).take(pa.array(first))
+                yield pa.RecordBatch.from_arrays([pa.array(sid[first]), pa.array(np.diff(off)[first]), lists], ["sid", "n", "shingles"])
 
-    return sets.mapInArrow(run, "k long, sid long")
+    found = docs.select("text", "text_id").mapInArrow(run, "sid long, n long, shingles array<long>")
+    found = found.join(families.withColumnRenamed("node", "sid"), "sid")
+    return stored(found.groupBy("sid", "component").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles")), "members")
 
 
 def forest(ids: np.ndarray, n: np.ndarray, s: np.ndarray, off: np.ndarray, percent: int, left: np.ndarray | None = None) -> list[tuple[int, int]]:
@@ -276,14 +298,13 @@ def forest(ids: np.ndarray, n: np.ndarray, s: np.ndarray, off: np.ndarray, perce
     return edges
 
 
-def _links(sets: DataFrame, families: DataFrame, percent: int, block: int) -> DataFrame:
-    """a, b: links whose components are those of all links.
+def _links(placed: DataFrame, percent: int, block: int) -> DataFrame:
+    """a, b: links whose components are those of all links among the sets of each family.
 
     Sets that link to their family's first set need no verifying among themselves; the others are verified against
     all of the family, by pairs of blocks of about ``block`` sets.
     """
-    sets = sets.select("sid", "n", "shingles")
-    placed = sets.join(families.withColumnRenamed("node", "sid"), "sid")
+    sets = placed.select("sid", "n", "shingles")
     heads = placed.where("sid = component").select("component", F.col("n").alias("head_n"), F.col("shingles").alias("head"))
     common = F.size(F.array_intersect("shingles", "head"))
     near = (F.col("sid") == F.col("component")) | (100 * common >= percent * (F.col("n") + F.col("head_n") - common))
@@ -307,28 +328,35 @@ def _links(sets: DataFrame, families: DataFrame, percent: int, block: int) -> Da
         e = forest(ids, n, s, off, percent, None if i[0] == j[0] else own == i[0])
         return pa.table({"a": pa.array([x for x, _ in e], pa.int64()), "b": pa.array([x for _, x in e], pa.int64())})
 
-    return direct.unionByName(sent.groupBy("component", "i", "j").applyInArrow(verify, "a long, b long"))
+    links = stored(direct.unionByName(sent.groupBy("component", "i", "j").applyInArrow(verify, "a long, b long")), "links")
+    release(judged)
+    return links
 
 
-def join_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 75, frequent: int = 64, combine: int = 128, block: int = 2048) -> DataFrame:
+def join_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 75, frequent: int = 2, block: int = 512, bits: int = 26) -> DataFrame:
     """One row per row of ``docs``: key, n_shingles, component_id (the smallest key reachable by links).
 
     Two texts link if 100 * |intersection| >= ``percent`` * |union| of their shingle sets. Null and empty texts, and
     texts of white space, have no shingles and no links: their component is their own key. Repeated rows stay and link
-    to each other; keys are whole numbers, a null key gives a null component unless other keys share its set; extra
-    columns are not read; an empty table gives no rows.
+    to each other; keys may have any type that can be ordered; a null key gives a null component unless other keys share
+    its set; extra columns are not read; an empty table gives no rows.
     """
-    rows = numbered(docs, text).select(F.col(key).cast("long").alias("key"), "text")
-    own = stored(_sets(rows, "text", words), "sets")
-    known = stored(_shared(rows, words, percent, parts_for(docs, 8)), "shared")
-    index = stored(_keys(known, percent, frequent, combine), "keys")
-    firsts = index.groupBy("k").agg(F.min("sid").alias("first"), F.count("*").alias("m")).where("m > 1")
-    stars = joined(index, firsts, "k").where("sid <> first").select(F.col("sid").alias("a"), F.col("first").alias("b"))
-    families = stored(components(stars.distinct()), "families")
-    links = components(_links(known, families, percent, block))
-    # Each set's component, then the smallest key of all rows whose sets lie in it.
-    by_set = own.where("n > 0").groupBy("sid").agg(F.min("key").alias("least"))
-    of_set = by_set.join(links.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    rows = numbered(docs, text).select(F.col(key).alias("key"), "text").withColumn("text_id", F.xxhash64("text"))
+    rare = docs.sparkSession.sparkContext.broadcast(rare_classes(rows, frequent))
+    met = stored(_met(_entries(rows, words, percent, parts_for(docs, 4), rare)), "met")
+    own = met.where("a IS NULL").select("key", "n", "sid", "text_id")
+    families = stored(components(met.where("a IS NOT NULL").select("a", "b")), "families")
+    members = _members(rows, own.where("n > 0"), families, words, bits)
+    found = _links(members, percent, block)
+    release(members, families)
+    links = stored(components(found), "components")
+    release(found)
+    # Each set's component, then the smallest key of all rows whose sets lie in it. The size tells sets apart whose ids collide.
+    by_set = own.where("n > 0").groupBy("sid", "n").agg(F.min("key").alias("least"))
+    of_set = by_set.join(links.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("linked", F.col("component").isNotNull())
+    of_set = of_set.withColumn("component", F.struct(F.coalesce("component", "sid").alias("c"), F.when(~F.col("linked"), F.col("n")).alias("n")))
     least = of_set.groupBy("component").agg(F.min("least").alias("component_id"))
-    out = own.join(joined(of_set, least, "component").select("sid", "component_id"), "sid", "left")
+    of_set = stored(of_set.join(least, "component").select("sid", "n", "component_id"), "least")
+    release(links)
+    out = own.join(of_set.withColumn("__sid", F.bitwise_not("sid")).select("__sid", F.col("n").alias("__n"), "component_id"), (F.bitwise_not("sid") == F.col("__sid")) & (F.col("n") == F.col("__n")), "left")
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "key")).otherwise(F.col("key")).alias("component_id"))

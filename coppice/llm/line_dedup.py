@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import chunks as C
-from .exchange import bounds, mixed, parts_for
+from .exchange import bitmap, bounds, in_bitmap, mixed, parts_for
 from .shared import numbered, stored
 
 _BASE = 0x9E3779B97F4A7C15
@@ -243,26 +243,17 @@ def _candidates(table: pa.Table, k: int, step: int = 1 << 20) -> Iterator[tuple[
         at = to
 
 
-def _bitmap(ids: DataFrame, bits: int) -> np.ndarray:
-    """Which values modulo 2 ** bits occur: at most 2 ** bits / 8 bytes, whatever the number of ids."""
-    words = ids.select(F.col("line").bitwiseAND(F.lit((1 << bits) - 1)).alias("p")).select(F.shiftright("p", 6).alias("w"), F.expr("shiftleft(1L, cast(p & 63 AS int))").alias("m")).groupBy("w").agg(F.bit_or("m").alias("m")).toArrow()
-    out = np.zeros(1 << bits - 6, np.int64)
-    out[words.column("w").to_numpy()] = words.column("m").to_numpy()
-    return out.view(np.uint8)
-
-
 def with_texts(docs: DataFrame, pairs: DataFrame, min_bytes: int, bits: int) -> DataFrame:
     """``pairs`` of ids a, b of lines of ``docs``, and the lines' bytes x, y. Only texts of lines in ``pairs`` are shuffled."""
     spark = docs.sparkSession
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct()
-    hits = spark.sparkContext.broadcast(_bitmap(wanted, bits))
+    hits = spark.sparkContext.broadcast(bitmap(wanted, "line", bits))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, part in C.slices(batch, "text"):
                 distinct, ids, _, _ = _identified(part, min_bytes)
-                p = ids & ((1 << bits) - 1)
-                hit = (hits.value[p >> 3] >> (p & 7).astype(np.uint8)) & 1 > 0
+                hit = in_bitmap(ids, hits.value, bits)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[hit], pa.int64()), distinct.filter(pa.array(hit)).cast(pa.binary())], ["line", "bytes"])
 
     lines = docs.select("text").mapInArrow(fetch, "line long, bytes binary").join(wanted, "line", "left_semi").groupBy("line").agg(F.min("bytes").alias("bytes"))

@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import chunks as C
-from .exchange import bounds, mixed, parts_for
-from .line_dedup import _bitmap, _identified, bag_distance, with_texts, within
+from .exchange import bitmap, bounds, in_bitmap, mixed, parts_for
+from .line_dedup import _identified, bag_distance, with_texts, within
 from .shared import stored
 
 _BITS = 18
@@ -128,8 +128,7 @@ def _pairs(table: pa.Table, per: int, heads: int, asking: np.ndarray | None, bit
         more = np.unique(line[pos > heads])
         yield more, more
     else:
-        p = line & ((1 << bits) - 1)
-        count, lo = np.where((asking[p >> 3] >> (p & 7).astype(np.uint8)) & 1 > 0, np.maximum(pos - heads, 0), 0), heads
+        count, lo = np.where(in_bitmap(line, asking, bits), np.maximum(pos - heads, 0), 0), heads
     some = np.flatnonzero(count)
     total, at = np.cumsum(count[some]), 0
     while at < len(some):  # in steps, so that a crowded trigram does not fill the memory
@@ -175,5 +174,5 @@ def late_lines(docs: DataFrame, per: int, min_bytes: int, heads: int = 3, bits:
     others = stored(found.where("a = b").select(F.col("a").alias("line")).join(late, "line", "left_anti"), "asking")
     if others.isEmpty():
         return late
-    more = pairs(spark.sparkContext.broadcast(_bitmap(others, bits)), "more-pairs")
+    more = pairs(spark.sparkContext.broadcast(bitmap(others, "line", bits)), "more-pairs")
     return late.union(near(more, "more-late")).distinct()
