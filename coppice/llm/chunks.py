@@ -4,6 +4,9 @@ A chunk is a run of white space and the run of other characters after it. No pat
 matches from a non-space into a following space, so a text's pre-tokens are those of its chunks, in order. Only the
 six ASCII white-space characters cut; a text that holds any other Unicode white space stays one chunk, so that the
 look-ahead of ``\\s+(?!\\S)`` never meets a cut inside a run.
+
+No such pattern matches over the border from an ASCII letter to a point, comma or the like either. A cut there leaves
+fewer distinct chunks: a word is the same chunk before a comma and before a space.
 """
 
 from __future__ import annotations
@@ -19,8 +22,15 @@ OTHER_SPACE = "[\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\u0
 
 _LIBC = ctypes.CDLL(None)
 
+BLANKS = " \t\n\x0b\x0c\r"
+
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+#: Marks that no special token and no contraction holds.
+_MARK = np.zeros(256, dtype=bool)
+_MARK[list(b'.,;:!?)"')] = True
 
 
 def plain(texts: pa.Array) -> pa.Array:
@@ -44,7 +54,7 @@ def chunked(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     starts = np.zeros(hi - lo + 1, dtype=bool)
     if hi > lo:
         space = _SPACE[data[lo:hi]]
-        starts[1:-1] = space[1:] & ~space[:-1]
+        starts[1:-1] = (space[1:] & ~space[:-1]) | (_MARK[data[lo + 1 : hi]] & _LETTER[data[lo : hi - 1]])
         for i in np.flatnonzero(pc.match_substring_regex(texts, OTHER_SPACE).to_numpy(zero_copy_only=False)):
             starts[off[i] - lo : off[i + 1] - lo] = False
         starts[off[:-1][off[:-1] < off[1:]] - lo] = True
