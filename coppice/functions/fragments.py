@@ -1,21 +1,24 @@
-"""Joins the lines of a wrapped cell: the one operator whose state a column expression can't carry readably."""
+"""Joins the lines of wrapped cells: the one operator whose state a column expression can't carry readably."""
 
 from __future__ import annotations
 
 import re
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _clean(word: str) -> str:
+    return re.sub("[^a-z]", "", word.lower())
+
+
 def known(word: str, strict: frozenset[str], loose: frozenset[str]) -> bool:
     """Whether a word merged over a line end is one of the vocabulary."""
     if "/" in word:
-        parts = [re.sub("[^a-z]", "", p.lower()) for p in word.split("/")]
-        return all(len(p) < 3 or p in strict or p in loose for p in parts)
-    w = re.sub("[^a-z]", "", word.lower())
+        return all(len(p) < 3 or p in strict or p in loose for p in map(_clean, word.split("/")))
+    w = _clean(word)
     return len(w) >= 4 and w in strict
 
 
@@ -46,11 +49,41 @@ def join_fragments(fragments: list[str], strict: frozenset[str], loose: frozense
     return text
 
 
-def joined(fragments: Column, strict: frozenset[str], loose: frozenset[str]) -> Column:
-    """The vocabulary is that of one directory, some thousand words, and travels with the function."""
+def asked_words(fragments: list[str]) -> list[str]:
+    """All words that ``join_fragments`` could ask the vocabulary for, cleaned.
+
+    What is merged so far ends in a chain of line ends: the last word of a line and, where lines are single words, all of those.
+    """
+    pieces = [p.split() for p in fragments if p.strip()]
+    found: set[str] = set()
+    for i in range(1, len(pieces)):
+        chain, j = "", i - 1
+        while True:
+            chain = pieces[j][-1] + chain
+            merged = chain + pieces[i][0]
+            found.update(map(_clean, merged.split("/")))
+            if len(pieces[j]) > 1 or j == 0:
+                break
+            j -= 1
+    return sorted(w for w in found if len(w) >= 3)
+
+
+def joined(cells: DataFrame, vocabulary: DataFrame, keys: list[str], fragments: str = "fragments", result: str = "text") -> DataFrame:
+    """``keys`` and ``result``: the fragments of each cell joined; null for cells without any.
+
+    ``vocabulary`` (word, strict, loose) may have any size: each cell gets only the words that it asks for, by a join.
+    """
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def ask(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: asked_words([] if x is None else list(x)))
 
     @F.pandas_udf(T.StringType())
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: None if x is None else join_fragments(list(x), strict, loose))
+    def join(s: pd.Series, strict: pd.Series, loose: pd.Series) -> pd.Series:
+        own = lambda x: frozenset(() if x is None else x)
+        return pd.Series([join_fragments([] if f is None else list(f), own(a), own(b)) for f, a, b in zip(s, strict, loose, strict=True)], dtype=object)
 
-    return run(fragments)
+    asked = cells.select(*keys, F.explode(ask(F.col(fragments))).alias("word")).join(vocabulary, "word")
+    words = lambda c: F.collect_set(F.when(F.col(c) > 0, F.col("word")))
+    answers = asked.groupBy(*keys).agg(words("strict").alias("__strict"), words("loose").alias("__loose"))
+    return cells.join(answers, keys, "left").select(*keys, join(F.col(fragments), F.col("__strict"), F.col("__loose")).alias(result))

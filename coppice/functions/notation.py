@@ -6,12 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..schemas import SCHEMES, ZONE
-from .text import strip
+from .text import let, strip
 
 _NOTATION = r"^(an|a|n)(\.\.)?(\d+)$"
 #: Marks that no printed text holds.
 _A, _B = "\u0001", "\u0002"
-_DETAIL = r"\b(?:an|a|n)(?:\.\.)?\d+\b|\bL \d+(?: *- *\d+)?|\bP \d+(?: *- *\d+)?"
+_DETAIL = r"\b(?:an|a|n)(?:\.\.)?\d+\b|\b[LP] \d+(?:\s*-\s*\d+)?\b"
 
 
 def notation(c: Column) -> Column:
@@ -32,28 +32,34 @@ def bridges(c: Column) -> Column:
     Without any marker, a scheme at the start followed by white space opens the only entry.
     """
     names = "|".join(SCHEMES)
-    cut = F.split(F.regexp_replace(c, f"({names}):", f"{_A}$1{_B}"), _A)
-    entries = F.transform(F.slice(cut, 2, F.greatest(F.size(cut) - 1, F.lit(0))), lambda x: F.struct(F.substring_index(x, _B, 1).alias("scheme"), strip(F.substring_index(x, _B, -1)).alias("detail")))
-    lone = rf"^\s*({names})\s+([\s\S]*)$"
-    alone = F.array(F.struct(F.regexp_extract(c, lone, 1).alias("scheme"), strip(F.regexp_extract(c, lone, 2)).alias("detail")))
+    lone = rf"^({names})\s+([\s\S]+)$"
+    alone = F.array(F.struct(F.regexp_extract(c, lone, 1).alias("scheme"), F.regexp_extract(c, lone, 2).alias("detail")))
     none = F.array().cast("array<struct<scheme:string,detail:string>>")
-    return F.when(c.isNull(), none).when(F.size(cut) > 1, entries).when(c.rlike(lone), alone).otherwise(none)
-
-
-def _span(t: Column) -> tuple[Column, Column]:
-    return F.regexp_extract(t, r"(\d+)", 1).cast("int"), F.nullif(F.regexp_extract(t, r"- *(\d+)", 1), F.lit("")).cast("int")
+    # The text is cut once; each part after a mark is a scheme, a second mark and its detail.
+    entry = lambda x: let(F.split(x, _B), lambda y: F.struct(F.get(y, F.lit(0)).alias("scheme"), strip(F.get(y, F.lit(1))).alias("detail")))
+    cut = F.split(F.regexp_replace(c, f"({names}):", f"{_A}$1{_B}"), _A)
+    found = let(cut, lambda x: F.when(F.size(x) > 1, F.transform(F.slice(x, 2, F.size(x)), entry)).when(c.rlike(lone), alone).otherwise(none))
+    return F.when(c.isNull(), none).otherwise(found)
 
 
 def segments(detail: Column) -> Column:
     """array<struct<kind, text, from, to>> of a detail: format, lines, positions and text tokens, in order."""
-    cut = F.split(F.regexp_replace(detail, f"({_DETAIL})", f"{_A}$1{_A}"), _A)
+    # A token begins with the second mark, so that no text between tokens is taken for one.
+    cut = F.split(F.regexp_replace(detail, f"({_DETAIL})", f"{_A}{_B}$1{_A}"), _A)
     kept = F.filter(F.transform(cut, strip), lambda t: t != "")
 
+    def span(t: Column) -> Column:
+        kind = F.when(F.substring(t, 2, 1) == "L", "lines").otherwise("positions")
+        ends = F.split(F.substring(t, 4, 1 << 20), "-")
+        number = lambda e, i: strip(F.get(e, F.lit(i))).try_cast("int")
+        return let(ends, lambda e: F.struct(kind.alias("kind"), F.lit(None).cast("string").alias("text"), number(e, 0).alias("from"), number(e, 1).alias("to")))
+
+    def plain(kind: str, text: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), text.alias("text"), F.lit(None).cast("int").alias("from"), F.lit(None).cast("int").alias("to"))
+
     def one(t: Column) -> Column:
-        kind = F.when(t.rlike(r"^(an|a|n)(\.\.)?\d+$"), "format").when(t.rlike(r"^L \d+( *- *\d+)?$"), "lines").when(t.rlike(r"^P \d+( *- *\d+)?$"), "positions").otherwise("text")
-        a, b = _span(t)
-        spans = kind.isin("lines", "positions")
-        return F.struct(kind.alias("kind"), F.when(~spans, t).alias("text"), F.when(spans, a).alias("from"), F.when(spans, b).alias("to"))
+        token = F.substring(t, 1, 1) == _B
+        return F.when(~token, plain("text", t)).when(F.substring(t, 2, 1).isin("L", "P"), span(t)).otherwise(plain("format", F.substring(t, 2, 1 << 20)))
 
     return F.when(detail.isNotNull(), F.transform(kept, one))
 
@@ -89,13 +95,13 @@ def zones(detail: Column) -> Column:
 def first_zones(bridge_text: Column, scheme: str = "UNLK") -> Column:
     """Zones of the first entry of ``scheme`` only."""
     own = F.get(F.filter(bridges(bridge_text), lambda e: e.scheme == scheme), F.lit(0))
-    return F.coalesce(zones(own.detail), F.array().cast(f"array<{ZONE}>"))
+    return F.coalesce(let(own.detail, zones), F.array().cast(f"array<{ZONE}>"))
 
 
 def code_references(name: Column, description: Column) -> Column:
     """array<struct<kind, tag>>: a bracketed number that begins the description, else the name, equals; others in brackets, then those of 1000 or more in parentheses, are related; each tag once."""
     d, n = F.coalesce(description, F.lit("")), F.coalesce(name, F.lit(""))
-    lead = r"^\s*\[(\d{4})\]"
+    lead = r"^\[(\d{4})\]"
     first = F.coalesce(F.nullif(F.regexp_extract(d, lead, 1), F.lit("")), F.nullif(F.regexp_extract(n, lead, 1), F.lit("")))
     text = F.concat(n, F.lit(" "), d)
     kinds = lambda a, k: F.transform(a, lambda x: F.struct(F.lit(k).alias("kind"), x.cast("int").alias("tag")))

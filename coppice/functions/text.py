@@ -27,10 +27,11 @@ def normal_description(c: Column) -> Column:
 
 
 def similarity(a: Column, b: Column, empty_is_zero: bool = False) -> Column:
-    """1 - edit distance / longer length; equal texts have 1; with ``empty_is_zero`` an empty side gives 0."""
-    longer = F.greatest(F.length(a), F.length(b))
-    s = F.when(a == b, 1.0).otherwise(1 - F.levenshtein(a, b) / longer)
-    return F.when((F.length(a) == 0) | (F.length(b) == 0), 0.0).otherwise(s) if empty_is_zero else s
+    """1 - edit distance / longer length; equal texts have 1; with ``empty_is_zero`` else an empty side gives 0."""
+    s = F.when(a == b, 1.0)
+    if empty_is_zero:
+        s = s.when((F.length(a) == 0) | (F.length(b) == 0), 0.0)
+    return s.otherwise(1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b)))
 
 
 def leading_int(c: Column) -> Column:
@@ -62,3 +63,8 @@ def compact(*cols: Column) -> Column:
 
 def header(section: Column, range_: Column, label: Column) -> Column:
     return F.format_string("%s (%s) %s", section, range_, label)
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

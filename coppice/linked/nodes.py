@@ -1,83 +1,96 @@
-"""Linked-data nodes and triples of elements."""
+"""Linked-data nodes of a directory as typed structs; ``to_json`` leaves their null parts out."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.notation import bridges, first_zones
-from ..functions.text import capitalised, compact
+from ..functions.text import capitalised, compact, let
+from ..schemas import CATEGORIES
+
+DATASET_PATH = "dataset/directory"
 
 
 def iri(origin: str, kind: str, key: Column) -> Column:
     return F.concat(F.lit(f"{origin.rstrip('/')}/{kind}/"), key.cast("string"))
 
 
-def element_nodes(elements: DataFrame, replacements: DataFrame, origin: str) -> DataFrame:
-    """tag, node: a struct per element; ``to_json`` leaves its null parts out."""
-    e = elements.join(replacements.withColumnRenamed("key", "tag"), "tag", "left")
+def _link(target: Column) -> Column:
+    """An object that is another node; null where the target is."""
+    return F.when(target.isNotNull(), F.struct(target.alias("@id")))
+
+
+def _typed(name: str, *fields: Column) -> Column:
+    return F.struct(F.lit(name).alias("@type"), *fields)
+
+
+def _category_iri(origin: str, k: Column) -> Column:
+    ranges = F.create_map(*[x for n, _, r, _ in CATEGORIES for x in (F.lit(n), F.lit(r))])
+    return iri(origin, "categories", F.try_element_at(ranges, k))
+
+
+def bridge_nodes(text: Column) -> Column:
+    """A node per entry of a bridges text; each UNLK entry carries the zones of the first one. Null without entries."""
+    zone = lambda z: _typed("UnlkZone", z.line_from.alias("lineFrom"), z.line_to.alias("lineTo"), z.pos_from.alias("posFrom"), z.pos_to.alias("posTo"), z["format"].alias("fieldFormat"))
+    node = lambda zones: lambda b: _typed("Bridge", b.scheme.alias("scheme"), b.detail.alias("detail"), F.when((b.scheme == "UNLK") & (F.size(zones) > 0), zones).alias("zone"))
+    own = let(F.transform(first_zones(text), zone), lambda zones: F.transform(bridges(text), node(zones)))
+    return F.when(text.isNotNull(), let(own, lambda a: F.when(F.size(a) > 0, a)))
+
+
+def element_nodes(elements: DataFrame, replacements: DataFrame, origin: str, dataset: str = DATASET_PATH) -> DataFrame:
+    """tag, node. ``replacements`` has key and replacement."""
+    e = elements.join(replacements.select(F.col("key").alias("tag"), "replacement"), "tag", "left")
     r = F.col("representation")
-    shape = F.when(r.isNotNull(), F.struct(F.lit("Representation").alias("@type"), r.raw.alias("notation"), r.charset.alias("charset"), r.min_length.alias("minLength"), r.max_length.alias("maxLength")))
-    zones = F.transform(first_zones(F.col("bridges")), lambda z: F.struct(F.lit("Zone").alias("@type"), z.line_from.alias("lineFrom"), z.line_to.alias("lineTo"), z.pos_from.alias("positionFrom"), z.pos_to.alias("positionTo"), z["format"].alias("format")))
-    own = F.transform(bridges(F.col("bridges")), lambda b: F.struct(F.lit("Bridge").alias("@type"), b.scheme.alias("scheme"), b.detail.alias("detail"), F.when((b.scheme == "UNLK") & (F.size(zones) > 0), zones).alias("zones")))
+    shape = F.when(r.isNotNull(), _typed("Representation", r.raw.alias("printedForm"), r.charset.alias("charset"), r.min_length.alias("minLength"), r.max_length.alias("maxLength")))
     node = F.struct(
-        iri(origin, "elements", F.col("tag")).alias("@id"), F.lit("DataElement").alias("@type"), F.col("tag").cast("string").alias("notation"), F.col("name").alias("prefLabel"), F.col("description").alias("definition"),
-        compact(F.col("old_name"), F.col("business_term")).alias("altLabel"), F.col("status").alias("status"), F.col("change_tag").alias("changeTag"), F.col("provenance.page").alias("page"),
-        iri(origin, "categories", F.floor(F.col("tag") / 1000)).alias("inCategory"), shape.alias("representation"), F.when(F.size(own) > 0, own).alias("bridges"),
-        F.when(F.col("replacement").isNotNull(), iri(origin, "elements", F.col("replacement"))).alias("replacedBy"),
+        iri(origin, "elements", F.col("tag")).alias("@id"), F.lit("TradeDataElement").alias("@type"), "tag", _link(F.lit(f"{origin.rstrip('/')}/{dataset}")).alias("isPartOf"),
+        _link(_category_iri(origin, F.floor(F.col("tag") / 1000).cast("int"))).alias("category"), F.col("change_tag").alias("changeTag"), "status", F.col("provenance.page").alias("sourcePage"), "name", "description",
+        shape.alias("representation"), compact(F.col("old_name"), F.col("business_term")).alias("altLabel"), _link(iri(origin, "elements", F.col("replacement"))).alias("replacedBy"), "bridges", bridge_nodes(F.col("bridges")).alias("bridge"),
     )
     return e.select("tag", node.alias("node"))
 
 
-def category_nodes(elements: DataFrame, categories: DataFrame, origin: str) -> DataFrame:
-    n = elements.groupBy(F.floor(F.col("tag") / 1000).cast("int").alias("k")).agg(F.count("*").alias("n"))
-    c = categories.join(n, "k", "left")
-    return c.select("k", F.struct(iri(origin, "categories", F.col("k")).alias("@id"), F.lit("Category").alias("@type"), F.col("section").alias("notation"), capitalised(F.col("label")).alias("prefLabel"), F.col("range").alias("range"), F.coalesce("n", F.lit(0)).alias("elementCount")).alias("node"))
+def dataset_node(elements: DataFrame, origin: str, title: str, description: str, source: str, downloads: list[tuple[str, str]], dataset: str = DATASET_PATH) -> DataFrame:
+    """node: one row. ``downloads`` are paths and formats."""
+    at = origin.rstrip("/")
+    files = F.array(*[_typed("DataDownload", F.lit(f"{at}/{p}").alias("contentUrl"), F.lit(f).alias("encodingFormat")) for p, f in downloads])
+    node = F.struct(F.lit(f"{at}/{dataset}").alias("@id"), F.lit("Dataset").alias("@type"), F.lit(title).alias("name"), F.lit(description).alias("description"), F.lit(source).alias("source"), F.count("*").alias("elementCount"), files.alias("distribution"))
+    return elements.agg(node.alias("node"))
+
+
+def scheme_iri(origin: str, scheme: str = "ns/directory#CategoryScheme") -> str:
+    return f"{origin.rstrip('/')}/{scheme}"
 
 
-def vocabulary_nodes(terms: DataFrame, kinds: list[str]) -> DataFrame:
-    """Of (term, group, iri, domain, comment): the nodes of classes, and of properties that have a comment, in declaration order."""
-    p = terms.where(F.col("comment").isNotNull() & F.col("group").isin(kinds))
-    return p.select("term", F.struct(F.col("iri").alias("@id"), F.when(F.col("group") == "classes", "Class").otherwise("Property").alias("@type"), F.col("term").alias("label"), F.col("comment").alias("comment"), F.col("domain").alias("domain")).alias("node"))
+def scheme_node(spark: SparkSession, origin: str, label: str, comment: str) -> DataFrame:
+    return spark.range(1).select(F.struct(F.lit(scheme_iri(origin)).alias("@id"), F.lit("CategoryScheme").alias("@type"), F.lit(label).alias("label"), F.lit(comment).alias("comment")).alias("node"))
 
 
-def context(terms: DataFrame) -> DataFrame:
-    """One row: the JSON of the map from terms to IRIs."""
-    pairs = F.array_sort(F.collect_list(F.struct("term", "iri")))
-    return terms.agg(F.to_json(F.struct(F.map_from_entries(pairs).alias("@context"))).alias("json"))
+def category_nodes(elements: DataFrame, categories: DataFrame, origin: str, dataset: str = DATASET_PATH) -> DataFrame:
+    """k, node of all categories, also those without elements."""
+    n = elements.groupBy(F.floor(F.col("tag") / 1000).cast("int").alias("k")).agg(F.count("*").alias("n"))
+    c = categories.join(n, "k", "left")
+    node = F.struct(
+        iri(origin, "categories", F.col("range")).alias("@id"), F.lit("Category").alias("@type"), capitalised(F.col("label")).alias("label"), F.col("range").alias("tagRange"), F.col("k").alias("position"),
+        _link(F.lit(scheme_iri(origin))).alias("inScheme"), _link(F.lit(f"{origin.rstrip('/')}/{dataset}")).alias("isPartOf"), F.coalesce("n", F.lit(0)).alias("elementCount"),
+    )
+    return c.select("k", node.alias("node"))
 
 
 def graph(*nodes: DataFrame) -> DataFrame:
-    """One JSON line per node of all node tables; the tables keep their own types up to here."""
-    lines = [n.select(F.to_json("node").alias("json")) for n in nodes]
-    out = lines[0]
-    for x in lines[1:]:
-        out = out.unionByName(x)
-    return out
-
-
-def triples(rows: DataFrame, subject: Column, values: dict[str, Column]) -> DataFrame:
-    """s, p, o of the values that are not null."""
-    each = F.array_compact(F.array(*[F.when(v.isNotNull(), F.struct(F.lit(p).alias("p"), v.cast("string").alias("o"))) for p, v in values.items()]))
-    return rows.select(subject.alias("s"), F.explode(each).alias("x")).select("s", "x.p", "x.o")
-
-
-def element_triples(nodes: DataFrame) -> DataFrame:
-    """s, p, o of element nodes; nested nodes get ids from the element and their place, so that runs agree."""
-    n = F.col("node")
-    flat = {k: n[k] for k in ("@type", "notation", "prefLabel", "definition", "status", "changeTag", "page", "inCategory", "replacedBy")}
-    own = triples(nodes, n["@id"], flat)
-    alt = nodes.select(n["@id"].alias("s"), F.lit("altLabel").alias("p"), F.explode(n["altLabel"]).alias("o"))
-    blank = F.concat(F.lit("_:r"), F.col("tag").cast("string"))
-    shaped = nodes.where(n["representation"].isNotNull())
-    shape = shaped.select(n["@id"].alias("s"), F.lit("representation").alias("p"), blank.alias("o")).unionByName(triples(shaped, blank, {k: n["representation"][k] for k in ("@type", "notation", "charset", "minLength", "maxLength")}))
-    b = nodes.select("tag", n["@id"].alias("id"), F.posexplode(n["bridges"]).alias("i", "b")).withColumn("blank", F.concat_ws("_", F.lit("_:b"), "tag", "i"))
-    links = b.select(F.col("id").alias("s"), F.lit("bridge").alias("p"), F.col("blank").alias("o")).unionByName(triples(b, F.col("blank"), {k: F.col("b")[k] for k in ("@type", "scheme", "detail")}))
-    z = b.select("blank", F.posexplode(F.col("b.zones")).alias("j", "z")).withColumn("own", F.concat_ws("_", "blank", "j"))
-    zones = z.select(F.col("blank").alias("s"), F.lit("zone").alias("p"), F.col("own").alias("o")).unionByName(triples(z, F.col("own"), {k: F.col("z")[k] for k in ("@type", "lineFrom", "lineTo", "positionFrom", "positionTo", "format")}))
-    return own.unionByName(alt).unionByName(shape).unionByName(links).unionByName(zones).distinct()
-
-
-def unresolved(triples_: DataFrame, predicates: list[str]) -> DataFrame:
-    """Objects of the predicates that are no subject: empty in a closed graph."""
-    return triples_.where(F.col("p").isin(predicates)).select(F.col("o").alias("missing")).distinct().join(triples_.select(F.col("s").alias("missing")), "missing", "left_anti")
+    """json: one line per node of all node tables, which keep their own types up to here."""
+    return reduce(DataFrame.unionByName, [n.select(F.to_json("node").alias("json")) for n in nodes])
+
+
+def graph_document(context: DataFrame, *nodes: DataFrame) -> DataFrame:
+    """One row: the whole graph as one JSON document, for directories that fit a string; larger ones go to ``graph``.
+
+    ``context`` is one row of one JSON text. The node tables keep their order; within one, nodes go by ``@id``.
+    """
+    rows = reduce(DataFrame.unionByName, [n.select(F.lit(i).alias("i"), F.col("node.@id").alias("id"), F.to_json("node").alias("json")) for i, n in enumerate(nodes)])
+    body = rows.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "id", "json"))), lambda x: x.json), ",\n").alias("body"))
+    one = context.select(F.col(context.columns[0]).alias("context")).crossJoin(body)  # one row each
+    return one.select(F.concat(F.lit('{"@context":'), "context", F.lit(',\n"@graph":[\n'), "body", F.lit("\n]}\n")).alias("json"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.notation import code_references
+
 
 def aligned(left: DataFrame, right: DataFrame, on: Column, pairs: list[tuple[str, str]], required: str) -> DataFrame:
     """Inner join with ``aligned``: ``required`` is not null and each pair of columns is equal, nulls included; never null."""
@@ -61,6 +63,13 @@ def characters(rows: DataFrame, text: str) -> DataFrame:
     return rows.select(F.explode(F.split(F.regexp_replace(text, r"\s+", ""), "")).alias("ch")).where("ch <> ''")
 
 
+def files(spark: SparkSession, folder: str, pattern: str = "*.yaml") -> DataFrame:
+    """path (relative to ``folder``), content of all files under it, read by Spark's file source."""
+    f = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)
+    root = folder.rstrip("/").rpartition("://")[2].removeprefix("file:").lstrip("/")
+    return f.select(F.substring_index("path", f"{root}/", -1).alias("path"), "content")
+
+
 def content_diff(left: DataFrame, right: DataFrame, path: str, content: str) -> DataFrame:
     """path, status (missing, extra, changed) of two sets of files, compared by digest."""
     a, b = (d.select(F.col(path).alias("path"), F.sha2(F.col(content), 256).alias(h)) for d, h in ((left, "a"), (right, "b")))
@@ -89,3 +98,42 @@ def interval_route(value: Column, intervals: list[tuple[str, float, float]]) ->
 def seeded_sample(rows: DataFrame, order: Column, n: int) -> DataFrame:
     """``n`` rows by an order that a seed determines; the key must break ties."""
     return rows.orderBy(order).limit(n)
+
+
+def segment_links(elements: DataFrame, mirror: DataFrame) -> DataFrame:
+    """tag, name, type, max_length (of the mirror), repr_raw, aligned of active elements that the mirror has."""
+    e = elements.where("status = 'active'").select("tag", "representation")
+    m = mirror.select(F.col("tag").alias("__tag"), "name", "type", "max_length")
+    e = e.withColumns({"__c": F.col("representation.charset"), "__m": F.col("representation.max_length")})
+    j = aligned(e, m, F.col("tag") == F.col("__tag"), [("__c", "type"), ("__m", "max_length")], "representation")
+    return j.select("tag", "name", "type", "max_length", F.col("representation.raw").alias("repr_raw"), "aligned")
+
+
+def code_coverage(elements: DataFrame, counts: DataFrame) -> DataFrame:
+    """tag, code_values of active elements with a code list (id, n)."""
+    e = elements.where("status = 'active'").select("tag")
+    return e.join(counts.select(F.col("id").alias("tag"), F.col("n").alias("code_values")), "tag")
+
+
+def skipped_ids(elements: DataFrame, counts: DataFrame) -> DataFrame:
+    """id of the code lists that no element of any status has."""
+    return only_in(counts, elements, "id", "tag").select("id")
+
+
+def references(entries: DataFrame) -> DataFrame:
+    """code_list, entry, code, name, description, pos, kind, tag: a row per cross-reference of code entries."""
+    e = entries.select("code_list", "entry", "code", "name", "description", F.posexplode(code_references(F.col("name"), F.col("description"))).alias("pos", "r"))
+    return e.select("code_list", "entry", "code", "name", "description", "pos", "r.kind", "r.tag")
+
+
+def nested_references(refs: DataFrame, elements: DataFrame) -> DataFrame:
+    """tag, refs: the references to known elements of any status, as a list in file and line order; an empty description is null."""
+    known = known_split(refs, "tag", elements, "tag").where("known")
+    one = F.struct("code_list", "code", "name", "kind", F.nullif("description", F.lit("")).alias("description"))
+    listed = F.array_sort(F.collect_list(F.struct("code_list", "entry", "pos", one.alias("r"))))
+    return known.groupBy("tag").agg(F.transform(listed, lambda x: x.r).alias("refs"))
+
+
+def unknown_tags(refs: DataFrame, elements: DataFrame) -> DataFrame:
+    """tag: distinct, of references to no known element."""
+    return known_split(refs, "tag", elements, "tag").where("NOT known").select("tag").distinct()

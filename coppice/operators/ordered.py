@@ -43,28 +43,47 @@ def layout_lines(words: DataFrame, gap: float = 3.0) -> DataFrame:
     return gap_sessions(kept, ["page"], ["y", "x", "word_no"], F.col("y"), gap, "line")
 
 
-def layout_rows(lines: DataFrame, tags: list[str]) -> DataFrame:
-    """Words with ``row_id``: (page of its start, number there). Lead lines of a page go on with the last row of the page before, if that page starts any; else they are dropped."""
+def _per_line(lines: DataFrame, tags: list[str]) -> DataFrame:
+    """page, line, n (row starts of the page up to here), start, and the change tag and number of a start."""
     tag_words = (F.col("x") >= 60) & (F.col("x") < 100)
     uid_words = (F.col("x") >= 100) & (F.col("x") < 130)
     per = lines.groupBy("page", "line").agg(
-        (F.count_if(tag_words & F.lower("text").isin(tags)) == 1).alias("t"), (F.count_if(uid_words & F.col("text").rlike(r"^\d{4}$")) == 1).alias("u"), (F.count_if(tag_words) == 1).alias("t1"), (F.count_if(uid_words) == 1).alias("u1")
+        F.count_if(tag_words).alias("t1"), F.count_if(uid_words).alias("u1"), F.max(F.when(tag_words, F.lower("text"))).alias("change_tag"), F.max(F.when(uid_words, F.col("text"))).alias("uid")
     )
-    per = per.withColumn("start", (F.col("t") & F.col("u") & F.col("t1") & F.col("u1")).cast("int"))
-    w = Window.partitionBy("page").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    per = per.withColumn("n", F.sum("start").over(w))
+    starts = (F.col("t1") == 1) & (F.col("u1") == 1) & F.col("change_tag").isin(tags) & F.col("uid").rlike(r"^\d{4}$")
+    per = per.withColumn("start", F.coalesce(starts, F.lit(False)).cast("int"))
+    return per.withColumn("n", F.sum("start").over(Window.partitionBy("page").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def layout_rows(lines: DataFrame, tags: list[str]) -> DataFrame:
+    """Words with ``row_id``: (page of its start, number there). Lead lines of a page go on with the last row of the page before, if that page starts any; else they are dropped."""
+    per = _per_line(lines, tags)
     before = per.groupBy("page").agg(F.max("n").alias("last")).select((F.col("page") + 1).alias("page"), "last")
     r = per.join(before, "page", "left").withColumn("row_id", F.when(F.col("n") > 0, F.struct("page", "n")).when(F.col("last") > 0, F.struct((F.col("page") - 1).alias("page"), F.col("last").alias("n"))))
     return lines.join(r.where("row_id IS NOT NULL").select("page", "line", "row_id"), ["page", "line"])
 
 
+def row_heads(lines: DataFrame, tags: list[str]) -> DataFrame:
+    """row_id, change_tag, tag of each row start."""
+    return _per_line(lines, tags).where("start = 1").select(F.struct("page", "n").alias("row_id"), "change_tag", F.col("uid").cast("int").alias("tag"))
+
+
 def layout_cells(words: DataFrame, route: Column) -> DataFrame:
-    """row_id, column, fragments: the words of each line of a cell joined by a space, the lines in order."""
-    line = words.withColumn("column", route).groupBy("row_id", "column", "page", "line").agg(F.array_sort(F.collect_list(F.struct("x", "word_no", "text"))).alias("ws"))
+    """row_id, column, fragments: the words of each line of a cell joined by a space in reading order, the lines in order."""
+    line = words.withColumn("column", route).groupBy("row_id", "column", "page", "line").agg(F.array_sort(F.collect_list(F.struct("y", "x", "word_no", "text"))).alias("ws"))
     line = line.withColumn("fragment", F.array_join(F.transform("ws", lambda w: w.text), " "))
     return line.groupBy("row_id", "column").agg(F.transform(F.array_sort(F.collect_list(F.struct("page", "line", "fragment"))), lambda x: x.fragment).alias("fragments"))
 
 
+def row_bands(words: DataFrame, margin: float = 3.0, height: float = 60.0) -> DataFrame:
+    """page, tag, y0, y1 of each number in the second column: from just above it to just above the next one that is lower by more than ``margin``, else ``height`` lower."""
+    uids = words.where((F.col("x") >= 100) & (F.col("x") < 130) & F.col("text").rlike(r"^\d{4}$"))
+    w = Window.partitionBy("page").orderBy("y").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    below = F.array_sort(F.collect_set("y").over(w))
+    after = F.get(F.filter(below, lambda y: y > F.col("y") + margin), F.lit(0))
+    return uids.select("page", F.col("text").cast("int").alias("tag"), (F.col("y") - 1).alias("y0"), F.coalesce(after - 1, F.col("y") + height).alias("y1"))
+
+
 def vocabulary_tally(cells: DataFrame, fragments: str = "fragments") -> DataFrame:
     """word, strict, loose: words that no line end can have broken count as strict, last words of lines that are not the last as loose."""
     from ..functions.text import clean_word

@@ -7,14 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .checks import crosscheck as Y
 from .checks import validate as V
 from .checks import verify as W
 from .functions import notation as N
 from .functions import text as X
 from .linked import nodes as L
+from .linked import triples as T
+from .operators import extraction as E
 from .operators import lookup as J
 from .operators import ordered as O
-from .schemas import INTERVALS
+from .schemas import CHANGE_TAGS, INTERVALS, LEGEND_TAGS
+from .sinks import writers as K
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -117,10 +121,12 @@ def interval_route(t):
     return t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", J.interval_route(F.col("l_quantity") * 16, INTERVALS).alias("routed"))
 
 
-@query("""SELECT count(*) AS elements, count(*) FILTER (WHERE c_acctbal > 0) AS active, count(*) FILTER (WHERE c_acctbal <= 0) AS retired, count(*) FILTER (WHERE c_acctbal > 0 AND c_mktsegment = 'BUILDING') AS active_building, count(DISTINCT c_mktsegment) AS segments, count(DISTINCT c_nationkey) AS nations FROM customer""")
+@query("""SELECT count(DISTINCT c_mktsegment) AS files, count(*) AS elements, count(*) FILTER (WHERE c_acctbal > 0) AS active, count(*) FILTER (WHERE c_acctbal <= 0) AS retired,
+    count(*) FILTER (WHERE c_acctbal > 0 AND c_mktsegment = 'BUILDING') AS active_without_name, count(*) FILTER (WHERE c_acctbal > 0 AND c_nationkey < 5) AS active_without_repr, (SELECT count(*) FROM supplier) AS review_entries FROM customer""")
 def summary_counts(t):
-    up = F.col("c_acctbal") > 0
-    return t("customer").agg(F.count("*").alias("elements"), F.count_if(up).alias("active"), F.count_if(~up).alias("retired"), F.count_if(up & (F.col("c_mktsegment") == "BUILDING")).alias("active_building"), F.countDistinct("c_mktsegment").alias("segments"), F.countDistinct("c_nationkey").alias("nations"))
+    r = F.when(F.col("c_nationkey") >= 5, N.notation(F.concat(F.lit("an.."), "c_nationkey")))
+    e = t("customer").select(F.col("c_mktsegment").alias("file"), F.when(F.col("c_acctbal") > 0, "active").otherwise("retired").alias("status"), F.nullif("c_mktsegment", F.lit("BUILDING")).alias("name"), r.alias("representation"))
+    return V.summary(e, t("supplier"))
 
 
 @query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
@@ -148,12 +154,12 @@ def uid_reconcile(t):
     return J.multiset_diff(t("lineitem").select(F.col("l_orderkey").alias("key")), t("orders").select(F.col("o_orderkey").alias("key")), "key")
 
 
-@query("""WITH a AS (SELECT o_orderkey AS path, o_orderstatus AS c FROM orders WHERE o_orderkey % 3 <> 0), b AS (SELECT o_orderkey AS path, CASE WHEN o_orderkey % 5 = 0 THEN 'changed' ELSE o_orderstatus END AS c FROM orders WHERE o_orderkey % 4 <> 0)
+@query("""WITH a AS (SELECT o_orderkey * 2 AS path, o_orderstatus AS c FROM orders), b AS (SELECT o_orderkey * 3 AS path, CASE WHEN o_orderkey % 5 = 0 THEN 'changed' ELSE o_orderstatus END AS c FROM orders)
     SELECT coalesce(a.path, b.path) AS path, CASE WHEN b.path IS NULL THEN 'missing' WHEN a.path IS NULL THEN 'extra' ELSE 'changed' END AS status FROM a FULL JOIN b ON a.path = b.path WHERE a.c IS DISTINCT FROM b.c""")
 def content_diff(t):
     o, k = t("orders"), F.col("o_orderkey")
-    a = o.where(k % 3 != 0).select(k.alias("path"), F.col("o_orderstatus").alias("content"))
-    b = o.where(k % 4 != 0).select(k.alias("path"), F.when(k % 5 == 0, "changed").otherwise(F.col("o_orderstatus")).alias("content"))
+    a = o.select((k * 2).alias("path"), F.col("o_orderstatus").alias("content"))
+    b = o.select((k * 3).alias("path"), F.when(k % 5 == 0, "changed").otherwise(F.col("o_orderstatus")).alias("content"))
     return J.content_diff(a, b, "path", "content")
 
 
@@ -249,8 +255,8 @@ _TRIPLES = """SELECT 'nation/' || n_nationkey AS s, 'label' AS p, n_name AS o FR
 
 
 def _triples(t, k: int) -> DataFrame:
-    n = L.triples(t("nation"), F.concat(F.lit("nation/"), "n_nationkey"), {"label": F.col("n_name"), "region": F.concat(F.lit("region/"), "n_regionkey")})
-    return n.unionByName(L.triples(t("region").where(F.col("r_regionkey") < k), F.concat(F.lit("region/"), "r_regionkey"), {"label": F.col("r_name")}))
+    n = T.triples(t("nation"), F.concat(F.lit("nation/"), "n_nationkey"), {"label": F.col("n_name"), "region": F.concat(F.lit("region/"), "n_regionkey")})
+    return n.unionByName(T.triples(t("region").where(F.col("r_regionkey") < k), F.concat(F.lit("region/"), "r_regionkey"), {"label": F.col("r_name")}))
 
 
 @query(_TRIPLES.format(k=5))
@@ -260,18 +266,19 @@ def triples(t):
 
 @query(f"WITH x AS ({_TRIPLES.format(k=3)}) SELECT DISTINCT o AS missing FROM x WHERE p = 'region' AND o NOT IN (SELECT s FROM x)")
 def graph_closure(t):
-    return L.unresolved(_triples(t, 3), ["region"])
+    return T.unresolved(_triples(t, 3), ["region"])
 
 
-@query("SELECT DISTINCT o_orderpriority AS term FROM orders EXCEPT SELECT DISTINCT o_orderpriority FROM orders WHERE o_orderkey % 2 = 0 AND o_orderpriority <> '5-LOW'")
+@query("SELECT DISTINCT o_orderpriority AS term FROM orders EXCEPT SELECT DISTINCT replace(o_orderpriority, '5-LOW', 'low') FROM orders")
 def set_difference(t):
-    o = t("orders").select(F.col("o_orderpriority").alias("term"), "o_orderkey")
-    return o.select("term").distinct().subtract(o.where("o_orderkey % 2 = 0 AND term <> '5-LOW'").select("term"))
+    p = F.col("o_orderpriority")
+    return t("orders").select(p.alias("term")).distinct().subtract(t("orders").select(F.replace(p, F.lit("5-LOW"), F.lit("low")).alias("term")))
 
 
 @query("SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def csv_flatten(t):
-    return t("events").select("event_id", "event_type", F.get_json_object("props", "$.k").try_cast("long").alias("k"))
+    e = t("events").withColumn("own", F.struct(F.get_json_object("props", "$.k").try_cast("long").alias("k")))
+    return K.flat(e, ["event_id", "event_type", "k"], {"k": "own.k"})
 
 
 @query("""SELECT o_orderkey AS key, 'status is unknown' AS rule FROM orders WHERE o_orderstatus NOT IN ('O', 'F') UNION ALL SELECT o_orderkey, 'priority is unknown' FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
@@ -287,10 +294,133 @@ def seeded_sample(t):
     return J.seeded_sample(t("part"), (F.col("p_partkey") * 7919 + 42) % 104729, 60).select("p_partkey", "p_name")
 
 
-@query("""WITH j AS (SELECT p_partkey % 50 AS k, count(*) AS n FROM part GROUP BY 1) SELECT count(*) AS joined, CAST(sum(n) AS BIGINT) AS code_values, count(*) FILTER (WHERE n > 40) AS aligned FROM j""")
+_ACTIVE = "SELECT p_partkey AS tag FROM part WHERE p_retailprice >= 1000"
+_LISTS = "SELECT l_partkey AS id, count(*) AS n FROM lineitem GROUP BY 1 UNION ALL SELECT -1, 7"
+
+
+def _elements(t) -> DataFrame:
+    """Parts as elements: key, name, type as description, size as notation; the cheap ones are retired."""
+    raw = F.when(F.col("p_size") % 5 > 0, F.concat(F.lit("an.."), "p_size"))
+    return t("part").select(
+        F.col("p_partkey").cast("int").alias("tag"), F.col("p_name").alias("name"), F.col("p_type").alias("description"), N.notation(raw).alias("representation"), F.when(F.col("p_retailprice") >= 1000, "active").otherwise("retired").alias("status"),
+        F.lit("add").alias("change_tag"), F.when(F.col("p_size") % 2 == 0, F.col("p_brand")).alias("old_name"), F.when(F.col("p_size") % 3 == 0, F.col("p_type")).alias("business_term"), F.struct(F.col("p_size").alias("page")).alias("provenance"),
+        F.concat(F.lit("UNLK: an..3 L "), "p_size", F.lit(", P 0-9 MAR: x")).alias("bridges"),
+    )
+
+
+def _lists(t) -> DataFrame:
+    n = J.tally(t("lineitem"), "l_partkey").select(F.col("l_partkey").alias("id"), "n")
+    return n.unionByName(n.sparkSession.range(1).select(F.lit(-1).cast("long").alias("id"), F.lit(7).cast("long").alias("n")))
+
+
+@query(f"WITH a AS ({_ACTIVE}), c AS ({_LISTS}) SELECT a.tag, c.n AS code_values FROM a JOIN c ON a.tag = c.id")
+def code_coverage(t):
+    return J.code_coverage(_elements(t), _lists(t)).select(F.col("tag").cast("long").alias("tag"), "code_values")
+
+
+@query(f"WITH a AS ({_ACTIVE}), c AS ({_LISTS}) SELECT count(*) AS elements, CAST(sum(n) AS BIGINT) AS code_values, (SELECT count(*) FROM c WHERE id NOT IN (SELECT p_partkey FROM part)) AS skipped FROM a JOIN c ON a.tag = c.id")
 def header_counts(t):
-    j = t("part").groupBy((F.col("p_partkey") % 50).alias("k")).agg(F.count("*").alias("n"))
-    return j.agg(F.count("*").alias("joined"), F.sum("n").alias("code_values"), F.count_if(F.col("n") > 40).alias("aligned"))
+    links, lost = J.code_coverage(_elements(t), _lists(t)), J.skipped_ids(_elements(t), _lists(t))
+    return links.agg(F.count("*").alias("elements"), F.sum("code_values").alias("code_values")).crossJoin(lost.agg(F.count("*").alias("skipped")))  # one row each
+
+
+@query("""SELECT count(*) FILTER (WHERE active) AS joined, count(*) FILTER (WHERE active AND p_size % 5 > 0 AND k % 3 > 0) AS repr_match, count(*) FILTER (WHERE active AND p_size % 5 > 0 AND k % 3 = 0) AS repr_diff,
+    count(*) FILTER (WHERE active AND k % 4 > 0) AS name_match, count(*) FILTER (WHERE active AND 1 - 5 / (length(p_type) + 5) >= 0.85 OR active AND k % 7 > 0) AS desc_match,
+    count(*) FILTER (WHERE active AND 1 - 5 / (length(p_type) + 5) < 0.85 AND k % 7 = 0) AS desc_diff, 0 AS only_ours, count(*) FILTER (WHERE NOT active) AS only_mirror
+    FROM (SELECT *, p_retailprice >= 1000 AS active, p_partkey AS k FROM part)""")
+def crosscheck_counters(t):
+    k = F.col("p_partkey")
+    mirror = t("part").select(
+        k.cast("int").alias("tag"), F.when(k % 4 > 0, F.concat(F.upper("p_name"), F.lit(" -"))).otherwise(F.concat("p_name", F.lit("x"))).alias("name"), F.when(k % 7 > 0, F.concat(F.lower("p_type"), F.lit("  ."))).otherwise(F.concat("p_type", F.lit("abcde"))).alias("desc"),
+        F.lit("an").alias("type"), (F.col("p_size") + (k % 3 == 0).cast("int")).alias("max_length"),
+    )
+    return Y.counters(_elements(t), mirror).select(*[F.col(c).cast("long").alias(c) for c in ("joined", "repr_match", "repr_diff", "name_match", "desc_match", "desc_diff", "only_ours", "only_mirror")])
+
+
+_REVIEWS = "SELECT o_orderkey AS key, o_orderkey % 11 AS a, o_orderkey % 7 AS b, o_orderkey % 5 AS c FROM orders"
+_TAGS = [*CHANGE_TAGS, "zz"]
+
+
+@query(f"""WITH r AS ({_REVIEWS}), g AS (SELECT *, [{', '.join(f"'{x}'" for x in _TAGS)}][a + 1] AS tag FROM r)
+    SELECT key, 'representation' AS field, 'bad ' || b AS fragment FROM g WHERE b > 3 UNION ALL SELECT key, 'name', NULL FROM g WHERE c = 0 AND tag <> 'x'
+    UNION ALL SELECT key, 'change_tag', tag FROM g WHERE tag NOT IN ({', '.join(f"'{x}'" for x in LEGEND_TAGS)})""")
+def review_rules(t):
+    k = F.col("o_orderkey")
+    tag = F.element_at(F.array(*map(F.lit, _TAGS)), (k % 11 + 1).cast("int"))
+    raw = F.when(k % 7 > 3, F.concat(F.lit("bad "), k % 7)).when(k % 7 > 0, F.lit("an..3"))
+    r = t("orders").select(k.alias("key"), tag.alias("change_tag"), X.null_if_blank(F.when(k % 5 == 0, ".").otherwise("Name")).alias("name"), raw.alias("raw")).withColumn("parsed", N.notation(F.col("raw")))
+    cells = F.create_map(F.lit("representation"), F.array(F.col("raw")))
+    found = r.select("key", F.explode(E.review_rules(r, "change_tag", "name", "raw", "parsed", cells)).alias("e"))
+    return found.select("key", "e.field", F.get("e.raw_fragments", F.lit(0)).alias("fragment"))
+
+
+@query("SELECT count(*) AS wrapped_cells FROM documents WHERE contains(text, chr(10))")
+def wrapped_cells(t):
+    return E.wrapped_cells(t("documents").select(F.split("text", "\n").alias("fragments")))
+
+
+@query("""SELECT (SELECT count(*) FROM lineitem) AS zones, (SELECT CAST(sum(length(p_name)) AS BIGINT) FROM part) AS characters, (SELECT count(*) FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 9000 >= 1000) AS replacements""")
+def corpus_totals(t):
+    zones = W.zone_total(_bridge_text(t), "text")
+    chars = W.text_length(t("part"), "p_name").withColumnRenamed("n", "characters")
+    notes = t("orders").select(F.when(F.col("o_orderstatus") == "F", "retired").otherwise("active").alias("status"), F.concat(F.lit("use "), F.col("o_orderkey") % 9000).alias("notes"))
+    return zones.crossJoin(chars).crossJoin(W.replacement_count(notes).withColumnRenamed("n", "replacements"))  # one row each
+
+
+@query("""WITH e AS (SELECT event_id // 64 AS page, event_id AS n, CAST(floor(value) AS BIGINT) AS tag FROM events), g AS (SELECT *, lag(tag) OVER (ORDER BY n) AS previous, lag(page) OVER (ORDER BY n) AS previous_page FROM e)
+    SELECT page, tag, previous, previous_page FROM g WHERE tag < previous""")
+def reading_order(t):
+    return W.reading_order(t("events").select(F.expr("event_id div 64").alias("page"), F.col("event_id").alias("n"), F.floor("value").alias("tag")))
+
+
+@query("""WITH w AS (SELECT DISTINCT l_orderkey AS page, l_linenumber AS n, CAST(l_linenumber * 7 AS DOUBLE) AS y FROM lineitem)
+    SELECT page, 1000 + n AS tag, y - 1 AS y0, coalesce((SELECT min(b.y) - 1 FROM w b WHERE b.page = w.page AND b.y > w.y + 10), y + 60) AS y1 FROM w""")
+def row_bands(t):
+    w = t("lineitem").select(F.col("l_orderkey").alias("page"), "l_linenumber").distinct()
+    return O.row_bands(w.select("page", F.lit(110.0).alias("x"), (F.col("l_linenumber") * 7).cast("double").alias("y"), (F.col("l_linenumber") + 1000).cast("string").alias("text")), 10.0)
+
+
+_SPACE = "https://example.org/ns/directory#"
+
+
+@query(f"""WITH e AS (SELECT *, 'https://example.org/elements/' || p_partkey AS s FROM part WHERE p_partkey >= 1000), x AS (
+    SELECT s, 'http://www.w3.org/1999/02/22-rdf-syntax-ns#type' AS p, '{_SPACE}TradeDataElement' AS o, 'iri' AS kind FROM e UNION ALL SELECT s, '{_SPACE}tag', CAST(p_partkey AS VARCHAR), 'integer' FROM e
+    UNION ALL SELECT s, 'https://schema.org/isPartOf', 'https://example.org/dataset/directory', 'iri' FROM e UNION ALL SELECT s, '{_SPACE}category', 'https://example.org/categories/1000-1699', 'iri' FROM e WHERE p_partkey < 2000
+    UNION ALL SELECT s, '{_SPACE}category', 'https://example.org/categories/' || (p_partkey // 1000) * 1000 || '-' || (p_partkey // 1000) * 1000 + 699, 'iri' FROM e WHERE p_partkey BETWEEN 2000 AND 9999
+    UNION ALL SELECT s, '{_SPACE}changeTag', 'add', 'string' FROM e UNION ALL SELECT s, '{_SPACE}status', CASE WHEN p_retailprice >= 1000 THEN 'active' ELSE 'retired' END, 'string' FROM e UNION ALL SELECT s, '{_SPACE}sourcePage', CAST(p_size AS VARCHAR), 'integer' FROM e
+    UNION ALL SELECT s, 'https://schema.org/name', p_name, 'string' FROM e UNION ALL SELECT s, 'https://schema.org/description', p_type, 'string' FROM e UNION ALL SELECT s, '{_SPACE}bridges', 'UNLK: an..3 L ' || p_size || ', P 0-9 MAR: x', 'string' FROM e
+    UNION ALL SELECT s, 'http://www.w3.org/2004/02/skos/core#altLabel', p_brand, 'string' FROM e WHERE p_size % 2 = 0 UNION ALL SELECT s, 'http://www.w3.org/2004/02/skos/core#altLabel', p_type, 'string' FROM e WHERE p_size % 3 = 0 AND (p_size % 2 > 0 OR p_type <> p_brand)
+    UNION ALL SELECT s, '{_SPACE}representation', NULL, 'blank' FROM e WHERE p_size % 5 > 0 UNION ALL SELECT s, '{_SPACE}bridge', NULL, 'blank' FROM e UNION ALL SELECT s, '{_SPACE}bridge', NULL, 'blank' FROM e
+    UNION ALL SELECT NULL, 'http://www.w3.org/1999/02/22-rdf-syntax-ns#type', '{_SPACE}Bridge', 'iri' FROM e, range(2) UNION ALL SELECT NULL, '{_SPACE}scheme', 'UNLK', 'string' FROM e UNION ALL SELECT NULL, '{_SPACE}scheme', 'MAR', 'string' FROM e
+    UNION ALL SELECT NULL, '{_SPACE}detail', 'an..3 L ' || p_size || ', P 0-9', 'string' FROM e UNION ALL SELECT NULL, '{_SPACE}detail', 'x', 'string' FROM e UNION ALL SELECT NULL, '{_SPACE}zone', NULL, 'blank' FROM e
+    UNION ALL SELECT NULL, 'http://www.w3.org/1999/02/22-rdf-syntax-ns#type', '{_SPACE}UnlkZone', 'iri' FROM e UNION ALL SELECT NULL, '{_SPACE}lineFrom', CAST(p_size AS VARCHAR), 'integer' FROM e UNION ALL SELECT NULL, '{_SPACE}lineTo', CAST(p_size AS VARCHAR), 'integer' FROM e
+    UNION ALL SELECT NULL, '{_SPACE}posFrom', '1', 'integer' FROM e UNION ALL SELECT NULL, '{_SPACE}posTo', '9', 'integer' FROM e UNION ALL SELECT NULL, '{_SPACE}fieldFormat', 'an..3', 'string' FROM e
+    UNION ALL SELECT NULL, 'http://www.w3.org/1999/02/22-rdf-syntax-ns#type', '{_SPACE}Representation', 'iri' FROM e WHERE p_size % 5 > 0 UNION ALL SELECT NULL, '{_SPACE}printedForm', 'an..' || p_size, 'string' FROM e WHERE p_size % 5 > 0 UNION ALL SELECT NULL, '{_SPACE}charset', 'an', 'string' FROM e WHERE p_size % 5 > 0
+    UNION ALL SELECT NULL, '{_SPACE}minLength', '1', 'integer' FROM e WHERE p_size % 5 > 0 UNION ALL SELECT NULL, '{_SPACE}maxLength', CAST(p_size AS VARCHAR), 'integer' FROM e WHERE p_size % 5 > 0) SELECT s, p, o, kind, count(*) AS n FROM x GROUP BY ALL""")
+def element_graph(t):
+    """Statements of element nodes; the names of nested nodes, which only have to differ, are left out."""
+    none = t("part").sparkSession.createDataFrame([], "key int, replacement int")
+    s = T.node_triples(L.element_nodes(_elements(t).where("tag >= 1000"), none, "https://example.org"), T.names(_SPACE))
+    named = lambda c: F.when(~F.col(c).startswith("_:"), F.col(c)).alias(c)
+    return s.select(named("s"), "p", F.when(F.col("kind") != "blank", F.col("o")).alias("o"), "kind").groupBy("s", "p", "o", "kind").agg(F.count("*").alias("n"))
+
+
+@query(f"""SELECT '<https://example.org/suppliers/' || s_suppkey || '> <{_SPACE}tag> "' || s_suppkey || '"^^<http://www.w3.org/2001/XMLSchema#integer> .' AS value FROM supplier UNION ALL SELECT '<https://example.org/suppliers/' || s_suppkey || '> <https://schema.org/name> "' || s_name || '" .' FROM supplier""")
+def n_triples(t):
+    n = t("supplier").select(F.struct(L.iri("https://example.org", "suppliers", F.col("s_suppkey")).alias("@id"), F.col("s_suppkey").alias("tag"), F.col("s_name").alias("name")).alias("node"))
+    return K.n_triples(T.node_triples(n, T.names(_SPACE)))
+
+
+@query(f"""SELECT 'https://example.org/suppliers/' || s_suppkey AS subject, '<https://example.org/suppliers/' || s_suppkey || '> a utd:Bridge ;' || chr(10) || '  schema:name "' || s_name || '" ;' || chr(10) || '  utd:tag ' || s_suppkey || ' .' || chr(10) AS text FROM supplier""")
+def turtle_blocks(t):
+    n = t("supplier").select(F.struct(L.iri("https://example.org", "suppliers", F.col("s_suppkey")).alias("@id"), F.lit("Bridge").alias("@type"), F.col("s_suppkey").alias("tag"), F.col("s_name").alias("name")).alias("node"))
+    return K.turtle(T.node_triples(n, T.names(_SPACE)), _SPACE)
+
+
+@query(f"""SELECT '{_SPACE}' || x AS iri, 'unused' AS gap FROM (SELECT unnest(['changeTag', 'zone']) AS x) UNION ALL SELECT '{_SPACE}status', 'undeclared'""")
+def vocabulary_gaps(t):
+    n = t("supplier").select(F.struct(L.iri("https://example.org", "suppliers", F.col("s_suppkey")).alias("@id"), F.lit("active").alias("status"), F.col("s_suppkey").alias("tag"), F.col("s_name").alias("name")).alias("node"))
+    return T.vocabulary_gaps(T.node_triples(n, T.names(_SPACE)), _SPACE, ["tag", "changeTag", "zone"])
 
 
 @query("SELECT c_custkey, upper(substr(lower(c_mktsegment), 1, 1)) || substr(lower(c_mktsegment), 2) AS label, format('{} ({}) {}', c_custkey, c_nationkey, c_mktsegment) AS header, CAST(coalesce(nullif(regexp_extract(c_name, '^[0-9]+'), ''), '0') AS INTEGER) AS number FROM customer")
@@ -298,13 +428,31 @@ def labels_and_headers(t):
     return t("customer").select("c_custkey", X.capitalised(F.lower("c_mktsegment")).alias("label"), X.header(F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string"), F.col("c_mktsegment")).alias("header"), X.leading_int(F.col("c_name")).alias("number"))
 
 
-@query("""WITH s AS (SELECT p_brand AS field, p_size % 7 = 0 AS unreadable, p_retailprice >= 1000 AS pass FROM part) SELECT field, count(*) FILTER (WHERE NOT unreadable AND pass) AS passes, count(*) - count(*) FILTER (WHERE unreadable) AS total FROM s GROUP BY field""")
+@query("""WITH r AS (SELECT 'name' AS field, p_partkey % 4 > 0 AS pass, false AS unreadable FROM part UNION ALL SELECT 'repr', CASE WHEN p_partkey % 7 > 0 THEN p_partkey % 3 > 0 END, p_partkey % 7 = 0 FROM part WHERE p_size % 5 > 0)
+    SELECT field, count(*) FILTER (WHERE pass) AS passes, count(*) - count(*) FILTER (WHERE unreadable) AS total, count(*) FILTER (WHERE unreadable) AS unreadable, least(5, count(*) FILTER (WHERE NOT pass)) AS shown FROM r GROUP BY field""")
 def agreement_report(t):
-    bad = F.col("p_size") % 7 == 0
-    return t("part").groupBy(F.col("p_brand").alias("field")).agg(F.count_if(~bad & (F.col("p_retailprice") >= 1000)).alias("passes"), (F.count("*") - F.count_if(bad)).alias("total"))
+    e, k = _elements(t), F.col("tag")
+    expected = e.select("tag", F.lit("name").alias("field"), F.col("name").alias("expected")).unionByName(e.select("tag", F.lit("repr").alias("field"), F.col("representation.raw").alias("expected")))
+    names = e.select("tag", F.lit("name").alias("field"), F.when(k % 4 > 0, F.upper("name")).otherwise("zzz").alias("ocr"))
+    reprs = e.select("tag", F.lit("repr").alias("field"), F.when(k % 7 == 0, "l1I").when(k % 3 > 0, F.concat(F.lit("| "), "representation.raw", F.lit(" ."))).otherwise("n999").alias("ocr"))
+    report = Y.agreement(Y.ocr_results(expected, names.unionByName(reprs)))
+    return report.select("field", "passes", "total", "unreadable", F.size("failures").cast("long").alias("shown"))
 
 
-@query("""SELECT k, count(*) AS n, min(p_partkey) AS first FROM (SELECT p_partkey, p_partkey // 700 AS k FROM part) GROUP BY k""")
+@query("""WITH r AS (SELECT o_orderkey AS key, 1000 + o_orderkey % 9 AS tag, 'equals' AS kind FROM orders UNION ALL SELECT o_orderkey, 9990 + o_orderkey % 8, 'related' FROM orders)
+    SELECT tag, count(*) AS refs, count(*) FILTER (WHERE kind = 'equals') AS equals, min(key) AS first, true AS known FROM r WHERE tag IN (SELECT p_partkey FROM part) GROUP BY tag UNION ALL SELECT DISTINCT tag, 0, 0, NULL, false FROM r WHERE tag NOT IN (SELECT p_partkey FROM part)""")
 def grouped_nest(t):
-    p = t("part").select("p_partkey", F.floor(F.col("p_partkey") / 700).alias("k")).groupBy("k").agg(F.array_sort(F.collect_list("p_partkey")).alias("list"))
-    return p.select("k", F.size("list").cast("long").alias("n"), F.get("list", F.lit(0)).alias("first"))
+    k = F.col("o_orderkey")
+    entries = t("orders").select(k.alias("code_list"), F.lit(1).alias("entry"), F.lit("AB").alias("code"), F.lit("Name").alias("name"), F.format_string("[%d] see (%d)", 1000 + k % 9, 9990 + k % 8).alias("description"))
+    refs, e = J.references(entries), _elements(t)
+    known = J.nested_references(refs, e).select(F.col("tag").cast("long").alias("tag"), F.size("refs").cast("long").alias("refs"), F.size(F.filter("refs", lambda r: r.kind == "equals")).cast("long").alias("equals"), F.get("refs", F.lit(0)).code_list.alias("first"), F.lit(True).alias("known"))
+    lost = J.unknown_tags(refs, e).select(F.col("tag").cast("long").alias("tag"), F.lit(0).cast("long").alias("refs"), F.lit(0).cast("long").alias("equals"), F.lit(None).cast("long").alias("first"), F.lit(False).alias("known"))
+    return known.unionByName(lost)
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 6 = 0 THEN 'retired' ELSE 'active' END AS status, CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_name END AS name,
+    nullif(concat_ws('|', CASE WHEN p_size % 2 = 0 THEN p_brand END, CASE WHEN p_size % 3 = 0 THEN p_type END), '') AS alt FROM part""")
+def element_fields(t):
+    k = F.col("p_partkey")
+    alt = X.compact(F.when(F.col("p_size") % 2 == 0, F.col("p_brand")), F.when(F.col("p_size") % 3 == 0, F.col("p_type")))
+    return t("part").select("p_partkey", E.status_of(F.when(k % 6 == 0, "x").otherwise("cn")).alias("status"), X.null_if_blank(F.when(k % 8 == 0, " ").when(k % 4 == 0, ".").otherwise(F.col("p_name"))).alias("name"), F.array_join(alt, "|").alias("alt"))

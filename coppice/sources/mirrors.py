@@ -1,63 +1,81 @@
-"""External directories: XML mirrors, fixed-width text lists and positioned words."""
+"""External directories: XML mirrors, fixed-width text lists, positioned words and texts read by OCR programs."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import leading_int, strip
 
+_TAG = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
+
 
 def _whole(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.col("value"))
 
 
-def _attribute(c, name: str):
-    found = F.regexp_extract(c, rf'\s{name}\s*=\s*"([^"]*)"', 1)
-    decoded = found
-    for ref, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
-        decoded = F.replace(decoded, F.lit(ref), F.lit(ch))
-    return F.when(c.rlike(rf"\s{name}\s*="), decoded)
+def _markup(spark: SparkSession, path: str) -> DataFrame:
+    """Whole XML files without comments and sections of literal text."""
+    return _whole(spark, path).withColumn("value", F.regexp_replace("value", r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>", ""))
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """An attribute of a start tag; null if it has none. The XML functions know both quotes and all references."""
+    alone = F.regexp_replace(tag, r"/?>$", "/>")
+    return F.when(F.xpath_boolean(alone, F.lit(f"/*/@{name}")), F.xpath_string(alone, F.lit(f"/*/@{name}")))
 
 
 def segments_mirror(spark: SparkSession, path: str) -> DataFrame:
-    """tag, name, desc, type, max_length: ``data_element`` at any depth, numbers of 1000 or more, the first of each tag."""
-    e = _whole(spark, path).select("file", F.posexplode(F.regexp_extract_all("value", F.lit(r"(<data_element\b[^>]*>)"), F.lit(1))).alias("ord", "e"))
-    e = e.select("file", "ord", leading_int(_attribute(F.col("e"), "id")).alias("tag"), *[_attribute(F.col("e"), a).alias(a) for a in ("name", "desc", "type")], F.when(F.col("e").rlike(r"\smaxlength\s*="), leading_int(_attribute(F.col("e"), "maxlength"))).alias("max_length"))
+    """tag, name, desc, type, max_length (0 if it is missing): ``data_element`` at any depth, numbers of 1000 or more, the first of each tag."""
+    e = _markup(spark, path).select("file", F.posexplode(F.regexp_extract_all("value", F.lit(rf"(<data_element(?=[\s/>]){_TAG}>)"), F.lit(1))).alias("ord", "e"))
+    e = e.select("file", "ord", leading_int(_attribute(F.col("e"), "id")).alias("tag"), *[_attribute(F.col("e"), a).alias(a) for a in ("name", "desc", "type")], leading_int(_attribute(F.col("e"), "maxlength")).alias("max_length"))
     first = e.where("tag >= 1000").groupBy("tag").agg(F.min_by(F.struct("name", "desc", "type", "max_length"), F.struct("file", "ord")).alias("m"))
     return first.select("tag", "m.*")
 
 
 def code_counts(spark: SparkSession, path: str) -> DataFrame:
-    """id, n: number of ``code`` children of the top-level elements; the last of each id wins."""
-    e = spark.read.format("xml").option("rowTag", "data_element").schema("_id string, code array<string>").load(path)
-    e = e.select(leading_int(F.col("_id")).alias("id"), F.coalesce(F.size("code"), F.lit(0)).alias("n"), F.monotonically_increasing_id().alias("ord"))
-    return e.groupBy("id").agg(F.max_by(F.greatest("n", F.lit(0)), "ord").cast("int").alias("n"))
+    """id, n: number of ``code`` children of the elements right under the root ``data_elements``; the last of each id wins."""
+    root = r"(?s)^(?:\s|\x{FEFF}|<\?.*?\?>|<!DOCTYPE[^>]*>)*<data_elements(?=[\s/>])"
+    docs = _markup(spark, path).where(F.col("value").rlike(root))
+    parsed = F.from_xml("value", "data_element array<struct<_id string, code array<string>>>")
+    e = docs.select("file", F.posexplode(parsed["data_element"]).alias("ord", "e"))
+    e = e.select(leading_int(F.col("e._id")).alias("id"), F.coalesce(F.size("e.code"), F.lit(0)).alias("n"), F.struct("file", "ord").alias("at"))
+    return e.groupBy("id").agg(F.max_by(F.greatest("n", F.lit(0)), "at").cast("int").alias("n"))
+
+
+#: A code line, a line that goes on with the description, and lines that say nothing.
+CODE_LINE = r"^\s{0,6}([A-Z0-9]{1,3})\s{2,}(\S.*)$"
+MORE_LINE = r"^\s{10,}\S.*$"
+NO_LINE = r"^\*|^(?i)\s*(?:Desc|Repr|Note):"
 
 
 def code_entries(spark: SparkSession, path: str) -> DataFrame:
-    """code_list, entry, code, name, description of text lists, one file per list; files under 1000 are skipped.
+    """code_list, entry, code, name, description of text lists, one file ``<number>.txt`` per list; numbers under 1000 are skipped.
 
     A code line holds up to six blanks, a code of one to three capitals or digits, two blanks and the name. Lines that
-    begin with ten blanks go on with the description. Blank, starred, Desc, Repr and Note lines are skipped.
+    begin with ten blanks go on with the description. Empty lines, lines with a star in the first column, and Desc,
+    Repr and Note lines in any case are skipped; other lines are ignored and end nothing.
     """
-    from pyspark.sql import Window
-
-    lines = _whole(spark, path).withColumn("code_list", leading_int(F.col("file"))).where("code_list >= 1000").select("code_list", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
-    code = r"^ {0,6}([A-Z0-9]{1,3}) {2,}(\S.*)$"
-    lines = lines.where((strip(F.col("line")) != "") & ~F.col("line").rlike(r"^\s*(\*|Desc:|Repr:|Note:)"))
-    lines = lines.withColumn("is_code", F.col("line").rlike(code)).where(F.col("is_code") | F.col("line").rlike(r"^ {10,}\S"))
+    files = _whole(spark, path).where(F.col("file").endswith(".txt")).withColumn("code_list", leading_int(F.col("file"))).where("code_list >= 1000")
+    lines = files.select("code_list", F.posexplode(F.split("value", "\n")).alias("line_no", "line")).withColumn("line", F.regexp_replace("line", r"\s+$", ""))
+    lines = lines.where((F.col("line") != "") & ~F.col("line").rlike(NO_LINE))
+    lines = lines.withColumn("is_code", F.col("line").rlike(CODE_LINE)).where(F.col("is_code") | F.col("line").rlike(MORE_LINE))
     w = Window.partitionBy("code_list").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     lines = lines.withColumn("entry", F.sum(F.col("is_code").cast("int")).over(w)).where("entry > 0")
     parts = F.array_sort(F.collect_list(F.when(~F.col("is_code"), F.struct("line_no", strip(F.col("line")).alias("t")))))
-    return lines.groupBy("code_list", "entry").agg(F.max(F.when(F.col("is_code"), F.regexp_extract("line", code, 1))).alias("code"), F.max(F.when(F.col("is_code"), strip(F.regexp_extract("line", code, 2)))).alias("name"), strip(F.array_join(F.transform(parts, lambda x: x.t), " ")).alias("description"))
+    code = lambda i: F.max(F.when(F.col("is_code"), strip(F.regexp_extract("line", CODE_LINE, i))))
+    return lines.groupBy("code_list", "entry").agg(code(1).alias("code"), code(2).alias("name"), strip(F.array_join(F.transform(parts, lambda x: x.t), " ")).alias("description"))
+
+
+def words(spark: SparkSession, path: str, first_page: int = 1) -> DataFrame:
+    """page, word_no, text, x, y of XHTML word boxes; the first page of a file has the number ``first_page``."""
+    pages = _markup(spark, path).select(F.posexplode(F.slice(F.split("value", r"<page(?=[\s/>])"), 2, 1 << 30)).alias("p", "page"))
+    w = pages.select((F.col("p") + first_page).alias("page"), F.posexplode(F.regexp_extract_all("page", F.lit(rf"(<word(?=[\s/>]){_TAG}>[^<]*</word>)"), F.lit(1))).alias("word_no", "w"))
+    box = lambda a: F.xpath_string("w", F.lit(f"/word/@{a}")).try_cast("double")
+    return w.select("page", "word_no", F.xpath_string("w", F.lit("/word")).alias("text"), box("xMin").alias("x"), box("yMin").alias("y"))
 
 
-def words(spark: SparkSession, path: str) -> DataFrame:
-    """page, word_no, text, x, y of XHTML word boxes; pages count from 1 in the file."""
-    pages = _whole(spark, path).select(F.posexplode(F.slice(F.split("value", "<page"), 2, 1 << 20)).alias("p", "page"))
-    w = pages.select((F.col("p") + 1).alias("page"), F.posexplode(F.regexp_extract_all("page", F.lit(r"(<word\b[^>]*>[^<]*)</word>"), F.lit(1))).alias("word_no", "w"))
-    text = F.regexp_extract("w", ">([^<]*)$", 1)
-    for ref, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(ref), F.lit(ch))
-    return w.select("page", "word_no", text.alias("text"), _attribute(F.col("w"), "xMin").cast("double").alias("x"), _attribute(F.col("w"), "yMin").cast("double").alias("y"))
+def ocr_texts(spark: SparkSession, path: str) -> DataFrame:
+    """tag, field, ocr of files ``<tag>-<field>.txt`` that an OCR program wrote, white space squeezed. Reading images is no work for Spark."""
+    name = F.regexp_extract(F.col("file"), r"^(\d+)-(\w+)\.txt$", 2)
+    return _whole(spark, path).select(leading_int(F.col("file")).alias("tag"), name.alias("field"), strip(F.regexp_replace("value", r"\s+", " ")).alias("ocr")).where("field <> ''")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import glob
-import os
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +10,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 from ..schemas import ELEMENT, REVIEW
+from .paths import content, exists, listed
 
 _FILE = f"file string, file_no int, category string, ord int, {ELEMENT}"
 
@@ -35,16 +34,14 @@ class _Reader(DataSourceReader):
         self.path, self.kind = options["path"], options.get("kind", "elements")
 
     def partitions(self) -> list[InputPartition]:
-        files = sorted(glob.glob(os.path.join(self.path, "*.yaml"))) if os.path.isdir(self.path) else [self.path]
-        return [InputPartition((i, f)) for i, f in enumerate(files)]
+        return [InputPartition((i, f)) for i, f in enumerate(listed(self.path, ".yaml"))]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         import yaml
 
         number, path = partition.value
-        with open(path, encoding="utf-8") as f:
-            data = yaml.load(f, Loader=getattr(yaml, "CSafeLoader", yaml.SafeLoader)) or {}
-        name = os.path.basename(path)
+        data = yaml.load(content(path), Loader=getattr(yaml, "CSafeLoader", yaml.SafeLoader)) or {}
+        name = path.rpartition("/")[2]
         if self.kind != "elements":
             for i, e in enumerate(data.get("entries") or []):
                 yield (name, i, e.get("page"), e.get("tag"), e.get("field"), e.get("raw_fragments"), e.get("issue"), e.get("confidence"))
@@ -68,7 +65,7 @@ def elements(spark: SparkSession, path: str) -> DataFrame:
 
 def review_queue(spark: SparkSession, path: str) -> DataFrame:
     """Review entries; a missing file gives no rows here and an error in ``checks.validate``."""
-    return _read(spark, path, "review") if os.path.exists(path) else spark.createDataFrame([], f"file string, ord int, {REVIEW}")
+    return _read(spark, path, "review") if exists(path) else spark.createDataFrame([], f"file string, ord int, {REVIEW}")
 
 
 def context_terms(spark: SparkSession, path: str) -> DataFrame:
