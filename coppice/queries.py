@@ -326,7 +326,7 @@ def header_counts(t):
 
 @query("""SELECT count(*) FILTER (WHERE active) AS joined, count(*) FILTER (WHERE active AND p_size % 5 > 0 AND k % 3 > 0) AS repr_match, count(*) FILTER (WHERE active AND p_size % 5 > 0 AND k % 3 = 0) AS repr_diff,
     count(*) FILTER (WHERE active AND k % 4 > 0) AS name_match, count(*) FILTER (WHERE active AND 1 - 5 / (length(p_type) + 5) >= 0.85 OR active AND k % 7 > 0) AS desc_match,
-    count(*) FILTER (WHERE active AND 1 - 5 / (length(p_type) + 5) < 0.85 AND k % 7 = 0) AS desc_diff, 0 AS only_ours, count(*) FILTER (WHERE NOT active) AS only_mirror
+    count(*) FILTER (WHERE active AND 1 - 5 / (length(p_type) + 5) < 0.85 AND k % 7 = 0) AS desc_diff, CAST(0 AS BIGINT) AS only_ours, count(*) FILTER (WHERE NOT active) AS only_mirror
     FROM (SELECT *, p_retailprice >= 1000 AS active, p_partkey AS k FROM part)""")
 def crosscheck_counters(t):
     k = F.col("p_partkey")
