@@ -130,6 +130,37 @@ def test_warc(spark, tmp_path):
     assert warc.round_trip(df.where("false"), f"file://{tmp_path}/b").count() == 0
 
 
+def test_warc_repeated_rows(spark, tmp_path):
+    from coppice.llm import warc
+
+    h = "<p>" + "y" * 200
+    rows = [(1, "u", h), (1, "u", h), (2, "u", h), (None, "v", h), (None, "w", "<p>" + "z" * 200), (7, None, None), (7, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS digest", "2 AS record_type")
+    got = sorted((r.page_id or 0, r.payload_bytes, r.record_type, r.refers_to) for r in warc.round_trip(df, f"file://{tmp_path}/a").collect())
+    assert got == [(0, 203, "response", None), (0, 203, "revisit", 1), (1, 203, "response", None), (1, 203, "response", None), (2, 203, "revisit", 1), (7, 0, "response", None), (7, 0, "response", None)]
+
+
+def test_warc_files_are_gzip_members_of_records(spark, tmp_path):
+    import gzip
+
+    from coppice.llm import warc
+
+    df = spark.createDataFrame([(i, "http://e/", f"é page {i}") for i in range(20)], "page_id long, url string, html string")
+    warc.write(df, f"file://{tmp_path}/a", archive_bytes=1000)
+    ids = set()
+    for p in (tmp_path / "a").glob("part-*"):
+        data = gzip.decompress(p.read_bytes())  # refuses bytes that are no member
+        while data:
+            head, _, rest = data.partition(b"\r\n\r\n")
+            fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
+            assert {"WARC-Type", "WARC-Record-ID", "WARC-Date", "WARC-Target-URI", "Content-Type", "Content-Length"} <= set(fields)
+            ids.add(fields["WARC-Record-ID"])
+            n = int(fields["Content-Length"])
+            assert warc.payload_of(rest[:n]).decode().startswith("é page") and rest[n : n + 4] == b"\r\n\r\n"
+            data = rest[n + 4 :]
+    assert len(ids) == 20
+
+
 def test_ordinal(spark, docs):
     from coppice.llm.ordinal import score, select, train
 
