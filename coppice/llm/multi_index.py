@@ -7,8 +7,9 @@ cell at most, so that one crowded cell can't end the walk. The sum at which the
 cells it met. All entries of these cells are reranked by the exact inner product.
 
 Codebooks are fitted on at most ``sample`` vectors, those with the smallest hash of their id; every vector is indexed.
-The index lies in shards of about ``block`` entries, dealt by a hash of the id, each sorted by cell: crowded cells and
-repeated vectors spread over all shards. Queries meet shards in blocks, so no task's size grows with the input.
+The index lies in shards of about ``block`` entries, filled cell by cell; a crowded cell is dealt over shards of its own
+by a hash of the id. A query goes only to the shards of cells that it met, and queries meet a shard in blocks, so no
+task's size grows with the input.
 """
 
 from __future__ import annotations
@@ -60,6 +61,26 @@ def walk(a: np.ndarray, b: np.ndarray, weight: list[float], least: float) -> flo
     return -last
 
 
+def layout(count: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each cell its first shard and how many shards are its own; small cells share one, in order, up to ``block`` entries."""
+    own = np.maximum(1, -(-count.astype(np.int64) // block))
+    first, shard, held = np.zeros(len(count), np.int64), 0, 0
+    for c, n in enumerate(count.astype(np.int64).tolist()):
+        if held and held + n > block:
+            shard, held = shard + 1, 0
+        first[c] = shard
+        held += n
+        if own[c] > 1:
+            shard, held = shard + int(own[c]), 0
+    return first, own
+
+
+def shards_of(cells: np.ndarray, first: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """All shards of some cells."""
+    n = own[cells]
+    return np.unique(np.repeat(first[cells] - (np.cumsum(n) - n), n) + np.arange(n.sum()))
+
+
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
@@ -73,14 +94,15 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def search(
-    vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 20, share: float = 0.4, floor: int = 4096, sample: int = 20000, block: int = 8192, askers: int = 2048
+    vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 20, share: float = 0.4, floor: int = 4096, sample: int = 20000, block: int = 16384, askers: int = 8192, walkers: int = 256
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest vectors found for each query, but the query's own.
 
     Vectors that are null, zero, or hold null or non-finite components take no part, neither do vectors of another
     length than the commonest. Ties go to the smaller id. A walk meets ``floor`` entries at least. ``share``
-    suits vectors without any cluster structure, the hardest case. Extra columns are not read; an empty table gives no
-    rows.
+    suits vectors without any cluster structure, the hardest case. Repeated rows of ``vectors`` are entries of their
+    own; of query rows with one id, that with the smallest vector asks, once, and no row with its id is found for it.
+    Extra columns are not read, whatever their names; an empty table gives no rows.
     """
     spark = vectors.sparkSession
     v, q = usable(vectors, key, vector), usable(queries, key, vector)
@@ -99,36 +121,50 @@ def search(
     def cells(m: np.ndarray) -> np.ndarray:
         return nearest(m[:, :half], books[0]) * width + (nearest(m[:, half:], books[1]) if dim > 1 else 0)
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = v.schema["v"].dataType.simpleString()
+
+    def cell_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(cells(_matrix(batch.column("v"), dim)).astype(np.int32)), batch.column("v")], ["vec_id", "cell", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(cells(_matrix(batch.column("v"), dim)).astype(np.int32))], ["cell"])
 
-    kind = v.schema["v"].dataType.simpleString()
-    placed = v.mapInArrow(place, f"vec_id long, cell int, v {kind}")
     # At most len(book) ** 2 rows, 16,384 with the largest books.
     count = np.zeros(len(books[0]) * width)
-    for r in placed.groupBy("cell").count().collect():
+    for r in v.select("v").mapInArrow(cell_only, "cell int").groupBy("cell").count().collect():
         count[r["cell"]] = r["count"]
+    first_shard, own_shards = layout(count, block)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                cell = cells(_matrix(batch.column("v"), dim))
+                shard = first_shard[cell] + batch.column("h").to_numpy() % own_shards[cell]
+                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(cell.astype(np.int32)), batch.column("v"), pa.array(shard)], ["vec_id", "cell", "v", "shard"])
+
+    placed = v.withColumn("h", F.pmod(F.xxhash64("vec_id", "v"), F.lit(1 << 40))).select("vec_id", "v", "h").mapInArrow(place, f"vec_id long, cell int, v {kind}, shard long")
     weight = np.minimum(count, max(8.0, 32 * n / max(1, (count > 0).sum())))
     least = min(weight.sum(), max(weight.sum() * share, float(floor)))
     weight = weight.tolist()
 
+    filled = np.flatnonzero(count)
+
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 m = _matrix(batch.column("v"), dim)
                 a, b = m[:, :half] @ books[0].T, m[:, half:] @ books[1].T
                 reach = [walk(a[i], b[i], weight, least) for i in range(len(m))]
-                yield pa.RecordBatch.from_arrays([batch.column("query_id"), pa.array(reach), batch.column("v")], ["query_id", "reach", "q"])
-
-    # The queries are dealt out before the walk, which costs more than the reading.
-    asked = q.select(F.col("vec_id").alias("query_id"), "v").repartition("query_id")
-    visits = asked.mapInArrow(visit, f"query_id long, reach double, q {kind}")
-    shards = max(1, -(-n // block))
-    sets = max(1, -(-queries.count() // askers))
-    left = placed.select(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(sets - 1))).alias("asked"), "vec_id", "cell", "v")
-    right = visits.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), F.pmod(F.xxhash64("query_id"), F.lit(sets)).cast("int").alias("asked"), "query_id", "reach", "q")
+                met = [filled[a[i][filled // width] + b[i][filled % width] >= reach[i] - 1e-9] for i in range(len(m))]
+                shards = [shards_of(c, first_shard, own_shards) for c in met]
+                yield pa.RecordBatch.from_arrays([batch.column("query_id"), pa.array(reach), batch.column("v"), pa.array(shards, pa.list_(pa.int64()))], ["query_id", "reach", "q", "shards"])
+
+    # Each id asks once. The queries are dealt out before the walk, which costs more than the reading.
+    asked = q.groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("v"))
+    asks = asked.count()
+    visits = asked.repartition(max(1, -(-asks // walkers)), "query_id").mapInArrow(visit, f"query_id long, reach double, q {kind}, shards array<long>")
+    sets = max(1, -(-asks // askers))
+    left = placed.select("shard", F.explode(F.sequence(F.lit(0), F.lit(sets - 1))).alias("asked"), "vec_id", "cell", "v")
+    right = visits.select(F.explode("shards").alias("shard"), F.pmod(F.xxhash64("query_id"), F.lit(sets)).cast("int").alias("asked"), "query_id", "reach", "q")
 
     def rerank(entries: pa.Table, own: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -143,10 +179,10 @@ def search(
                 met = a[row] + b[column] >= reach - 1e-9
                 at = np.repeat(first[met] - np.concatenate(([0], np.cumsum(n_entries[met])[:-1])), n_entries[met]) + np.arange(n_entries[met].sum())
                 # A matrix product finds what can be among the nearest, then each score is summed alone, in one order.
-                near = m[at] @ v
-                if len(at) > k + 1:
-                    at = at[near >= np.partition(near, len(near) - k - 1)[len(near) - k - 1] - 1e-9 * (1 + np.abs(near).max())]
                 at = at[ids[at] != asker]
+                if len(at) > k:
+                    near = m[at] @ v
+                    at = at[near >= np.partition(near, len(near) - k)[len(near) - k] - 1e-9 * (1 + np.abs(near).max())]
                 s = (m[at] * v).sum(axis=1)
                 best = np.lexsort((ids[at], -s))[:k]
                 out.append((np.full(len(best), asker), ids[at][best], s[best]))

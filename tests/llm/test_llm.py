@@ -201,6 +201,32 @@ def test_multi_index(spark):
     assert search(df.where("vec_id < 3"), df.where("vec_id = 0")).count() == 2
 
 
+def test_multi_index_shards():
+    from coppice.llm.multi_index import layout, shards_of
+
+    first, own = layout(np.array([5, 0, 3, 30, 2, 9, 1]), 10)
+    assert first.tolist() == [0, 0, 0, 1, 4, 5, 5] and own.tolist() == [1, 1, 1, 3, 1, 1, 1]
+    assert shards_of(np.array([2, 3]), first, own).tolist() == [0, 1, 2, 3]
+
+
+def test_multi_index_repeated_queries(spark):
+    from coppice.llm.multi_index import search
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 8)).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(0, x[0].tolist()), (20, x[21].tolist()), (7, x[7].tolist()), (None, x[3].tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 AS rank", "2.5 AS score", "3 AS query_id", "'c' AS cell")
+    got = collections.defaultdict(list)
+    for r in search(df, df.where("vec_id % 20 = 0")).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r)
+    assert set(got) == set(range(0, 300, 20))
+    for q, found in got.items():
+        assert [r.rank for r in found] == list(range(1, 21)) and all(r.vec_id != q for r in found)
+    asker = min(x[20].tolist(), x[21].tolist())
+    s = sorted(((-float(np.dot(np.array(v, float), np.array(asker, float))), i) for i, v in rows if i not in (20, None)))[:20]
+    assert [r.vec_id for r in got[20]] == [i for _, i in s]
+
+
 def brute_components(texts, percent=75):
     sets = {}
     for i, t in texts.items():
