@@ -9,7 +9,8 @@ rule leaves: for segment i, starts from both ends agree. Candidates whose byte c
 are verified by banded bit-parallel edit distance.
 
 Index and probe entries travel as packed blobs. Texts are shuffled only for lines with candidates, and once at the end
-to apply the decisions. Lines are known by a 64-bit hash.
+to apply the decisions. Candidates are known by 64 bits of a hash, which verifying by bytes makes good; what is dropped
+is known by all its 128 bits.
 """
 
 from __future__ import annotations
@@ -25,8 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import chunks as C
+from .components import joined
 from .exchange import bitmap, bounds, in_bitmap, mixed, parts_for
-from .shared import numbered, stored
+from .shared import numbered, release, stored
 
 _BASE = 0x9E3779B97F4A7C15
 _UP, _DOWN = np.uint64(_BASE), np.uint64(pow(_BASE, -1, 1 << 64))
@@ -110,24 +112,31 @@ def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return lists.flatten(), row, np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-def _identified(texts: pa.Array, least: int, short: bool = False) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct long lines (``short``: and shorter ones that aren't blank) and their ids, and for each occurrence of one its place in these, its row and number."""
+def digests(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Two halves of a 128-bit hash of each line."""
+    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, lines.cast(pa.large_binary()).to_pylist())), ">i8").astype(np.int64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
+
+
+def _identified(texts: pa.Array, least: int, short: bool = False) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct long lines (``short``: and shorter ones that aren't blank), their ids and checks, and for each occurrence of one its place in these, its row and number."""
     lines, row, number = _split(texts)
     long = pc.binary_length(lines).to_numpy(zero_copy_only=False) >= least
     if short:
         long |= pc.match_substring_regex(lines, r"[^\x20\x09-\x0D]").to_numpy(zero_copy_only=False)
     lines, row, number = lines.filter(pa.array(long)), row[long], number[long]
     index, distinct = C.coded(lines)
-    ids = np.array([xxhash.xxh64_intdigest(x) for x in distinct.cast(pa.large_binary()).to_pylist()], np.uint64).view(np.int64)
-    return distinct, ids, index, np.stack([row, number], 1) if len(row) else np.zeros((0, 2), np.int64)
+    ids, checks = digests(distinct)
+    return distinct, ids, checks, index, np.stack([row, number], 1) if len(row) else np.zeros((0, 2), np.int64)
 
 
 def _places(least: int, short: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in C.slices(batch, "text"):
-                _, ids, index, at = _identified(texts, least, short)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[index], pa.int64()), rows.column("key").take(pa.array(at[:, 0])), pa.array(at[:, 1].astype(np.int32))], ["line", "key", "number"])
+                _, ids, checks, index, at = _identified(texts, least, short)
+                own = rows.select(["key", "row"]).take(pa.array(at[:, 0]))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[index], pa.int64()), pa.array(checks[index], pa.int64()), *own.columns, pa.array(at[:, 1].astype(np.int32))], ["line", "check", "key", "row", "number"])
 
     return run
 
@@ -155,7 +164,7 @@ def _entries(least: int, k: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, texts in C.slices(batch, "text", 4 << 20):
-                distinct, ids, _, _ = _identified(texts, least)
+                distinct, ids, *_ = _identified(texts, least)
                 if not len(ids):
                     continue
                 data, off = C.raw(C.plain(distinct))
@@ -243,8 +252,8 @@ def _candidates(table: pa.Table, k: int, step: int = 1 << 20) -> Iterator[tuple[
         at = to
 
 
-def with_texts(docs: DataFrame, pairs: DataFrame, min_bytes: int, bits: int) -> DataFrame:
-    """``pairs`` of ids a, b of lines of ``docs``, and the lines' bytes x, y. Only texts of lines in ``pairs`` are shuffled."""
+def with_texts(docs: DataFrame, pairs: DataFrame, min_bytes: int, bits: int) -> tuple[DataFrame, DataFrame]:
+    """``pairs`` of ids a, b of lines of ``docs``, and the lines' bytes x, y; and the stored lines. Only texts of lines in ``pairs`` are shuffled."""
     spark = docs.sparkSession
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct()
     hits = spark.sparkContext.broadcast(bitmap(wanted, "line", bits))
@@ -252,33 +261,45 @@ def with_texts(docs: DataFrame, pairs: DataFrame, min_bytes: int, bits: int) ->
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, part in C.slices(batch, "text"):
-                distinct, ids, _, _ = _identified(part, min_bytes)
+                distinct, ids, *_ = _identified(part, min_bytes)
                 hit = in_bitmap(ids, hits.value, bits)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[hit], pa.int64()), distinct.filter(pa.array(hit)).cast(pa.binary())], ["line", "bytes"])
 
     lines = docs.select("text").mapInArrow(fetch, "line long, bytes binary").join(wanted, "line", "left_semi").groupBy("line").agg(F.min("bytes").alias("bytes"))
     lines = stored(lines, "lines")
-    return pairs.join(lines.select(F.col("line").alias("a"), F.col("bytes").alias("x")), "a").join(lines.select(F.col("line").alias("b"), F.col("bytes").alias("y")), "b")
+    return pairs.join(lines.select(F.col("line").alias("a"), F.col("bytes").alias("x")), "a").join(lines.select(F.col("line").alias("b"), F.col("bytes").alias("y")), "b"), lines
 
 
 def near_lines(docs: DataFrame, max_edits: int, min_bytes: int, bits: int = 26) -> DataFrame:
-    """a, b: ids of different lines within ``max_edits`` edits. ``docs`` has key and text."""
+    """a, ca, b, cb: ids and checks of different lines within ``max_edits`` edits, stored. ``docs`` has key and text."""
     texts = docs.select("text")
-    packed = texts.mapInArrow(_entries(min_bytes, max_edits, parts := parts_for(docs, 8)), "part int, hashes binary, lines binary, bags binary, indexed int")
+    packed = texts.mapInArrow(_entries(min_bytes, max_edits, parts_for(docs, 8)), "part int, hashes binary, lines binary, bags binary, indexed int")
 
     def match(table: pa.Table) -> pa.Table:
         found = list(_candidates(table, max_edits))
         return pa.table({c: pa.array(np.concatenate([x[i] for x in found]) if found else np.zeros(0, np.int64), pa.int64()) for i, c in enumerate("ab")})
 
     pairs = stored(packed.groupBy("part").applyInArrow(match, "a long, b long").distinct(), "pairs")
-    both = with_texts(docs, pairs, min_bytes, bits)
+    both, lines = with_texts(docs, pairs, min_bytes, bits)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yes = pa.array([within(x, y, max_edits) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(yes), batch.column("b").filter(yes)], ["a", "b"])
+            own = batch.filter(yes)
+            checks = [pa.array(digests(own.column(c))[1], pa.int64()) for c in "xy"]
+            yield pa.RecordBatch.from_arrays([own.column("a"), checks[0], own.column("b"), checks[1]], ["a", "ca", "b", "cb"])
+
+    near = stored(both.mapInArrow(verify, "a long, ca long, b long, cb long"), "near")
+    release(pairs, lines)
+    return near
+
 
-    return both.mapInArrow(verify, "a long, b long")
+def told_apart(docs: DataFrame, key: str) -> DataFrame:
+    """``docs`` with ``__row``, which tells rows with one key apart: 0 if no key is repeated, else numbers, which are stored with the rows."""
+    again = docs.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+    if again.isEmpty():
+        return docs.withColumn("__row", F.lit(0).cast("long"))
+    return stored(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", max_edits: int = 2, min_bytes: int = 32, short: bool = False, words_per_edit: int | None = None) -> DataFrame:
@@ -287,28 +308,33 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", max_ed
     Lines shorter than ``min_bytes`` are dropped only with ``short``, and then where an earlier line equals them; blank
     ones stay. With ``words_per_edit``, a line of ``min_bytes`` or more also goes where an earlier one is within so many
     word edits as the shorter has times that many words (see ``word_lines``). Null texts stay null, with 0 lines; empty texts have one line.
-    Rows with the same key count as one document; rows with a null key neither lose lines nor cost others any. Columns
-    of ``docs`` named n_lines or n_dropped are replaced. An empty table gives no rows.
+    Rows with the same key are documents of their own, in the order of the input; rows with a null key neither lose lines
+    nor cost others any. Columns of ``docs`` named n_lines or n_dropped are replaced. An empty table gives no rows.
     """
-    rows = numbered(docs.where(F.col(key).isNotNull()), text).select(F.col(key).alias("key"), "text")
-    places = stored(rows.mapInArrow(_places(min_bytes, short), f"line long, key {docs.schema[key].dataType.simpleString()}, number int"), "places")
-    first = places.groupBy("line").agg(F.min(F.struct("key", "number")).alias("first"), F.count("*").alias("n"))
+    whole = told_apart(docs.drop("n_lines", "n_dropped"), key)
+    rows = numbered(whole.where(F.col(key).isNotNull()), text).select(F.col(key).alias("key"), F.col("__row").alias("row"), "text")
+    places = stored(rows.mapInArrow(_places(min_bytes, short), f"line long, check long, key {docs.schema[key].dataType.simpleString()}, row long, number int"), "places")
+    first = places.groupBy("line", "check").agg(F.min(F.struct("key", "row", "number")).alias("first"), F.count("*").alias("n"))
     near = near_lines(rows, max_edits, min_bytes)
-    of = first.select("line", "first")
-    ordered = near.join(of.select(F.col("line").alias("a"), F.col("first").alias("fa")), "a").join(of.select(F.col("line").alias("b"), F.col("first").alias("fb")), "b")
-    late = ordered.select(F.when(F.col("fa") > F.col("fb"), F.col("a")).otherwise(F.col("b")).alias("line")).distinct()
+    side = lambda a, c, f: first.select(F.col("line").alias(a), F.col("check").alias(c), F.col("first").alias(f))
+    ordered = near.join(side("a", "ca", "fa"), ["a", "ca"]).join(side("b", "cb", "fb"), ["b", "cb"])
+    later = F.col("fa") > F.col("fb")
+    late = ordered.select(F.when(later, F.col("a")).otherwise(F.col("b")).alias("line"), F.when(later, F.col("ca")).otherwise(F.col("cb")).alias("check")).distinct()
+    more = None
     if words_per_edit:
         from .word_lines import late_lines
 
-        late = late.union(late_lines(rows, words_per_edit, min_bytes)).distinct()
+        more = late_lines(rows, words_per_edit, min_bytes)
+        late = late.union(more).distinct()
     late = late.withColumn("late", F.lit(True))
-    judged = first.join(late, "line", "left").where("n > 1 or late")
-    gone = places.join(judged, "line").where(F.col("late") | (F.struct("key", "number") != F.col("first")))
+    judged = first.join(late, ["line", "check"], "left").where("n > 1 OR late").withColumnRenamed("check", "__check")
+    gone = joined(places, judged, "line").where((F.col("check") == F.col("__check")) & (F.coalesce("late", F.lit(False)) | (F.struct("key", "row", "number") != F.col("first"))))
     # A document's list is no longer than its text.
-    gone = gone.groupBy(F.col("key").alias("__key")).agg(F.collect_set("number").alias("__gone"))
-    out = docs.drop("n_lines", "n_dropped").join(gone, F.col(key) == F.col("__key"), "left")
+    gone = stored(gone.groupBy(F.col("key").alias("__key"), F.col("row").alias("__of")).agg(F.collect_set("number").alias("__gone")), "gone")
+    release(places, near, *([more] if more is not None else []))
+    # Both sides are dealt by key at any size: a broadcast of the lists would hold only for small tables.
+    out = whole.join(gone.hint("merge"), (F.col(key) == F.col("__key")) & (F.col("__row") == F.col("__of")), "left")
     lines = F.split(F.col(text).cast("string"), "\n")
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone")), lambda i: F.get(lines, i))
-    out = out.withColumn("n_lines", F.coalesce(F.greatest(F.size(lines), F.lit(0)), F.lit(0)).cast("long")).withColumn("n_dropped", F.coalesce(F.size("__gone"), F.lit(0)).cast("long"))
-    out = out.withColumn("n_dropped", F.greatest("n_dropped", F.lit(0).cast("long")))
+    out = out.withColumn("n_lines", F.coalesce(F.greatest(F.size(lines), F.lit(0)), F.lit(0)).cast("long")).withColumn("n_dropped", F.greatest(F.coalesce(F.size("__gone"), F.lit(0)), F.lit(0)).cast("long"))
     return out.withColumn(text, F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))).select(*[c for c in docs.columns if c not in ("n_lines", "n_dropped")], "n_lines", "n_dropped")

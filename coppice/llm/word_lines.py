@@ -2,8 +2,8 @@
 
 Two lines are near if the shorter has at least ``per`` words and their edit distance in words is at most a ``per``-th of
 its number. Each letter of a script written without spaces counts as a word. A word edit touches three trigrams at most, so lines
-within e edits share a trigram among the 3 e + 1 first of each, in any order that all tasks agree on. Here rare ones come
-first, by counts of a sample of the lines; the sample moves only the work, not the result.
+within e edits share a trigram among the 3 e + 1 first of each, in any order that all tasks agree on. Here those come
+first whose rarest word is rare, by counts of the word classes of all lines.
 
 The entries of a trigram are sorted by the lines' first places. A line asks the earliest lines of each of its entries
 first, and all other earlier ones only if those are not near: a group of m near copies does not make m * m pairs.
@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from . import chunks as C
 from .exchange import bitmap, bounds, in_bitmap, mixed, parts_for
-from .line_dedup import _identified, bag_distance, with_texts, within
-from .shared import stored
+from .line_dedup import _identified, bag_distance, digests, with_texts, within
+from .shared import release, stored
 
 _BITS = 18
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -37,38 +37,46 @@ def words(lines: pa.Array) -> pa.Array:
     return pc.utf8_split_whitespace(pc.utf8_trim_whitespace(lines))
 
 
-def _grams(lines: pa.Array, per: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Which lines have ``per`` words, their numbers of words and bags, and row and trigram of each trigram; equal ones of a line are told apart."""
+def _hashes(lists: pa.Array) -> np.ndarray:
+    index, distinct = C.coded(lists.flatten())
+    return np.array([xxhash.xxh64_intdigest(x) for x in distinct.to_pylist()], np.uint64)[index] if len(index) else np.zeros(0, np.uint64)
+
+
+def _class(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - _BITS)).astype(np.int64)
+
+
+def _grams(lines: pa.Array, per: int, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Which lines have ``per`` words, their numbers of words and bags, and of each trigram its row, hash and how often its rarest word's class occurs; equal ones of a line are told apart."""
     lists = words(lines)
     n = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     enough = n >= per
     lists, n = lists.filter(pa.array(enough)), n[enough]
-    index, distinct = C.coded(lists.flatten())
-    h = np.array([xxhash.xxh64_intdigest(x) for x in distinct.to_pylist()], np.uint64)[index] if len(index) else np.zeros(0, np.uint64)
+    h = _hashes(lists)
     row = np.repeat(np.arange(len(n)), n)
-    counts = np.bincount(row << 4 | (h & np.uint64(15)).astype(np.int64), minlength=16 * len(n)).reshape(len(n), 16).astype(np.uint64) & np.uint64(15)
-    bag = (counts << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=1, dtype=np.uint64)
+    bins = np.bincount(row << 4 | (h & np.uint64(15)).astype(np.int64), minlength=16 * len(n)).reshape(len(n), 16).astype(np.uint64) & np.uint64(15)
+    bag = (bins << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=1, dtype=np.uint64)
     at = np.flatnonzero(row[2:] == row[:-2]) if len(row) > 2 else np.zeros(0, np.int64)
+    often = counts[_class(h)]
+    often = np.minimum(np.minimum(often[at], often[at + 1]), often[at + 2])
     gram, row = mixed((h[at] * _ODD + h[at + 1]) * _ODD + h[at + 2]), row[at]
     order = np.lexsort((gram, row))
-    gram, row = gram[order], row[order]
+    gram, row, often = gram[order], row[order], often[order]
     new = np.ones(len(gram), bool)
     new[1:] = (gram[1:] != gram[:-1]) | (row[1:] != row[:-1])
     place = np.arange(len(gram))
     again = place - np.maximum.accumulate(np.where(new, place, 0))
-    return enough, n, bag, row, mixed(gram + again.astype(np.uint64) * _ODD)
+    return enough, n, bag, row, mixed(gram + again.astype(np.uint64) * _ODD), often
 
 
-def _counts(docs: DataFrame, per: int, min_bytes: int) -> np.ndarray:
-    """How often the trigrams of each of 2 ** 18 classes occur in an eighth of the lines."""
+def _counts(docs: DataFrame, min_bytes: int) -> np.ndarray:
+    """How often the words of each of 2 ** 18 classes occur in the lines of all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << _BITS, np.int64)
         for batch in batches:
             for _, texts in C.slices(batch, "text"):
-                distinct, ids, _, _ = _identified(texts, min_bytes)
-                gram = _grams(distinct.filter(pa.array(ids & 7 == 0)), per)[4]
-                total += np.bincount((gram >> np.uint64(64 - _BITS)).astype(np.int64), minlength=1 << _BITS)
+                total += np.bincount(_class(_hashes(words(_identified(texts, min_bytes)[0]))), minlength=1 << _BITS)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["class", "n"])
 
@@ -84,16 +92,16 @@ def _entries(per: int, min_bytes: int, parts: int, counts):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in C.slices(batch, "text"):
-                distinct, ids, index, at = _identified(texts, min_bytes)
+                distinct, ids, _, index, at = _identified(texts, min_bytes)
                 if not len(ids):
                     continue
                 keys = rows.column("key")
                 rank = pc.rank(keys, tiebreaker="dense").to_numpy()[at[:, 0]]
-                order = np.lexsort((at[:, 1], rank, index))
+                order = np.lexsort((at[:, 1], rows.column("row").to_numpy()[at[:, 0]], rank, index))
                 first = at[order[np.searchsorted(index[order], np.arange(len(ids)))]]
-                enough, n, bag, row, gram = _grams(distinct, per)
+                enough, n, bag, row, gram, often = _grams(distinct, per, counts.value)
                 ids, first = ids[enough], first[enough]
-                order = np.lexsort((gram, counts.value[(gram >> np.uint64(64 - _BITS)).astype(np.int64)], row))
+                order = np.lexsort((gram, often, row))
                 row, gram = row[order], gram[order]
                 rarest = np.arange(len(row)) - np.searchsorted(row, row) <= 3 * (n[row] // per)
                 row, gram = row[rarest], gram[rarest]
@@ -101,9 +109,9 @@ def _entries(per: int, min_bytes: int, parts: int, counts):
                 order = np.argsort(part, kind="stable")
                 part, row, gram = part[order], row[order], gram[order]
                 p, a, b = bounds(part)
-                blobs = [pa.array([x[i:j].tobytes() for i, j in zip(a, b, strict=True)], pa.binary()) for x in (gram, ids[row], bag[row], n[row].astype(np.uint32), first[row, 1].astype(np.int32))]
+                blobs = [pa.array([x[i:j].tobytes() for i, j in zip(a, b, strict=True)], pa.binary()) for x in (gram, ids[row], bag[row], n[row].astype(np.uint32), first[row, 1].astype(np.int32), rows.column("row").to_numpy()[first[row, 0]])]
                 lists = pa.ListArray.from_arrays(pa.array(np.append(a, len(row)).astype(np.int32)), keys.take(pa.array(first[row, 0])))
-                yield pa.RecordBatch.from_arrays([pa.array(p.astype(np.int32)), *blobs, lists], ["part", "grams", "lines", "bags", "words", "numbers", "keys"])
+                yield pa.RecordBatch.from_arrays([pa.array(p.astype(np.int32)), *blobs, lists], ["part", "grams", "lines", "bags", "words", "numbers", "rows", "keys"])
 
     return run
 
@@ -113,9 +121,10 @@ def _pairs(table: pa.Table, per: int, heads: int, asking: np.ndarray | None, bit
 
     In the first case a line paired with itself is one that has others to ask.
     """
-    gram, line, bag, n, number = (np.frombuffer(b"".join(table.column(c).to_pylist()), k) for c, k in (("grams", np.uint64), ("lines", np.int64), ("bags", np.uint64), ("words", np.uint32), ("numbers", np.int32)))
+    gram, line, bag, n, number, own_row = (np.frombuffer(b"".join(table.column(c).to_pylist()), k) for c, k in (("grams", np.uint64), ("lines", np.int64), ("bags", np.uint64), ("words", np.uint32), ("numbers", np.int32), ("rows", np.int64)))
     keys = pa.chunked_array([pc.list_flatten(table.column("keys").combine_chunks())]).combine_chunks()
-    place = pc.rank(keys, tiebreaker="dense").to_numpy().astype(np.int64) << 32 | number
+    place = np.empty(len(line), np.int64)
+    place[np.lexsort((number, own_row, pc.rank(keys, tiebreaker="dense").to_numpy()))] = np.arange(len(line))
     order = np.lexsort((place, line, gram))
     new = np.ones(len(order), bool)
     new[1:] = (gram[order[1:]] != gram[order[:-1]]) | (line[order[1:]] != line[order[:-1]])
@@ -146,12 +155,12 @@ def _pairs(table: pa.Table, per: int, heads: int, asking: np.ndarray | None, bit
 
 
 def late_lines(docs: DataFrame, per: int, min_bytes: int, heads: int = 3, bits: int = 26) -> DataFrame:
-    """line: ids of the lines that have an earlier near one. ``docs`` has key and text."""
+    """line, check: of the lines that have an earlier near one, stored. ``docs`` has key, row and text."""
     spark = docs.sparkSession
-    docs = docs.select("key", "text")
-    counts = spark.sparkContext.broadcast(_counts(docs, per, min_bytes))
+    docs = docs.select("key", "row", "text")
+    counts = spark.sparkContext.broadcast(_counts(docs, min_bytes))
     kind = docs.schema["key"].dataType.simpleString()
-    packed = docs.mapInArrow(_entries(per, min_bytes, parts_for(docs, 8), counts), f"part int, grams binary, lines binary, bags binary, words binary, numbers binary, keys array<{kind}>")
+    packed = docs.mapInArrow(_entries(per, min_bytes, parts_for(docs, 8), counts), f"part int, grams binary, lines binary, bags binary, words binary, numbers binary, rows binary, keys array<{kind}>")
 
     def pairs(asking, purpose: str) -> DataFrame:
         def match(table: pa.Table) -> pa.Table:
@@ -164,15 +173,24 @@ def late_lines(docs: DataFrame, per: int, min_bytes: int, heads: int = 3, bits:
         for batch in batches:
             x, y = (words(batch.column(c).cast(pa.string())).to_pylist() for c in "xy")
             yes = pa.array([within(v, w, min(len(v), len(w)) // per) for v, w in zip(x, y, strict=True)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(yes)], ["line"])
+            own = batch.filter(yes)
+            yield pa.RecordBatch.from_arrays([own.column("a"), pa.array(digests(own.column("x"))[1], pa.int64())], ["line", "check"])
 
     def near(found: DataFrame, purpose: str) -> DataFrame:
-        return stored(with_texts(docs.select("text"), found, min_bytes, bits).mapInArrow(verify, "line long").distinct(), purpose)
+        both, lines = with_texts(docs.select("text"), found, min_bytes, bits)
+        out = stored(both.mapInArrow(verify, "line long, check long").distinct(), purpose)
+        release(lines)
+        return out
 
     found = pairs(None, "word-pairs")
     late = near(found.where("a <> b"), "late")
     others = stored(found.where("a = b").select(F.col("a").alias("line")).join(late, "line", "left_anti"), "asking")
+    release(found)
     if others.isEmpty():
+        release(others)
         return late
     more = pairs(spark.sparkContext.broadcast(bitmap(others, "line", bits)), "more-pairs")
-    return late.union(near(more, "more-late")).distinct()
+    found = near(more, "more-late")
+    both = stored(late.union(found).distinct(), "late")
+    release(others, more, found, late)
+    return both
