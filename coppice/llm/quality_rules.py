@@ -37,11 +37,17 @@ def _found(c: Column, pattern: str) -> Column:
     return F.when(c.rlike(pattern), size(c) - size(F.regexp_replace(c, pattern, ""))).otherwise(0)
 
 
-def _repeated(words: Column) -> Column:
-    """Words that lie in 5-word windows found twice or more. Only texts with a repeated window pay for the sorting."""
-    n = F.size(words)
-    zipped = F.arrays_zip(*[F.slice(words, k + 1, F.greatest(n - 4, F.lit(1))).alias(f"w{k}") for k in range(5)])
-    return F.when(n < 5, F.array().cast("array<bigint>")).otherwise(F.transform(zipped, lambda x: F.xxhash64(x)))
+def _repeated(hashes: Column) -> Column:
+    """A hash of each 5-word window, made of the words' hashes, so that each word's letters are read once."""
+    n = F.size(hashes)
+    window = lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(5)])
+    return F.when(n < 5, F.array().cast("array<bigint>")).otherwise(F.transform(F.sequence(F.lit(0), F.greatest(n - 5, F.lit(0))), window))
+
+
+def _without_blanks(c: Column) -> Column:
+    for x in " \t\n\x0b\x0c\r":
+        c = F.replace(c, F.lit(x), F.lit(""))
+    return c
 
 
 def features(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
@@ -50,8 +56,9 @@ def features(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     d = docs.select(F.col(key).alias("key"), F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"), t.alias("t"))
     inner = F.btrim("t", F.lit(" \t\n\x0b\x0c\r"))
     d = d.withColumn("words", F.when(inner != "", F.split(inner, _GAP)).otherwise(F.array().cast("array<string>")))
-    d = d.withColumn("windows", _repeated(F.col("words")))
-    d = d.withColumn("lines", F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
+    d = d.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    d = d.withColumn("windows", _repeated(F.col("hashes")))
+    d = d.withColumn("lines", F.filter(F.split("t", "\n"), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) != ""))
     every = sorted({w for ws in COMMON_WORDS.values() for w in ws})
     # The common words of a text as one string: counting one of them is then a byte search.
     seen = F.filter("words", lambda w: F.lower(w).isin(every))
@@ -63,7 +70,7 @@ def features(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     d = d.withColumn("twice", twice)
     covered = F.aggregate(F.transform("twice", lambda i, k: F.when(k + 1 < F.size("twice"), F.least(F.lit(5), F.get("twice", k + 1) - i)).otherwise(5)), F.lit(0).cast("long"), lambda a, x: a + x)
     n_chars = F.length("t")
-    d = d.withColumns({k: _found(F.col("t"), p) for k, p in CLASSES.items()}).withColumn("word_chars", F.length(F.regexp_replace("t", _GAP, "")))
+    d = d.withColumns({k: _found(F.col("t"), p) for k, p in CLASSES.items()}).withColumn("word_chars", F.length(_without_blanks(F.col("t"))))
     classes = F.array(*[F.col(k).cast("double") for k in CLASSES], (n_chars - F.col("word_chars")).cast("double"), F.greatest(F.lit(0), F.col("word_chars") - sum(F.col(k) for k in CLASSES if k != "loud")).cast("double"))
     listed = F.create_map(*[x for k, ws in COMMON_WORDS.items() for x in (F.lit(k), F.array(*map(F.lit, ws)))])
     common = F.transform(F.get(F.filter(F.array(F.element_at(listed, F.col("lang"))), lambda x: x.isNotNull()), F.lit(0)), lambda w: ((F.octet_length("seen") - F.octet_length(F.replace("seen", F.concat(F.lit(" "), w, F.lit(" ")), F.lit("")))) / (F.octet_length(w) + 2)).cast("double"))
@@ -93,7 +100,7 @@ def js_distance(p: Column, q: Column) -> Column:
         return F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
 
     d = F.aggregate(F.zip_with(p, q, lambda x, y: (term(x, y) + term(y, x)) / 2), F.lit(0.0), lambda s, x: s + x)
-    return F.sqrt(F.greatest(d, F.lit(0.0)))
+    return F.sqrt(F.when(d < 0, 0.0).otherwise(d))  # null without a reference
 
 
 def judge(
