@@ -74,6 +74,41 @@ def _sums(v: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.diff(np.concatenate(([0.0], np.cumsum(v)))[off])
 
 
+@dataclass(frozen=True)
+class Sample:
+    """Rated texts as sparse rows over ``width`` columns: row offsets, columns, values, grades and the weight of each row."""
+
+    off: np.ndarray
+    column: np.ndarray
+    x: np.ndarray
+    grades: np.ndarray
+    weight: np.ndarray
+    width: int
+    n_grades: int
+
+
+def unpack(free: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and ordered thresholds of the free parameters: the first threshold and the logarithms of the steps to the next ones."""
+    return free[:width], free[width] + np.concatenate(([0.0], np.cumsum(np.exp(free[width + 1 :]))))
+
+
+def objective(free: np.ndarray, d: Sample, ridge: float) -> tuple[float, np.ndarray]:
+    """Mean weighted negative log likelihood with a ridge penalty on the weights, and its gradient."""
+    w, cuts = unpack(free, d.width)
+    grades, last, m = d.grades, d.n_grades - 1, len(d.grades)
+    s = _sums(w[d.column] * d.x, d.off)
+    lo_k, hi_k = np.maximum(grades - 1, 0), np.minimum(grades, last - 1)
+    hi = np.where(grades < last, _sigmoid(cuts[hi_k] - s), 1.0)
+    lo = np.where(grades > 0, _sigmoid(cuts[lo_k] - s), 0.0)
+    p = (hi - lo).clip(1e-9)
+    g_s = d.weight * (1 - hi - lo)  # d(-log likelihood) / d score
+    row = np.repeat(np.arange(m), np.diff(d.off))
+    g_w = np.bincount(d.column, g_s[row] * d.x, d.width) / m + ridge * w
+    by_cut = np.bincount(hi_k, np.where(grades < last, -d.weight * hi * (1 - hi) / p, 0), last) + np.bincount(lo_k, np.where(grades > 0, d.weight * lo * (1 - lo) / p, 0), last)
+    later = np.cumsum(by_cut[::-1])[::-1] / m
+    return float(-(d.weight * np.log(p)).sum() / m + ridge * (w * w).sum() / 2), np.concatenate([g_w, later[:1], later[1:] * np.diff(cuts)])
+
+
 def fit(off: np.ndarray, buckets: np.ndarray, values: np.ndarray, grades: np.ndarray, least_documents: int = 5, ridge: float = 1e-3, rounds: int = 250, rate: float = 0.08) -> Model:
     """Maximum likelihood with a ridge penalty, by Adam over the whole sample; grades weigh by the root of their rarity."""
     n_grades = int(grades.max()) + 1
@@ -82,29 +117,19 @@ def fit(off: np.ndarray, buckets: np.ndarray, values: np.ndarray, grades: np.nda
     mask = keep[column]
     to = np.cumsum(keep) - 1
     row = np.repeat(np.arange(len(grades)), np.diff(off))[mask]
-    column, x, used = to[column[mask]], values[mask], used[keep]
-    off = np.searchsorted(row, np.arange(len(grades) + 1))
     weight = 1 / np.sqrt(np.bincount(grades, minlength=n_grades).clip(1))[grades]
     weight *= len(grades) / weight.sum()
-    w, cuts = np.zeros(len(used)), np.log(np.arange(1, n_grades) / (n_grades - np.arange(1, n_grades)))
-    free = np.concatenate([w, cuts[:1], np.log(np.diff(cuts).clip(1e-3))])
+    used = used[keep]
+    d = Sample(np.searchsorted(row, np.arange(len(grades) + 1)), to[column[mask]], values[mask], grades, weight, len(used), n_grades)
+    cuts = np.log(np.arange(1, n_grades) / (n_grades - np.arange(1, n_grades)))
+    free = np.concatenate([np.zeros(len(used)), cuts[:1], np.log(np.diff(cuts).clip(1e-3))])
     m1, m2 = np.zeros_like(free), np.zeros_like(free)
-    lo_k, hi_k = np.maximum(grades - 1, 0), np.minimum(grades, n_grades - 2)
     for t in range(1, rounds + 1):
-        w, first, steps = free[: len(used)], free[len(used)], np.exp(free[len(used) + 1 :])
-        cuts = first + np.concatenate(([0.0], np.cumsum(steps)))
-        s = _sums(w[column] * x, off)
-        hi = np.where(grades < n_grades - 1, _sigmoid(cuts[hi_k] - s), 1.0)
-        lo = np.where(grades > 0, _sigmoid(cuts[lo_k] - s), 0.0)
-        p = (hi - lo).clip(1e-9)
-        g_s = weight * (1 - hi - lo)  # d(-log likelihood) / d score
-        g_w = np.bincount(column, g_s[row] * x, len(used)) / len(grades) + ridge * w
-        by_cut = np.bincount(hi_k, np.where(grades < n_grades - 1, -weight * hi * (1 - hi) / p, 0), n_grades - 1) + np.bincount(lo_k, np.where(grades > 0, weight * lo * (1 - lo) / p, 0), n_grades - 1)
-        later = np.cumsum(by_cut[::-1])[::-1] / len(grades)
-        g = np.concatenate([g_w, later[:1], later[1:] * steps])
+        g = objective(free, d, ridge)[1]
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
         free = free - rate * (m1 / (1 - 0.9**t)) / (np.sqrt(m2 / (1 - 0.999**t)) + 1e-8)
-    return Model(used, free[: len(used)], free[len(used)] + np.concatenate(([0.0], np.cumsum(np.exp(free[len(used) + 1 :])))))
+    w, cuts = unpack(free, len(used))
+    return Model(used, w, cuts)
 
 
 def train(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str = "text", grade: str = "grade", max_labelled: int = 6000) -> Model | None:
@@ -139,7 +164,8 @@ def score(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str =
     """One row per row of ``docs``: key, expected_grade, tail_probability (of ``least_grade`` or more), kept.
 
     Null and empty texts have score 0, as a text of unknown words has. Without a model the two figures are null and
-    all rows are kept. Repeated rows and null keys stay; other columns are not read; an empty table gives no rows.
+    all rows are kept. Repeated rows and null keys stay; other columns are not read, whatever their names; texts of any
+    length are read whole; an empty table gives no rows.
     """
     rows = numbered(docs, text).select(F.col(key).alias("key"), "text")
     if model is None:
@@ -160,7 +186,10 @@ def score(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str =
 
 
 def select(docs: DataFrame, model: Model | None, text: str = "text", least_grade: int = 2, least_tail: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that ``score`` would keep; nothing is shuffled."""
+    """The rows of ``docs``, with all their columns, that ``score`` would keep; nothing is shuffled.
+
+    Repeated rows and null keys are judged by their texts like all others.
+    """
     if model is None:
         return docs
     shipped = docs.sparkSession.sparkContext.broadcast(model)
