@@ -1,10 +1,11 @@
 """Main text of web pages by the maximum-scoring subsequence of words and tags.
 
 A page is read as a row of tokens. Each word scores 1; each tag scores below zero, with weights from labelled pages:
-the log ratio of how often a tag stands inside and outside their main text. Words in containers that announce
-themselves as boilerplate (by tag, class, id or role) score -0.1 and their tags 0, so that a form or an advert inside an
-article does not split it. One linear scan finds the contiguous region with the
-largest sum; its words outside such containers are the text.
+the log ratio of how often a tag stands inside and outside their main text. Containers that announce themselves as
+boilerplate (by tag, by a whole class, id or role name, or by a class that labelled pages have outside their main text
+only) score 0 with all that they hold, so that a form or an advert inside an article does not split it. They end where
+HTML ends them, also without an end tag. One linear scan finds the contiguous region with the largest sum; its words
+outside such containers are the text.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import html as _html
 import math
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,66 +22,137 @@ from pyspark.sql import functions as F
 
 from .shared import numbered
 
-#: HTML's void, raw-text and inline elements, the other elements that pages use, and boilerplate containers.
+#: HTML's void, raw-text and inline elements, the other elements that pages use, elements that a start tag ends, and what bounds that.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 OTHER = frozenset("address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup html legend li main menu nav noscript object ol optgroup option p picture pre search section select summary svg table tbody td template tfoot th thead tr ul video audio".split())
+_BLOCKS = "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul"
+ENDS = {x: frozenset(["p"]) for x in _BLOCKS.split()} | {
+    "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "option": frozenset(["option"]), "optgroup": frozenset(["option", "optgroup"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]),
+    "tr": frozenset(["tr"]), "tbody": frozenset(["thead", "tbody"]), "tfoot": frozenset(["thead", "tbody"]), "body": frozenset(["head"]),
+}
+BOUNDS = frozenset("button table td th caption object template html ul ol menu dl select".split())
+CONTENT = frozenset(["article", "main"])
+#: Containers of boilerplate, names that announce one, names that say nothing beside those, and names of a state.
 BOILERPLATE_TAGS = frozenset("head nav footer aside form script style noscript iframe template svg select button menu dialog title textarea object search noembed noframes xmp".split())
 BOILERPLATE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner banners sponsor sponsored promo promotion sidebar menu nav navbar navigation breadcrumb breadcrumbs footer cookie cookies consent notice notices popup modal overlay comment comments respond reply replies disqus share sharing social related recommended newsletter subscribe subscription widget masthead pager pagination toolbar topbar contentinfo complementary search dialog alert login signup header".split()
 )
 
+NEUTRAL_WORDS = frozenset("site page main top bottom left right global primary secondary list section area box wrapper wrap container block bar slot unit inner outer links item items row col column content fixed sticky mobile desktop".split())
+ENDING_WORDS = frozenset("ad ads advert adverts advertisement sponsored sidebar comments breadcrumbs newsletter disqus pagination navigation".split())
+STATE_WORDS = frozenset("has have no not with without is show hide js".split())
+
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
 
-def _announces(name: str, attributes: str) -> bool:
-    if name in BOILERPLATE_TAGS:
-        return True
-    for found in _NAMES.findall(attributes) if "=" in attributes else ():
-        for value in found:
-            if value and not BOILERPLATE_WORDS.isdisjoint(re.split("[^a-z]+", re.sub("([a-z])([A-Z])", r"\1 \2", value).lower())):
-                return True
-    return False
+def announces(name: str) -> bool:
+    """Whether a whole class, id or role name is that of boilerplate: a known word, alone or with words that say nothing; or a name that ends in a sure one."""
+    parts = [x for x in re.split("[^a-z0-9]+", re.sub("([a-z])([A-Z])", r"\1 \2", name).lower()) if x and not x.isdigit()]
+    if not parts or parts[0] in STATE_WORDS:
+        return False
+    known = [x in BOILERPLATE_WORDS for x in parts]
+    return any(known) and all(k or x in NEUTRAL_WORDS for k, x in zip(known, parts, strict=True)) or parts[-1] in ENDING_WORDS
+
 
+def names_of(attributes: str) -> list[str]:
+    """The names in class, id and role."""
+    return [x for found in _NAMES.findall(attributes) for value in found for x in value.split()] if "=" in attributes else []
 
-def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
-    """(tag, "", masked) for tags, ("/tag", "", masked) for end tags, ("", text, masked) for text."""
-    at, mask, depth, content, inside = 0, "", 0, 0, 0
+
+def tokens(page: str) -> list[tuple[str, str]]:
+    """(tag, its attributes), ("/tag", "") and ("", text), in order. Comments and declarations are left out."""
+    out: list[tuple[str, str]] = []
+    at = 0
     while True:
         m = _TOKEN.search(page, at)
         text = page[at : m.start() if m else len(page)]
         if text:
-            yield "", text, bool(mask)
+            out.append(("", text))
         if not m:
-            return
+            return out
         at = m.end()
         name = (m[2] or m[5] or "").lower()
         if not name:
             continue
         if m[1] or m[4]:
-            yield "/" + name, "", bool(mask)
-            if name in ("article", "main"):
-                content = max(0, content - 1)
-            if name == mask:
-                depth -= 1
-                if not depth:
-                    mask = ""
+            out.append(("/" + name, ""))
             continue
-        attributes = m[3] or m[6] or ""
-        if name in ("article", "main"):
-            content += 1
-            if mask and not inside:  # an unclosed container before the main text ends here
-                mask, depth = "", 0
-        if mask:
-            depth += name == mask and name not in VOID
-        elif name not in VOID and (_announces(name, attributes) and not (name in ("article", "main", "body", "html"))) or (name == "header" and not content):
-            mask, depth, inside = name, 1, content
-        yield name, "", bool(mask)  # a container's own tags count as masked
+        out.append((name, m[3] or m[6] or ""))
         if name in RAW:  # no markup inside
             end = re.compile(f"</{name}(?=[\\s/>]|\\Z)", re.I).search(page, at)
-            at = end.start() if end else len(page)
+            to = end.start() if end else len(page)
+            if to > at:
+                out.append(("", page[at:to]))
+            at = to
+
+
+def ends(row: list[tuple[str, str]]) -> tuple[list[int], list[bool], list[bool]]:
+    """For each start tag where its element ends, whether by its own end tag, and whether it lies in an article or main element."""
+    close, shut, within = [len(row)] * len(row), [False] * len(row), [False] * len(row)
+    stack: list[int] = []
+    open_: dict[str, int] = {}
+
+    def cut(d: int, i: int) -> None:
+        for k in stack[d:]:
+            close[k] = i
+            open_[row[k][0]] -= 1
+        del stack[d:]
+
+    for i, (tag, _) in enumerate(row):
+        if not tag:
+            continue
+        if tag[0] == "/":
+            name = tag[1:]
+            if open_.get(name):
+                d = next(d for d in range(len(stack) - 1, -1, -1) if row[stack[d]][0] == name)
+                shut[stack[d]] = True
+                cut(d, i)
+            continue
+        gone = ENDS.get(tag, ())
+        if any(open_.get(x) for x in gone):
+            for d in range(len(stack) - 1, -1, -1):
+                name = row[stack[d]][0]
+                if name in gone:
+                    cut(d, i)
+                    break
+                if name in BOUNDS:
+                    break
+        within[i] = any(open_.get(x) for x in CONTENT)
+        if tag not in VOID:
+            stack.append(i)
+            open_[tag] = open_.get(tag, 0) + 1
+    return close, shut, within
+
+
+def masked(row: list[tuple[str, str]], learned: frozenset[str] = frozenset()) -> list[bool]:
+    """Which tokens belong to boilerplate containers, their own tags included.
+
+    An unclosed container ends where an article or main element begins. A container that holds all such elements of
+    the page is none.
+    """
+    close, shut, within = ends(row)
+    content = [i for i, (tag, _) in enumerate(row) if tag in CONTENT]
+    spans = []
+    for i, (tag, attributes) in enumerate(row):
+        if not tag or tag[0] == "/" or tag in VOID or tag in CONTENT or tag in ("html", "body"):
+            continue
+        if tag in BOILERPLATE_TAGS or (tag == "header" and not within[i]) or (tag not in INLINE and any(announces(x) or x in learned for x in names_of(attributes))):
+            to = close[i] + (shut[i] and close[i] < len(row))
+            if not shut[i] and tag not in ("p", "li"):
+                to = next((j for j in content if i < j < to), to)
+            spans.append((i, to))
+    if content:
+        spans = [(a, b) for a, b in spans if not all(a < j < b for j in content)] if any(all(a < j < b for j in content) for a, b in spans) else spans
+    out, at = [False] * len(row), 0
+    for a, b in spans:
+        a = max(a, at)
+        if b > a:
+            out[a:b] = [True] * (b - a)
+            at = b
+    return out
 
 
 def kind(tag: str) -> str:
@@ -91,52 +164,88 @@ def kind(tag: str) -> str:
 UNSEEN, UNSEEN_INLINE = -2.0, -0.1
 
 
-def weights(pages: DataFrame, html: str = "html") -> dict[str, float]:
-    """Tag weights from the labelled pages: those with one ``article`` or ``main`` element, which is their main text.
+@dataclass(frozen=True)
+class Learned:
+    """What labelled pages say: the score of each tag, and classes that stand outside main texts."""
 
-    The counts cover all rows; what is collected is bounded by HTML's element names. No labelled pages: no weights.
+    weight: dict[str, float] = field(default_factory=dict)
+    classes: frozenset[str] = frozenset()
+
+
+def learn(pages: DataFrame, html: str = "html", least: int = 20, share: float = 0.02, most: int = 4096) -> Learned:
+    """From the labelled pages, those with one ``article`` or ``main`` element, which is their main text.
+
+    The counts cover all rows. Tags are bounded by HTML's element names; of the classes that at least ``least`` block
+    elements outside main texts have, and at most the ``share`` of that inside, the ``most`` commonest are kept. No
+    labelled pages: nothing is learned.
     """
+    names = ["sort", "name", "out", "within"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, list[int]] = {}
+        seen: dict[tuple[str, str], list[int]] = {}
+
+        def told() -> pa.RecordBatch:
+            columns = [[k[0] for k in seen], [k[1] for k in seen], [v[0] for v in seen.values()], [v[1] for v in seen.values()]]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64()), strict=True)], names)
+
         for batch in batches:
             for page in batch.column("text").to_pylist():
-                row = [(kind(t), masked) for t, _, masked in tokens(page) if t]
-                ends = [i for i, (t, _) in enumerate(row) if t in ("article", "main")]
-                if len(ends) != 1:
+                row = tokens(page)
+                own = [i for i, (t, _) in enumerate(row) if t in CONTENT]
+                if len(own) != 1:
                     continue
-                last = next((i for i in range(len(row) - 1, -1, -1) if row[i][0] == "/" + row[ends[0]][0]), len(row))
-                for i, (t, masked) in enumerate(row):
-                    if i not in (ends[0], last):
-                        seen.setdefault(t, [0, 0])[ends[0] < i < last and not masked] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array([v[0] for v in seen.values()], pa.int64()), pa.array([v[1] for v in seen.values()], pa.int64())], ["tag", "out", "within"])
+                first, close, hidden = own[0], ends(row)[0], masked(row)
+                for i, (tag, attributes) in enumerate(row):
+                    if not tag or i in (first, close[first]):
+                        continue
+                    inside = first < i < close[first] and not hidden[i]
+                    seen.setdefault(("tag", kind(tag)), [0, 0])[inside] += 1
+                    if "=" in attributes and tag not in INLINE and not (i < first < close[i]):
+                        for x in set(names_of(attributes)):
+                            seen.setdefault(("class", x), [0, 0])[first < i < close[first]] += 1
+                if len(seen) > 100_000:
+                    yield told()
+                    seen.clear()
+        yield told()
 
-    rows = numbered(pages, html).select("text").mapInArrow(count, "tag string, out long, within long").groupBy("tag").agg(F.sum("out").alias("out"), F.sum("within").alias("within")).collect()
-    out, within = sum(r["out"] for r in rows) + 1, sum(r["within"] for r in rows) + 1
-    return {r.tag: min(-0.1, math.log((r.within + 0.5) / within) - math.log((r.out + 0.5) / out)) for r in rows}
+    rows = numbered(pages, html).select("text").mapInArrow(count, "sort string, name string, out long, within long").groupBy("sort", "name").agg(F.sum("out").alias("out"), F.sum("within").alias("within"))
+    tags = rows.where("sort = 'tag'").collect()
+    classes = rows.where((F.col("sort") == "class") & (F.col("out") >= least) & (F.col("within") <= share * F.col("out"))).orderBy(F.desc("out"), "name").limit(most).collect()
+    out, within = sum(r["out"] for r in tags) + 1, sum(r["within"] for r in tags) + 1
+    weight = {r["name"]: min(-0.1, math.log((r["within"] + 0.5) / within) - math.log((r["out"] + 0.5) / out)) for r in tags}
+    return Learned(weight, frozenset(r["name"] for r in classes))
 
 
-def main_text(page: str, weight: dict[str, float]) -> str:
-    """The region with the largest sum, the first of equal ones; its blocks joined by one space."""
+def best_region(scores: list[float]) -> tuple[int, int]:
+    """Start and end of the contiguous region with the largest sum above zero, the first one found; (0, 0) if there is none."""
+    total, best, start, found = 0.0, 0.0, 0, (0, 0)
+    for i, score in enumerate(scores):
+        if total <= 0:
+            total, start = 0.0, i
+        total += score
+        if total > best:
+            best, found = total, (start, i + 1)
+    return found
+
+
+def main_text(page: str, learned: Learned) -> str:
+    """The words of the best region outside boilerplate; its blocks joined by one space."""
     parts: list[str] = []
-    total, best = 0.0, 0.0
-    start, found = 0, (0, 0)
-    for tag, text, masked in tokens(page):
+    scores: list[float] = []
+    row = tokens(page)
+    for (tag, text), hidden in zip(row, masked(row, learned.classes), strict=True):
         if tag:
             inline = tag.lstrip("/") in INLINE
-            score = 0.0 if masked else weight.get(kind(tag), UNSEEN_INLINE if inline else UNSEEN)
+            scores.append(0.0 if hidden else learned.weight.get(kind(tag), UNSEEN_INLINE if inline else UNSEEN))
             parts.append("" if inline else " ")
+        elif hidden:
+            scores.append(0.0)
+            parts.append(" ")
         else:
             text = _html.unescape(text)
-            n = len(text.split())
-            score = -0.1 * n if masked else float(n)
-            parts.append(" " if masked else text)
-        if total <= 0:
-            total, start = 0.0, len(parts) - 1
-        total += score
-        if total > best:
-            best, found = total, (start, len(parts))
-    return " ".join("".join(parts[slice(*found)]).split())
+            scores.append(float(len(text.split())))
+            parts.append(text)
+    return " ".join("".join(parts[slice(*best_region(scores))]).split())
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -146,11 +255,11 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     other columns are not read, whatever their names; an empty table gives no rows. Pages of any length are read whole.
     """
     spark = pages.sparkSession
-    table = spark.sparkContext.broadcast(weights(pages, html))
+    shipped = spark.sparkContext.broadcast(learn(pages, html))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(p, table.value) for p in batch.column("text").to_pylist()]
+            texts = [main_text(p, shipped.value) for p in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [key, url, "text", "n_chars"])
 
     kind_of = pages.schema[key].dataType.simpleString()

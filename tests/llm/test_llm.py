@@ -97,14 +97,115 @@ def test_quality_rules_verdict(spark):
     assert all(got[i] for i in range(60)) and not any(got[i] for i in range(60, 65))
 
 
-def test_html():
-    from coppice.llm.html_extract import main_text
+def test_quality_rules_distances(spark):
+    from coppice.llm.quality_rules import CLASSES, COMMON_WORDS, judge
+
+    rnd = random.Random(13)
+    words = {"en": "the of and to house River green 7 x! on, walking".split(), "fr": "de la les maison Vert 9 marche, pour qui et !".split()}
+    rows = [(i, k, " ".join(rnd.choice(words[k]) for _ in range(rnd.randrange(25, 90)))) for i, k in enumerate(["en", "fr"] * 45)]
+    rows += [(200, "en", " ".join("#|X" + str(rnd.random()) for _ in range(60))), (201, "en", " ".join(rnd.choice(words["fr"]) for _ in range(80))), (202, None, rows[0][2]), (203, "xx", rows[0][2]), (204, "en", "the of and"), (205, "en", None)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string").selectExpr("*", "true AS kept", "0 AS n_words", "'q' AS classes")
+
+    def histograms(lang, text):
+        w = text.split()
+        found = [len(re.findall(p.replace(r"\p{Lu}", "[A-Z]"), text)) for p in CLASSES.values()]
+        chars = sum(map(len, w))
+        loud = list(CLASSES).index("loud")
+        cl = [*found, len(text) - chars, max(0, chars - sum(c for k, c in enumerate(found) if k != loud))]
+        listed = COMMON_WORDS.get(lang)
+        co = None if listed is None else [sum(x.lower() == c for x in w) for c in listed]
+        return cl, None if co is None else [*co, len(w) - sum(co)]
+
+    def shares(a):
+        return None if a is None else [(x + 0.5) / (sum(a) + 0.5 * len(a)) for x in a]
+
+    def distance(p, q):
+        term = lambda x, y: x * np.log2(x / ((x + y) / 2)) if x > 0 else 0.0
+        return np.sqrt(max(0.0, sum((term(x, y) + term(y, x)) / 2 for x, y in zip(p, q, strict=True))))
+
+    own = {i: (k or "", t or "", *map(shares, histograms(k, t or ""))) for i, k, t in rows}
+    refs = {}
+    for lang in {k for k, *_ in own.values()}:
+        good = [o for o in own.values() if o[0] == lang and len(o[1].split()) >= 30 and not brute_rules(o[1])[-1]]
+        if len(good) >= 20:
+            refs[lang] = np.mean([o[2] for o in good], axis=0), np.mean([o[3] for o in good], axis=0)
+    assert set(refs) == {"en", "fr"}
+    verdicts = set()
+    for r in judge(df).collect():
+        lang, text, cl, co = own[r.doc_id]
+        n, failed = brute_rules(text)[0], brute_rules(text)[-1]
+        a = distance(cl, refs[lang][0]) if lang in refs and n >= 30 else None
+        b = distance(co, refs[lang][1]) if lang in refs and n >= 30 else None
+        assert (r.class_distance is None, r.word_distance is None) == (a is None, b is None), (r, lang, n)
+        assert a is None or abs(a - r.class_distance) < 1e-9 and abs(b - r.word_distance) < 1e-9
+        noise = 1 / np.sqrt(max(n, 1))
+        assert r.kept == (not failed and not (a is not None and (a > 0.16 + 0.8 * noise or b > 0.20 + 1.0 * noise)))
+        verdicts.add((r.kept, failed))
+    assert verdicts == {(True, False), (False, False), (False, True)}
+
+
+def html_text(page, weight=None, classes=()):
+    from coppice.llm.html_extract import Learned, main_text
+
+    return main_text(page, Learned(weight or {k: -0.1 for x in ("p", "h1", "br", "b", "div", "article", "section") for k in (x, "/" + x)} | {"li": -9.0, "/li": -9.0}, frozenset(classes)))
+
 
-    w = {"p": -0.1, "/p": -0.1, "h1": -0.1, "/h1": -0.1, "br": -0.1, "b": -0.1, "li": -9.0, "/li": -9.0}
+def test_html():
     page = '<html><head><title>T</title><script>var x="</p>";</script></head><body><nav><ul><li><a>Menu</a></li></ul></nav><!-- no --><div class="ad">Buy this now</div><article><h1>A &amp; B</h1><p><b>bold<br>text  with\n blanks<form>Name</form><p>ca<i>f</i>&eacute;</p><section id="comments"><p>first!</p></section></article><aside>side</aside><footer>&copy; end</footer></body></html>'
-    assert main_text(page, w) == "A & B bold text with blanks café"
-    assert main_text("", w) == "" and main_text("<nav>only menu</nav>", w) == "" and main_text("plain words", w) == "plain words"
-    assert main_text("<article><p>cut off here &am", w) == "cut off here &am"
+    assert html_text(page) == "A & B bold text with blanks café"
+    assert html_text("") == "" and html_text("<nav>only menu</nav>") == "" and html_text("plain words") == "plain words"
+    assert html_text("<article><p>cut off here &am") == "cut off here &am"
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ('<article><p class="notice">Hi<p>Main text<p>More</article>', "Main text More"),
+        ('<body><div class="site has-sidebar"><article><p>The text is here</p></article></div></body>', "The text is here"),
+        ('<article><div class="social-history"><p>A chapter on unions</p></div></article>', "A chapter on unions"),
+        ('<article><div class="post-header"><h1>The title</h1></div><p>and the text</p></article>', "The title and the text"),
+        ('<article><p>See the <a class="search">links</a> for more</p></article>', "See the links for more"),
+        (f'<article><p>{"first half " * 40}</p><div class="related">{"other things " * 150}</div><p>{"second half " * 40}</p></article>', ("first half " * 40 + "second half " * 40).strip()),
+        ('<div class="ad">Buy <article><p>unclosed before</p></article>', "unclosed before"),
+        ('<aside><article><p>one teaser of the many</p></article></aside><main><p>text</p></main>', "text"),
+        ('<div class="sidebar"><main><p>odd names happen</p></main></div>', "odd names happen"),
+        ('<ul><li class="ad">Buy<li>first words<li>second</ul>', "first words"),
+        ('<div class="post-comments"><p>first!</p></div><div class="site-header">Logo</div><p>the words that count</p>', "the words that count"),
+    ],
+)
+def test_html_containers(page, want):
+    assert html_text(page) == want
+
+
+def test_html_best_region():
+    from coppice.llm.html_extract import best_region
+
+    rnd = random.Random(17)
+    for _ in range(2000):
+        scores = [rnd.choice([0.0, 1.0, 3.0, -0.5, -2.0, -4.0]) for _ in range(rnd.randrange(14))]
+        a, b = best_region(scores)
+        sums = [sum(scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)]
+        assert sum(scores[a:b]) == max([0.0, *sums])
+
+
+def test_html_learns_classes(spark):
+    from coppice.llm.html_extract import extract, learn
+
+    page = '<body><div class="wrap"><div class="zz9">Odd box of words</div><article class="zz1"><div class="zz2">The main text of it</div></article><div class="zz2">tail</div></div></body>'
+    pages = spark.createDataFrame([(i, "u", page) for i in range(30)] + [(99, "u", '<div class="zz9">Odd box of very many words here</div><p>Main words')], "page_id long, url string, html string")
+    found = learn(pages)
+    assert found.classes == {"zz9"} and all(w <= -0.1 for w in found.weight.values())
+    assert {r.page_id: r.text for r in extract(pages).collect()}[99] == "Main words"
+    assert learn(pages.where("false")).classes == frozenset()
+
+
+def test_html_long_and_deep_pages(spark):
+    from coppice.llm.html_extract import extract
+
+    long = "<article>" + "<p>word " * 40_000 + "</article>"
+    deep = "<div>" * 20_000 + "deep words" + "</div>" * 20_000
+    pages = spark.createDataFrame([(1, "u", long), (2, "u", deep)], "page_id long, url string, html string").selectExpr("*", "'x' AS n_chars", "1 AS key")
+    assert {r.page_id: r.n_chars for r in extract(pages).collect()} == {1: 40_000 * 5 - 1, 2: 10}
 
 
 def test_html_rows(spark):
@@ -178,6 +279,42 @@ def test_ordinal(spark, docs):
     assert train(d, d.where("grade = 1").select("doc_id", "grade")) is None
 
 
+def test_ordinal_likelihood_and_gradient():
+    from coppice.llm.ordinal import Sample, objective, unpack
+
+    rng = np.random.default_rng(3)
+    for n_grades in (2, 3, 5):
+        rows = [np.sort(rng.choice(6, rng.integers(0, 5), replace=False)) for _ in range(40)]
+        x, grades, weight = [rng.normal(size=len(r)) for r in rows], rng.integers(0, n_grades, 40), rng.uniform(0.5, 2, 40)
+        d = Sample(np.concatenate(([0], np.cumsum([len(r) for r in rows]))), np.concatenate(rows).astype(int), np.concatenate(x), grades, weight, 6, n_grades)
+        free = rng.normal(size=6 + n_grades - 1)
+        w, cuts = unpack(free, 6)
+        assert all(np.diff(cuts) > 0)
+        loss = 0.0
+        for r, v, g, u in zip(rows, x, grades, weight, strict=True):  # P(grade <= k) = 1 / (1 + exp(score - cut_k))
+            s = sum(w[j] * y for j, y in zip(r, v, strict=True))
+            up = [0.0, *(1 / (1 + np.exp(s - c)) for c in cuts), 1.0]
+            loss -= u * np.log(up[g + 1] - up[g])
+        value, gradient = objective(free, d, 0.01)
+        assert abs(value - (loss / 40 + 0.005 * (w * w).sum())) < 1e-9
+        for j in range(len(free)):
+            step = np.zeros(len(free))
+            step[j] = 1e-6
+            assert abs((objective(free + step, d, 0.01)[0] - objective(free - step, d, 0.01)[0]) / 2e-6 - gradient[j]) < 1e-6
+
+
+def test_ordinal_odd_rows(spark):
+    from coppice.llm.ordinal import Model, score, select
+
+    m = Model(np.zeros(0, np.int64), np.zeros(0), np.array([-1.0, 0.5]))
+    rows = [(1, None, 0.0, True), (1, None, 0.0, True), (None, "", 1.0, False), (2, "word " * 200_000, 2.0, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, expected_grade double, kept boolean")
+    got = score(df, m).collect()
+    assert sorted(r.doc_id or 0 for r in got) == [0, 1, 1, 2] and {round(r.expected_grade, 9) for r in got} == {round(1 / (1 + np.exp(-1.0)) + 1 / (1 + np.exp(0.5)), 9)}
+    assert not any(r.kept for r in got) and select(df, m).count() == 0 and select(df, m, least_tail=0.3).count() == 4
+    assert score(df.where("false"), m).count() == 0
+
+
 def test_multi_index(spark):
     from coppice.llm.multi_index import search
 
@@ -328,6 +465,27 @@ def test_line_dedup(spark):
     assert dedup_lines(df.where("false")).count() == 0
 
 
+def test_line_dedup_repeated_keys(spark):
+    from coppice.llm.line_dedup import dedup_lines
+
+    line = "The one line that all of them have, long enough."
+    u1, u2 = "First line that nobody else has, long enough too.", "Second line, unlike all other ones in this table."
+    rows = [(0, line), (1, f"{line}\n{u1}"), (1, u2), (3, u2 + " x" * 9), (3, u2 + " x" * 9), (None, line), (4, None), (4, "")]
+    for per in (None, 10):
+        got = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), words_per_edit=per).collect()
+        assert collections.Counter((r.doc_id, r.text, r.n_dropped) for r in got) == collections.Counter([(0, line, 0), (1, u1, 1), (1, u2, 0), (3, rows[3][1], 0), (3, "", 1), (None, line, 0), (4, None, 0), (4, "", 0)])
+
+
+def test_line_dedup_long_texts(spark):
+    from coppice.llm.line_dedup import dedup_lines
+
+    rnd = random.Random(21)
+    lines = ["".join(rnd.choice("abcdefgh ") for _ in range(60)) for _ in range(4000)]
+    texts = ["\n".join(lines), "x" * 300_000, "\n".join([*lines[:10], "one more line that stands in this text alone"]), "y" + "x" * 300_000]
+    got = {r.doc_id: r for r in dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert (got[0].text, got[1].text) == (texts[0], texts[1]) and (got[2].text, got[2].n_dropped) == ("one more line that stands in this text alone", 10) and got[3].n_dropped == 1
+
+
 def test_line_dedup_short_repeats(spark, tmp_path):
     import corpus_pipeline
 
@@ -405,6 +563,63 @@ def test_packing_puts_neighbours_together():
     assert [{p[0] for p in pieces if p[3] == w} for w in (0, 1)] == [{0, 2}, {1, 3}]
 
 
+def test_packing_ranks_by_bm25():
+    from coppice.llm.packing import Bm25
+
+    rnd = random.Random(23)
+    docs = [[rnd.randrange(40) for _ in range(rnd.randrange(1, 30))] for _ in range(50)]
+    off = np.concatenate(([0], np.cumsum([len(d) for d in docs])))
+    df = np.bincount([t for d in docs for t in set(d)], minlength=40) + 3  # of more documents than these
+    for every, count, mean in ((None, 50, float(np.mean([len(d) for d in docs]))), (df, 200, 20.0)):
+        index = Bm25(np.concatenate(docs), off, every, count, mean)
+        own = df - 3 if every is None else df
+        used = np.zeros(50, bool)
+        used[[3, 7]] = True
+        for seed in range(50):
+            def score(d):
+                total = 0.0
+                for t in set(docs[seed]) & set(docs[d]):
+                    tf = docs[d].count(t)
+                    total += np.log1p((count - own[t] + 0.5) / (own[t] + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(docs[d]) / mean))
+                return total
+
+            want = sorted((-round(score(d), 9), d) for d in range(50) if d != seed and not used[d] and score(d) > 0)
+            seeded = used.copy()
+            seeded[seed] = True
+            found, more = index.neighbours(seed, seeded, None, 64)
+            assert not more and [d for _, d in want] == found
+            assert index.neighbours(seed, seeded, None, 5) == ([d for _, d in want][:5], len(want) > 5)
+
+
+def test_packing_asks_until_the_window_is_full():
+    from coppice.llm.packing import Bm25, fill
+
+    # 300 short texts share one word with the seed: more than one answer holds. They all come before the stranger.
+    ids = [np.array([1, 2])] + [np.array([9, 9])] * 2 + [np.array([1, 5])] * 300
+    off = np.concatenate(([0], np.cumsum([len(x) for x in ids])))
+    pieces = fill([len(x) for x in ids], Bm25(np.concatenate(ids), off), 602, terms=1)
+    assert {p[0] for p in pieces if p[3] == 0} == {0, *range(3, 303)} and {p[0] for p in pieces if p[3] == 1} == {1, 2}
+
+
+def test_packing_keeps_separators_and_repeated_rows(spark):
+    from tokenizers import Tokenizer
+
+    from coppice.llm.packing import pack
+
+    path = P.path("word_bpe_49k.json")
+    t, rnd = Tokenizer.from_file(path), random.Random(29)
+    parts = ["\x1c", "\x1d", "\x0b", "\x85", "\xa0", "\u2003", "s", "it's,", "Word.", "(a)", "naïve", "É", "日本", " ", "\n", "<|endoftext|>", "9,9", "İ", "!"]
+    texts = ["\x1c\x0bs", *("".join(rnd.choice(parts) for _ in range(rnd.randrange(9))) for _ in range(400))]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)] * 2 + [(None, "a b")], "doc_id long, text string").selectExpr("*", "1 AS place", "'z' AS salt", "2 AS ids", "3 AS df")
+    got = collections.Counter()
+    for r in pack(df, path).collect():
+        got[r.doc_id] += r.length
+        if r.doc_id is not None and r.start == 0 and r.length == r.doc_tokens:
+            ids = np.array([*t.encode(texts[r.doc_id], add_special_tokens=False).ids, 1], "<u4")
+            assert r.ids_crc32 == zlib.crc32(ids.tobytes())
+    assert got == collections.Counter({i: 2 * (len(t.encode(x, add_special_tokens=False).ids) + 1) for i, x in enumerate(texts)} | {None: 3})
+
+
 def test_chunks():
     from coppice.llm import chunks as C
 
@@ -434,3 +649,62 @@ def test_pipeline_null_and_repeated_keys(spark):
     assert collections.Counter((r.doc_id, r.text) for r in kept.collect()) == collections.Counter(rows[:1] + rows[3:8])
     left = corpus_pipeline.near_duplicates(spark, df, "")
     assert collections.Counter((r.doc_id, r.text) for r in left.collect()) == collections.Counter([(1, a), (2, "spam " * 80), (4, b), (None, None), (None, "")])
+
+
+def test_pipeline_stages_by_brute_force(spark, tmp_path):
+    import corpus_pipeline
+    from coppice.llm.ordinal import ratings, score, train
+
+    rnd = random.Random(31)
+    words = [f"w{k}" for k in range(600)]
+    text = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    toxic = lambda: " ".join(rnd.choice(["idiot", "scum", *words[:30]]) for _ in range(60))
+    shared = [text(14) + "." for _ in range(6)] + ["All rights reserved."]
+    clean = ["\n".join([text(50), *rnd.sample(shared, rnd.randrange(3)), text(40)]) for _ in range(70)]
+    near = [" ".join(c.split()[:-2]) for c in clean[:8]]
+    edited = ["\n".join([text(60), shared[0].replace(" ", " plus ", 1)]) for _ in range(3)]
+    rows = [(i, c) for i, c in enumerate([*clean, *near, *edited, clean[5], clean[5]])] + [(200 + i, toxic()) for i in range(25)] + [(3, text(70)), (None, text(60)), (None, clean[9]), (300, None), (301, ""), (302, "spam " * 90)]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t or ""), 7, True) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long, n_words int, kept boolean")
+    spark.createDataFrame([(k, 1, int(k >= 200)) for k in [*range(60), *range(200, 215)]], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    count = lambda d: collections.Counter((r.doc_id, r.text) for r in d.collect())
+    held = lambda d: spark.createDataFrame(d.collect(), d.schema).coalesce(1)
+
+    kept = held(corpus_pipeline.quality_rules(spark, docs, str(tmp_path)))
+    assert kept.columns == docs.columns
+    want = collections.Counter((k, t) for k, t in rows if t and not brute_rules(t)[-1])
+    assert count(kept) == want and (302, rows[-1][1]) not in want
+
+    graded = held(corpus_pipeline.quality_classifier(spark, kept, str(tmp_path)))
+    model = train(kept, ratings(spark.read.parquet(f"{tmp_path}/labels.parquet")))
+    yes = collections.Counter(r.doc_id for r in score(kept, model).where("kept").collect())
+    assert collections.Counter(r.doc_id for r in graded.collect()) == yes
+    assert not any(k is not None and 215 <= k < 300 for k in yes) and set(range(60, 70)) <= set(yes)  # labels of none of these were seen
+
+    cut = held(corpus_pipeline.line_dedup(spark, graded, str(tmp_path)))
+    lev_words = lambda x, y: lev(x.split(), y.split())
+    numbered = sorted(((r.doc_id, n, r.text) for n, r in enumerate(graded.collect()) if r.doc_id is not None), key=lambda x: x[:2])
+    seen, out = [], collections.Counter()
+    for k, _, t in numbered:
+        left = []
+        for x in t.split("\n"):
+            m = min(len(x.split()), 10**9)
+            close = lambda y: x == y or min(len(x.encode()), len(y.encode())) >= 32 and (abs(len(x) - len(y)) <= 2 and lev(x.encode(), y.encode()) <= 2 or min(m, len(y.split())) >= 10 and abs(m - len(y.split())) <= min(m, len(y.split())) // 10 and lev_words(x, y) <= min(m, len(y.split())) // 10)  # noqa: B023, E731
+            if not any(close(y) for y in seen):
+                left.append(x)
+            seen.append(x)
+        if left:
+            out[k, "\n".join(left)] += 1
+    out.update((None, r.text) for r in graded.collect() if r.doc_id is None)
+    assert count(cut) == out and all(r.n_chars == len(r.text) for r in cut.collect())
+
+    final = corpus_pipeline.near_duplicates(spark, cut, str(tmp_path))
+    rows_left = [(r.doc_id, r.text) for r in cut.collect()]
+    comp = brute_components(dict(enumerate(t for _, t in rows_left)))
+    groups = collections.defaultdict(list)
+    for i, (k, t) in enumerate(rows_left):
+        groups[comp[i][1]].append((k is None, k or 0, i))
+    assert count(final) == collections.Counter(rows_left[min(g)[2]] for g in groups.values())
+    pieces = corpus_pipeline.packing(spark, final, str(tmp_path))
+    assert {r.doc_id for r in pieces.collect()} == {r.doc_id for r in final.collect()}
+    empty = docs.where("false")
+    assert all(stage(spark, empty, str(tmp_path)).count() == 0 for _, stage in corpus_pipeline.STAGES)
