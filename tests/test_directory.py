@@ -254,6 +254,8 @@ def test_files_and_documents(spark, tmp_path):
     assert [c["tag"] for c in read("parser-fixtures.json")["cases"]] == [1002] and read("parser-fixtures.json")["cases"][0]["replacement"] == 1000
     context = read("context.jsonld")
     assert context["utd"] == NS and context["altLabel"] == "skos:altLabel" and len(context) == 55
+    assert len(read("graph.jsonld")["@graph"]) == 45 and len(list((tmp_path / "x" / "elements").iterdir())) == 10
+    assert (tmp_path / "x" / "graph-00000.ttl").read_text().startswith("@prefix utd:")
     terms = {r.term: r.iri for r in context_terms(spark, f"{out}/x/context.yamlld").collect()}
     assert terms == context
     text = (tmp_path / "x" / "context.yamlld").read_text()
@@ -309,6 +311,15 @@ def test_console(spark, tmp_path, capsys):
     (tmp_path / "words.xhtml").write_text(WORDS, encoding="utf-8")
     assert cli.main(["extract", "--words", f"{tmp_path}/words.xhtml", "--out", f"{tmp_path}/new"], spark) == 0
     assert "change tags: cn=1 cr=1 x=1" in capsys.readouterr().out and elements(spark, f"{tmp_path}/new/elements").count() == 3
+    (tmp_path / "s.xml").write_text(SEGMENTS, encoding="utf-8")
+    (tmp_path / "c.xml").write_text(CODES, encoding="utf-8")
+    (tmp_path / "lists").mkdir()
+    (tmp_path / "lists" / "3035.txt").write_text(LIST, encoding="utf-8")
+    for command, mirror in (("links", "s.xml"), ("coverage", "c.xml"), ("references", "lists"), ("crosscheck", "s.xml")):
+        assert cli.main([command, "--data", str(tmp_path), "--mirror", f"{tmp_path}/{mirror}", "--out", f"{tmp_path}/derived", "--source", "src"], spark) == 0
+    derived = lambda n: (tmp_path / "derived" / n).read_text()
+    assert json.loads(derived("links.json"))["aligned"] == 2 and json.loads(derived("coverage.json"))["code_values"] == 1 and json.loads(derived("references.json"))["refs"] == 4
+    assert derived("crosscheck.txt").splitlines()[0] == "src"
     with pytest.raises(FileNotFoundError):
         resolve(None, "COPPICE_NOTHING", f"{tmp_path}/none")
 
