@@ -107,5 +107,5 @@ def code_references(name: Column, description: Column) -> Column:
     kinds = lambda a, k: F.transform(a, lambda x: F.struct(F.lit(k).alias("kind"), x.cast("int").alias("tag")))
     round_ = F.filter(F.regexp_extract_all(text, F.lit(r"\((\d{4})\)"), F.lit(1)), lambda x: x.cast("int") >= 1000)
     every = F.concat(kinds(F.array_compact(F.array(first)), "equals"), kinds(F.regexp_extract_all(text, F.lit(r"\[(\d{4})\]"), F.lit(1)), "related"), kinds(round_, "related"))
-    seen = F.transform(every, lambda x: x.tag)
-    return F.filter(every, lambda x, i: F.array_position(seen, x.tag) == i + 1)
+    own = lambda a: lambda seen: F.filter(a, lambda x, i: F.array_position(seen, x.tag) == i + 1)
+    return let(every, lambda a: let(F.transform(a, lambda x: x.tag), own(a)))
