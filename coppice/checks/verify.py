@@ -153,12 +153,19 @@ def verify(elements: DataFrame) -> DataFrame:
 
 
 def verify_source(elements: DataFrame, words: DataFrame, fresh: DataFrame | None = None, stored: DataFrame | None = None) -> DataFrame:
-    """All eight checks: those of ``verify``, and those that read the source's words again; regeneration if both file sets are given."""
+    """All eight checks: those of ``verify``, and those that read the source's words again; regeneration if both file sets are given.
+
+    The checks run here, one after the other, as they share one extraction; the result holds their eight rows.
+    """
     from ..operators.extraction import extract
     from ..operators.ordered import layout_lines
 
-    x = extract(words)
-    kept = layout_lines(words)
+    kept = layout_lines(words).persist()
+    x = extract(words).persist()
     order = x.rows.select("row_id.page", "row_id.n", "tag")
-    parts = [character_conservation(kept, x.cells, x.rows, elements), uid_reconciliation(kept, elements), tag_order(order), verify(elements)]
-    return reduce(DataFrame.unionByName, ([regeneration(fresh, stored)] if fresh is not None and stored is not None else []) + parts)
+    parts = [regeneration(fresh, stored)] if fresh is not None and stored is not None else []
+    parts += [character_conservation(kept, x.cells, x.rows, elements), uid_reconciliation(kept, elements), tag_order(order), retired_references(elements), bridge_zones(elements), tails_report(elements), endings_report(elements)]
+    told = [tuple(p.first()) for p in parts]
+    x.unpersist()
+    kept.unpersist()
+    return words.sparkSession.createDataFrame(told, "check string, status string, detail string")

@@ -67,6 +67,16 @@ class Extraction:
     elements: DataFrame
     reviews: DataFrame
 
+    def persist(self) -> Extraction:
+        """Keeps the tables that several readers share; lost blocks are computed again."""
+        for d in (self.cells, self.rows, self.elements):
+            d.persist()
+        return self
+
+    def unpersist(self) -> None:
+        for d in (self.elements, self.rows, self.cells):
+            d.unpersist()
+
 
 def extract(words: DataFrame) -> Extraction:
     """Elements with ``row_id``, and the review queue, of words (page, word_no, text, x, y). A row with an unknown change tag makes no element."""
