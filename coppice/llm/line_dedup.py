@@ -252,8 +252,11 @@ def _candidates(table: pa.Table, k: int, step: int = 1 << 20) -> Iterator[tuple[
         at = to
 
 
-def with_texts(docs: DataFrame, pairs: DataFrame, min_bytes: int, bits: int) -> tuple[DataFrame, DataFrame]:
-    """``pairs`` of ids a, b of lines of ``docs``, and the lines' bytes x, y; and the stored lines. Only texts of lines in ``pairs`` are shuffled."""
+def with_texts(docs: DataFrame, pairs: DataFrame, min_bytes: int, bits: int, at_once: int = 2000) -> tuple[DataFrame, DataFrame]:
+    """``pairs`` of ids a, b of lines of ``docs``, and the lines' bytes x, y; and the stored lines. Only texts of lines in ``pairs`` are shuffled.
+
+    The pairs end in so many tasks that one has about ``at_once``: verifying costs far more than their bytes say.
+    """
     spark = docs.sparkSession
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct()
     hits = spark.sparkContext.broadcast(bitmap(wanted, "line", bits))
@@ -267,7 +270,8 @@ def with_texts(docs: DataFrame, pairs: DataFrame, min_bytes: int, bits: int) ->
 
     lines = docs.select("text").mapInArrow(fetch, "line long, bytes binary").join(wanted, "line", "left_semi").groupBy("line").agg(F.min("bytes").alias("bytes"))
     lines = stored(lines, "lines")
-    return pairs.join(lines.select(F.col("line").alias("a"), F.col("bytes").alias("x")), "a").join(lines.select(F.col("line").alias("b"), F.col("bytes").alias("y")), "b"), lines
+    both = pairs.join(lines.select(F.col("line").alias("b"), F.col("bytes").alias("y")), "b").repartition(max(1, -(-pairs.count() // at_once)), "a")
+    return both.join(lines.select(F.col("line").alias("a"), F.col("bytes").alias("x")), "a"), lines
 
 
 def near_lines(docs: DataFrame, max_edits: int, min_bytes: int, bits: int = 26) -> DataFrame:

@@ -6,7 +6,9 @@ within e edits share a trigram among the 3 e + 1 first of each, in any order tha
 first whose rarest word is rare, by counts of the word classes of all lines.
 
 The entries of a trigram are sorted by the lines' first places. A line asks the earliest lines of each of its entries
-first, and all other earlier ones only if those are not near: a group of m near copies does not make m * m pairs.
+first, and all other earlier ones only if those are not near: a group of m near copies does not make m * m pairs. In
+that second round only the entries of crowded trigrams travel, each with finer counts of the line's words, so that
+lines that are a little too far from each other are told apart before they become pairs.
 """
 
 from __future__ import annotations
@@ -46,8 +48,26 @@ def _class(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - _BITS)).astype(np.int64)
 
 
-def _grams(lines: pa.Array, per: int, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Which lines have ``per`` words, their numbers of words and bags, and of each trigram its row, hash and how often its rarest word's class occurs; equal ones of a line are told apart."""
+def fine_bags(h: np.ndarray, off: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Of some rows: 256 counts modulo 4, two bits each, of their words by eight bits of the hash."""
+    n = np.diff(off)[rows]
+    at = np.repeat(off[:-1][rows] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    bins = ((h[at] >> np.uint64(8)) & np.uint64(255)).astype(np.int64)
+    counts = (np.bincount(np.repeat(np.arange(len(rows)), n) << 8 | bins, minlength=256 * len(rows)) & 3).astype(np.uint8)
+    return (counts.reshape(-1, 64, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=2, dtype=np.uint8).view(np.uint64)
+
+
+_HIGH, _LOW = np.uint64(0xAAAAAAAAAAAAAAAA), np.uint64(0x5555555555555555)
+
+
+def fine_distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sum of the circular differences of the counts: a word edit adds two at most. All counts of a word are subtracted at once."""
+    z = ((x | _HIGH) - (y & _LOW)) ^ ((x ^ ~y) & _HIGH)
+    return np.bitwise_count(z & _LOW).sum(axis=1, dtype=np.int64) + 2 * np.bitwise_count(z >> np.uint64(1) & ~z & _LOW).sum(axis=1, dtype=np.int64)
+
+
+def _grams(lines: pa.Array, per: int, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Which lines have ``per`` words, their numbers of words and bags; of each trigram its row, hash and how often its rarest word's class occurs, equal ones of a line told apart; the hashes of all words."""
     lists = words(lines)
     n = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     enough = n >= per
@@ -66,7 +86,7 @@ def _grams(lines: pa.Array, per: int, counts: np.ndarray) -> tuple[np.ndarray, n
     new[1:] = (gram[1:] != gram[:-1]) | (row[1:] != row[:-1])
     place = np.arange(len(gram))
     again = place - np.maximum.accumulate(np.where(new, place, 0))
-    return enough, n, bag, row, mixed(gram + again.astype(np.uint64) * _ODD), often
+    return enough, n, bag, row, mixed(gram + again.astype(np.uint64) * _ODD), often, h
 
 
 def _counts(docs: DataFrame, min_bytes: int) -> np.ndarray:
@@ -86,8 +106,8 @@ def _counts(docs: DataFrame, min_bytes: int) -> np.ndarray:
     return out
 
 
-def _entries(per: int, min_bytes: int, parts: int, counts):
-    """Packed (trigram, line, bag, number of words, line number, key) of the 3 e + 1 rarest trigrams of each distinct line of a batch."""
+def _entries(per: int, min_bytes: int, parts: int, counts, crowded=None, bits: int = 0):
+    """Packed (trigram, line, bag, number of words, line number, key) of the 3 e + 1 rarest trigrams of each distinct line of a batch; with a bitmap of ``crowded`` trigrams, of those alone, and with finer bags."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,27 +119,37 @@ def _entries(per: int, min_bytes: int, parts: int, counts):
                 rank = pc.rank(keys, tiebreaker="dense").to_numpy()[at[:, 0]]
                 order = np.lexsort((at[:, 1], rows.column("row").to_numpy()[at[:, 0]], rank, index))
                 first = at[order[np.searchsorted(index[order], np.arange(len(ids)))]]
-                enough, n, bag, row, gram, often = _grams(distinct, per, counts.value)
+                enough, n, bag, row, gram, often, h = _grams(distinct, per, counts.value)
                 ids, first = ids[enough], first[enough]
                 order = np.lexsort((gram, often, row))
                 row, gram = row[order], gram[order]
                 rarest = np.arange(len(row)) - np.searchsorted(row, row) <= 3 * (n[row] // per)
                 row, gram = row[rarest], gram[rarest]
+                if crowded is not None:
+                    met = in_bitmap(gram.view(np.int64), crowded.value, bits)
+                    row, gram = row[met], gram[met]
+                if not len(row):
+                    continue
                 part = (gram % np.uint64(parts)).astype(np.int32)
                 order = np.argsort(part, kind="stable")
                 part, row, gram = part[order], row[order], gram[order]
                 p, a, b = bounds(part)
-                blobs = [pa.array([x[i:j].tobytes() for i, j in zip(a, b, strict=True)], pa.binary()) for x in (gram, ids[row], bag[row], n[row].astype(np.uint32), first[row, 1].astype(np.int32), rows.column("row").to_numpy()[first[row, 0]])]
+                fine = np.zeros((len(row), 0), np.uint64)
+                if crowded is not None:
+                    own, to = np.unique(row, return_inverse=True)
+                    fine = fine_bags(h, np.concatenate(([0], np.cumsum(n))), own)[to]
+                columns = (gram, ids[row], bag[row], n[row].astype(np.uint32), first[row, 1].astype(np.int32), rows.column("row").to_numpy()[first[row, 0]], fine)
+                blobs = [pa.array([x[i:j].tobytes() for i, j in zip(a, b, strict=True)], pa.binary()) for x in columns]
                 lists = pa.ListArray.from_arrays(pa.array(np.append(a, len(row)).astype(np.int32)), keys.take(pa.array(first[row, 0])))
-                yield pa.RecordBatch.from_arrays([pa.array(p.astype(np.int32)), *blobs, lists], ["part", "grams", "lines", "bags", "words", "numbers", "rows", "keys"])
+                yield pa.RecordBatch.from_arrays([pa.array(p.astype(np.int32)), *blobs, lists], ["part", "grams", "lines", "bags", "words", "numbers", "rows", "fine", "keys"])
 
     return run
 
 
-def _pairs(table: pa.Table, per: int, heads: int, asking: np.ndarray | None, bits: int, step: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _pairs(table: pa.Table, per: int, heads: int, asking: np.ndarray | None, bits: int, step: int = 1 << 19) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Later and earlier line of each pair to be compared: with the first ``heads`` of an entry, or, for the lines ``asking``, with the others.
 
-    In the first case a line paired with itself is one that has others to ask.
+    In the first case a line paired with itself is one that has others to ask, and a last item holds the crowded trigrams.
     """
     gram, line, bag, n, number, own_row = (np.frombuffer(b"".join(table.column(c).to_pylist()), k) for c, k in (("grams", np.uint64), ("lines", np.int64), ("bags", np.uint64), ("words", np.uint32), ("numbers", np.int32), ("rows", np.int64)))
     keys = pa.chunked_array([pc.list_flatten(table.column("keys").combine_chunks())]).combine_chunks()
@@ -132,12 +162,14 @@ def _pairs(table: pa.Table, per: int, heads: int, asking: np.ndarray | None, bit
     order = order[np.lexsort((place[order], gram[order]))]
     gram, line, bag, n = gram[order], line[order], bag[order], n[order].astype(np.int64)
     pos = np.arange(len(gram)) - np.searchsorted(gram, gram)
+    fine = None
     if asking is None:
         count, lo = np.minimum(pos, heads), 0
         more = np.unique(line[pos > heads])
         yield more, more
     else:
         count, lo = np.where(in_bitmap(line, asking, bits), np.maximum(pos - heads, 0), 0), heads
+        fine = np.frombuffer(b"".join(table.column("fine").to_pylist()), np.uint64).reshape(-1, 8)[order]
     some = np.flatnonzero(count)
     total, at = np.cumsum(count[some]), 0
     while at < len(some):  # in steps, so that a crowded trigram does not fill the memory
@@ -149,9 +181,15 @@ def _pairs(table: pa.Table, per: int, heads: int, asking: np.ndarray | None, bit
         good = np.abs(n[i] - n[j]) <= e
         i, j, e = i[good], j[good], e[good]
         good = bag_distance(bag[i], bag[j]) <= 2 * e
-        pairs = np.unique(np.stack([line[i[good]], line[j[good]]], axis=1), axis=0)
+        i, j, e = i[good], j[good], e[good]
+        if fine is not None:
+            good = np.concatenate([np.zeros(0, bool), *(fine_distance(fine[i[k : k + 65536]], fine[j[k : k + 65536]]) <= 2 * e[k : k + 65536] for k in range(0, len(i), 65536))])
+            i, j = i[good], j[good]
+        pairs = np.unique(np.stack([line[i], line[j]], axis=1), axis=0)
         yield pairs[:, 0], pairs[:, 1]
         at = to
+    if asking is None:
+        yield np.unique(gram[pos > heads]).view(np.int64), np.zeros(0, np.int64)
 
 
 def late_lines(docs: DataFrame, per: int, min_bytes: int, heads: int = 3, bits: int = 26) -> DataFrame:
@@ -160,14 +198,21 @@ def late_lines(docs: DataFrame, per: int, min_bytes: int, heads: int = 3, bits:
     docs = docs.select("key", "row", "text")
     counts = spark.sparkContext.broadcast(_counts(docs, min_bytes))
     kind = docs.schema["key"].dataType.simpleString()
-    packed = docs.mapInArrow(_entries(per, min_bytes, parts_for(docs, 8), counts), f"part int, grams binary, lines binary, bags binary, words binary, numbers binary, rows binary, keys array<{kind}>")
+    parts = parts_for(docs, 8)
+
+    def packed(crowded=None) -> DataFrame:
+        return docs.mapInArrow(_entries(per, min_bytes, parts, counts, crowded, bits), f"part int, grams binary, lines binary, bags binary, words binary, numbers binary, rows binary, fine binary, keys array<{kind}>")
+
+    def pairs(entries: DataFrame, asking, purpose: str) -> DataFrame:
+        """a, b: pairs; with b null, a is a crowded trigram."""
 
-    def pairs(asking, purpose: str) -> DataFrame:
         def match(table: pa.Table) -> pa.Table:
             found = list(_pairs(table, per, heads, asking.value if asking else None, bits))
-            return pa.table({c: pa.array(np.concatenate([x[i] for x in found]) if found else np.zeros(0, np.int64), pa.int64()) for i, c in enumerate("ab")})
+            a = np.concatenate([np.zeros(0, np.int64), *(x for x, _ in found)])
+            b = pa.concat_arrays([pa.array([], pa.int64()), *(pa.array(y, pa.int64()) if len(x) == len(y) else pa.nulls(len(x), pa.int64()) for x, y in found)])
+            return pa.table({"a": pa.array(a, pa.int64()), "b": b})
 
-        return stored(packed.groupBy("part").applyInArrow(match, "a long, b long").distinct(), purpose)
+        return stored(entries.groupBy("part").applyInArrow(match, "a long, b long").distinct(), purpose)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,14 +227,15 @@ def late_lines(docs: DataFrame, per: int, min_bytes: int, heads: int = 3, bits:
         release(lines)
         return out
 
-    found = pairs(None, "word-pairs")
+    found = pairs(packed(), None, "word-pairs")
     late = near(found.where("a <> b"), "late")
     others = stored(found.where("a = b").select(F.col("a").alias("line")).join(late, "line", "left_anti"), "asking")
-    release(found)
     if others.isEmpty():
-        release(others)
+        release(others, found)
         return late
-    more = pairs(spark.sparkContext.broadcast(bitmap(others, "line", bits)), "more-pairs")
+    crowded = spark.sparkContext.broadcast(bitmap(found.where("b IS NULL"), "a", bits))
+    release(found)
+    more = pairs(packed(crowded), spark.sparkContext.broadcast(bitmap(others, "line", bits)), "more-pairs")
     found = near(more, "more-late")
     both = stored(late.union(found).distinct(), "late")
     release(others, more, found, late)

@@ -396,6 +396,23 @@ def test_jaccard(spark, frequent, block):
     assert join_components(df.where("false")).count() == 0
 
 
+def test_jaccard_large_group_and_string_keys(spark):
+    from coppice.llm.jaccard_join import join_components
+
+    rnd = random.Random(19)
+    base = [f"v{rnd.randrange(2000)}" for _ in range(60)]
+    texts = {0: "x " * 100_000, 1: None}
+    for i in range(2, 300):  # each links to the base alone, which is none of the first
+        own = list(base)
+        if i != 200:
+            own[rnd.randrange(60)] = f"n{i}"
+        texts[i] = " ".join(own)
+    texts |= {i: texts[7] for i in range(300, 320)}
+    df = spark.createDataFrame([(f"k{i:04d}", t) for i, t in texts.items()], "name string, text string").selectExpr("*", "1 AS part", "2 AS keys", "3 AS component_id")
+    got = {r.name: (r.n_shingles, r.component_id) for r in join_components(df, key="name").collect()}
+    assert got == {f"k{i:04d}": (n, f"k{c:04d}") for i, (n, c) in brute_components(texts).items()}
+
+
 def test_components(spark):
     from coppice.llm.components import components
 
@@ -495,6 +512,20 @@ def test_line_dedup_short_repeats(spark, tmp_path):
     assert got == {0: texts[0], 1: "second\n\n  ", 2: texts[2]}
 
 
+def test_word_bags_bound_the_distance():
+    from coppice.llm.word_lines import fine_bags, fine_distance
+
+    rng = np.random.default_rng(9)
+    rows = [rng.integers(0, 1 << 62, rng.integers(0, 60)).astype(np.uint64) for _ in range(60)]
+    rows += [np.delete(r, range(min(3, len(r)))) for r in rows] + [np.concatenate([r, r[:5], r[:5], r[:5]]) for r in rows]
+    off = np.concatenate(([0], np.cumsum([len(r) for r in rows])))
+    bags = fine_bags(np.concatenate(rows), off, np.arange(len(rows)))
+    for _ in range(2000):
+        i, j = rng.integers(0, len(rows), 2)
+        x, y = (np.bincount(((r >> np.uint64(8)) & np.uint64(255)).astype(int), minlength=256) % 4 for r in (rows[i], rows[j]))
+        assert fine_distance(bags[[i]], bags[[j]])[0] == np.minimum((x - y) % 4, (y - x) % 4).sum()
+
+
 def test_line_dedup_word_edits(spark):
     from coppice.llm.line_dedup import dedup_lines
 
