@@ -13,7 +13,9 @@ bitmap of word classes tells. So a key made of one rare shingle never has more t
    need no triples. Small sets (under 12 shingles, for which the count does not hold) use single keys of both classes;
    those up to 12 / t use all keys, so that sets on either side of the border meet.
 3. A packed exchange by key finds the sets that share one. Star-shaped edges about the first set of each key make
-   candidate families, so that a key with m sets costs m rows. Only now the full sets of those in a family are read.
+   candidate families, so that a key with m sets costs m rows. A map task makes the stars of its own batches itself and
+   sends one set for each key: a key that a third of all sets share arrives once a batch. Only now the full sets of
+   those in a family are read.
 4. Each set is verified against its family's first set. Those that link to it are connected
    already, so that only pairs with one of the others are left: families are cut into blocks, and each pair of blocks
    with such sets is verified exactly in one task, from an inverted index over its shingles. A task returns only a
@@ -145,6 +147,22 @@ def prefix_keys(s: np.ndarray, off: np.ndarray, often: np.ndarray, percent: int)
     return np.concatenate(keys), np.concatenate(of)
 
 
+def stars(k: np.ndarray, sid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from the sets of each key to the first of them, and which entries stand for their key."""
+    order = np.argsort(k)
+    twin = np.zeros(len(k), bool)
+    twin[1:] = k[order[1:]] == k[order[:-1]]
+    twin[:-1] |= twin[1:]
+    alone, order = order[~twin], order[twin]  # few keys have more than one set
+    order = order[np.lexsort((sid[order], k[order]))]
+    new = np.ones(len(order), bool)
+    new[1:] = k[order[1:]] != k[order[:-1]]
+    first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+    own, head = sid[order], sid[order[first]]
+    apart = own != head
+    return np.unique(np.stack([own[apart], head[apart]], axis=1), axis=0), np.concatenate([alone, order[new]])
+
+
 def rare_classes(docs: DataFrame, frequent: int) -> np.ndarray:
     """Which word classes occur at most ``frequent`` times, counted over all words of all documents."""
 
@@ -166,7 +184,7 @@ _ROW = ["part", "key", "n", "sid", "text_id", "keys", "sids", "counts"]
 
 
 def _entries(docs: DataFrame, words: int, percent: int, parts: int, rare) -> DataFrame:
-    """A row for each document (key, n, sid, text_id), and rows of packed keys of the distinct sets of each batch (keys, sids, counts); all dealt by part."""
+    """A row for each document (key, n, sid, text_id), rows of packed keys of the distinct sets of each batch (keys, sids, counts), and rows of edges within a batch (n = -1, sids); all dealt by part."""
     kind = docs.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,6 +203,10 @@ def _entries(docs: DataFrame, words: int, percent: int, parts: int, rare) -> Dat
                 k, row = k[keep[row]], row[keep[row]]
                 if not len(k):
                     continue
+                edges, own = stars(k, sid[row])
+                k, row = k[own], row[own]
+                if len(edges):
+                    yield pa.RecordBatch.from_arrays([pa.array([len(k) % parts], pa.int32()), *nulls(1, rows.column("key").type), pa.array([-1], pa.int64()), *nulls(1, *[pa.int64()] * 2, pa.binary()), pa.array([edges.tobytes()], pa.binary()), *nulls(1, pa.binary())], _ROW)
                 part = (k % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(row, kind="stable")
                 order = order[np.argsort(part[order].astype(np.uint16) if parts < 1 << 16 else part[order], kind="stable")]
@@ -207,24 +229,15 @@ def _met(entries: DataFrame) -> DataFrame:
 
     def find(table: pa.Table) -> pa.Table:
         packed = table.filter(pc.is_valid(table.column("keys")))
-        own = table.filter(pc.is_null(table.column("keys"))).select(_ROW[1:5])
-        read = lambda c, t: np.concatenate([np.zeros(0, t), *(np.frombuffer(x, t) for x in packed.column(c).to_pylist())])
-        six = read("keys", np.uint8).reshape(-1, 6)
+        own = table.filter(pc.is_null(table.column("sids"))).select(_ROW[1:5])
+        read = lambda t, c, kind: np.concatenate([np.zeros(0, kind), *(np.frombuffer(x, kind) for x in t.column(c).to_pylist())])
+        six = read(packed, "keys", np.uint8).reshape(-1, 6)
         k = np.zeros((len(six), 8), np.uint8)
         k[:, :6] = six
         k = k.view(np.uint64).ravel()
-        sid = np.repeat(read("sids", np.int64), read("counts", np.int32))
-        order = np.argsort(k)
-        k = k[order]
-        twin = np.zeros(len(k), bool)
-        twin[1:] = k[1:] == k[:-1]
-        twin[:-1] |= twin[1:]
-        k, sid = k[twin], sid[order[twin]]
-        order = np.lexsort((sid, k))
-        k, sid = k[order], sid[order]
-        _, a, b = bounds(k)
-        first = np.repeat(sid[a], b - a)
-        edges = np.unique(np.stack([sid, first], axis=1)[sid != first], axis=0)
+        sid = np.repeat(read(packed, "sids", np.int64), read(packed, "counts", np.int32))
+        known = read(table.filter(pc.equal(table.column("n"), -1)), "sids", np.int64).reshape(-1, 2)
+        edges = np.unique(np.concatenate([stars(k, sid)[0], known]), axis=0)
         m, e = len(own), len(edges)
         columns = [pa.concat_arrays([own.column(c).combine_chunks(), pa.nulls(e, own.schema.field(c).type)]) for c in _ROW[1:5]]
         columns += [pa.concat_arrays([pa.nulls(m, pa.int64()), pa.array(edges[:, x], pa.int64())]) for x in (0, 1)]
@@ -308,7 +321,7 @@ def _links(placed: DataFrame, percent: int, block: int) -> DataFrame:
     heads = placed.where("sid = component").select("component", F.col("n").alias("head_n"), F.col("shingles").alias("head"))
     common = F.size(F.array_intersect("shingles", "head"))
     near = (F.col("sid") == F.col("component")) | (100 * common >= percent * (F.col("n") + F.col("head_n") - common))
-    judged = stored(placed.join(heads, "component").select("sid", "component", near.alias("near")), "judged")
+    judged = stored(joined(placed, heads, "component").select("sid", "component", near.alias("near")), "judged")
     direct = judged.where("near AND sid <> component").select(F.col("sid").alias("a"), F.col("component").alias("b"))
 
     blocks = lambda c: F.ceil(F.count_if(c) / block).cast("int")
@@ -353,10 +366,11 @@ def join_components(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     release(found)
     # Each set's component, then the smallest key of all rows whose sets lie in it. The size tells sets apart whose ids collide.
     by_set = own.where("n > 0").groupBy("sid", "n").agg(F.min("key").alias("least"))
-    of_set = by_set.join(links.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("linked", F.col("component").isNotNull())
-    of_set = of_set.withColumn("component", F.struct(F.coalesce("component", "sid").alias("c"), F.when(~F.col("linked"), F.col("n")).alias("n")))
-    least = of_set.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_set = stored(of_set.join(least, "component").select("sid", "n", "component_id"), "least")
+    of_set = by_set.join(links.select(F.col("node").alias("sid"), "component"), "sid", "left")
+    of_set = of_set.select("sid", "n", "least", F.coalesce("component", "sid").alias("c"), F.when(F.col("component").isNull(), F.col("n")).alias("m"))
+    least = of_set.groupBy("c", "m").agg(F.min("least").alias("component_id"))
+    of_set = joined(of_set, least.withColumnRenamed("m", "__m"), "c").where(F.col("m").eqNullSafe(F.col("__m")))
+    of_set = stored(of_set.select("sid", "n", "component_id"), "least")
     release(links)
     out = own.join(of_set.withColumn("__sid", F.bitwise_not("sid")).select("__sid", F.col("n").alias("__n"), "component_id"), (F.bitwise_not("sid") == F.col("__sid")) & (F.col("n") == F.col("__n")), "left")
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "key")).otherwise(F.col("key")).alias("component_id"))

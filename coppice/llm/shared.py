@@ -40,7 +40,10 @@ BATCH_BYTES = 8 << 20
 
 
 def numbered(df: DataFrame, column: str) -> DataFrame:
-    """``df`` with ``column`` as text without nulls under the fixed name ``text``, in Arrow batches of bounded size."""
+    """``df`` with ``column`` as text without nulls under the fixed name ``text``, in Arrow batches of bounded size.
+
+    The bound is a setting of the session that plans read when they run, so it stays set.
+    """
     from pyspark.sql import functions as F
 
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
