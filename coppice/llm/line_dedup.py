@@ -8,6 +8,11 @@ and probes the index, for its own length and those up to max_edits below, with t
 rule leaves: for segment i, starts from both ends agree. Candidates whose byte counts alone need more edits go at once; the others
 are verified by banded bit-parallel edit distance.
 
+The entries of a key are sorted by the lines' first places, so that a line asks earlier ones only, and in rounds: of the
+candidates that a key gives it, a line asks the first few; if none is near, some more; then all others. A line that has
+an early near copy is settled in the first round, so m lines that are near each other cost m rows, not m * m. Later
+rounds send only the entries of keys that had more to give.
+
 Index and probe entries travel as packed blobs. Texts are shuffled only for lines with candidates, and once at the end
 to apply the decisions. Candidates are known by 64 bits of a hash, which verifying by bytes makes good; what is dropped
 is known by all its 128 bits.
@@ -16,7 +21,7 @@ is known by all its 128 bits.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -157,14 +162,21 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return _tables[base]
 
 
-def _entries(least: int, k: int, parts: int):
-    """Packed index and probe entries of the distinct lines of each batch."""
+def _first_places(rows: pa.RecordBatch, index: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Row of the batch and number of the first occurrence of each of ``n`` distinct lines, by key, row and number."""
+    rank = pc.rank(rows.column("key"), tiebreaker="dense").to_numpy()[at[:, 0]]
+    order = np.lexsort((at[:, 1], rows.column("row").to_numpy()[at[:, 0]], rank, index))
+    return at[order[np.searchsorted(index[order], np.arange(n))]]
+
+
+def _entries(least: int, k: int, parts: int, crowded=None, bits: int = 0):
+    """Packed index and probe entries of the distinct lines of each batch; with a bitmap of ``crowded`` keys, of those alone."""
     most = max(len(entries(n, k)) for n in range(4 * k + 4))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, texts in C.slices(batch, "text", 4 << 20):
-                distinct, ids, *_ = _identified(texts, least)
+            for rows, texts in C.slices(batch, "text"):
+                distinct, ids, _, index, at = _identified(texts, least)
                 if not len(ids):
                     continue
                 data, off = C.raw(C.plain(distinct))
@@ -181,23 +193,30 @@ def _entries(least: int, k: int, parts: int):
                     wanted[row, : len(own)] = own
                 keys, spans = wanted[:, :, 0] << 8 | wanted[:, :, 1], wanted[:, :, 2:]
                 salt = mixed(keys.astype(np.uint64).ravel()).reshape(keys.shape)
-                bag = bags(data, off)
-                found: list[list[np.ndarray]] = [[], [], [], []]
+                found: list[list[np.ndarray]] = [[], [], []]
                 for e in range(most):
                     start, size = spans[of, e, 0], spans[of, e, 1]
-                    has = size >= 0
-                    begin = (off[:-1] + start)[has]
-                    h = (sums[begin + size[has]] - sums[begin]) * back[begin]
-                    found[0].append(mixed(h ^ salt[of[has], e]))
-                    found[1].append(ids[has])
-                    found[2].append(np.full(int(has.sum()), e > k, np.int8))
-                    found[3].append(bag[has])
-                h, line, role, bag = map(np.concatenate, found)
+                    has = np.flatnonzero(size >= 0)
+                    begin = off[has] + start[has]
+                    h = mixed((sums[begin + size[has]] - sums[begin]) * back[begin] ^ salt[of[has], e])
+                    if crowded is not None:
+                        met = in_bitmap(h.view(np.int64), crowded.value, bits)
+                        h, has = h[met], has[met]
+                    found[0].append(h)
+                    found[1].append(has.astype(np.int32))
+                    found[2].append(np.full(len(has), e > k, np.int8))
+                h, line, role = map(np.concatenate, found)
+                if not len(h):
+                    continue
                 part = (h % np.uint64(parts)).astype(np.int32)
                 order = np.argsort(part << 1 | role, kind="stable")
-                part, h, line, role, bag = part[order], h[order], line[order], role[order], bag[order]
-                out = [(int(p), h[a:b].tobytes(), line[a:b].tobytes(), bag[a:b].tobytes(), int((role[a:b] == 0).sum())) for p, a, b in zip(*bounds(part), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int32()), strict=True)], ["part", "hashes", "lines", "bags", "indexed"])
+                part, h, line, role = part[order], h[order], line[order], role[order]
+                p, a, b = bounds(part)
+                first = _first_places(rows, index, at, len(ids))[line]
+                columns = (h, ids[line], bags(data, off)[line], role, first[:, 1].astype(np.int32), rows.column("row").to_numpy()[first[:, 0]])
+                blobs = [pa.array([x[i:j].tobytes() for i, j in zip(a, b, strict=True)], pa.binary()) for x in columns]
+                owners = pa.ListArray.from_arrays(pa.array(np.append(a, len(h)).astype(np.int32)), rows.column("key").take(pa.array(first[:, 0])))
+                yield pa.RecordBatch.from_arrays([pa.array(p), *blobs, owners], ["part", "hashes", "lines", "bags", "roles", "numbers", "rows", "keys"])
 
     return run
 
@@ -219,37 +238,56 @@ def bag_distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return total
 
 
-def _candidates(table: pa.Table, k: int, step: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of different lines of which one probes an entry of the other, within one part, and whose bags allow ``k`` edits."""
-    cut = table.column("indexed").to_pylist()
-
-    def side(probing: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        out = []
-        for c, kind in (("hashes", np.uint64), ("lines", np.int64), ("bags", np.uint64)):
-            out.append(np.concatenate([np.frombuffer(x, kind)[n:] if probing else np.frombuffer(x, kind)[:n] for x, n in zip(table.column(c).to_pylist(), cut, strict=True)]))
-        a, b, bag = out
-        order = np.lexsort((b, a))
-        a, b, bag = a[order], b[order], bag[order]
-        new = np.ones(len(a), bool)
-        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        return a[new], b[new], bag[new]
-
-    (kh, kl, kb), (ph, pl, pb) = side(False), side(True)
-    first, last = np.searchsorted(kh, ph, "left"), np.searchsorted(kh, ph, "right")
-    n = last - first
-    some = n > 0
-    first, n, pl, pb = first[some], n[some], pl[some], pb[some]
-    total = np.cumsum(n)
-    at = 0
-    while at < len(n):  # in steps, so that a crowded key does not fill the memory
-        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + step)))
-        own = n[at:to]
-        entry = np.repeat(first[at:to] - (np.cumsum(own) - own), own) + np.arange(own.sum())
-        a, b = np.repeat(pl[at:to], own), kl[entry]
-        good = (a != b) & (bag_distance(np.repeat(pb[at:to], own), kb[entry]) <= 2 * k)
-        pairs = np.unique(np.stack([np.maximum(a[good], b[good]), np.minimum(a[good], b[good])], axis=1), axis=0)
-        yield pairs[:, 0], pairs[:, 1]
-        at = to
+def _candidates(table: pa.Table, k: int, skip: int, take: int, asking: np.ndarray | None, bits: int, step: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Later and earlier line of pairs of which one probes an entry of the other, within one part, and whose bags allow ``k`` edits.
+
+    Of the candidates of a line under a key, those from ``skip`` to ``take``, by place; of the lines in the bitmap ``asking`` only. A
+    line paired with itself has more to ask; the last item holds the keys that have more to give.
+    """
+    h, line, bag, role, number, own_row = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("hashes", np.uint64), ("lines", np.int64), ("bags", np.uint64), ("roles", np.int8), ("numbers", np.int32), ("rows", np.int64)))
+    keys = pa.chunked_array([pc.list_flatten(table.column("keys").combine_chunks())]).combine_chunks()
+    place = np.empty(len(line), np.int64)
+    place[np.lexsort((number, own_row, pc.rank(keys, tiebreaker="dense").to_numpy()))] = np.arange(len(line))
+
+    def side(which: np.ndarray) -> tuple[np.ndarray, ...]:
+        order = np.flatnonzero(which)
+        order = order[np.lexsort((place[order], line[order], h[order]))]
+        new = np.ones(len(order), bool)
+        new[1:] = (h[order[1:]] != h[order[:-1]]) | (line[order[1:]] != line[order[:-1]])
+        order = order[new]
+        order = order[np.lexsort((place[order], h[order]))]
+        return h[order], line[order], bag[order], place[order]
+
+    crowded = [np.zeros(0, np.uint64)]
+    index, probing = side(role == 0), side(role != 0)
+    for (ah, al, ab, ap), (bh, bl, bb, bp) in ((index, probing), (probing, index)):  # the first asks the second
+        names, start, end = bounds(bh)
+        if not len(names):
+            continue
+        g = np.searchsorted(names, ah)
+        met = np.flatnonzero(names[np.minimum(g, len(names) - 1)] == ah)
+        if asking is not None:
+            met = met[in_bitmap(al[met], asking, bits)]
+        g, far = g[met], np.int64(len(line) + 1)
+        lo = start[g]
+        count = np.searchsorted(np.repeat(np.arange(len(start)), end - start) * far + bp, g * far + ap[met]) - lo  # the earlier ones
+        met, lo, count = met[count > 0], lo[count > 0], count[count > 0]
+        total, at = np.cumsum(count), 0
+        while at < len(met):  # in steps of whole lines, so that a crowded key does not fill the memory
+            to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + step)))
+            own = count[at:to]
+            x, y = np.repeat(met[at:to], own), np.repeat(lo[at:to] - (np.cumsum(own) - own), own) + np.arange(own.sum())
+            good = (al[x] != bl[y]) & (bag_distance(ab[x], bb[y]) <= 2 * k)
+            x, y = x[good], y[good]
+            rank = np.arange(len(x)) - np.searchsorted(x, x)
+            over = np.unique(x[rank >= take])
+            yield al[over], al[over]
+            crowded.append(ah[over])
+            now = (rank >= skip) & (rank < take)
+            pairs = np.unique(np.stack([al[x[now]], bl[y[now]]], axis=1), axis=0)
+            yield pairs[:, 0], pairs[:, 1]
+            at = to
+    yield np.unique(np.concatenate(crowded)).view(np.int64), np.zeros(0, np.int64)
 
 
 def with_texts(docs: DataFrame, pairs: DataFrame, min_bytes: int, bits: int, at_once: int = 2000) -> tuple[DataFrame, DataFrame]:
@@ -274,28 +312,46 @@ def with_texts(docs: DataFrame, pairs: DataFrame, min_bytes: int, bits: int, at_
     return both.join(lines.select(F.col("line").alias("a"), F.col("bytes").alias("x")), "a"), lines
 
 
-def near_lines(docs: DataFrame, max_edits: int, min_bytes: int, bits: int = 26) -> DataFrame:
-    """a, ca, b, cb: ids and checks of different lines within ``max_edits`` edits, stored. ``docs`` has key and text."""
-    texts = docs.select("text")
-    packed = texts.mapInArrow(_entries(min_bytes, max_edits, parts_for(docs, 8)), "part int, hashes binary, lines binary, bags binary, indexed int")
-
-    def match(table: pa.Table) -> pa.Table:
-        found = list(_candidates(table, max_edits))
-        return pa.table({c: pa.array(np.concatenate([x[i] for x in found]) if found else np.zeros(0, np.int64), pa.int64()) for i, c in enumerate("ab")})
-
-    pairs = stored(packed.groupBy("part").applyInArrow(match, "a long, b long").distinct(), "pairs")
-    both, lines = with_texts(docs, pairs, min_bytes, bits)
+def late_lines(docs: DataFrame, max_edits: int, min_bytes: int, rounds: tuple[int, ...] = (16, 256), bits: int = 26) -> DataFrame:
+    """line, check: of the lines that have an earlier one within ``max_edits`` edits, stored. ``docs`` has key, row and text."""
+    spark = docs.sparkSession
+    docs = docs.select("key", "row", "text")
+    kind, parts = docs.schema["key"].dataType.simpleString(), parts_for(docs, 8)
+    limits = [0, *rounds, np.iinfo(np.int64).max]
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yes = pa.array([within(x, y, max_edits) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)], pa.bool_())
             own = batch.filter(yes)
-            checks = [pa.array(digests(own.column(c))[1], pa.int64()) for c in "xy"]
-            yield pa.RecordBatch.from_arrays([own.column("a"), checks[0], own.column("b"), checks[1]], ["a", "ca", "b", "cb"])
-
-    near = stored(both.mapInArrow(verify, "a long, ca long, b long, cb long"), "near")
-    release(pairs, lines)
-    return near
+            yield pa.RecordBatch.from_arrays([own.column("a"), pa.array(digests(own.column("x"))[1], pa.int64())], ["line", "check"])
+
+    def asked(skip: int, take: int, asking, crowded) -> DataFrame:
+        """a, b: pairs, and lines with themselves; with b null, a is a key."""
+
+        def match(table: pa.Table) -> pa.Table:
+            found = list(_candidates(table, max_edits, skip, take, asking.value if asking else None, bits))
+            a = np.concatenate([np.zeros(0, np.int64), *(x for x, _ in found)])
+            b = pa.concat_arrays([pa.array([], pa.int64()), *(pa.array(y, pa.int64()) if len(x) == len(y) else pa.nulls(len(x), pa.int64()) for x, y in found)])
+            return pa.table({"a": pa.array(a, pa.int64()), "b": b})
+
+        packed = docs.mapInArrow(_entries(min_bytes, max_edits, parts, crowded, bits), f"part int, hashes binary, lines binary, bags binary, roles binary, numbers binary, rows binary, keys array<{kind}>")
+        return stored(packed.groupBy("part").applyInArrow(match, "a long, b long").distinct(), "pairs")
+
+    late, asking, crowded = [], None, None
+    for skip, take in zip(limits[:-1], limits[1:], strict=True):
+        pairs = asked(skip, take, asking, crowded)
+        both, lines = with_texts(docs.select("text"), pairs.where("a <> b"), min_bytes, bits)
+        late.append(stored(both.mapInArrow(verify, "line long, check long").distinct(), "near"))
+        release(lines)
+        left = pairs.where("a = b").select(F.col("a").alias("line")).join(reduce(DataFrame.union, late).select("line"), "line", "left_anti")
+        if left.isEmpty():
+            release(pairs)
+            break
+        asking, crowded = (spark.sparkContext.broadcast(bitmap(d, c, bits)) for d, c in ((left, "line"), (pairs.where("b IS NULL"), "a")))
+        release(pairs)
+    out = stored(reduce(DataFrame.union, late).distinct(), "late")
+    release(*late)
+    return out
 
 
 def told_apart(docs: DataFrame, key: str) -> DataFrame:
@@ -319,23 +375,18 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", max_ed
     rows = numbered(whole.where(F.col(key).isNotNull()), text).select(F.col(key).alias("key"), F.col("__row").alias("row"), "text")
     places = stored(rows.mapInArrow(_places(min_bytes, short), f"line long, check long, key {docs.schema[key].dataType.simpleString()}, row long, number int"), "places")
     first = places.groupBy("line", "check").agg(F.min(F.struct("key", "row", "number")).alias("first"), F.count("*").alias("n"))
-    near = near_lines(rows, max_edits, min_bytes)
-    side = lambda a, c, f: first.select(F.col("line").alias(a), F.col("check").alias(c), F.col("first").alias(f))
-    ordered = near.join(side("a", "ca", "fa"), ["a", "ca"]).join(side("b", "cb", "fb"), ["b", "cb"])
-    later = F.col("fa") > F.col("fb")
-    late = ordered.select(F.when(later, F.col("a")).otherwise(F.col("b")).alias("line"), F.when(later, F.col("ca")).otherwise(F.col("cb")).alias("check")).distinct()
-    more = None
+    near = [late_lines(rows, max_edits, min_bytes)]
     if words_per_edit:
-        from .word_lines import late_lines
+        from . import word_lines
 
-        more = late_lines(rows, words_per_edit, min_bytes)
-        late = late.union(more).distinct()
+        near.append(word_lines.late_lines(rows, words_per_edit, min_bytes))
+    late = reduce(DataFrame.union, near).distinct()
     late = late.withColumn("late", F.lit(True))
     judged = first.join(late, ["line", "check"], "left").where("n > 1 OR late").withColumnRenamed("check", "__check")
     gone = joined(places, judged, "line").where((F.col("check") == F.col("__check")) & (F.coalesce("late", F.lit(False)) | (F.struct("key", "row", "number") != F.col("first"))))
     # A document's list is no longer than its text.
     gone = stored(gone.groupBy(F.col("key").alias("__key"), F.col("row").alias("__of")).agg(F.collect_set("number").alias("__gone")), "gone")
-    release(places, near, *([more] if more is not None else []))
+    release(places, *near)
     # Both sides are dealt by key at any size: a broadcast of the lists would hold only for small tables.
     out = whole.join(gone.hint("merge"), (F.col(key) == F.col("__key")) & (F.col("__row") == F.col("__of")), "left")
     lines = F.split(F.col(text).cast("string"), "\n")

@@ -503,6 +503,25 @@ def test_line_dedup_long_texts(spark):
     assert (got[0].text, got[1].text) == (texts[0], texts[1]) and (got[2].text, got[2].n_dropped) == ("one more line that stands in this text alone", 10) and got[3].n_dropped == 1
 
 
+def test_line_dedup_of_a_template(spark, monkeypatch):
+    from coppice.llm import line_dedup
+
+    lines = [f"Article number {i:04d} of the long list of all that was written" for i in range(1500)]
+    kept = [x for n, x in enumerate(lines) if not any(line_dedup.within(x.encode(), y.encode(), 2) for y in lines[:n])]
+    pairs, real = [], line_dedup.stored
+
+    def stored(df, purpose):
+        out = real(df, purpose)
+        if purpose == "pairs":
+            pairs.append(out.where("a <> b").count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "stored", stored)
+    got = line_dedup.dedup_lines(spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string"))
+    assert sorted(r.text for r in got.collect() if r.text) == sorted(kept)
+    assert sum(pairs) < 60 * len(lines), pairs
+
+
 def test_line_dedup_short_repeats(spark, tmp_path):
     import corpus_pipeline
 
