@@ -24,77 +24,55 @@ from .shared import numbered
 _coders: dict = {}
 
 
-class RankQueue:
-    """Buckets of positions by rank, smallest rank first, in each bucket the smallest position first."""
-
-    __slots__ = ("buckets", "summary", "words")
-
-    def __init__(self) -> None:
-        self.buckets: dict[int, list[int]] = {}
-        self.words: dict[int, int] = {}
-        self.summary = 0
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            bucket.append(position)
-            return
-        self.buckets[rank] = [position]
-        high = rank >> 8
-        self.words[high] = self.words.get(high, 0) | 1 << (rank & 255)
-        self.summary |= 1 << high
-
-    def pop(self) -> tuple[int, list[int]] | None:
-        """The smallest rank and its positions, which leave the queue; None if it is empty."""
-        if not self.summary:
-            return None
-        high = (self.summary & -self.summary).bit_length() - 1
-        word = self.words[high]
-        low = (word & -word).bit_length() - 1
-        word &= word - 1
-        self.words[high] = word
-        if not word:
-            self.summary &= self.summary - 1
-        rank = high << 8 | low
-        return rank, self.buckets.pop(rank)
-
-
 class Coder:
     """Encodes and decodes as the library of rank files does, without special tokens."""
 
-    def __init__(self, path: str, pattern: str, cache_size: int = 1 << 18) -> None:
+    def __init__(self, path: str, pattern: str, cache_size: int = 400_000) -> None:
         import regex
 
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         self.bytes = {v: k for k, v in self.ranks.items()}
         self.find = regex.compile(pattern).findall
-        self.cache: dict[str, tuple[bytes, bytes, int]] = {}
-        self.cache_size = cache_size
+        self.memo = C.Memo(cache_size)
+        #: The lower level of the bitmap: all zero between pre-tokens.
+        self.words = [0] * ((max(self.bytes, default=0) >> 8) + 1)
 
     def merge(self, piece: bytes) -> list[int]:
-        """The ids of one pre-token."""
-        ranks = self.ranks
-        whole = ranks.get(piece)
+        """The ids of one pre-token. The queue is written out in the loop, which runs some ten million times a minute."""
+        rank_of = self.ranks.get
+        whole = rank_of(piece)
         if whole is not None:
             return [whole]
         n = len(piece)
         part: list[bytes | None] = [piece[i : i + 1] for i in range(n)]
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        pair = [-1] * n  # the rank of the pair that begins here, -1 if it has none
-        queue = RankQueue()
-        for i in range(n - 1):
-            r = ranks.get(piece[i : i + 2])
-            if r is not None:
-                pair[i] = r
-                queue.push(r, i)
-        while (top := queue.pop()) is not None:
-            rank, positions = top
+        pair = [rank_of(piece[i : i + 2], -1) for i in range(n - 1)]  # the rank of the pair that begins here, -1 if it has none
+        pair.append(-1)
+        buckets: dict[int, list[int]] = {}
+        words, summary = self.words, 0
+        for i, r in enumerate(pair):
+            if r >= 0:
+                if r in buckets:
+                    buckets[r].append(i)
+                else:
+                    buckets[r] = [i]
+                    words[r >> 8] |= 1 << (r & 255)
+                    summary |= 1 << (r >> 8)
+        while summary:
+            high = (summary & -summary).bit_length() - 1
+            word = words[high]
+            lowest = word & -word
+            words[high] = word = word ^ lowest
+            if not word:
+                summary &= summary - 1
+            rank = high << 8 | lowest.bit_length() - 1
+            positions = buckets.pop(rank)
             if len(positions) > 1:
                 positions.sort()
             for i in positions:
-                if pair[i] != rank or part[i] is None:
-                    continue
+                if pair[i] != rank:
+                    continue  # stale
                 j = after[i]
                 k = after[j]
                 merged = part[i] + part[j]
@@ -102,17 +80,26 @@ class Coder:
                 pair[j] = pair[i] = -1
                 if k < n:
                     before[k] = i
-                    r = ranks.get(merged + part[k])
-                    if r is not None:
+                    r = rank_of(merged + part[k], -1)
+                    if r >= 0:
                         pair[i] = r
-                        queue.push(r, i)
+                        if r in buckets:
+                            buckets[r].append(i)
+                        else:
+                            buckets[r] = [i]
+                            words[r >> 8] |= 1 << (r & 255)
+                            summary |= 1 << (r >> 8)
                 h = before[i]
                 if h >= 0:
-                    r = ranks.get(part[h] + merged)
-                    pair[h] = -1 if r is None else r
-                    if r is not None:
-                        queue.push(r, h)
-        return [ranks[p] for p in part if p is not None]
+                    pair[h] = r = rank_of(part[h] + merged, -1)
+                    if r >= 0:
+                        if r in buckets:
+                            buckets[r].append(h)
+                        else:
+                            buckets[r] = [h]
+                            words[r >> 8] |= 1 << (r & 255)
+                            summary |= 1 << (r >> 8)
+        return [self.ranks[p] for p in part if p is not None]
 
     def encode(self, text: str) -> list[int]:
         return [i for piece in self.find(text) for i in self.merge(piece.encode())]
@@ -120,17 +107,11 @@ class Coder:
     def decode(self, ids: list[int]) -> bytes:
         return b"".join([self.bytes[i] for i in ids])
 
-    def rendered(self, chunk: str) -> tuple[bytes, bytes, int]:
-        """Of a chunk: its ids in decimal, each followed by a comma; the bytes that they decode to; how many they are."""
-        found = self.cache.get(chunk)
-        if found is None:
-            ids = self.encode(chunk)
-            found = ("".join([f"{i}," for i in ids]).encode(), self.decode(ids), len(ids))
-            if len(chunk) <= 64:
-                if len(self.cache) >= self.cache_size:
-                    self.cache.clear()
-                self.cache[chunk] = found
-        return found
+    def rendered(self, chunks: pa.Array) -> list[pa.Array]:
+        """Of each chunk: its ids in decimal, each followed by a comma; the bytes that they decode to; how many they are."""
+        ids = [self.encode(c) for c in chunks.to_pylist()]
+        decimal = pa.array(["".join([f"{i}," for i in x]).encode() for x in ids], pa.large_binary())
+        return [decimal, pa.array([self.decode(x) for x in ids], pa.large_binary()), pa.array([len(x) for x in ids], pa.int64())]
 
 
 def coder(path: str, pattern: str) -> Coder:
@@ -139,10 +120,9 @@ def coder(path: str, pattern: str) -> Coder:
     return _coders[path, pattern]
 
 
-def _joined(parts: list[bytes], index: np.ndarray, off: np.ndarray) -> tuple[memoryview, np.ndarray]:
+def _joined(parts: pa.Array, index: np.ndarray, off: np.ndarray) -> tuple[memoryview, np.ndarray]:
     """The parts in the order of ``index``, as one block, and where each text's part of it begins."""
-    taken = pa.array(parts, pa.large_binary()).take(pa.array(index))
-    _, offsets, data = taken.buffers()
+    _, offsets, data = parts.take(pa.array(index)).buffers()
     return memoryview(data) if data is not None else memoryview(b""), np.frombuffer(offsets, np.int64)[: len(index) + 1][off]
 
 
@@ -159,11 +139,11 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id",
             for rows, texts in C.slices(batch, "text"):
                 pieces, off = C.chunked(texts)
                 index, distinct = C.coded(pieces)
-                each = [own.rendered(c) for c in distinct.to_pylist()]
-                n = C.summed(np.array([x[2] for x in each], np.int64)[index], off) if each else np.zeros(len(texts), np.int64)
+                each = own.memo.values(distinct, own.rendered) if len(index) else []
+                n = C.summed(each[2].to_numpy()[index], off) if each else np.zeros(len(texts), np.int64)
                 digests = []
                 for k in (0, 1):
-                    data, at = _joined([x[k] for x in each], index, off) if each else (memoryview(b""), np.zeros(len(texts) + 1, np.int64))
+                    data, at = _joined(each[k], index, off) if each else (memoryview(b""), np.zeros(len(texts) + 1, np.int64))
                     digests.append([hashlib.sha256(data[a : max(a, b - (k == 0))]).hexdigest() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)])
                 yield pa.RecordBatch.from_arrays([rows.column("key"), pa.array(n), pa.array(digests[0]), pa.array(digests[1])], [key, "n_tokens", "ids_sha256", "decoded_sha256"])
 

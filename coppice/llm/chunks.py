@@ -71,6 +71,33 @@ def coded(chunks: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return d.indices.to_numpy(zero_copy_only=False), d.dictionary
 
 
+class Memo:
+    """Values of chunks computed before, in Arrow arrays: at most about ``size`` short chunks, some tens of bytes each."""
+
+    def __init__(self, size: int = 400_000, longest: int = 64) -> None:
+        self.size, self.longest = size, longest
+        self.keys: pa.Array = pa.array([], pa.large_string())
+        self.columns: list[pa.Array] = []
+
+    def values(self, distinct: pa.Array, compute) -> list[pa.Array]:
+        """The columns of values of distinct chunks; ``compute`` gives those of chunks that are not known."""
+        known = pc.index_in(distinct, value_set=self.keys)
+        new = distinct.filter(pc.is_null(known))
+        fresh = compute(new)
+        columns = [pa.concat_arrays([a, b]) for a, b in zip(self.columns, fresh, strict=True)] if self.columns else fresh
+        lost = pc.is_null(known).to_numpy(zero_copy_only=False)
+        at = np.where(lost, len(self.keys) + np.cumsum(lost) - 1, pc.fill_null(known, 0).to_numpy(zero_copy_only=False))
+        found = [c.take(pa.array(at)) for c in columns]
+        if len(self.keys) + len(new) <= self.size:
+            short = pc.less_equal(pc.binary_length(new), self.longest)
+            kept = pa.concat_arrays([pa.array(np.ones(len(self.keys), bool)), short])
+            self.keys, self.columns = pa.concat_arrays([self.keys, new.filter(short)]), [c.filter(kept) for c in columns]
+        else:  # what was asked now stays, the rest goes
+            short = pc.less_equal(pc.binary_length(distinct), self.longest)
+            self.keys, self.columns = distinct.filter(short), [c.filter(short) for c in found]
+        return found
+
+
 def summed(values: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Sums of ``values`` from each offset to the next, empty stretches included."""
     return np.diff(np.concatenate(([0], np.cumsum(values, dtype=np.int64)))[off])
