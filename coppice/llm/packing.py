@@ -46,17 +46,13 @@ class Encoder:
         self.model.no_padding()
         self.size = max(self.model.get_vocab().values()) + 1
         self.kind = np.uint16 if self.size <= 1 << 16 else np.uint32
-        self.cache_size = cache_size
-        self.forget()
+        self.memo = C.Memo(cache_size)
         # Where a suffix marks the last token of each pre-token, words can be encoded many at a time and told apart after.
         vocabulary = self.model.get_vocab()
         self.last = np.zeros(self.size, bool)
         self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.marked = bool(self.last.any())
 
-    def forget(self) -> None:
-        self.chunks, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
-
     def fresh(self, chunks: pa.Array) -> pa.Array:
         """The ids of each chunk, encoded now, as bytes."""
         bare = pc.utf8_trim(chunks, characters=C.BLANKS)
@@ -95,19 +91,8 @@ class Encoder:
         index, distinct = C.coded(pieces)
         if not len(index):
             return np.zeros(0, self.kind), np.zeros(len(texts) + 1, np.int64)
-        known = pc.index_in(distinct, value_set=self.chunks)
-        new = distinct.filter(pc.is_null(known))
-        at = known.to_numpy(zero_copy_only=False)
-        at = np.where(np.isnan(at), len(self.chunks) + np.cumsum(np.isnan(at)) - 1, at).astype(np.int64) if known.null_count else at
-        ids = pa.concat_arrays([self.ids, self.fresh(new)])
-        short = pc.less_equal(pc.binary_length(new), 64)
-        if len(self.chunks) + len(new) <= self.cache_size:
-            kept = pa.concat_arrays([pa.array(np.ones(len(self.chunks), bool)), short])
-            self.chunks, self.ids = pa.concat_arrays([self.chunks, new.filter(short)]), ids.filter(kept)
-        else:  # what this slice uses stays, the rest goes
-            own = pc.less_equal(pc.binary_length(distinct), 64)
-            self.chunks, self.ids = distinct.filter(own), ids.take(pa.array(at)).filter(own)
-        _, offsets, data = ids.take(pa.array(at[index])).buffers()
+        ids = self.memo.values(distinct, lambda new: [self.fresh(new)])[0]
+        _, offsets, data = ids.take(pa.array(index)).buffers()
         where = np.frombuffer(offsets, np.int64)[: len(index) + 1][off] // self.kind().itemsize
         return np.frombuffer(data, self.kind)[: where[-1]] if data is not None else np.zeros(0, self.kind), where
 
