@@ -40,7 +40,7 @@ def library(path: str):
             model = tokenizers.Tokenizer.from_file(path)
             model.no_truncation()
             model.no_padding()
-            _libraries[path] = lambda texts: [len(x.ids) for x in model.encode_batch(texts, add_special_tokens=False)]
+            _libraries[path] = lambda texts: [len(x) for x in model.encode_batch_fast(texts, add_special_tokens=False)]
     return _libraries[path]
 
 
@@ -70,7 +70,7 @@ def frequent(docs: DataFrame, text: str = "text", per_task: int = 1024, table_si
     return [r.chunk for r in per.groupBy("chunk").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "chunk").limit(table_size).collect()]
 
 
-def count_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", limit: int = 1024, cache_size: int = 1 << 18) -> DataFrame:
+def count_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", limit: int = 1024, cache_size: int = 400_000) -> DataFrame:
     """One row per row of ``docs``: key, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > ``limit``).
 
     Null and empty texts have 0 bytes and 0 tokens; repeated rows and null keys stay as they are; other columns, also
@@ -81,7 +81,7 @@ def count_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
     known = spark.sparkContext.broadcast((table, library(path)(table) if table else []))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, cache = library(path), _caches.setdefault(path, {})
+        encode, memo = library(path), _caches.setdefault(path, C.Memo(cache_size))
         first, lengths = pa.array(known.value[0], pa.large_string()), np.array([*known.value[1], -1], dtype=np.int64)
         for batch in batches:
             for part, texts in C.slices(batch, "text"):
@@ -90,14 +90,7 @@ def count_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
                 at = pc.index_in(distinct, value_set=first).fill_null(len(first)).to_numpy(zero_copy_only=False)
                 n = lengths[at]
                 missing = np.flatnonzero(n < 0)
-                left = distinct.take(pa.array(missing)).to_pylist()
-                if len(cache) + len(left) > cache_size:
-                    cache.clear()
-                new = [c for c in left if c not in cache]
-                fresh = dict(zip(new, encode(new), strict=True)) if new else {}
-                n[missing] = [fresh[c] if c in fresh else cache[c] for c in left]
-                if len(fresh) <= cache_size:
-                    cache.update(fresh)
+                n[missing] = memo.values(distinct.take(pa.array(missing)), lambda new: [pa.array(encode(new.to_pylist()), pa.int64())])[0].to_numpy()
                 tokens = C.summed(n[index], off) if len(index) else np.zeros(len(texts), np.int64)
                 size = np.diff(C.raw(texts)[1])
                 yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(size), pa.array(tokens), pa.array(tokens > limit)], [key, "n_bytes", "n_tokens", "over_limit"])
