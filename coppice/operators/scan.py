@@ -8,6 +8,7 @@ at most one row a range: these are broadcast, and the second pass adds them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,17 +19,19 @@ from ..storage import stored
 PART, AT = "__part", "__at"
 
 
-def ordered(rows: DataFrame, group: list[str], order: list[str | Column], parts: int | None = None) -> DataFrame:
+def ordered(rows: DataFrame, group: list[str], order: list[str | Column], parts: int | None = None, within: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``rows``, sorted by (group, order) over ranges and written once, with ``__at``, their number in that order, and ``__part``, their range.
 
-    ``order`` must break ties; nulls come first. An empty ``group`` makes all rows one group.
+    ``order`` must break ties; nulls come first. An empty ``group`` makes all rows one group. ``within`` is applied to
+    the sorted ranges before they are written; it must not deal rows anew.
     """
     by = [F.col(c) if isinstance(c, str) else c for c in [*group, *order]]
     if not by:
         raise ValueError("no order")
     dealt = rows.repartitionByRange(parts, *by) if parts else rows.repartitionByRange(*by)
     numbered = dealt.sortWithinPartitions(*by).withColumn(AT, F.monotonically_increasing_id())
-    return stored(numbered.withColumn(PART, F.shiftright(AT, 33).cast("int")), "ordered")
+    numbered = numbered.withColumn(PART, F.shiftright(AT, 33).cast("int"))
+    return stored(within(numbered) if within else numbered, "ordered")
 
 
 def _within(group: list[str]) -> Window:
