@@ -87,6 +87,14 @@ def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(rows, repair(damage(rows)))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefix_trie import light, rebuilt, trie
+    from .shared import stored
+
+    rows = _table(spark, sf_dir, "conversations")
+    return trie(rows, rebuilt(stored(light(rows), "turns")))
+
+
 #: A conversation whose texts hold the marks of templates.
 _MARKED = [(-7, 0, "user", r"\### Assistant: </turn> ok"), (-7, 1, "assistant", r"\### Assistant: </turn> ok")]
 
@@ -98,7 +106,7 @@ def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(pieces(own.unionByName(spark.createDataFrame(_MARKED, own.schema))))
 
 
-QUERIES = {f.__name__: f for f in (op1_lexical_packing, op2_multi_index, op3_byte_bpe, op4_html_extraction, op5_jaccard_join, op6_ordinal_quality, op7_token_counts, op8_line_dedup, op9_quality_rules, op10_warc, op11_structure_repair, op13_chat_format)}
+QUERIES = {f.__name__: f for f in (op1_lexical_packing, op2_multi_index, op3_byte_bpe, op4_html_extraction, op5_jaccard_join, op6_ordinal_quality, op7_token_counts, op8_line_dedup, op9_quality_rules, op10_warc, op11_structure_repair, op12_prefix_trie, op13_chat_format)}
 
 ORACLE_SQL = {
     # Lines within two edits have lengths within two; DuckDB's levenshtein counts bytes.
