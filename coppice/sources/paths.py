@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+from urllib.parse import unquote
 
 
 def resolve(given: str | None, variable: str, default: str, must_exist: bool = True) -> str:
@@ -14,9 +16,13 @@ def resolve(given: str | None, variable: str, default: str, must_exist: bool = T
 
 
 def _system(path: str):
+    """The file system and the path in it. Spark's file sources name local files with one stroke after the colon."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), unquote(re.sub("^file:/*", "/", path))
+
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
 def exists(path: str) -> bool:
@@ -39,3 +45,9 @@ def content(path: str) -> str:
     system, p = _system(path)
     with system.open_input_stream(p) as f:
         return f.read().decode("utf-8")
+
+
+def opened(path: str):
+    """A file to read at any place; it has seek, read and close."""
+    system, p = _system(path)
+    return system.open_input_file(p)
