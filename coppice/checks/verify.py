@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.notation import bridges, first_zones
 from ..functions.text import name_tail
+from ..operators import scan as S
 from ..operators.lookup import characters, content_diff, dangling_references, multiset_diff
 
 #: The known tails of element names.
@@ -31,15 +32,10 @@ def _row(name: str, bad: DataFrame, detail: Column, otherwise: str, order: Colum
 def reading_order(rows: DataFrame) -> DataFrame:
     """page, tag, previous, previous_page: rows (page, n, tag) whose tag is below that of the row before, over page ends too.
 
-    Within a page a window finds them; over page ends, the last tag of a page meets the first of the next page that has
-    rows, in a table of one row a page.
+    All pages are one order, so rows are dealt by ranges of it.
     """
-    w = Window.partitionBy("page").orderBy("n")
-    inside = rows.select("page", "tag", F.lag("tag").over(w).alias("previous"), F.col("page").alias("previous_page"))
-    ends = rows.groupBy("page").agg(F.min_by("tag", "n").alias("tag"), F.max_by("tag", "n").alias("last"))
-    over = Window.orderBy("page")
-    across = ends.select("page", "tag", F.lag("last").over(over).alias("previous"), F.lag("page").over(over).alias("previous_page"))
-    return inside.unionByName(across).where(F.col("tag") < F.col("previous"))
+    s = S.lagged(S.ordered(rows.select("page", "n", "tag"), [], ["page", "n", "tag"]), [], F.struct("tag", "page"), "before")
+    return s.select("page", "tag", F.col("before.tag").alias("previous"), F.col("before.page").alias("previous_page")).where(F.col("tag") < F.col("previous"))
 
 
 def tag_order(rows: DataFrame) -> DataFrame:

@@ -68,6 +68,12 @@ def triples(rows: DataFrame, subject: Column, values: dict[str, Column]) -> Data
     return rows.select(subject.alias("s"), F.explode(each).alias("x")).select("s", "x.p", "x.o")
 
 
+def node_triples_of(rows: DataFrame, subject: Column, values: dict[str, tuple[Column, str]]) -> DataFrame:
+    """s, p, o, kind of the values that are not null, each with its kind, for tables that are no nodes."""
+    each = F.array_compact(F.array(*[F.when(v.isNotNull(), F.struct(F.lit(p).alias("p"), v.cast("string").alias("o"), F.lit(k).alias("kind"))) for p, (v, k) in values.items()]))
+    return rows.select(subject.alias("s"), F.explode(each).alias("x")).select("s", "x.*")
+
+
 def unresolved(statements: DataFrame, predicates: list[str]) -> DataFrame:
     """Objects of the predicates that are no subject: empty in a closed graph."""
     return statements.where(F.col("p").isin(predicates)).select(F.col("o").alias("missing")).distinct().join(statements.select(F.col("s").alias("missing")), "missing", "left_anti")

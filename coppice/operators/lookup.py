@@ -51,6 +51,16 @@ def tally(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("n"))
 
 
+def grouped_counts(rows: DataFrame, keys: dict[str, Column], sums: dict[str, Column] | None = None) -> DataFrame:
+    """Counts by all keys, by all but the last, and so on down to all rows, in one pass: keys, level (grouping id), n and ``sums``.
+
+    ``level`` has a bit for each key that a row sums over, the last key's being the lowest, so that a null key of the
+    data and a key summed over differ. No rows give the grand total of 0 alone.
+    """
+    named = rows.select(*[c.alias(k) for k, c in keys.items()], *[c.alias(k) for k, c in (sums or {}).items()])
+    return named.rollup(*keys).agg(F.grouping_id().alias("level"), F.count("*").alias("n"), *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in sums or {}])
+
+
 def multiset_diff(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """key, n_left, n_right where the tallies differ; an absent key counts 0."""
     a, b = tally(left, key).withColumnRenamed("n", "n_left"), tally(right, key).withColumnRenamed("n", "n_right")

@@ -5,18 +5,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import scan as S
+from .intervals import interval_join
 
-def gap_sessions(rows: DataFrame, group: list[str], order: list[str], value: Column, gap: float, result: str = "session") -> DataFrame:
-    """Numbers sessions from 0: a new one begins where the value exceeds the previous row's by more than ``gap``."""
+
+def gap_sessions(rows: DataFrame, group: list[str], order: list[str], value: Column, gap: float, result: str = "session", spread: bool = False) -> DataFrame:
+    """Numbers sessions from 0: a new one begins where the value exceeds the previous row's by more than ``gap``.
+
+    ``spread`` is for groups that are too large for a task, up to all rows as one (``group`` empty): rows are then dealt
+    by ranges of the order, see ``scan``, and ``order`` must break ties.
+    """
+    if spread:
+        s = S.lagged(S.ordered(rows.withColumn("__value", value), group, order), group, F.col("__value"), "__previous")
+        new = F.coalesce((F.col("__value") - F.col("__previous") > gap).cast("int"), F.lit(0))
+        return S.plain(S.running(s, group, new, result)).drop("__value", "__previous")
     w = Window.partitionBy(*group).orderBy(*order)
     r = rows.withColumn("__new", F.coalesce((value - F.lag(value).over(w) > gap).cast("int"), F.lit(0)))
     return r.withColumn(result, F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long")).drop("__new")
 
 
-def group_records(rows: DataFrame, group: list[str], order: list[str], starts: Column, text: str, skip: Column | None = None, separator: str = " ") -> DataFrame:
-    """group, record, text: each row that starts a record and those after it, joined in order; rows before a first start go."""
-    w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    r = rows.withColumn("record", F.sum(starts.cast("int")).over(w).cast("long")).where("record > 0")
+def group_records(rows: DataFrame, group: list[str], order: list[str], starts: Column, text: str, skip: Column | None = None, separator: str = " ", spread: bool = False) -> DataFrame:
+    """group, record, text: each row that starts a record and those after it, joined in order; rows before a first start go.
+
+    ``spread`` as in ``gap_sessions``; a record must fit a task.
+    """
+    if spread:
+        r = S.plain(S.running(S.ordered(rows.withColumn("__start", starts), group, order), group, F.col("__start").cast("int"), "record")).drop("__start")
+    else:
+        w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        r = rows.withColumn("record", F.sum(starts.cast("int")).over(w).cast("long"))
+    r = r.where("record > 0")
     if skip is not None:
         r = r.where(~skip)
     parts = F.array_sort(F.collect_list(F.struct(*order, F.col(text).alias("__t"))))
@@ -31,10 +49,13 @@ def last_per_key(rows: DataFrame, key: str, order: list[str], value: str) -> Dat
     return rows.groupBy(key).agg(F.max_by(value, F.struct(*order)).alias(value))
 
 
-def inversions(rows: DataFrame, group: list[str], order: list[str], value: str) -> DataFrame:
-    """The rows whose value is below that of the row before; ``previous`` holds it. Within a group, so that work spreads."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    return rows.withColumn("previous", F.lag(value).over(w)).where(F.col(value) < F.col("previous"))
+def inversions(rows: DataFrame, group: list[str], order: list[str], value: str, spread: bool = False) -> DataFrame:
+    """The rows whose value is below that of the row before; ``previous`` holds it. ``spread`` as in ``gap_sessions``."""
+    if spread:
+        r = S.plain(S.lagged(S.ordered(rows, group, order), group, F.col(value), "previous"))
+    else:
+        r = rows.withColumn("previous", F.lag(value).over(Window.partitionBy(*group).orderBy(*order)))
+    return r.where(F.col(value) < F.col("previous"))
 
 
 def layout_lines(words: DataFrame, gap: float = 3.0) -> DataFrame:
@@ -76,12 +97,28 @@ def layout_cells(words: DataFrame, route: Column) -> DataFrame:
 
 
 def row_bands(words: DataFrame, margin: float = 3.0, height: float = 60.0) -> DataFrame:
-    """page, tag, y0, y1 of each number in the second column: from just above it to just above the next one that is lower by more than ``margin``, else ``height`` lower."""
+    """page, tag, y0, y1 of each number in the second column: from just above it to just above the next one that is lower by more than ``margin``, else ``height`` lower.
+
+    A range frame over y in millionths, the precision of printed boxes, finds the next one in a sorted pass.
+    """
     uids = words.where((F.col("x") >= 100) & (F.col("x") < 130) & F.col("text").rlike(r"^\d{4}$"))
-    w = Window.partitionBy("page").orderBy("y").rangeBetween(Window.currentRow, Window.unboundedFollowing)
-    below = F.array_sort(F.collect_set("y").over(w))
-    after = F.get(F.filter(below, lambda y: y > F.col("y") + margin), F.lit(0))
-    return uids.select("page", F.col("text").cast("int").alias("tag"), (F.col("y") - 1).alias("y0"), F.coalesce(after - 1, F.col("y") + height).alias("y1"))
+    uids = uids.select("page", F.col("text").cast("int").alias("tag"), "y", F.round(F.col("y") * 1_000_000).cast("long").alias("at"))
+    below = Window.partitionBy("page").orderBy("at").rangeBetween(round(margin * 1_000_000) + 1, Window.unboundedFollowing)
+    return uids.select("page", "tag", (F.col("y") - 1).alias("y0"), F.coalesce(F.min("y").over(below) - 1, F.col("y") + height).alias("y1"))
+
+
+def band_cells(words: DataFrame, bands: DataFrame, columns: Column) -> DataFrame:
+    """page, tag, column, fragments: the words of each band by column, those of a line joined by a space, the lines in order.
+
+    ``words`` are those of ``layout_lines``, ``columns`` names the column of a word by its place. This is the printed
+    text of what an OCR program reads in a band, so it is what its reading is held against. Words outside of every band
+    and columns without a name go; a word in two bands counts in both.
+    """
+    own = words.withColumn("column", columns).where("column IS NOT NULL")
+    held = interval_join(own, bands.select("page", "tag", "y0", "y1"), ["page"], "y", "y0", "y1", 60.0)
+    line = held.groupBy("page", "tag", "column", "line").agg(F.array_sort(F.collect_list(F.struct("y", "x", "word_no", "text"))).alias("ws"))
+    line = line.withColumn("fragment", F.array_join(F.transform("ws", lambda w: w.text), " "))
+    return line.groupBy("page", "tag", "column").agg(F.transform(F.array_sort(F.collect_list(F.struct("line", "fragment"))), lambda x: x.fragment).alias("fragments"))
 
 
 def vocabulary_tally(cells: DataFrame, fragments: str = "fragments") -> DataFrame:

@@ -12,13 +12,17 @@ from .checks import validate as V
 from .checks import verify as W
 from .functions import notation as N
 from .functions import text as X
+from .linked import isomorphism as G
 from .linked import nodes as L
 from .linked import triples as T
 from .operators import extraction as E
+from .operators import intervals as I
 from .operators import lookup as J
 from .operators import ordered as O
 from .schemas import CHANGE_TAGS, INTERVALS, LEGEND_TAGS
 from .sinks import writers as K
+from .sources import rdf
+from .storage import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -450,6 +454,83 @@ def grouped_nest(t):
     return known.unionByName(lost)
 
 
+@query("""WITH g AS (SELECT *, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (ORDER BY ts, event_id) > 60000000 THEN 1 ELSE 0 END AS new FROM events)
+    SELECT event_id, CAST(sum(new) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS session FROM g""")
+def all_gap_sessions(t):
+    """Sessions of all events as one group, which no task holds."""
+    e = t("events").select("event_id", "ts", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
+    return O.gap_sessions(e, [], ["ts", "event_id"], F.col("us"), 60_000_000, spread=True).select("event_id", "session")
+
+
+@query("""WITH e AS (SELECT event_id, event_type, user_id % 7 = 0 AS start FROM events), g AS (SELECT *, sum(CASE WHEN start THEN 1 ELSE 0 END) OVER (ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS record FROM e)
+    SELECT CAST(record AS BIGINT) AS record, string_agg(event_type, ' ' ORDER BY event_id) AS event_type FROM g WHERE record > 0 GROUP BY record""")
+def all_records(t):
+    """Records of all events as one list."""
+    e = t("events").select("event_id", "event_type", (F.col("user_id") % 7 == 0).alias("start"))
+    return O.group_records(e, [], ["event_id"], F.col("start"), "event_type", spread=True)
+
+
+@query("""WITH g AS (SELECT event_id, value, lag(value) OVER (ORDER BY event_id) AS previous FROM events) SELECT * FROM g WHERE value < previous""")
+def all_inversions(t):
+    return O.inversions(t("events").select("event_id", "value"), [], ["event_id"], "value", spread=True)
+
+
+@query("""WITH b AS (SELECT c_custkey, k, c_acctbal % 50 + k * 20 AS y0, c_acctbal % 50 + k * 20 + 15 AS y1 FROM customer, (SELECT unnest([0, 1, 2, 3]) AS k))
+    SELECT event_id, user_id, k FROM events JOIN b ON user_id = c_custkey AND value >= y0 AND value < y1""")
+def interval_join(t):
+    b = t("customer").select(F.col("c_custkey").alias("user_id"), F.col("c_acctbal").alias("b"), F.explode(F.array(*map(F.lit, range(4)))).alias("k"))
+    b = b.select("user_id", "k", (F.col("b") % 50 + F.col("k") * 20).alias("y0"), (F.col("b") % 50 + F.col("k") * 20 + 15).alias("y1"))
+    return I.interval_join(t("events").select("event_id", "user_id", "value"), b, ["user_id"], "value", "y0", "y1", 15.0).select("event_id", "user_id", "k")
+
+
+@query("""WITH l AS (SELECT DISTINCT l_orderkey AS page, l_linenumber AS n FROM lineitem), w AS (SELECT page, n, n * 7.0 AS y FROM l), b AS (SELECT page, 1000 + n AS tag, y - 1 AS y0, coalesce((SELECT min(b.y) - 1 FROM w b WHERE b.page = w.page AND b.y > w.y + 3), y + 60) AS y1 FROM w),
+    x AS (SELECT w.page, tag, n, unnest(['name', 'notes']) AS "column" FROM w JOIN b ON w.page = b.page AND w.y >= b.y0 AND w.y < b.y1)
+    SELECT page, tag, "column", string_agg("column" || ' ' || n, ' / ' ORDER BY n) AS text FROM x GROUP BY ALL""")
+def band_cells(t):
+    """Words of two columns, a line for each number, into the bands of the numbers."""
+    l = t("lineitem").select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").alias("line")).distinct()
+    word = lambda x, text: l.select("page", "line", F.lit(x).alias("x"), (F.col("line") * 7).cast("double").alias("y"), F.lit(0).alias("word_no"), text.alias("text"))
+    words = word(110.0, (F.col("line") + 1000).cast("string")).unionByName(word(140.0, F.concat(F.lit("name "), "line"))).unionByName(word(660.0, F.concat(F.lit("notes "), "line")))
+    column = F.nullif(J.interval_route(F.col("x"), INTERVALS), F.lit("uid"))
+    return O.band_cells(words, O.row_bands(words), column).select("page", "tag", "column", F.array_join("fragments", " / ").alias("text"))
+
+
+@query("""WITH e AS (SELECT p_partkey // 1000 AS category, CASE WHEN p_retailprice >= 1000 THEN 'active' ELSE 'retired' END AS status, CASE WHEN p_size % 5 > 0 THEN 'an' END AS charset, p_size FROM part)
+    SELECT category, status, charset, CAST(grouping_id(category, status, charset) AS BIGINT) AS level, count(*) AS n, CAST(sum(p_size) AS BIGINT) AS pages FROM e GROUP BY ROLLUP (category, status, charset)""")
+def grouped_counts(t):
+    e = _elements(t)
+    keys = {"category": F.floor(F.col("tag") / 1000).cast("long"), "status": F.col("status"), "charset": F.col("representation.charset")}
+    return J.grouped_counts(e, keys, {"pages": F.col("provenance.page")}).withColumn("level", F.col("level").cast("long"))
+
+
+_COUNTED = ORACLE_SQL["element_graph"]
+
+
+@query(_COUNTED)
+def graph_round_trip(t):
+    """The statements of ``element_graph`` after they were written as Turtle files and read back in splits."""
+    none = t("part").sparkSession.createDataFrame([], "key int, replacement int")
+    s = T.node_triples(L.element_nodes(_elements(t).where("tag >= 1000"), none, "https://example.org"), T.names(_SPACE))
+    folder = shared_dir(s.sparkSession, "graph")
+    K.write_files(K.turtle_files(s, _SPACE, 4), folder)
+    read = rdf.turtle(s.sparkSession, folder, 1 << 18)
+    named = lambda c: F.when(~F.col(c).startswith("_:"), F.col(c)).alias(c)
+    return read.select(named("s"), "p", F.when(F.col("kind") != "blank", F.col("o")).alias("o"), "kind").groupBy("s", "p", "o", "kind").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT p, count(*) AS n_left, count(*) AS n_right FROM supplier, (SELECT unnest(['name', 'nation', 'tag']) AS p) WHERE s_suppkey % 10 = 0 GROUP BY p""")
+def graph_differences(t):
+    """Two graphs of blank nodes with other labels and some other names; a changed node's statements all differ."""
+    k = F.col("s_suppkey")
+
+    def graph(label, name):
+        return T.node_triples_of(t("supplier"), F.concat(F.lit("_:"), label), {"name": (name, "string"), "nation": (F.concat(F.lit("nation/"), "s_nationkey"), "iri"), "tag": (k, "integer")})
+
+    left = graph(F.concat(F.lit("a"), k), F.col("s_name"))
+    right = graph(F.concat(F.lit("b"), k * 7), F.when(k % 10 == 0, F.concat("s_name", F.lit("!"))).otherwise(F.col("s_name")))
+    return G.graph_differences(left, right).groupBy("p").agg(F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"))
+
+
 @query("""SELECT p_partkey, CASE WHEN p_partkey % 6 = 0 THEN 'retired' ELSE 'active' END AS status, CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_name END AS name,
     nullif(concat_ws('|', CASE WHEN p_size % 2 = 0 THEN p_brand END, CASE WHEN p_size % 3 = 0 THEN p_type END), '') AS alt FROM part""")
 def element_fields(t):
