@@ -23,6 +23,8 @@ from .schemas import CHANGE_TAGS, INTERVALS, LEGEND_TAGS
 from .sinks import writers as K
 from .sources import rdf
 from .storage import shared_dir
+from .streaming.sessions import run_once
+from .streaming.sessions import stream_sessions as sessions_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -531,6 +533,27 @@ def graph_differences(t):
     return G.graph_differences(left, right).groupBy("p").agg(F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"))
 
 
+@query("""WITH g AS (SELECT *, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) > 43200000000 THEN 1 ELSE 0 END AS new FROM events),
+    s AS (SELECT user_id, epoch_us(ts) AS us, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS session FROM g)
+    SELECT user_id, min(us) AS first, max(us) AS last, count(*) AS n FROM s GROUP BY user_id, session""")
+def stream_sessions(t):
+    """The sessions of ``gap_sessions`` from a stream: events come in batches, out of order by two days and more, then one far later row closes all."""
+    e = t("events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    spark, folder = e.sparkSession, shared_dir(e.sparkSession, "stream")
+    span = e.agg(F.min(F.unix_seconds("ts")).alias("lo"), F.max(F.unix_seconds("ts")).alias("hi")).first()
+    lo, width = span.lo or 0, ((span.hi or 0) - (span.lo or 0)) // 8 + 1
+    # Rows go to the batch of their time, or of a time up to two days later, so that none comes later than this.
+    lateness = 2 * 86_400 + width
+    batch = F.least(F.lit(7), F.floor((F.unix_seconds("ts") + F.pmod(F.xxhash64("user_id", "ts"), F.lit(2 * 86_400)) - lo) / width)).cast("int")
+    for i in range(8):
+        e.where(batch == i).write.mode("append").parquet(f"{folder}/in")
+    last = e.agg(F.lit(None).cast(e.schema["user_id"].dataType).alias("user_id"), (F.max("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(3 * lateness))).alias("ts"))
+    last.where("ts IS NOT NULL").write.mode("append").parquet(f"{folder}/in")
+    rows = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", e.rdd.getNumPartitions()).parquet(f"{folder}/in")
+    run_once(sessions_of(rows, "user_id", "ts", 43_200_000_000, f"{lateness} seconds"), f"{folder}/out", f"{folder}/state")
+    return spark.read.parquet(f"{folder}/out").select("user_id", F.unix_micros("first").alias("first"), F.unix_micros("last").alias("last"), "n")
+
+
 @query("""SELECT p_partkey, CASE WHEN p_partkey % 6 = 0 THEN 'retired' ELSE 'active' END AS status, CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_name END AS name,
     nullif(concat_ws('|', CASE WHEN p_size % 2 = 0 THEN p_brand END, CASE WHEN p_size % 3 = 0 THEN p_type END), '') AS alt FROM part""")
 def element_fields(t):

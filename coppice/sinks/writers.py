@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -121,25 +118,8 @@ def element_files(nodes: DataFrame, statements: DataFrame, context: DataFrame, n
 
 
 def write_files(files: DataFrame, folder: str) -> None:
-    """Writes rows (path, text) as files under ``folder``, from the executors, each under a passing name first.
-
-    A task that runs again writes the same bytes, so lost executors leave no broken file. ``folder`` is a path or URI
-    that all executors see.
-    """
+    """Writes rows (path, text) as files under ``folder`` by a sink that commits: see ``file_sink``."""
+    from .file_sink import FileSink
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        system, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
-        n = 0
-        for batch in batches:
-            for path, text in zip(batch.column("path").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                target = f"{root}/{path}"
-                system.create_dir(target.rpartition("/")[0], recursive=True)
-                with system.open_output_stream(f"{target}.part") as f:
-                    f.write(text.encode())
-                system.move(f"{target}.part", target)
-                n += 1
-        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
-
-    files.select("path", "text").mapInArrow(run, "n long").agg(F.sum("n")).collect()
+    files.sparkSession.dataSource.register(FileSink)
+    files.select("path", "text").write.format("coppice_files").option("path", folder).mode("append").save()

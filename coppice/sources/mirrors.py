@@ -2,45 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
-
-from ..functions.text import leading_int, strip
-
-_TAG = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
-
-
-def _whole(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.col("value"))
-
-
-def _markup(spark: SparkSession, path: str) -> DataFrame:
-    """Whole XML files without comments and sections of literal text."""
-    return _whole(spark, path).withColumn("value", F.regexp_replace("value", r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>", ""))
+import re
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-def _attribute(tag: Column, name: str) -> Column:
-    """An attribute of a start tag; null if it has none. The XML functions know both quotes and all references."""
-    alone = F.regexp_replace(tag, r"/?>$", "/>")
-    return F.when(F.xpath_boolean(alone, F.lit(f"/*/@{name}")), F.xpath_string(alone, F.lit(f"/*/@{name}")))
+from ..functions.text import BLANKS, leading_int, strip
+from .ranges import Lines, byte_ranges
+from .xml_source import xml
 
 
 def segments_mirror(spark: SparkSession, path: str) -> DataFrame:
     """tag, name, desc, type, max_length (0 if it is missing): ``data_element`` at any depth, numbers of 1000 or more, the first of each tag."""
-    e = _markup(spark, path).select("file", F.posexplode(F.regexp_extract_all("value", F.lit(rf"(<data_element(?=[\s/>]){_TAG}>)"), F.lit(1))).alias("ord", "e"))
-    e = e.select("file", "ord", leading_int(_attribute(F.col("e"), "id")).alias("tag"), *[_attribute(F.col("e"), a).alias(a) for a in ("name", "desc", "type")], leading_int(_attribute(F.col("e"), "maxlength")).alias("max_length"))
+    e = xml(spark, path, "elements").select("file", "ord", leading_int(F.col("id")).alias("tag"), "name", "desc", "type", leading_int(F.col("maxlength")).alias("max_length"))
     first = e.where("tag >= 1000").groupBy("tag").agg(F.min_by(F.struct("name", "desc", "type", "max_length"), F.struct("file", "ord")).alias("m"))
     return first.select("tag", "m.*")
 
 
 def code_counts(spark: SparkSession, path: str) -> DataFrame:
     """id, n: number of ``code`` children of the elements right under the root ``data_elements``; the last of each id wins."""
-    root = r"(?s)^(?:\s|\x{FEFF}|<\?.*?\?>|<!DOCTYPE[^>]*>)*<data_elements(?=[\s/>])"
-    docs = _markup(spark, path).where(F.col("value").rlike(root))
-    parsed = F.from_xml("value", "data_element array<struct<_id string, code array<string>>>")
-    e = docs.select("file", F.posexplode(parsed["data_element"]).alias("ord", "e"))
-    e = e.select(leading_int(F.col("e._id")).alias("id"), F.coalesce(F.size("e.code"), F.lit(0)).alias("n"), F.struct("file", "ord").alias("at"))
-    return e.groupBy("id").agg(F.max_by(F.greatest("n", F.lit(0)), "at").cast("int").alias("n"))
+    e = xml(spark, path, "codes").select(leading_int(F.col("id")).alias("id"), "n", F.struct("file", "ord").alias("at"))
+    return e.groupBy("id").agg(F.max_by("n", "at").alias("n"))
 
 
 #: A code line, a line that goes on with the description, and lines that say nothing.
@@ -49,33 +33,72 @@ MORE_LINE = r"^\s{10,}\S.*$"
 NO_LINE = r"^\*|^(?i)\s*(?:Desc|Repr|Note):"
 
 
-def code_entries(spark: SparkSession, path: str) -> DataFrame:
+_CODE, _MORE, _NO = re.compile(CODE_LINE, re.A), re.compile(MORE_LINE, re.A), re.compile(r"\*|(?i:\s*(?:Desc|Repr|Note):)", re.A)
+
+
+def _entries(lines: Lines) -> Iterator[tuple[int, str, str, str]]:
+    """Offset, code, name and description of the entries whose code line begins in the range; what goes on past its end is read on."""
+    at, now, parts = lines.begin, None, []
+
+    def kind(raw: bytes) -> tuple[re.Match | None, str]:
+        line = raw.decode("utf-8", "replace").rstrip(BLANKS)
+        return (None, "") if not line or _NO.match(line) else (_CODE.match(line), line)
+
+    def done() -> tuple[int, str, str, str]:
+        return *now, " ".join(parts).strip(BLANKS)
+
+    own = lines.own()
+    for raw in own[:-1].split(b"\n") if own.endswith(b"\n") else own.split(b"\n") if own else []:
+        code, line = kind(raw)
+        if code:
+            if now:
+                yield done()
+            now, parts = (at, code[1], code[2].strip(BLANKS)), []
+        elif now and _MORE.match(line):
+            parts.append(line.strip(BLANKS))
+        at += len(raw) + 1
+    if now:
+        for raw in lines.after():
+            code, line = kind(raw)
+            if code:
+                break
+            if _MORE.match(line):
+                parts.append(line.strip(BLANKS))
+        yield done()
+
+
+def code_entries(spark: SparkSession, path: str, split_bytes: int = 8 << 20) -> DataFrame:
     """code_list, entry, code, name, description of text lists, one file ``<number>.txt`` per list; numbers under 1000 are skipped.
 
     A code line holds up to six blanks, a code of one to three capitals or digits, two blanks and the name. Lines that
     begin with ten blanks go on with the description. Empty lines, lines with a star in the first column, and Desc,
     Repr and Note lines in any case are skipped; other lines are ignored and end nothing.
+
+    Files are read in byte ranges: an entry is the range's in which its code line begins, and ``entry``, where that
+    line begins in the file, orders the entries of a list. The result is the same for every ``split_bytes``.
     """
-    files = _whole(spark, path).where(F.col("file").endswith(".txt")).withColumn("code_list", leading_int(F.col("file"))).where("code_list >= 1000")
-    lines = files.select("code_list", F.posexplode(F.split("value", "\n")).alias("line_no", "line")).withColumn("line", F.regexp_replace("line", r"\s+$", ""))
-    lines = lines.where((F.col("line") != "") & ~F.col("line").rlike(NO_LINE))
-    lines = lines.withColumn("is_code", F.col("line").rlike(CODE_LINE)).where(F.col("is_code") | F.col("line").rlike(MORE_LINE))
-    w = Window.partitionBy("code_list").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    lines = lines.withColumn("entry", F.sum(F.col("is_code").cast("int")).over(w)).where("entry > 0")
-    parts = F.array_sort(F.collect_list(F.when(~F.col("is_code"), F.struct("line_no", strip(F.col("line")).alias("t")))))
-    code = lambda i: F.max(F.when(F.col("is_code"), strip(F.regexp_extract("line", CODE_LINE, i))))
-    return lines.groupBy("code_list", "entry").agg(code(1).alias("code"), code(2).alias("name"), strip(F.array_join(F.transform(parts, lambda x: x.t), " ")).alias("description"))
+    ranges = byte_ranges(spark, path, split_bytes, "*.txt").withColumn("code_list", leading_int(F.element_at(F.split("path", "/"), -1))).where("code_list >= 1000")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                lines = Lines(r["path"], r["begin"], r["end"], r["length"])
+                found = list(_entries(lines))
+                lines.close()
+                if found:
+                    entry, code, name, description = zip(*found, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([r["code_list"]] * len(found), pa.int32()), pa.array(entry, pa.int64()), *(pa.array(c, pa.string()) for c in (code, name, description))], ["code_list", "entry", "code", "name", "description"])
+
+    return ranges.mapInArrow(run, "code_list int, entry long, code string, name string, description string")
 
 
 def words(spark: SparkSession, path: str, first_page: int = 1) -> DataFrame:
     """page, word_no, text, x, y of XHTML word boxes; the first page of a file has the number ``first_page``."""
-    pages = _markup(spark, path).select(F.posexplode(F.slice(F.split("value", r"<page(?=[\s/>])"), 2, 1 << 30)).alias("p", "page"))
-    w = pages.select((F.col("p") + first_page).alias("page"), F.posexplode(F.regexp_extract_all("page", F.lit(rf"(<word(?=[\s/>]){_TAG}>[^<]*</word>)"), F.lit(1))).alias("word_no", "w"))
-    box = lambda a: F.xpath_string("w", F.lit(f"/word/@{a}")).try_cast("double")
-    return w.select("page", "word_no", F.xpath_string("w", F.lit("/word")).alias("text"), box("xMin").alias("x"), box("yMin").alias("y"))
+    return xml(spark, path, "words").select((F.col("page") + first_page).alias("page"), "word_no", "text", "x", "y")
 
 
 def ocr_texts(spark: SparkSession, path: str) -> DataFrame:
     """tag, field, ocr of files ``<tag>-<field>.txt`` that an OCR program wrote, white space squeezed. Reading images is no work for Spark."""
     name = F.regexp_extract(F.col("file"), r"^(\d+)-(\w+)\.txt$", 2)
-    return _whole(spark, path).select(leading_int(F.col("file")).alias("tag"), name.alias("field"), strip(F.regexp_replace("value", r"\s+", " ")).alias("ocr")).where("field <> ''")
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
+    return files.select(leading_int(F.col("file")).alias("tag"), name.alias("field"), strip(F.regexp_replace("value", r"\s+", " ")).alias("ocr")).where("field <> ''")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from fnmatch import fnmatch
 from urllib.parse import unquote
 
 
@@ -15,39 +16,47 @@ def resolve(given: str | None, variable: str, default: str, must_exist: bool = T
     return path
 
 
-def _system(path: str):
+def system_of(path: str):
     """The file system and the path in it. Spark's file sources name local files with one stroke after the colon."""
     from pyarrow import fs
 
     if path.startswith("file:"):
         return fs.LocalFileSystem(), unquote(re.sub("^file:/*", "/", path))
-
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
 def exists(path: str) -> bool:
-    system, p = _system(path)
+    system, p = system_of(path)
     return system.get_file_info(p).type.name != "NotFound"
 
 
 def listed(path: str, ending: str) -> list[str]:
-    """The files of a folder with an ending, sorted by path; a file is a list of itself."""
+    """The files of a folder with an ending, sorted by path; a file is a list of itself. The last part of a path may be a pattern."""
     from pyarrow import fs
 
-    system, p = _system(path)
-    if system.get_file_info(p).type != fs.FileType.Directory:
+    folder, _, last = path.rstrip("/").rpartition("/")
+    pattern = last if any(c in last for c in "*?[") else None
+    system, p = system_of(folder if pattern else path)
+    if not pattern and system.get_file_info(p).type != fs.FileType.Directory:
         return [path]
-    own = sorted(f.path for f in system.get_file_info(fs.FileSelector(p)) if f.type == fs.FileType.File and f.base_name.endswith(ending))
-    return [f"{path.rstrip('/')}/{x.rpartition('/')[2]}" for x in own]
+    fits = lambda name: name.endswith(ending) and (pattern is None or fnmatch(name, pattern)) and not name.startswith((".", "_"))
+    own = sorted(f.path for f in system.get_file_info(fs.FileSelector(p)) if f.type == fs.FileType.File and fits(f.base_name))
+    return [f"{(folder if pattern else path).rstrip('/')}/{x.rpartition('/')[2]}" for x in own]
 
 
 def content(path: str) -> str:
-    system, p = _system(path)
+    system, p = system_of(path)
     with system.open_input_stream(p) as f:
         return f.read().decode("utf-8")
 
 
 def opened(path: str):
     """A file to read at any place; it has seek, read and close."""
-    system, p = _system(path)
+    system, p = system_of(path)
     return system.open_input_file(p)
+
+
+def streamed(path: str):
+    """A file to read from its begin on."""
+    system, p = system_of(path)
+    return system.open_input_stream(p)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from .paths import opened
 
 def byte_ranges(spark: SparkSession, path: str, split_bytes: int, pattern: str | None = None) -> DataFrame:
     """path, begin, end, length of the ranges of all files under ``path`` that hold anything, each row a task's work."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    reader = spark.read.format("binaryFile")
     files = (reader.option("pathGlobFilter", pattern) if pattern else reader).load(path).where("length > 0").select("path", "length")
     each = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))).alias("begin"))
     return each.select("path", "begin", F.least(F.col("begin") + split_bytes, F.col("length")).alias("end"), "length").repartition(F.col("path"), F.col("begin"))
@@ -40,7 +42,21 @@ class Lines:
         return self.file.read(max(0, min(n, self.length - at)))
 
     def text(self) -> str:
-        return self.read(self.begin, self.end - self.begin).decode("utf-8")
+        return self.own().decode("utf-8")
+
+    def own(self) -> bytes:
+        return self.read(self.begin, self.end - self.begin)
+
+    def after(self, step: int = 1 << 16) -> Iterator[bytes]:
+        """The lines past the range, without their ends, as far as the reader wants them."""
+        at, rest = self.end, b""
+        while at < self.length:
+            piece = self.read(at, step)
+            at += len(piece)
+            *lines, rest = (rest + piece).split(b"\n")
+            yield from lines
+        if rest:
+            yield rest
 
     def more(self, n: int) -> str:
         """About ``n`` bytes past the range, up to a line end."""

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualNullSafe, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 from pyspark.sql.types import StructType
 
 from ..schemas import ELEMENT, REVIEW
@@ -16,7 +17,11 @@ _FILE = f"file string, file_no int, category string, ord int, {ELEMENT}"
 
 
 class YamlSource(DataSource):
-    """``format("coppice_yaml")``: option ``path`` is a folder or a file, ``kind`` is elements (default) or review."""
+    """``format("coppice_yaml")``: option ``path`` is a folder or a file, ``kind`` is elements (default) or review.
+
+    With ``prune`` files are known by their names, ``first-last.yaml``, to hold nothing but tags of that range, and a
+    condition on ``tag`` opens none but those that it can meet. ``spark.sql.python.filterPushdown.enabled`` must be set.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -29,16 +34,53 @@ class YamlSource(DataSource):
         return _Reader(self.options)
 
 
+def name_range(path: str) -> tuple[int, int] | None:
+    """First and last tag of a file by its name; None if the name says nothing."""
+    m = re.fullmatch(r"(\d+)-(\d+)\.yaml", path.rpartition("/")[2])
+    return (int(m[1]), int(m[2])) if m else None
+
+
+def may_meet(f: Filter) -> Callable[[int, int], bool] | None:
+    """Whether a range of tags, by its first and last, can hold one that meets a condition; None if it is none on ``tag``."""
+    if getattr(f, "attribute", None) != ("tag",):
+        return None
+    match f:
+        case EqualTo(value=v) | EqualNullSafe(value=v) if v is not None:
+            return lambda lo, hi: lo <= v <= hi
+        case GreaterThan(value=v):
+            return lambda lo, hi: hi > v
+        case GreaterThanOrEqual(value=v):
+            return lambda lo, hi: hi >= v
+        case LessThan(value=v):
+            return lambda lo, hi: lo < v
+        case LessThanOrEqual(value=v):
+            return lambda lo, hi: lo <= v
+        case In(value=vs):
+            return lambda lo, hi: any(v is not None and lo <= v <= hi for v in vs)
+    return None
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options) -> None:
         self.path, self.kind = options["path"], options.get("kind", "elements")
+        self.prune = self.kind == "elements" and options.get("prune", "false").lower() == "true"
+        self.tests: list[Callable[[int, int], bool]] = []
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        """Keeps what a condition on ``tag`` says of a file's range; every condition is left to Spark too, as a range holds more than it asks for."""
+        if self.prune:
+            self.tests = [t for f in filters if (t := may_meet(f)) is not None]
+        return filters
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition((i, f)) for i, f in enumerate(listed(self.path, ".yaml"))]
+        files = list(enumerate(listed(self.path, ".yaml")))
+        return [InputPartition((i, f)) for i, f in files if (r := name_range(f)) is None or all(t(*r) for t in self.tests)]
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
+    def read(self, partition: InputPartition | None) -> Iterator[tuple]:
         import yaml
 
+        if partition is None:  # Spark asks once where there is no partition
+            return
         number, path = partition.value
         data = yaml.load(content(path), Loader=getattr(yaml, "CSafeLoader", yaml.SafeLoader)) or {}
         name = path.rpartition("/")[2]
@@ -58,9 +100,17 @@ def _read(spark: SparkSession, path: str, kind: str) -> DataFrame:
     return spark.read.format("coppice_yaml").option("path", path).option("kind", kind).load()
 
 
-def elements(spark: SparkSession, path: str) -> DataFrame:
-    """All elements of a folder, with file, file_no (path order), category and ord (place in the file)."""
-    return _read(spark, path, "elements")
+def elements(spark: SparkSession, path: str, prune: bool = False) -> DataFrame:
+    """All elements of a folder, with file, file_no (path order), category and ord (place in the file).
+
+    ``prune`` trusts the files' names: conditions on ``tag`` leave files of other ranges unopened. Validation must not,
+    as it looks for tags outside of their file's range.
+    """
+    if not prune:
+        return _read(spark, path, "elements")
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(YamlSource)
+    return spark.read.format("coppice_yaml").option("path", path).option("prune", "true").load()
 
 
 def review_queue(spark: SparkSession, path: str) -> DataFrame:
