@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import stored
+
 
 def codebook(x: np.ndarray, k: int, rounds: int = 12, seed: int = 7) -> np.ndarray:
     """Lloyd's centroids of the distinct rows of ``x``."""
@@ -94,13 +96,13 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def search(
-    vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 20, share: float = 0.4, floor: int = 4096, sample: int = 20000, block: int = 16384, askers: int = 8192, walkers: int = 256
+    vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 20, share: float = 0.55, sample: int = 20000, block: int = 16384, askers: int = 8192, walkers: int = 256
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest vectors found for each query, but the query's own.
 
     Vectors that are null, zero, or hold null or non-finite components take no part, neither do vectors of another
-    length than the commonest. Ties go to the smaller id. A walk meets ``floor`` entries at least. ``share``
-    suits vectors without any cluster structure, the hardest case. Repeated rows of ``vectors`` are entries of their
+    length than the commonest. Ties go to the smaller id. ``share`` suits vectors without any cluster structure, the
+    hardest case, at every size: it is the same for small tables and for large ones. Repeated rows of ``vectors`` are entries of their
     own; of query rows with one id, that with the smallest vector asks, once, and no row with its id is found for it.
     Extra columns are not read, whatever their names; an empty table gives no rows.
     """
@@ -114,7 +116,7 @@ def search(
     half = max(1, dim // 2)
     fitted = v.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("v").toArrow().column("v").combine_chunks()
     x = _matrix(fitted, dim)
-    wide = int(np.clip(np.sqrt(n) * 1.3, 4, 128))
+    wide = int(np.clip(np.sqrt(n) * 3, 4, 128))
     books = codebook(x[:, :half], wide), codebook(x[:, half:], wide) if dim > 1 else np.zeros((1, 0))
     width = len(books[1])
 
@@ -143,7 +145,8 @@ def search(
 
     placed = v.withColumn("h", F.pmod(F.xxhash64("vec_id", "v"), F.lit(1 << 40))).select("vec_id", "v", "h").mapInArrow(place, f"vec_id long, cell int, v {kind}, shard long")
     weight = np.minimum(count, max(8.0, 32 * n / max(1, (count > 0).sum())))
-    least = min(weight.sum(), max(weight.sum() * share, float(floor)))
+    # A walk goes on until it has met enough to fill the answer.
+    least = min(weight.sum(), max(weight.sum() * share, float(k + 1)))
     weight = weight.tolist()
 
     filled = np.flatnonzero(count)
@@ -163,8 +166,11 @@ def search(
     asks = asked.count()
     visits = asked.repartition(max(1, -(-asks // walkers)), "query_id").mapInArrow(visit, f"query_id long, reach double, q {kind}, shards array<long>")
     sets = max(1, -(-asks // askers))
-    left = placed.select("shard", F.explode(F.sequence(F.lit(0), F.lit(sets - 1))).alias("asked"), "vec_id", "cell", "v")
+    visits = stored(visits, "visits")
     right = visits.select(F.explode("shards").alias("shard"), F.pmod(F.xxhash64("query_id"), F.lit(sets)).cast("int").alias("asked"), "query_id", "reach", "q")
+    # Entries go to the blocks of queries that met their shard, not to all.
+    needed = right.select(F.col("shard").alias("of"), F.col("asked").alias("to")).distinct()
+    left = placed.join(needed, F.col("shard") == F.col("of")).select("shard", F.col("to").alias("asked"), "vec_id", "cell", "v")
 
     def rerank(entries: pa.Table, own: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []

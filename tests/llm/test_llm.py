@@ -338,6 +338,30 @@ def test_multi_index(spark):
     assert search(df.where("vec_id < 3"), df.where("vec_id = 0")).count() == 2
 
 
+@pytest.mark.parametrize(("n", "clustered"), [(200, False), (2000, False), (6000, False), (6000, True), (100_000, False)])
+def test_multi_index_recall(spark, n, clustered):
+    """Through the walk at every size, at the parameters of the query."""
+    from coppice.llm.multi_index import search
+
+    rng = np.random.default_rng(n)
+    x = rng.normal(size=(n, 64))
+    if clustered:
+        x = rng.normal(size=(60, 64))[rng.integers(0, 60, n)] + 0.5 * x
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "embedding": pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), 64).cast(pa.list_(pa.float64()))}))
+    step = max(1, n // 200)
+    got = collections.defaultdict(set)
+    for r in search(df, df.where(f"vec_id % {step} = 0")).collect():
+        got[r.query_id].add(r.vec_id)
+    hit = 0
+    for q in range(0, n, step):
+        s = x @ x[q]
+        s[q] = -2
+        hit += len(got[q] & set(np.argsort(-s)[:20].tolist()))
+    assert all(len(v) == 20 for v in got.values())
+    assert hit / (20 * len(range(0, n, step))) >= 0.9
+
+
 def test_multi_index_shards():
     from coppice.llm.multi_index import layout, shards_of
 
