@@ -33,10 +33,15 @@ def counters(elements: DataFrame, mirror: DataFrame) -> DataFrame:
     )
     active = elements.where("status = 'active'")
     ours = only_in(active, mirror, "tag", "tag").agg(F.count("*").alias("only_ours"))
-    theirs = only_in(mirror, active, "tag", "tag").agg(F.count("*").alias("only_mirror"))
+    theirs = only_mirror(elements, mirror).agg(F.count("*").alias("only_mirror"))
     return own.crossJoin(ours).crossJoin(theirs)  # one row each
 
 
+def only_mirror(elements: DataFrame, mirror: DataFrame) -> DataFrame:
+    """tag of the mirror's entries that no active element has."""
+    return only_in(mirror, elements.where("status = 'active'"), "tag", "tag").select("tag")
+
+
 def differences(elements: DataFrame, mirror: DataFrame) -> DataFrame:
     """kind (repr, desc), tag, ours, other of what differs."""
     c = compared(elements, mirror)

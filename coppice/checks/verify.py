@@ -148,18 +148,20 @@ def verify(elements: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [retired_references(elements), bridge_zones(elements), tails_report(elements), endings_report(elements)])
 
 
-def verify_source(elements: DataFrame, words: DataFrame, fresh: DataFrame | None = None, stored: DataFrame | None = None) -> DataFrame:
-    """All eight checks: those of ``verify``, and those that read the source's words again; regeneration if both file sets are given.
+def verify_source(elements: DataFrame, words: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """All eight checks: those of ``verify``, and those that read the source's words again; regeneration if the ``stored`` files (path, content) are given.
 
     The checks run here, one after the other, as they share one extraction; the result holds their eight rows.
     """
     from ..operators.extraction import extract
     from ..operators.ordered import layout_lines
+    from ..sinks.writers import review_file, stored_form, yaml_files
 
     kept = layout_lines(words).persist()
     x = extract(words).persist()
     order = x.rows.select("row_id.page", "row_id.n", "tag")
-    parts = [regeneration(fresh, stored)] if fresh is not None and stored is not None else []
+    fresh = yaml_files(x.elements.drop("row_id")).unionByName(review_file(x.reviews))
+    parts = [regeneration(stored_form(fresh), stored)] if stored is not None else []
     parts += [character_conservation(kept, x.cells, x.rows, elements), uid_reconciliation(kept, elements), tag_order(order), retired_references(elements), bridge_zones(elements), tails_report(elements), endings_report(elements)]
     told = [tuple(p.first()) for p in parts]
     x.unpersist()

@@ -95,8 +95,15 @@ def joins(command: str, e: DataFrame, mirror: str, source: str) -> DataFrame:
         refs = J.references(M.code_entries(spark, mirror))
         return D.references_document(J.nested_references(refs, e), J.unknown_tags(refs, e), source, "", "bracketed numbers are equal, numbers in parentheses related")
     m = M.segments_mirror(spark, mirror)
-    lines = D.crosscheck_report(Y.counters(e, m), Y.differences(e, m), [source])
-    return lines.withColumn("n", F.monotonically_increasing_id()).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "line"))), lambda x: x.line), "\n").alias("text"))
+    lines = D.crosscheck_report(Y.counters(e, m), Y.differences(e, m), Y.only_mirror(e, m), [source])
+    return lines.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "ord", "line"))), lambda x: x.line), "\n").alias("text"))
+
+
+def crosscheck_console(e: DataFrame, mirror: str, source: str) -> list[str]:
+    """The counters, the first differences and the first tags that the mirror alone has."""
+    m = M.segments_mirror(e.sparkSession, mirror)
+    shown = D.crosscheck_report(Y.counters(e, m), Y.differences(e, m), Y.only_mirror(e, m), [source], console=True)
+    return [r.line for r in shown.orderBy("part", "ord").collect()]
 
 
 def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -115,9 +122,10 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
     if a.command == "extract":
         from .operators.extraction import extract, statistics
 
-        x = extract(M.words(spark, resolve(a.words, "COPPICE_WORDS", "words.xhtml"), a.first_page))
+        x = extract(M.words(spark, resolve(a.words, "COPPICE_WORDS", "words.xhtml"), a.first_page)).persist()
         K.write_files(K.yaml_files(x.elements.drop("row_id")).unionByName(K.review_file(x.reviews)), a.out)
         print("\n".join(extraction_report(statistics(x))))
+        x.unpersist()
         return 0
     data = resolve(a.data, "COPPICE_DATA", "data")
     e = elements(spark, f"{data}/elements")
@@ -125,14 +133,17 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
         export(e, a.out, a.namespace, a.source, a.pages)
         return 0
     if a.command in ("links", "coverage", "references", "crosscheck"):
-        one = joins(a.command, e, resolve(a.mirror, "COPPICE_MIRROR", "mirror"), a.source)
+        mirror = resolve(a.mirror, "COPPICE_MIRROR", "mirror")
+        one = joins(a.command, e, mirror, a.source)
+        if a.command == "crosscheck":
+            print("\n".join(crosscheck_console(e, mirror, a.source)))
         _put(one, f"{a.command}.{'txt' if a.command == 'crosscheck' else 'json'}", a.out)
         return 0
     queue = f"{data}/review-queue.yaml"
     if a.command == "validate":
         lines, well = validation_report(V.validate(e, review_queue(spark, queue) if exists(queue) else None), V.summary(e, review_queue(spark, queue)))
     else:
-        checks = W.verify_source(e, M.words(spark, a.words, a.first_page)) if a.words else W.verify(e)
+        checks = W.verify_source(e, M.words(spark, a.words, a.first_page), J.files(spark, data).where("path = 'review-queue.yaml' OR path LIKE 'elements/%'")) if a.words else W.verify(e)
         lines, well = verification_report(checks)
     print("\n".join(lines))
     return 0 if well else 1

@@ -66,15 +66,39 @@ def references_document(links: DataFrame, unknown: DataFrame, source: str, vinta
     return one.select(F.to_json(F.struct(*heads, "elements", "refs", "equals", "related", "unknown_tags", "links"), {"pretty": "true"}).alias("json"))
 
 
-def crosscheck_report(counters: DataFrame, differences: DataFrame, title: list[str], limit: int = 15) -> DataFrame:
-    """line: title, the counters of ``checks.crosscheck``, then the first differences of each kind by tag."""
-    from pyspark.sql import Window
+#: How many differences of each kind, and tags that the mirror alone has, the console shows.
+SHOWN = {"repr": 15, "desc": 8}
+SHOWN_TAGS = 20
 
+
+def crosscheck_lines(differences: DataFrame, shown: dict[str, int] | None = None) -> DataFrame:
+    """part, ord, line: the differences of each kind by tag, under a heading; all of them or the first ``shown``.
+
+    All of them are numbered over ranges of (kind, tag), so that a kind may have any number.
+    """
+    from ..operators import scan
+
+    two = F.concat(F.col("tag"), F.lit(":\n    ours: "), F.coalesce("ours", F.lit("")), F.lit("\n    other: "), F.coalesce("other", F.lit("")))
+    one = F.format_string("%d: ours %s, other %s", "tag", F.coalesce("ours", F.lit("")), F.coalesce("other", F.lit("")))
+    d = differences.select("kind", "tag", F.when(F.col("kind") == "repr", one).otherwise(two).alias("line"))
+    d = scan.running(scan.ordered(d, ["kind"], ["tag", "line"]), ["kind"], F.lit(1), "n")
+    if shown:
+        d = d.where(F.coalesce(*[F.when(F.col("kind") == k, F.col("n") <= n) for k, n in shown.items()], F.lit(True)))
+    return d.select(F.when(F.col("kind") == "repr", 3).otherwise(5).alias("part"), F.col("n").alias("ord"), "line")
+
+
+def crosscheck_report(counters: DataFrame, differences: DataFrame, alone: DataFrame, title: list[str], console: bool = False) -> DataFrame:
+    """part, ord, line: title, counters, differences and the tags that the mirror alone has (``alone``: tag), to be put in order by (part, ord).
+
+    The file has all differences and tags, the console the first ones.
+    """
     spark = counters.sparkSession
+    fixed = lambda part, text: spark.createDataFrame([(part, 0, text)], "part int, ord long, line string")
     heads = spark.createDataFrame([(0, i, x) for i, x in enumerate(title)], "part int, ord long, line string")
     sums = counters.select(F.lit(1).alias("part"), F.lit(0).cast("long").alias("ord"), F.to_json(F.struct(*counters.columns)).alias("line"))
-    # The first ones of each kind: a limit is the feature here, the counters cover all.
-    w = Window.partitionBy("kind").orderBy("tag")
-    first = differences.withColumn("n", F.row_number().over(w)).where(F.col("n") <= limit)
-    lines = first.select(F.when(F.col("kind") == "repr", 2).otherwise(3).alias("part"), F.col("n").cast("long").alias("ord"), F.format_string("%s DIFF %d: ours %s, other %s", F.upper("kind"), "tag", "ours", "other").alias("line"))
-    return heads.unionByName(sums).unionByName(lines).orderBy("part", "ord").select("line")
+    tags = alone.orderBy("tag").limit(SHOWN_TAGS) if console else alone
+    tags = tags.select(F.lit(7).alias("part"), F.col("tag").cast("long").alias("ord"), F.col("tag").cast("string").alias("line"))
+    parts = [sums, fixed(2, "\nREPR DIFFS:"), crosscheck_lines(differences, SHOWN if console else None), fixed(4, "\nDESC DIFFS:"), fixed(6, "\nONLY IN THE MIRROR:"), tags]
+    for p in parts:
+        heads = heads.unionByName(p)
+    return heads

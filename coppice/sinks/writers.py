@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.text import header
+from .yaml_text import yaml_item
 
 #: The columns of the flat export.
 CSV_COLUMNS = ["tag", "change_tag", "status", "name", "description", "repr_raw", "repr_charset", "repr_min_length", "repr_max_length", "old_name", "business_term", "notes", "bridges", "page"]
@@ -27,28 +31,48 @@ def write_json_lines(rows: DataFrame, order: str, path: str) -> None:
     rows.repartitionByRange(order).sortWithinPartitions(order).write.mode("overwrite").json(path)
 
 
-def _yaml_list(rows: DataFrame, by: list[Column], order: list[str], record: Column) -> DataFrame:
-    """The JSON of each record as a YAML list item, joined in order. JSON objects are YAML flow mappings, so no Python is needed."""
-    body = rows.select(*by, *order, F.to_json(record).alias("j"))
-    lines = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, "j"))), lambda x: F.concat(F.lit("- "), x.j)), "\n")
-    return body.groupBy(*[F.col(n) for n in body.columns[: len(by)]]).agg(lines.alias("items"))
+def _yaml_items(rows: DataFrame, record: Column) -> DataFrame:
+    """``rows`` with ``item``: the record as an item of a YAML list, null fields left out."""
+
+    names = rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items = pa.array([yaml_item(x) for x in batch.column("__record").to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), items], [*names, "item"])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.withColumn("__record", record).mapInArrow(run, f"{kinds}, item string")
+
+
+def _listed_items(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """The items of each group, in order, as one text."""
+    each = F.transform(F.array_sort(F.collect_list(F.struct(*order, "item"))), lambda x: x["item"])
+    return rows.groupBy(*by).agg(F.array_join(each, "").alias("items"))
 
 
 def yaml_files(elements: DataFrame, width: int = 1000, reach: int = 699) -> DataFrame:
     """path, text: a YAML document per key range, its category's heading first, elements by tag. A range holds at most ``width`` tags."""
     fields = [c for c in elements.columns if c not in ("file", "file_no", "category", "ord")]
-    rows = _yaml_list(elements, [F.floor(F.col("tag") / width).cast("int").alias("k")], ["tag"], F.struct(*[F.col(c).alias(c) for c in fields]))
+    rows = elements.select(F.floor(F.col("tag") / width).cast("int").alias("k"), "tag", F.struct(*[F.col(c).alias(c) for c in fields]).alias("r"))
+    rows = _listed_items(_yaml_items(rows, F.col("r")).drop("r"), ["k"], ["tag"])
     base = F.col("k") * width
     heading = F.coalesce(*[F.when(F.col("k") == k, header(F.lit(s), F.lit(r), F.lit(label))) for k, s, r, label in S.CATEGORIES], F.concat(base, F.lit(" uncategorized")))
-    return rows.select(F.concat(F.lit("elements/"), base, F.lit("-"), base + reach, F.lit(".yaml")).alias("path"), F.concat(F.lit('category: "'), heading, F.lit('"\nelements:\n'), "items", F.lit("\n")).alias("text"))
+    heading = F.when(F.contains(heading, F.lit(": ")), F.concat(F.lit("'"), F.replace(heading, F.lit("'"), F.lit("''")), F.lit("'"))).otherwise(heading)
+    return rows.select(F.concat(F.lit("elements/"), base, F.lit("-"), base + reach, F.lit(".yaml")).alias("path"), F.concat(F.lit("---\ncategory: "), heading, F.lit("\nelements:\n"), "items").alias("text"))
 
 
 def review_file(queue: DataFrame) -> DataFrame:
     """path, text: one row, the review queue by page, tag (missing ones first) and field."""
-    q = queue.select("page", F.coalesce("tag", F.lit(0)).alias("t"), "field", F.struct("page", "tag", "field", "raw_fragments", "issue", "confidence").alias("r"))
-    rows = _yaml_list(q, [F.lit(0).alias("k")], ["page", "t", "field"], F.col("r"))
-    some = rows.select(F.concat(F.lit("entries:\n"), "items", F.lit("\n")).alias("text"))
-    return some.agg(F.coalesce(F.max("text"), F.lit("entries: []\n")).alias("text")).select(F.lit("review-queue.yaml").alias("path"), "text")
+    q = queue.select(F.lit(0).alias("k"), "page", F.coalesce("tag", F.lit(0)).alias("t"), "field", F.struct("page", "tag", "field", "raw_fragments", "issue", "confidence").alias("r"))
+    rows = _listed_items(_yaml_items(q, F.col("r")).drop("r"), ["k"], ["page", "t", "field"])
+    some = rows.select(F.concat(F.lit("---\nentries:\n"), "items").alias("text"))
+    return some.agg(F.coalesce(F.max("text"), F.lit("---\nentries: []\n")).alias("text")).select(F.lit("review-queue.yaml").alias("path"), "text")
+
+
+def stored_form(files: DataFrame) -> DataFrame:
+    """path, content: files to be written, as ``lookup.files`` reads written ones."""
+    return files.select("path", F.col("text").cast("binary").alias("content"))
 
 
 def _quoted(o: Column) -> Column:

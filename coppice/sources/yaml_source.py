@@ -31,7 +31,7 @@ class YamlSource(DataSource):
         return _FILE if self.options.get("kind", "elements") == "elements" else f"file string, ord int, {REVIEW}"
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return _Reader(self.options)
+        return _PruningReader(self.options) if self.options.get("prune", "false").lower() == "true" else _Reader(self.options)
 
 
 def name_range(path: str) -> tuple[int, int] | None:
@@ -63,18 +63,9 @@ def may_meet(f: Filter) -> Callable[[int, int], bool] | None:
 class _Reader(DataSourceReader):
     def __init__(self, options) -> None:
         self.path, self.kind = options["path"], options.get("kind", "elements")
-        self.prune = self.kind == "elements" and options.get("prune", "false").lower() == "true"
-        self.tests: list[Callable[[int, int], bool]] = []
-
-    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
-        """Keeps what a condition on ``tag`` says of a file's range; every condition is left to Spark too, as a range holds more than it asks for."""
-        if self.prune:
-            self.tests = [t for f in filters if (t := may_meet(f)) is not None]
-        return filters
 
     def partitions(self) -> list[InputPartition]:
-        files = list(enumerate(listed(self.path, ".yaml")))
-        return [InputPartition((i, f)) for i, f in files if (r := name_range(f)) is None or all(t(*r) for t in self.tests)]
+        return [InputPartition((i, f)) for i, f in enumerate(listed(self.path, ".yaml"))]
 
     def read(self, partition: InputPartition | None) -> Iterator[tuple]:
         import yaml
@@ -95,6 +86,23 @@ class _Reader(DataSourceReader):
             yield (name, number, text(data.get("category")), i, e.get("tag"), text(e.get("name")), text(e.get("description")), shape, text(e.get("change_tag")), text(e.get("status")), text(e.get("old_name")), text(e.get("business_term")), text(e.get("notes")), text(e.get("bridges")), None if p is None else (p.get("page"),))
 
 
+class _PruningReader(_Reader):
+    """Opens the files that conditions on ``tag`` can meet."""
+
+    def __init__(self, options) -> None:
+        super().__init__(options)
+        self.tests: list[Callable[[int, int], bool]] = []
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        """Keeps what a condition on ``tag`` says of a file's range; every condition is left to Spark too, as a range holds more than it asks for."""
+        self.tests = [t for f in filters if (t := may_meet(f)) is not None]
+        return filters
+
+    def partitions(self) -> list[InputPartition]:
+        fits = lambda path: (r := name_range(path)) is None or all(t(*r) for t in self.tests)
+        return [p for p in super().partitions() if fits(p.value[1])]
+
+
 def _read(spark: SparkSession, path: str, kind: str) -> DataFrame:
     spark.dataSource.register(YamlSource)
     return spark.read.format("coppice_yaml").option("path", path).option("kind", kind).load()

@@ -181,8 +181,14 @@ def test_segments_mirror(spark, tmp_path):
     assert tuple(c) == (3, 2, 0, 2, 1, 1, 1, 0)
     doc = json.loads(D.segment_links_document(J.segment_links(e, m), "src", "cov").first().json)
     assert (doc["joined"], doc["aligned"], [x["tag"] for x in doc["links"]], doc["links"][1]["edifact"]["maxLength"]) == (3, 2, [1000, 1001, 1005], 3)
-    lines = [r.line for r in D.crosscheck_report(Y.counters(e, m), Y.differences(e, m), ["title"]).collect()]
-    assert lines[0] == "title" and json.loads(lines[1])["joined"] == 3 and lines[2].startswith("DESC DIFF 1000") and len(lines) == 3
+    report = lambda d, alone, console: [r.line for r in D.crosscheck_report(Y.counters(e, m), d, alone, ["title"], console).orderBy("part", "ord").collect()]
+    lines = report(Y.differences(e, m), Y.only_mirror(e, m), False)
+    assert lines[0] == "title" and json.loads(lines[1])["joined"] == 3 and lines[2] == "\nREPR DIFFS:" and lines[4].startswith("1000:\n    ours: A number.\n    other: ") and len(lines) == 6
+    # The console shows the first ones of each kind, the file all.
+    many = spark.range(40).selectExpr("explode(array('repr', 'desc')) AS kind", "cast(id AS int) AS tag", "'a' AS ours", "'b' AS other")
+    tags = spark.range(30).selectExpr("cast(id AS int) AS tag")
+    assert [len(report(many, tags, c)) for c in (False, True)] == [5 + 80 + 30, 5 + 15 + 8 + 20]
+    assert report(many, tags, True)[3:5] == ["0: ours a, other b", "1: ours a, other b"]
 
 
 def test_code_counts(spark, tmp_path):
@@ -311,6 +317,13 @@ def test_console(spark, tmp_path, capsys):
     (tmp_path / "words.xhtml").write_text(WORDS, encoding="utf-8")
     assert cli.main(["extract", "--words", f"{tmp_path}/words.xhtml", "--out", f"{tmp_path}/new"], spark) == 0
     assert "change tags: cn=1 cr=1 x=1" in capsys.readouterr().out and elements(spark, f"{tmp_path}/new/elements").count() == 3
+    # A fresh extraction writes what is stored, byte for byte, until someone edits it.
+    again = ["verify", "--data", f"{tmp_path}/new", "--words", f"{tmp_path}/words.xhtml"]
+    cli.main(again, spark)
+    assert "regeneration             PASS  all 2 files byte-identical to fresh extraction" in capsys.readouterr().out
+    (tmp_path / "new" / "elements" / "1000-1699.yaml").write_text((tmp_path / "new" / "elements" / "1000-1699.yaml").read_text().replace("document.", "Document."))
+    assert cli.main(again, spark) == 1
+    assert "regeneration             FAIL  1: elements/1000-1699.yaml changed" in capsys.readouterr().out
     (tmp_path / "s.xml").write_text(SEGMENTS, encoding="utf-8")
     (tmp_path / "c.xml").write_text(CODES, encoding="utf-8")
     (tmp_path / "lists").mkdir()
@@ -319,7 +332,7 @@ def test_console(spark, tmp_path, capsys):
         assert cli.main([command, "--data", str(tmp_path), "--mirror", f"{tmp_path}/{mirror}", "--out", f"{tmp_path}/derived", "--source", "src"], spark) == 0
     derived = lambda n: (tmp_path / "derived" / n).read_text()
     assert json.loads(derived("links.json"))["aligned"] == 2 and json.loads(derived("coverage.json"))["code_values"] == 1 and json.loads(derived("references.json"))["refs"] == 4
-    assert derived("crosscheck.txt").splitlines()[0] == "src"
+    assert derived("crosscheck.txt").splitlines()[0] == "src" and "DESC DIFFS:" in capsys.readouterr().out
     with pytest.raises(FileNotFoundError):
         resolve(None, "COPPICE_NOTHING", f"{tmp_path}/none")
 
@@ -366,3 +379,21 @@ def test_published_graph(spark, published):
     assert T.vocabulary_gaps(statements, NS).count() == 0
     assert T.unresolved(statements, [T.names(NS)[p] for p in ("replacedBy", "category", "inScheme", "isPartOf")]).count() == 0
     assert statements.where(f"s = '{ORIGIN}/elements/9649' AND p = '{NS}tag'").first().o == "9649"
+
+
+def test_published_files_are_written_byte_for_byte(published, spark):
+    e, queue = published
+    fresh = K.stored_form(K.yaml_files(e).unionByName(K.review_file(queue)))
+    files = J.files(spark, os.environ["COPPICE_DATA"]).where("path = 'review-queue.yaml' OR path LIKE 'elements/%'")
+    assert W.regeneration(fresh, files).first().detail == "all 10 files byte-identical to fresh extraction"
+
+
+def test_yaml_text():
+    from coppice.sinks.yaml_text import yaml_item
+
+    got = yaml_item({"tag": 1, "name": None, "charset": "n", "text": "|odd", "note": "a: b", "long": "word " * 30, "lines": "a\nb", "list": ["12", "x"], "r": {"raw": None, "n": 3}})
+    assert got.splitlines()[:4] == ["- tag: 1", '  charset: "n"', '  text: "|odd"', "  note: 'a: b'"] and "name" not in got and "raw" not in got
+    assert max(map(len, got.splitlines())) < 90
+    import yaml
+
+    assert yaml.safe_load(got) == [{"tag": 1, "charset": "n", "text": "|odd", "note": "a: b", "long": "word " * 30, "lines": "a\nb", "list": ["12", "x"], "r": {"n": 3}}]
