@@ -1,11 +1,17 @@
 """Main text of web pages by the maximum-scoring subsequence of words and tags.
 
-A page is read as a row of tokens. Each word scores 1; each tag scores below zero, with weights from labelled pages:
-the log ratio of how often a tag stands inside and outside their main text. Containers that announce themselves as
-boilerplate (by tag, by a whole class, id or role name, or by a class that labelled pages have outside their main text
-only) score 0 with all that they hold, so that a form or an advert inside an article does not split it. They end where
-HTML ends them, also without an end tag. One linear scan finds the contiguous region with the largest sum; its words
-outside such containers are the text.
+A page is read as a row of tokens. Each word scores 1; each tag scores below zero, with weights from labelled pages: the
+log ratio of how often a tag stands inside and outside their main text. Tags that build an article's lists, tables,
+headings and links cost by what they enclose: the full weight if that is nothing but links, as in menus, next to nothing
+if it is text. One linear scan finds the contiguous region with the largest sum; its words are the text.
+
+A page that labels its main text, by one ``article`` or ``main`` element, is scanned with that label: tags inside it cost
+nothing and words outside of it count against a region, so the region has all of the labelled text, short ends included.
+
+Containers of boilerplate score 0 with all that they hold, so that a form or an advert inside an article does not split
+it; they end where HTML ends them, also without an end tag. Some announce themselves by tag, by a sure name (as of
+comments or adverts) or by a class that labelled pages have outside their main text only. Names that may mean anything,
+as search or notice, hide a block unless it reads as text inside the labelled one; a page that has nothing else has them.
 """
 
 from __future__ import annotations
@@ -40,6 +46,8 @@ BOILERPLATE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner banners sponsor sponsored promo promotion sidebar menu nav navbar navigation breadcrumb breadcrumbs footer cookie cookies consent notice notices popup modal overlay comment comments respond reply replies disqus share sharing social related recommended newsletter subscribe subscription widget masthead pager pagination toolbar topbar contentinfo complementary search dialog alert login signup header".split()
 )
 
+#: Those of them that articles use as names too; what such a block holds decides.
+DOUBTFUL_WORDS = frozenset("complementary contentinfo dialog header masthead pager search toolbar topbar widget".split())
 NEUTRAL_WORDS = frozenset("site page main top bottom left right global primary secondary list section area box wrapper wrap container block bar slot unit inner outer links item items row col column content fixed sticky mobile desktop".split())
 ENDING_WORDS = frozenset("ad ads advert adverts advertisement sponsored sidebar comments breadcrumbs newsletter disqus pagination navigation".split())
 STATE_WORDS = frozenset("has have no not with without is show hide js".split())
@@ -48,13 +56,17 @@ _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
 
-def announces(name: str) -> bool:
-    """Whether a whole class, id or role name is that of boilerplate: a known word, alone or with words that say nothing; or a name that ends in a sure one."""
+def announces(name: str) -> str | None:
+    """Whether a whole class, id or role name is that of boilerplate: a known word, alone or with words that say nothing; or a name that ends in a sure one. "sure", "doubtful" or None."""
     parts = [x for x in re.split("[^a-z0-9]+", re.sub("([a-z])([A-Z])", r"\1 \2", name).lower()) if x and not x.isdigit()]
     if not parts or parts[0] in STATE_WORDS:
-        return False
-    known = [x in BOILERPLATE_WORDS for x in parts]
-    return any(known) and all(k or x in NEUTRAL_WORDS for k, x in zip(known, parts, strict=True)) or parts[-1] in ENDING_WORDS
+        return None
+    if parts[-1] in ENDING_WORDS:
+        return "sure"
+    known = [x for x in parts if x in BOILERPLATE_WORDS]
+    if not known or not all(x in BOILERPLATE_WORDS or x in NEUTRAL_WORDS for x in parts):
+        return None
+    return "doubtful" if all(x in DOUBTFUL_WORDS for x in known) else "sure"
 
 
 def names_of(attributes: str) -> list[str]:
@@ -127,19 +139,65 @@ def ends(row: list[tuple[str, str]]) -> tuple[list[int], list[bool], list[bool]]
     return close, shut, within
 
 
-def masked(row: list[tuple[str, str]], learned: frozenset[str] = frozenset()) -> list[bool]:
+@dataclass(frozen=True)
+class Counts:
+    """Running sums over a page's tokens: words, and words inside links."""
+
+    words: list[int]
+    linked: list[int]
+
+    def share(self, a: int, b: int) -> float | None:
+        """How many of the words in [a, b) are links'; None without words."""
+        n = self.words[b] - self.words[a]
+        return (self.linked[b] - self.linked[a]) / n if n else None
+
+    def reads_as_text(self, a: int, b: int, least: int = 20, most: float = 0.3) -> bool:
+        return self.words[b] - self.words[a] >= least and self.share(a, b) <= most
+
+
+def counts_of(row: list[tuple[str, str]], close: list[int]) -> Counts:
+    words, linked, until = [0], [0], 0
+    for i, (tag, text) in enumerate(row):
+        if tag == "a":
+            until = max(until, close[i])
+        n = 0 if tag else len(text.split())
+        words.append(words[-1] + n)
+        linked.append(linked[-1] + (n if i < until else 0))
+    return Counts(words, linked)
+
+
+def label_of(row: list[tuple[str, str]], close: list[int], hidden: list[bool]) -> tuple[int, int] | None:
+    """Begin and end of the one element that is labelled as the main text: the only outermost ``article`` outside of boilerplate, else the only ``main``; None if there are several or none."""
+    for name in ("article", "main"):
+        own, end = [], 0
+        for i, (tag, _) in enumerate(row):
+            if tag == name and not hidden[i] and i >= end:
+                own.append((i, close[i]))
+                end = close[i]
+        if len(own) == 1:
+            return own[0]
+    return None
+
+
+def masked(row: list[tuple[str, str]], learned: frozenset[str] = frozenset(), doubtful: bool = True) -> list[bool]:
     """Which tokens belong to boilerplate containers, their own tags included.
 
     An unclosed container ends where an article or main element begins. A container that holds all such elements of
-    the page is none.
+    the page is none. Containers with ``doubtful`` names count unless they read as text inside such an element.
     """
     close, shut, within = ends(row)
-    content = [i for i, (tag, _) in enumerate(row) if tag in CONTENT]
+    counts = counts_of(row, close)
+    content = [i for i, (tag, attributes) in enumerate(row) if tag in CONTENT and "sure" not in map(announces, names_of(attributes))]
     spans = []
     for i, (tag, attributes) in enumerate(row):
-        if not tag or tag[0] == "/" or tag in VOID or tag in CONTENT or tag in ("html", "body"):
+        if not tag or tag[0] == "/" or tag in VOID or tag in ("html", "body") or (tag in CONTENT and i in content):
             continue
-        if tag in BOILERPLATE_TAGS or (tag == "header" and not within[i]) or (tag not in INLINE and any(announces(x) or x in learned for x in names_of(attributes))):
+        hides = tag in BOILERPLATE_TAGS or (tag == "header" and not within[i]) or tag in CONTENT
+        if not hides and tag not in INLINE:
+            for x in names_of(attributes):
+                said = "sure" if x in learned else announces(x)
+                hides |= said == "sure" or (said == "doubtful" and doubtful and not (within[i] and counts.reads_as_text(i, close[i])))
+        if hides:
             to = close[i] + (shut[i] and close[i] < len(row))
             if not shut[i] and tag not in ("p", "li"):
                 to = next((j for j in content if i < j < to), to)
@@ -172,12 +230,13 @@ class Learned:
     classes: frozenset[str] = frozenset()
 
 
-def learn(pages: DataFrame, html: str = "html", least: int = 20, share: float = 0.02, most: int = 4096) -> Learned:
+def learn(pages: DataFrame, html: str = "html", least: float = 0.01, share: float = 0.02) -> Learned:
     """From the labelled pages, those with one ``article`` or ``main`` element, which is their main text.
 
-    The counts cover all rows. Tags are bounded by HTML's element names; of the classes that at least ``least`` block
-    elements outside main texts have, and at most the ``share`` of that inside, the ``most`` commonest are kept. No
-    labelled pages: nothing is learned.
+    The counts cover all rows. Tags are bounded by HTML's element names. Classes are kept that block elements outside
+    main texts have, on the average at least ``least`` times a labelled page, and at most the ``share`` of that inside;
+    so their number is bounded by how many classes a page has, whatever the number of pages. No labelled pages: nothing
+    is learned.
     """
     names = ["sort", "name", "out", "within"]
 
@@ -195,6 +254,7 @@ def learn(pages: DataFrame, html: str = "html", least: int = 20, share: float =
                 if len(own) != 1:
                     continue
                 first, close, hidden = own[0], ends(row)[0], masked(row)
+                seen.setdefault(("page", ""), [0, 0])[1] += 1
                 for i, (tag, attributes) in enumerate(row):
                     if not tag or i in (first, close[first]):
                         continue
@@ -210,7 +270,8 @@ def learn(pages: DataFrame, html: str = "html", least: int = 20, share: float =
 
     rows = numbered(pages, html).select("text").mapInArrow(count, "sort string, name string, out long, within long").groupBy("sort", "name").agg(F.sum("out").alias("out"), F.sum("within").alias("within"))
     tags = rows.where("sort = 'tag'").collect()
-    classes = rows.where((F.col("sort") == "class") & (F.col("out") >= least) & (F.col("within") <= share * F.col("out"))).orderBy(F.desc("out"), "name").limit(most).collect()
+    labelled = rows.where("sort = 'page'").agg(F.coalesce(F.sum("within"), F.lit(0))).first()[0]
+    classes = rows.where((F.col("sort") == "class") & (F.col("out") >= least * labelled) & (F.col("within") <= share * F.col("out"))).collect()
     out, within = sum(r["out"] for r in tags) + 1, sum(r["within"] for r in tags) + 1
     weight = {r["name"]: min(-0.1, math.log((r["within"] + 0.5) / within) - math.log((r["out"] + 0.5) / out)) for r in tags}
     return Learned(weight, frozenset(r["name"] for r in classes))
@@ -228,26 +289,81 @@ def best_region(scores: list[float]) -> tuple[int, int]:
     return found
 
 
-def main_text(page: str, learned: Learned) -> str:
-    """The words of the best region outside boilerplate; its blocks joined by one space."""
-    parts: list[str] = []
-    scores: list[float] = []
-    row = tokens(page)
-    for (tag, text), hidden in zip(row, masked(row, learned.classes), strict=True):
+#: Elements of an article's body: what they hold says whether they are a menu's.
+BODY = frozenset("a p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table caption thead tbody tfoot tr td th blockquote pre figure figcaption".split())
+
+
+def tag_scores(row: list[tuple[str, str]], close: list[int], counts: Counts, weight: dict[str, float]) -> list[float]:
+    """The score of each tag: its learned weight, for ``BODY`` elements by how much of what they hold is links. A link goes by the block that it stands in."""
+    out = [0.0] * len(row)
+    blocks: list[tuple[int, int]] = []
+    least = UNSEEN_INLINE
+
+    def score(name: str, a: int, b: int, learned: float) -> float:
+        share = counts.share(a, b)
+        if name not in BODY or share is None:
+            return learned
+        if name == "li":  # an item of a word or two is a menu's
+            share = max(share, 1 - 0.15 * max(0, counts.words[b] - counts.words[a] - 1))
+        return least + (min(least, learned) - least) * min(1.0, max(0.0, (share - 0.7) / 0.3))
+
+    for i, (tag, _) in enumerate(row):
+        while blocks and blocks[-1][1] <= i:
+            blocks.pop()
+        if not tag or tag[0] == "/":
+            continue
+        inline = tag in INLINE
+        own = lambda t, inline=inline: weight.get(kind(t), UNSEEN_INLINE if inline else UNSEEN)
+        end = close[i] if tag not in VOID else i
+        span = blocks[-1] if inline and blocks else (i, end)
+        out[i] = score(tag, *span, own(tag))
+        if i < end < len(row) and row[end][0] == f"/{tag}":
+            out[end] = score(tag, *span, own(f"/{tag}"))
+        if not inline and tag not in VOID:
+            blocks.append((i, end))
+    for i, (tag, _) in enumerate(row):  # end tags that end nothing
+        if tag and tag[0] == "/" and not out[i]:
+            out[i] = least
+    return out
+
+
+def region(row: list[tuple[str, str]], hidden: list[bool], learned: Learned, links: bool = False) -> str:
+    """The words of the best region outside of ``hidden``; its blocks joined by one space. Words of blocks that are nothing but links score 0 outside of a label, unless ``links``."""
+    close, _, _ = ends(row)
+    label = label_of(row, close, hidden)
+    if label and not any(not tag and not h and text.strip() for (tag, text), h in zip(row[slice(*label)], hidden[slice(*label)], strict=True)):
+        label = None  # it holds nothing
+    counts = counts_of(row, close)
+    costs = tag_scores(row, close, counts, learned.weight)
+    parts, scores, blocks = [], [], []
+    for i, ((tag, text), skip) in enumerate(zip(row, hidden, strict=True)):
+        inside = label is not None and label[0] <= i < label[1]
+        while blocks and blocks[-1][1] <= i:
+            blocks.pop()
         if tag:
-            inline = tag.lstrip("/") in INLINE
-            scores.append(0.0 if hidden else learned.weight.get(kind(tag), UNSEEN_INLINE if inline else UNSEEN))
-            parts.append("" if inline else " ")
-        elif hidden:
+            if tag[0] != "/" and tag not in INLINE and tag not in VOID:
+                blocks.append((i, close[i]))
+            scores.append(0.0 if skip or inside else costs[i])
+            parts.append("" if tag.lstrip("/") in INLINE else " ")
+        elif skip:
             scores.append(0.0)
             parts.append(" ")
         else:
             text = _html.unescape(text)
-            scores.append(float(len(text.split())))
+            n = float(len(text.split()))
+            bare = label is None and not links and blocks and counts.linked[i + 1] > counts.linked[i] and counts.share(*blocks[-1]) > 0.9
+            scores.append(0.0 if bare else -n if label is not None and not inside else n)
             parts.append(text)
     return " ".join("".join(parts[slice(*best_region(scores))]).split())
 
 
+def main_text(page: str, learned: Learned) -> str:
+    """The main text of a page. Where nothing is left without the blocks of doubtful names, these are looked at too, then lists of links."""
+    row = tokens(page)
+    hidden = masked(row, learned.classes)
+    return region(row, hidden, learned) or region(row, masked(row, learned.classes, doubtful=False), learned) or region(row, hidden, learned, links=True)
+
+
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """One row per row of ``pages``: key, url, text, n_chars.
 

@@ -782,3 +782,41 @@ def test_pipeline_stages_by_brute_force(spark, tmp_path):
     assert {r.doc_id for r in pieces.collect()} == {r.doc_id for r in final.collect()}
     empty = docs.where("false")
     assert all(stage(spark, empty, str(tmp_path)).count() == 0 for _, stage in corpus_pipeline.STAGES)
+
+
+_MENU = "<nav><ul><li><a href=/>home page</a></li><li><a>about us</a></li></ul></nav><div class=links><ul><li><a>one site</a></li><li><a>two sites</a></li></ul></div>"
+
+
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+@pytest.mark.parametrize(
+    ("body", "kept"),
+    [
+        ("<ul><li>one two three</li><li>four five six</li><li>seven eight nine</li></ul>", 9), ("<table><tr><td>a</td><td>b</td></tr><tr><td>c</td><td>d</td></tr></table>after that", 6), ("<h2>Notes</h2><p>Two words</p>", 3),
+        ("<p>See <a>this page</a>.</p>", 3), ("<p>x</p><form><label>your name</label></form><p>y</p>", 2), ("<div class='comments'>" + "reader " * 60 + "</div>", 0), ("<div class=ad>Buy now</div>", 0),
+    ],
+)
+def test_short_ends_of_articles_stay(tag, body, kept):
+    from coppice.llm.html_extract import Learned, main_text
+
+    learned = Learned(dict.fromkeys(["li", "/li", "a", "/a", "ul", "/ul", "td", "/td", "tr", "/tr"], -7.3) | dict.fromkeys(["div", "/div"], -1.0))
+    page = f"<html><body>{_MENU}<{tag}><p>{'word ' * 40}</p>{body}</{tag}><footer>all rights</footer></body></html>"
+    assert len(main_text(page, learned).split()) == 40 + kept
+
+
+def test_labels_decide_over_lengths_and_names(spark):
+    from coppice.llm.html_extract import Learned, extract, main_text
+
+    learned, w = Learned(), lambda x, n: f"{x} " * n
+    page = lambda x: f"<html><body>{_MENU}{x}<footer>all rights</footer></body></html>"
+    text = lambda x: collections.Counter(main_text(page(x), learned).split())
+    assert text(f"<article>{w('own', 30)}</article><section id=discussion>{w('reader', 60)}</section>") == {"own": 30}
+    assert text(f"<article>{w('own', 40)}<section id=search>{w('more', 41)}</section></article>") == {"own": 40, "more": 41}
+    assert text(f"<article>{w('own', 40)}<section id=search>{w('few', 4)}</section></article>") == {"own": 40}
+    assert text(f"<section id=search>{w('only', 41)}</section>") == {"only": 41}
+    assert text(f"<main><article>{w('own', 9)}</article><article class=comment>{w('reader', 60)}</article></main>") == {"own": 9}
+    assert text(f"<article></article><div>{w('own', 9)}</div>")["own"] == 9
+    # What a page says does not hang on how many other pages there are.
+    ads = f"<article>{w('own', 30)}</article><div class=zone7>{w('spam', 50)}</div>"
+    for n in (1, 40):
+        d = spark.createDataFrame([(i, "u", page(ads)) for i in range(n)] + [(99, "u", page(f"<div>{w('own', 30)}</div><div class=zone7>{w('spam', 50)}</div>"))], "page_id long, url string, html string")
+        assert set(extract(d).where("page_id = 99").first().text.split()) == {"own"}
