@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import numbered
+from .shared import numbered, release, stored
 
 #: HTML's void, raw-text and inline elements, the other elements that pages use, elements that a start tag ends, and what bounds that.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -269,9 +269,11 @@ def learn(pages: DataFrame, html: str = "html", least: float = 0.01, share: floa
         yield told()
 
     rows = numbered(pages, html).select("text").mapInArrow(count, "sort string, name string, out long, within long").groupBy("sort", "name").agg(F.sum("out").alias("out"), F.sum("within").alias("within"))
+    rows = stored(rows, "counts")  # three readers, one pass over the pages
     tags = rows.where("sort = 'tag'").collect()
     labelled = rows.where("sort = 'page'").agg(F.coalesce(F.sum("within"), F.lit(0))).first()[0]
     classes = rows.where((F.col("sort") == "class") & (F.col("out") >= least * labelled) & (F.col("within") <= share * F.col("out"))).collect()
+    release(rows)
     out, within = sum(r["out"] for r in tags) + 1, sum(r["within"] for r in tags) + 1
     weight = {r["name"]: min(-0.1, math.log((r["within"] + 0.5) / within) - math.log((r["out"] + 0.5) / out)) for r in tags}
     return Learned(weight, frozenset(r["name"] for r in classes))
