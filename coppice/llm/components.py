@@ -22,6 +22,12 @@ def joined(rows: DataFrame, per_key: DataFrame, on: str) -> DataFrame:
     return rows.withColumn("__on", F.bitwise_not(on)).join(side, "__on").drop("__on")
 
 
+def joined_by(rows: DataFrame, per_key: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """As ``joined``, for keys of any type, and for left joins too."""
+    side = per_key.withColumnRenamed(on, "__key").withColumn("__with", F.xxhash64(F.lit(1), "__key"))
+    return rows.withColumn("__on", F.xxhash64(F.lit(1), on)).join(side, (F.col("__on") == F.col("__with")) & (F.col(on) == F.col("__key")), how).drop("__on", "__with", "__key")
+
+
 def _unfinished(e: DataFrame) -> int:
     """How many nodes have two smaller neighbours, or a smaller and a larger one. Without any, ``e`` is stars about their least nodes."""
     ends = e.select(F.col("a").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(e.select(F.col("b").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))

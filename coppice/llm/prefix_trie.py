@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..operators.scan import ordered, running
 from .chat_format import per_conversation
+from .components import joined_by
 from .shared import numbered, stored
 
 #: No members end at a node.
@@ -33,11 +34,6 @@ def light(conversations: DataFrame, key: str = "conv_id", turn: str = "turn", ro
     return running(ordered(rows, ["c"], ["turn", "k", "row"]), ["c"], F.lit(1), "n").select("c", "n", "k", "size")
 
 
-def _joined(rows: DataFrame, per_key: DataFrame, on: str, how: str = "inner") -> DataFrame:
-    """``rows`` with the columns of ``per_key``, a row a key at most; both sides have exchanges of their own, so that a hot key's rows can be split."""
-    return rows.withColumn("__on", F.xxhash64(F.lit(1), on)).join(per_key.withColumnRenamed(on, "__key").withColumn("__with", F.xxhash64(F.lit(1), "__key")), (F.col("__on") == F.col("__with")) & (F.col(on) == F.col("__key")), how).drop("__on", "__with", "__key")
-
-
 def rebuilt(turns: DataFrame, of: int = 5, most: int = 9) -> DataFrame:
     """c, d (depth from 1), k, size: the first h turns of conversation c - c % ``of``, then the own ones after the first h; h is crc32 of c modulo ``most``."""
     h = lambda c: (F.crc32(F.col(c).cast("string").cast("binary")) % most).cast("long")
@@ -48,7 +44,7 @@ def rebuilt(turns: DataFrame, of: int = 5, most: int = 9) -> DataFrame:
     taken = others.join(lengths, "b", "left").select("c", "h", F.least("h", F.coalesce("len", F.lit(0))).alias("taken"))
     # A base lends at most most - 1 turns to at most of - 1 conversations.
     lent = turns.where((base == F.col("c")) & (F.col("n") < most)).withColumnRenamed("c", "b").join(others, "b").where("n <= h").select("c", F.col("n").alias("d"), "k", "size")
-    kept = _joined(turns.where(base != F.col("c")), taken, "c").where("n > h").select("c", (F.col("taken") + F.col("n") - F.col("h")).alias("d"), "k", "size")
+    kept = joined_by(turns.where(base != F.col("c")), taken, "c").where("n > h").select("c", (F.col("taken") + F.col("n") - F.col("h")).alias("d"), "k", "size")
     own = turns.where(base == F.col("c")).select("c", F.col("n").alias("d"), "k", "size")
     return lent.unionByName(kept).unionByName(own)
 
@@ -165,7 +161,7 @@ def trie(conversations: DataFrame, rows: DataFrame, most: int = 1 << 16, key: st
         kind = F.when(F.col("members") == 1, "chain").when(F.col("turns") <= most, "trie").otherwise("spine")
         sizes = stored(sizes.select("g", kind.alias("kind"), "turns", "members"), "groups")
         totals = {r["kind"]: r["turns"] for r in sizes.groupBy("kind").agg(F.sum("turns").alias("turns")).collect()}
-        r = _joined(rows.where(F.col("d") >= m), _joined(v, sizes.select("g", "kind"), "g"), "c")
+        r = joined_by(rows.where(F.col("d") >= m), joined_by(v, sizes.select("g", "kind"), "g"), "c")
         r = stored(r.select("c", "d", "k", "size", "g", "p", "kind", "len"), "placed")
         last = F.col("d") == F.col("len")
         own = F.sha2(F.col("c").cast("string"), 256)
@@ -206,7 +202,7 @@ def trie(conversations: DataFrame, rows: DataFrame, most: int = 1 << 16, key: st
         # Children learn the smallest member of the node above, which may have children without end.
         named = whole.select(F.col("g").alias("p"), F.col("conv_id").alias("parent_conv_id"))
         for kids in [tops[depth], *([below] if below is not None else [])]:
-            nodes.append(_joined(kids.drop("parent_conv_id"), named, "p").select(_COLUMNS))
+            nodes.append(joined_by(kids.drop("parent_conv_id"), named, "p").select(_COLUMNS))
         below = whole
     nodes.append(below.withColumn("parent_conv_id", F.lit(None).cast("long")).select(_COLUMNS))
     out = nodes[0]

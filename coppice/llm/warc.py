@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chunks as C
+from .components import joined_by
 from .shared import numbered, stored
 
 MAGIC = b"\x1f\x8b\x08"
@@ -61,11 +62,12 @@ def write(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", h
     key has; a null key revisits those that have one. Extra columns are not read; an empty table gives no archive.
     """
     date = datetime.datetime.now(datetime.UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
-    # Only keys and digests of payloads that occur more than once meet in the join's small side.
+    # The join's small side has keys and digests of payloads that occur more than once; if it is too large to be sent to
+    # all tasks, records are dealt by digest, and a payload that many pages share can be split.
     rows = numbered(pages, html).select(F.col(key).cast("long").alias("page_id"), F.coalesce(F.col(url).cast("string"), F.lit("")).alias("url"), "text")
     rows = rows.withColumn("digest", F.sha2("text", 256))
     shared = rows.where(F.octet_length("text") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
-    rows = rows.join(shared, "digest", "left").select("page_id", "url", "text", "digest", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
+    rows = joined_by(rows, shared, "digest", "left").select("page_id", "url", "text", "digest", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
 
     def archive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, done, place = [], 0, 0, TaskContext.get().partitionId()
@@ -204,8 +206,8 @@ def resolved(found: DataFrame) -> DataFrame:
     responses = found.where("record_type = 'response'")
     full = responses.groupBy("digest").agg(F.min("payload_bytes").alias("full_bytes"), F.min("payload_sha256").alias("full_sha256"))
     own = responses.select("page_id", "payload_bytes", F.col("payload_sha256").alias("payload_digest"), "record_type", F.lit(None).cast("long").alias("refers_to"))
-    # The responses that many revisits name are few keys; the revisits' side may be skewed and is the one that can be split.
-    again = found.where("record_type = 'revisit'").join(full, "digest", "left")
+    # One payload may have most of the revisits; both sides are dealt anew, so that these can be split.
+    again = joined_by(found.where("record_type = 'revisit'"), full, "digest", "left")
     return own.unionByName(again.select("page_id", F.col("full_bytes").alias("payload_bytes"), F.col("full_sha256").alias("payload_digest"), "record_type", "refers_to"))
 
 
