@@ -106,8 +106,8 @@ def character_conservation(words: DataFrame, cells: DataFrame, rows: DataFrame,
     table = words.where("x >= 130").select("text")
     raw = cells.select("row_id", "column", F.explode("fragments").alias("text"))
     dots = cells.where((F.col("column") == "name") & (F.col("fragments") == F.array(F.lit(".")))).join(rows.where("change_tag = 'x'"), "row_id", "left_semi").select(F.lit(".").alias("text"))
-    routing = multiset_diff(characters(table, "text"), characters(raw, "text"), "ch").withColumn("stage", F.lit("routing"))
-    joining = multiset_diff(characters(raw, "text"), characters(cell_texts(elements).unionByName(dots), "text"), "ch").withColumn("stage", F.lit("joining"))
+    routing = multiset_diff(characters(table, "text"), characters(raw, "text"), "ch", "n").withColumn("stage", F.lit("routing"))
+    joining = multiset_diff(characters(raw, "text"), characters(cell_texts(elements).unionByName(dots), "text"), "ch", "n").withColumn("stage", F.lit("joining"))
     # The second stage speaks only where the first is clean.
     joining = joining.join(routing.limit(1).select(F.lit("joining").alias("stage")), "stage", "left_anti")
     fine = text_length(table, "text").select(F.format_string("%d word chars -> raw fragments -> cells, exact multiset match in both stages", "n"))

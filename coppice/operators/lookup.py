@@ -47,8 +47,9 @@ def by_category(rows: DataFrame, key: str, width: int = 1000) -> DataFrame:
     return rows.withColumn("k", F.floor(F.col(key) / width).cast("long"))
 
 
-def tally(rows: DataFrame, *keys: str) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.count("*").alias("n"))
+def tally(rows: DataFrame, *keys: str, weight: str | None = None) -> DataFrame:
+    """keys, n: the number of rows, or the sum of ``weight``."""
+    return rows.groupBy(*keys).agg((F.sum(weight) if weight else F.count("*")).alias("n"))
 
 
 def grouped_counts(rows: DataFrame, keys: dict[str, Column], sums: dict[str, Column] | None = None) -> DataFrame:
@@ -61,16 +62,19 @@ def grouped_counts(rows: DataFrame, keys: dict[str, Column], sums: dict[str, Col
     return named.rollup(*keys).agg(F.grouping_id().alias("level"), F.count("*").alias("n"), *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in sums or {}])
 
 
-def multiset_diff(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def multiset_diff(left: DataFrame, right: DataFrame, key: str, weight: str | None = None) -> DataFrame:
     """key, n_left, n_right where the tallies differ; an absent key counts 0."""
-    a, b = tally(left, key).withColumnRenamed("n", "n_left"), tally(right, key).withColumnRenamed("n", "n_right")
+    a, b = (tally(d, key, weight=weight).withColumnRenamed("n", n) for d, n in ((left, "n_left"), (right, "n_right")))
     both = a.join(b, key, "full_outer").select(key, F.coalesce("n_left", F.lit(0)).alias("n_left"), F.coalesce("n_right", F.lit(0)).alias("n_right"))
     return both.where("n_left <> n_right")
 
 
 def characters(rows: DataFrame, text: str) -> DataFrame:
-    """One row per character that is no white space."""
-    return rows.select(F.explode(F.split(F.regexp_replace(text, r"\s+", ""), "")).alias("ch")).where("ch <> ''")
+    """ch, n: the characters of each row that are no white space, each once with its number there, so that a text makes a row per letter and not per character."""
+    bare = F.regexp_replace(text, r"\s+", "")
+    own = rows.where(F.col(text).isNotNull()).select(bare.alias("__text"))
+    number = lambda c: F.struct(c.alias("ch"), (F.length("__text") - F.length(F.replace(F.col("__text"), c, F.lit("")))).cast("long").alias("n"))
+    return own.where("__text <> ''").select(F.explode(F.transform(F.array_distinct(F.split("__text", "")), number)).alias("x")).select("x.*").where("ch <> ''")
 
 
 def files(spark: SparkSession, folder: str, pattern: str = "*.yaml") -> DataFrame:

@@ -142,7 +142,7 @@ def duplicate_keys(t):
 
 @query("WITH c AS (SELECT unnest(string_split(regexp_replace(p_name, '\\s+', '', 'g'), '')) AS ch FROM part) SELECT ch, count(*) AS n FROM c WHERE ch <> '' GROUP BY ch")
 def char_tally(t):
-    return J.tally(J.characters(t("part"), "p_name"), "ch")
+    return J.tally(J.characters(t("part"), "p_name"), "ch", weight="n")
 
 
 _CH = "SELECT unnest(string_split(regexp_replace({c}, '\\s+', '', 'g'), '')) AS ch FROM {t}"
@@ -151,7 +151,7 @@ _CH = "SELECT unnest(string_split(regexp_replace({c}, '\\s+', '', 'g'), '')) AS
 @query(f"""WITH a AS (SELECT ch, count(*) AS n FROM ({_CH.format(c='p_name', t='part')}) WHERE ch <> '' GROUP BY ch), b AS (SELECT ch, count(*) AS n FROM ({_CH.format(c='p_type', t='part')}) WHERE ch <> '' GROUP BY ch)
     SELECT coalesce(a.ch, b.ch) AS ch, coalesce(a.n, 0) AS n_left, coalesce(b.n, 0) AS n_right FROM a FULL JOIN b ON a.ch = b.ch WHERE coalesce(a.n, 0) <> coalesce(b.n, 0)""")
 def multiset_diff(t):
-    return J.multiset_diff(J.characters(t("part"), "p_name"), J.characters(t("part"), "p_type"), "ch")
+    return J.multiset_diff(J.characters(t("part"), "p_name"), J.characters(t("part"), "p_type"), "ch", "n")
 
 
 @query("""WITH a AS (SELECT l_orderkey AS key, count(*) AS n FROM lineitem GROUP BY 1), b AS (SELECT o_orderkey AS key, count(*) AS n FROM orders GROUP BY 1)
@@ -295,6 +295,18 @@ def constraint_violations(t):
     return V.violations(t("orders"), "o_orderkey", rules)
 
 
+@query("""WITH e AS (SELECT CAST(p_partkey AS INTEGER) AS key, p_size, p_partkey - (p_partkey // 1000) * 1000 AS rest FROM part)
+    SELECT key, 'change_tag is unknown' AS rule FROM e WHERE p_size % 10 = 0 UNION ALL SELECT key, 'status is unknown' FROM e WHERE p_size % 7 = 0 UNION ALL SELECT key, 'provenance is missing' FROM e WHERE p_size % 9 = 0
+    UNION ALL SELECT key, 'notation is missing' FROM e WHERE p_size % 5 > 0 AND p_size % 11 = 0 UNION ALL SELECT key, 'charset is unknown' FROM e WHERE p_size % 5 > 0 AND p_size % 3 = 0 UNION ALL SELECT key, 'tag outside its file''s range' FROM e WHERE rest > 699""")
+def element_violations(t):
+    """The rules of the directory's elements on parts, some of them with faults."""
+    n, r = F.col("provenance.page"), F.col("representation")
+    e = _elements(t).withColumn("file", F.format_string("%04d-%04d.yaml", (F.floor(F.col("tag") / 1000) * 1000).cast("int"), (F.floor(F.col("tag") / 1000) * 1000 + 699).cast("int")))
+    shape = F.when(r.isNotNull(), F.struct(F.when(n % 11 > 0, r.raw).alias("raw"), F.when(n % 3 == 0, "b").otherwise(r.charset).alias("charset"), r.min_length.alias("min_length"), r.max_length.alias("max_length")))
+    e = e.withColumns({"change_tag": F.when(n % 10 == 0, "zz").otherwise(F.col("change_tag")), "status": F.when(n % 7 == 0, "odd").otherwise(F.col("status")), "representation": shape, "provenance": F.struct(F.when(n % 9 > 0, n).alias("page"))})
+    return V.violations(e, "tag", V.element_rules())
+
+
 @query("SELECT p_partkey, p_name FROM part ORDER BY (p_partkey * 7919 + 42) % 104729, p_partkey LIMIT 60")
 def seeded_sample(t):
     return J.seeded_sample(t("part"), (F.col("p_partkey") * 7919 + 42) % 104729, 60).select("p_partkey", "p_name")
