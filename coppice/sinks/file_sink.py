@@ -68,6 +68,7 @@ class FileWriter(DataSourceArrowWriter):
         from pyarrow import fs
 
         system, root = system_of(self.folder)
+        system.create_dir(root, recursive=True)  # also where there are no files
         made: set[str] = set()
         for m in messages:
             if m is None or not m.files:
