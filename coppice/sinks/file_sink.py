@@ -7,6 +7,7 @@ names that begin with an underscore, so a driver that dies leaves nothing that i
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -37,12 +38,14 @@ class FileSink(DataSource):
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
         if schema.fieldNames() != ["path", "text"]:
             raise ValueError(f"rows must be (path, text), not {schema.fieldNames()}")
-        return FileWriter(self.options["path"])
+        return FileWriter(self.options["path"])  # made once, on the driver
 
 
 class FileWriter(DataSourceArrowWriter):
     def __init__(self, folder: str) -> None:
         self.folder, self.job = folder, uuid.uuid4().hex
+        system, root = system_of(folder)
+        system.create_dir(self._passing(root), recursive=True)
 
     def _passing(self, root: str) -> str:
         return f"{root}/_passing/{self.job}"
@@ -51,19 +54,30 @@ class FileWriter(DataSourceArrowWriter):
         system, root = system_of(self.folder)
         task = TaskContext.get()
         own, n, made = f"{self._passing(root)}/{task.partitionId()}-{task.taskAttemptId()}", 0, set()
+        # Tasks may still run when the job is given up; they end at its missing folder, and must not bring it back.
+        system.create_dir(own, recursive=False)
         for batch in iterator:
             for path, text in zip(batch.column("path").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 if path is None or text is None or path.startswith("/") or ".." in path.split("/"):
                     raise ValueError(f"not a file of the folder: {path!r}")
                 target = f"{own}/{path}"
+                self._alive(system, own)
                 if (above := target.rpartition("/")[0]) not in made:
                     system.create_dir(above, recursive=True)
                     made.add(above)
                 with system.open_output_stream(target) as f:
                     f.write(text.encode())
                 n += 1
+        self._alive(system, own)
         return Written(own, n)
 
+    @staticmethod
+    def _alive(system, own: str) -> None:
+        from pyarrow import fs
+
+        if system.get_file_info(own).type != fs.FileType.Directory:
+            raise RuntimeError("the job was given up")
+
     def commit(self, messages: list[Written | None]) -> None:
         from pyarrow import fs
 
@@ -90,8 +104,12 @@ class FileWriter(DataSourceArrowWriter):
         from pyarrow import fs
 
         system, root = system_of(self.folder)
-        if system.get_file_info(self._passing(root)).type == fs.FileType.Directory:
-            system.delete_dir(self._passing(root))
+        for _ in range(5):  # a task that ends may write into it meanwhile
+            if system.get_file_info(self._passing(root)).type != fs.FileType.Directory:
+                break
+            with contextlib.suppress(OSError):
+                system.delete_dir(self._passing(root))
         above = f"{root}/_passing"
-        if system.get_file_info(above).type == fs.FileType.Directory and not system.get_file_info(fs.FileSelector(above)):
-            system.delete_dir(above)
+        with contextlib.suppress(OSError):  # another job may begin or end meanwhile
+            if system.get_file_info(above).type == fs.FileType.Directory and not system.get_file_info(fs.FileSelector(above)):
+                system.delete_dir(above)
