@@ -8,10 +8,13 @@ and probes the index, for its own length and those up to max_edits below, with t
 rule leaves: for segment i, starts from both ends agree. Candidates whose byte counts alone need more edits go at once; the others
 are verified by banded bit-parallel edit distance.
 
-The entries of a key are sorted by the lines' first places, so that a line asks earlier ones only, and in rounds: of the
-candidates that a key gives it, a line asks the first few; if none is near, some more; then all others. A line that has
-an early near copy is settled in the first round, so m lines that are near each other cost m rows, not m * m. Later
-rounds send only the entries of keys that had more to give.
+The entries of a key are sorted by the lines' first places, so that a line asks earlier ones only, and in rounds: a line
+looks at the first few lines of each of its keys, and asks those whose byte counts agree. A line that has an early near
+copy is settled, so m lines that are near each other cost m rows, not m * m. A line that a key had more for goes to the
+next round, in which crowded keys are refined: two near lines that share a segment have their other edits in what is left
+and right of it, so the longer of these gaps is cut into segments in turn, of which one more must stand unchanged. So
+lines with a common head or frame part as soon as a segment outside of it is theirs. A key whose gaps are too short to be
+cut gives all that it has, to lines that are still unsettled.
 
 Index and probe entries travel as packed blobs. Texts are shuffled only for lines with candidates, and once at the end
 to apply the decisions. Candidates are known by 64 bits of a hash, which verifying by bytes makes good; what is dropped
@@ -146,10 +149,45 @@ def _places(least: int, short: bool):
     return run
 
 
+#: What is left of two lines when equal segments are taken out: start and end in the indexed line, start and end in the other, edits that it may hold.
+Gaps = tuple[tuple[int, int, int, int, int], ...]
+
+
+def _cut(gaps: Gaps, which: int, segment: int, at: int, start: int, size: int) -> Gaps:
+    """``gaps`` with one of them parted by a segment at ``at`` in the indexed line and ``start`` in the other.
+
+    Of the segments that stand unchanged, the first before which there are no more edits than segments bounds both sides.
+    """
+    a, b, c, d, e = gaps[which]
+    return (*gaps[:which], (a, at, c, start, segment), (at + size, b, start + size, d, e - segment), *gaps[which + 1 :])
+
+
+def _longest(gaps: Gaps) -> int | None:
+    """The gap to be cut next, by the indexed line alone: the longest with a byte for each segment."""
+    some = [i for i, g in enumerate(gaps) if g[1] - g[0] > g[4]]
+    return max(some, key=lambda i: gaps[i][1] - gaps[i][0]) if some else None
+
+
+@lru_cache(maxsize=1 << 14)
+def entries(n: int, k: int) -> list[tuple[int, int, int, int, Gaps]]:
+    """(length, segment, start, size, gaps) of the k + 1 index entries, then of the probes, of a line of n bytes."""
+    own = [(n, i, s, z) for i, (s, z) in enumerate(segments(n, k))] + probes(n, k)
+    return [(m, i, s, z, _cut(((0, m, 0, n, k),), 0, i, segments(m, k)[i][0], s, z)) for m, i, s, z in own]
+
+
 @lru_cache(maxsize=1 << 14)
-def entries(n: int, k: int) -> list[tuple[int, int, int, int]]:
-    """(length, segment, start, size) of the k + 1 index entries, then of the probes, of a line of n bytes."""
-    return [(n, i, s, z) for i, (s, z) in enumerate(segments(n, k))] + probes(n, k)
+def refined(gaps: Gaps, index: bool) -> list[tuple[int, int, int, Gaps]]:
+    """(segment, start, size, gaps) of the entries by which one with ``gaps`` is refined; none if no gap can be cut."""
+    which = _longest(gaps)
+    if which is None:
+        return []
+    a, b, c, d, e = gaps[which]
+    more, out = d - c - (b - a), []
+    for i, (at, size) in enumerate(segments(b - a, e)):
+        lo = at if index else max(0, at - i, at + more - (e - i))
+        hi = at if index else min(d - c - size, at + i, at + more + (e - i))
+        out += [(i, c + s, size, _cut(gaps, which, i, a + at, c + s, size)) for s in range(lo, hi + 1)]
+    return out
 
 
 _tables: dict = {}
@@ -169,8 +207,44 @@ def _first_places(rows: pa.RecordBatch, index: np.ndarray, at: np.ndarray, n: in
     return at[order[np.searchsorted(index[order], np.arange(n))]]
 
 
-def _entries(least: int, k: int, parts: int, crowded=None, bits: int = 0):
-    """Packed index and probe entries of the distinct lines of each batch; with a bitmap of ``crowded`` keys, of those alone."""
+class _Spans:
+    """Hashes of substrings of a batch's lines, the same wherever they stand: sums of bytes times powers of an odd base, shifted back."""
+
+    def __init__(self, data: np.ndarray, off: np.ndarray):
+        n = len(data)
+        self.off, self.back, self.sums = off, powers(_DOWN, n), np.zeros(n + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_UP, n)[:n], out=self.sums[1:])
+
+    def hashes(self, line: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        begin = self.off[line] + start
+        return (self.sums[begin + size] - self.sums[begin]) * self.back[begin]
+
+
+def _refine(spans: _Spans, h: np.ndarray, line: np.ndarray, node: np.ndarray, states: list[tuple[Gaps, bool]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[Gaps, bool]]]:
+    """The entries that refine some of a batch: hashes, lines, and of each its place in a new list of (gaps, whether of the index)."""
+    used, of = np.unique(node, return_inverse=True)
+    lists = [refined(*states[i]) for i in used.tolist()]
+    wanted = np.full((len(used), max(map(len, lists), default=0), 4), -1, np.int64)
+    new: list[tuple[Gaps, bool]] = []
+    for row, (i, own) in enumerate(zip(used.tolist(), lists, strict=True)):
+        for e, (segment, start, size, gaps) in enumerate(own):
+            wanted[row, e] = segment, start, size, len(new)
+            new.append((gaps, states[i][1]))
+    found: list[list[np.ndarray]] = [[np.zeros(0, np.uint64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]]
+    for e in range(wanted.shape[1]):
+        has = np.flatnonzero(wanted[of, e, 2] >= 0)
+        segment, start, size, to = wanted[of[has], e].T
+        found[0].append(mixed(h[has] + mixed(spans.hashes(line[has], start, size) ^ mixed(segment + 1))))
+        found[1].append(line[has])
+        found[2].append(to)
+    return (*map(np.concatenate, found), new)
+
+
+def _entries(least: int, k: int, parts: int, crowded: tuple = (), bits: int = 0):
+    """Packed index and probe entries of the distinct lines of each batch, refined once for each bitmap of ``crowded`` keys, of those alone.
+
+    A role is 1 for probes, and 2 more if the entry can't be refined.
+    """
     most = max(len(entries(n, k)) for n in range(4 * k + 4))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,36 +254,39 @@ def _entries(least: int, k: int, parts: int, crowded=None, bits: int = 0):
                 if not len(ids):
                     continue
                 data, off = C.raw(C.plain(distinct))
-                # Sums of bytes times powers of an odd base; shifted back they are hashes of substrings, wherever they stand.
-                n = len(data)
-                sums = np.zeros(n + 1, np.uint64)
-                np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_UP, n)[:n], out=sums[1:])
-                back = powers(_DOWN, n)
+                spans = _Spans(data, off)
                 lengths, of = np.unique(np.diff(off), return_inverse=True)
                 # One column for each entry that a line can have; shorter lists end with empty substrings.
                 wanted = np.full((len(lengths), most, 4), -1, np.int64)
+                states: list[tuple[Gaps, bool]] = []
                 for row, length in enumerate(lengths.tolist()):
                     own = entries(length, k)
-                    wanted[row, : len(own)] = own
-                keys, spans = wanted[:, :, 0] << 8 | wanted[:, :, 1], wanted[:, :, 2:]
+                    wanted[row, : len(own)] = [x[:4] for x in own]
+                    states += [(x[4], e <= k) for e, x in enumerate(own)] + [((), False)] * (most - len(own))
+                keys = wanted[:, :, 0] << 8 | wanted[:, :, 1]
                 salt = mixed(keys.astype(np.uint64).ravel()).reshape(keys.shape)
                 found: list[list[np.ndarray]] = [[], [], []]
                 for e in range(most):
-                    start, size = spans[of, e, 0], spans[of, e, 1]
+                    start, size = wanted[of, e, 2], wanted[of, e, 3]
                     has = np.flatnonzero(size >= 0)
-                    begin = off[has] + start[has]
-                    h = mixed((sums[begin + size[has]] - sums[begin]) * back[begin] ^ salt[of[has], e])
-                    if crowded is not None:
-                        met = in_bitmap(h.view(np.int64), crowded.value, bits)
+                    h = mixed(spans.hashes(has, start[has], size[has]) ^ salt[of[has], e])
+                    if crowded:
+                        met = in_bitmap(h.view(np.int64), crowded[0].value, bits)
                         h, has = h[met], has[met]
                     found[0].append(h)
                     found[1].append(has.astype(np.int32))
-                    found[2].append(np.full(len(has), e > k, np.int8))
-                h, line, role = map(np.concatenate, found)
+                    found[2].append(of[has] * most + e)
+                h, line, node = map(np.concatenate, found)
+                for level in range(len(crowded)):
+                    if level:
+                        met = in_bitmap(h.view(np.int64), crowded[level].value, bits)
+                        h, line, node = h[met], line[met], node[met]
+                    h, line, node, states = _refine(spans, h, line, node, states)
                 if not len(h):
                     continue
-                part = (h % np.uint64(parts)).astype(np.int32)
-                order = np.argsort(part << 1 | role, kind="stable")
+                roles = np.array([(not own) | (_longest(gaps) is None) << 1 for gaps, own in states], np.int8)
+                role, part = roles[node], (h % np.uint64(parts)).astype(np.int32)
+                order = np.argsort(part << 2 | role, kind="stable")
                 part, h, line, role = part[order], h[order], line[order], role[order]
                 p, a, b = bounds(part)
                 first = _first_places(rows, index, at, len(ids))[line]
@@ -238,11 +315,11 @@ def bag_distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return total
 
 
-def _candidates(table: pa.Table, k: int, skip: int, take: int, asking: np.ndarray | None, bits: int, step: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _candidates(table: pa.Table, k: int, window: int, take: int, asking: np.ndarray | None, bits: int, step: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Later and earlier line of pairs of which one probes an entry of the other, within one part, and whose bags allow ``k`` edits.
 
-    Of the candidates of a line under a key, those from ``skip`` to ``take``, by place; of the lines in the bitmap ``asking`` only. A
-    line paired with itself has more to ask; the last item holds the keys that have more to give.
+    Of the lines under a key, by place, a line looks at the first ``window`` and takes ``take`` of them, unless the key can't be refined; with a
+    bitmap ``asking``, only lines in it do. A line paired with itself has more to ask; the last item holds the keys that have more to give.
     """
     h, line, bag, role, number, own_row = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("hashes", np.uint64), ("lines", np.int64), ("bags", np.uint64), ("roles", np.int8), ("numbers", np.int32), ("rows", np.int64)))
     keys = pa.chunked_array([pc.list_flatten(table.column("keys").combine_chunks())]).combine_chunks()
@@ -256,11 +333,11 @@ def _candidates(table: pa.Table, k: int, skip: int, take: int, asking: np.ndarra
         new[1:] = (h[order[1:]] != h[order[:-1]]) | (line[order[1:]] != line[order[:-1]])
         order = order[new]
         order = order[np.lexsort((place[order], h[order]))]
-        return h[order], line[order], bag[order], place[order]
+        return h[order], line[order], bag[order], place[order], role[order] > 1
 
     crowded = [np.zeros(0, np.uint64)]
-    index, probing = side(role == 0), side(role != 0)
-    for (ah, al, ab, ap), (bh, bl, bb, bp) in ((index, probing), (probing, index)):  # the first asks the second
+    index, probing = side(role & 1 == 0), side(role & 1 == 1)
+    for (ah, al, ab, ap, last), (bh, bl, bb, bp, _) in ((index, probing), (probing, index)):  # the first asks the second
         names, start, end = bounds(bh)
         if not len(names):
             continue
@@ -272,6 +349,10 @@ def _candidates(table: pa.Table, k: int, skip: int, take: int, asking: np.ndarra
         lo = start[g]
         count = np.searchsorted(np.repeat(np.arange(len(start)), end - start) * far + bp, g * far + ap[met]) - lo  # the earlier ones
         met, lo, count = met[count > 0], lo[count > 0], count[count > 0]
+        beyond = met[(count > window) & ~last[met]]
+        yield np.unique(al[beyond]), np.unique(al[beyond])
+        crowded.append(ah[beyond])
+        count = np.where(last[met], count, np.minimum(count, window))
         total, at = np.cumsum(count), 0
         while at < len(met):  # in steps of whole lines, so that a crowded key does not fill the memory
             to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + step)))
@@ -280,10 +361,10 @@ def _candidates(table: pa.Table, k: int, skip: int, take: int, asking: np.ndarra
             good = (al[x] != bl[y]) & (bag_distance(ab[x], bb[y]) <= 2 * k)
             x, y = x[good], y[good]
             rank = np.arange(len(x)) - np.searchsorted(x, x)
-            over = np.unique(x[rank >= take])
+            now = (rank < take) | last[x]
+            over = np.unique(x[~now])
             yield al[over], al[over]
             crowded.append(ah[over])
-            now = (rank >= skip) & (rank < take)
             pairs = np.unique(np.stack([al[x[now]], bl[y[now]]], axis=1), axis=0)
             yield pairs[:, 0], pairs[:, 1]
             at = to
@@ -312,12 +393,11 @@ def with_texts(docs: DataFrame, pairs: DataFrame, min_bytes: int, bits: int, at_
     return both.join(lines.select(F.col("line").alias("a"), F.col("bytes").alias("x")), "a"), lines
 
 
-def late_lines(docs: DataFrame, max_edits: int, min_bytes: int, rounds: tuple[int, ...] = (16, 256), bits: int = 26) -> DataFrame:
+def late_lines(docs: DataFrame, max_edits: int, min_bytes: int, window: int = 64, take: int = 16, bits: int = 26) -> DataFrame:
     """line, check: of the lines that have an earlier one within ``max_edits`` edits, stored. ``docs`` has key, row and text."""
     spark = docs.sparkSession
     docs = docs.select("key", "row", "text")
     kind, parts = docs.schema["key"].dataType.simpleString(), parts_for(docs, 8)
-    limits = [0, *rounds, np.iinfo(np.int64).max]
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -325,11 +405,11 @@ def late_lines(docs: DataFrame, max_edits: int, min_bytes: int, rounds: tuple[in
             own = batch.filter(yes)
             yield pa.RecordBatch.from_arrays([own.column("a"), pa.array(digests(own.column("x"))[1], pa.int64())], ["line", "check"])
 
-    def asked(skip: int, take: int, asking, crowded) -> DataFrame:
+    def asked(asking, crowded: tuple) -> DataFrame:
         """a, b: pairs, and lines with themselves; with b null, a is a key."""
 
         def match(table: pa.Table) -> pa.Table:
-            found = list(_candidates(table, max_edits, skip, take, asking.value if asking else None, bits))
+            found = list(_candidates(table, max_edits, window, take, asking.value if asking else None, bits))
             a = np.concatenate([np.zeros(0, np.int64), *(x for x, _ in found)])
             b = pa.concat_arrays([pa.array([], pa.int64()), *(pa.array(y, pa.int64()) if len(x) == len(y) else pa.nulls(len(x), pa.int64()) for x, y in found)])
             return pa.table({"a": pa.array(a, pa.int64()), "b": b})
@@ -337,9 +417,9 @@ def late_lines(docs: DataFrame, max_edits: int, min_bytes: int, rounds: tuple[in
         packed = docs.mapInArrow(_entries(min_bytes, max_edits, parts, crowded, bits), f"part int, hashes binary, lines binary, bags binary, roles binary, numbers binary, rows binary, keys array<{kind}>")
         return stored(packed.groupBy("part").applyInArrow(match, "a long, b long").distinct(), "pairs")
 
-    late, asking, crowded = [], None, None
-    for skip, take in zip(limits[:-1], limits[1:], strict=True):
-        pairs = asked(skip, take, asking, crowded)
+    late, asking, crowded = [], None, ()
+    while True:  # each round cuts gaps of the last one's keys, until none can be cut
+        pairs = asked(asking, crowded)
         both, lines = with_texts(docs.select("text"), pairs.where("a <> b"), min_bytes, bits)
         late.append(stored(both.mapInArrow(verify, "line long, check long").distinct(), "near"))
         release(lines)
@@ -347,7 +427,8 @@ def late_lines(docs: DataFrame, max_edits: int, min_bytes: int, rounds: tuple[in
         if left.isEmpty():
             release(pairs)
             break
-        asking, crowded = (spark.sparkContext.broadcast(bitmap(d, c, bits)) for d, c in ((left, "line"), (pairs.where("b IS NULL"), "a")))
+        asking, more = (spark.sparkContext.broadcast(bitmap(d, c, bits)) for d, c in ((left, "line"), (pairs.where("b IS NULL"), "a")))
+        crowded = (*crowded, more)
         release(pairs)
     out = stored(reduce(DataFrame.union, late).distinct(), "late")
     release(*late)

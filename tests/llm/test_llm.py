@@ -546,6 +546,45 @@ def test_line_dedup_of_a_template(spark, monkeypatch):
     assert sum(pairs) < 60 * len(lines), pairs
 
 
+@pytest.mark.parametrize("window, take", [(1, 1), (2, 1)])
+def test_line_dedup_refines_crowded_keys(spark, monkeypatch, window, take):
+    """Few letters, common heads and tails: almost every key is crowded on every level."""
+    from functools import partial
+
+    from coppice.llm import line_dedup
+
+    rnd = random.Random(17)
+    middle = lambda: bytes(rnd.choice(b"ab") for _ in range(rnd.randrange(9, 13)))
+    pool = [rnd.choice([b"head of all ", b""]) + middle() + rnd.choice([b" tail of all", b"", b" t"]) for _ in range(60)]
+    lines = [edited(rnd, rnd.choice(pool), rnd.choice([0, 1, 2, 3])).decode() for _ in range(260)]
+    kept = sorted(x for n, x in enumerate(lines) if not any(len(y) >= 9 <= len(x) and lev(x.encode(), y.encode()) <= 2 for y in lines[:n]))
+    rounds, real = [], line_dedup.stored
+    monkeypatch.setattr(line_dedup, "late_lines", partial(line_dedup.late_lines, window=window, take=take))
+    monkeypatch.setattr(line_dedup, "stored", lambda df, purpose: rounds.append(purpose) or real(df, purpose))
+    got = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), min_bytes=9)
+    assert sorted(r.text for r in got.collect() if r.text) == kept and rounds.count("pairs") >= 3
+
+
+def test_line_dedup_of_a_common_head(spark, monkeypatch):
+    """The lines of a head of 24 bytes look at ``window`` of each other, then go by other segments: none of them is compared."""
+    from coppice.llm import line_dedup
+
+    rnd = random.Random(23)
+    lines = ["2024-01-01 INFO service: " + "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(47)) for _ in range(3000)]
+    lines += [lines[7][:40] + "~" + lines[7][41:], lines[8][:20] + lines[8][21:]]
+    table, real = [], line_dedup.stored
+
+    def stored(df, purpose):
+        out = real(df, purpose)
+        if purpose == "pairs":
+            table.append((out.where("a <> b").count(), out.where("a = b").count()))
+        return out
+
+    monkeypatch.setattr(line_dedup, "stored", stored)
+    got = {r.doc_id for r in line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).where("n_dropped > 0").collect()}
+    assert got == {3000, 3001} and len(table) <= 3 and table[-1][1] == 0 and sum(p for p, _ in table) < 100, table
+
+
 def test_line_dedup_short_repeats(spark, tmp_path):
     import corpus_pipeline
 
