@@ -13,8 +13,9 @@ looks at the first few lines of each of its keys, and asks those whose byte coun
 copy is settled, so m lines that are near each other cost m rows, not m * m. A line that a key had more for goes to the
 next round, in which crowded keys are refined: two near lines that share a segment have their other edits in what is left
 and right of it, so the longer of these gaps is cut into segments in turn, of which one more must stand unchanged. So
-lines with a common head or frame part as soon as a segment outside of it is theirs. A key whose gaps are too short to be
-cut gives all that it has, to lines that are still unsettled.
+lines with a common head or frame part as soon as a segment outside of it is theirs. How many lines of a key are looked
+at grows fourfold a round, so that keys whose gaps are too short to be cut end by giving all that they have, to lines
+that are still unsettled.
 
 Index and probe entries travel as packed blobs. Texts are shuffled only for lines with candidates, and once at the end
 to apply the decisions. Candidates are known by 64 bits of a hash, which verifying by bytes makes good; what is dropped
@@ -177,10 +178,10 @@ def entries(n: int, k: int) -> list[tuple[int, int, int, int, Gaps]]:
 
 @lru_cache(maxsize=1 << 14)
 def refined(gaps: Gaps, index: bool) -> list[tuple[int, int, int, Gaps]]:
-    """(segment, start, size, gaps) of the entries by which one with ``gaps`` is refined; none if no gap can be cut."""
+    """(segment, start, size, gaps) of the entries by which one with ``gaps`` is refined; with an empty segment if no gap can be cut."""
     which = _longest(gaps)
     if which is None:
-        return []
+        return [(0, 0, 0, gaps)]
     a, b, c, d, e = gaps[which]
     more, out = d - c - (b - a), []
     for i, (at, size) in enumerate(segments(b - a, e)):
@@ -241,10 +242,7 @@ def _refine(spans: _Spans, h: np.ndarray, line: np.ndarray, node: np.ndarray, st
 
 
 def _entries(least: int, k: int, parts: int, crowded: tuple = (), bits: int = 0):
-    """Packed index and probe entries of the distinct lines of each batch, refined once for each bitmap of ``crowded`` keys, of those alone.
-
-    A role is 1 for probes, and 2 more if the entry can't be refined.
-    """
+    """Packed index and probe entries (of roles 0 and 1) of the distinct lines of each batch, refined once for each bitmap of ``crowded`` keys, of those alone."""
     most = max(len(entries(n, k)) for n in range(4 * k + 4))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,9 +282,8 @@ def _entries(least: int, k: int, parts: int, crowded: tuple = (), bits: int = 0)
                     h, line, node, states = _refine(spans, h, line, node, states)
                 if not len(h):
                     continue
-                roles = np.array([(not own) | (_longest(gaps) is None) << 1 for gaps, own in states], np.int8)
-                role, part = roles[node], (h % np.uint64(parts)).astype(np.int32)
-                order = np.argsort(part << 2 | role, kind="stable")
+                role, part = np.array([not own for _, own in states], np.int8)[node], (h % np.uint64(parts)).astype(np.int32)
+                order = np.argsort(part << 1 | role, kind="stable")
                 part, h, line, role = part[order], h[order], line[order], role[order]
                 p, a, b = bounds(part)
                 first = _first_places(rows, index, at, len(ids))[line]
@@ -318,8 +315,7 @@ def bag_distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def _candidates(table: pa.Table, k: int, window: int, take: int, asking: np.ndarray | None, bits: int, step: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Later and earlier line of pairs of which one probes an entry of the other, within one part, and whose bags allow ``k`` edits.
 
-    Of the lines under a key, by place, a line looks at the first ``window`` and takes ``take`` of them, unless the key can't be refined; with a
-    bitmap ``asking``, only lines in it do. A line paired with itself has more to ask; the last item holds the keys that have more to give.
+    Of the lines under a key, by place, a line looks at the first ``window`` and takes ``take`` of them; with a bitmap ``asking``, only lines in it do. A line paired with itself has more to ask; the last item holds the keys that have more to give.
     """
     h, line, bag, role, number, own_row = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("hashes", np.uint64), ("lines", np.int64), ("bags", np.uint64), ("roles", np.int8), ("numbers", np.int32), ("rows", np.int64)))
     keys = pa.chunked_array([pc.list_flatten(table.column("keys").combine_chunks())]).combine_chunks()
@@ -333,11 +329,11 @@ def _candidates(table: pa.Table, k: int, window: int, take: int, asking: np.ndar
         new[1:] = (h[order[1:]] != h[order[:-1]]) | (line[order[1:]] != line[order[:-1]])
         order = order[new]
         order = order[np.lexsort((place[order], h[order]))]
-        return h[order], line[order], bag[order], place[order], role[order] > 1
+        return h[order], line[order], bag[order], place[order]
 
     crowded = [np.zeros(0, np.uint64)]
-    index, probing = side(role & 1 == 0), side(role & 1 == 1)
-    for (ah, al, ab, ap, last), (bh, bl, bb, bp, _) in ((index, probing), (probing, index)):  # the first asks the second
+    index, probing = side(role == 0), side(role == 1)
+    for (ah, al, ab, ap), (bh, bl, bb, bp) in ((index, probing), (probing, index)):  # the first asks the second
         names, start, end = bounds(bh)
         if not len(names):
             continue
@@ -349,10 +345,10 @@ def _candidates(table: pa.Table, k: int, window: int, take: int, asking: np.ndar
         lo = start[g]
         count = np.searchsorted(np.repeat(np.arange(len(start)), end - start) * far + bp, g * far + ap[met]) - lo  # the earlier ones
         met, lo, count = met[count > 0], lo[count > 0], count[count > 0]
-        beyond = met[(count > window) & ~last[met]]
+        beyond = met[count > window]
         yield np.unique(al[beyond]), np.unique(al[beyond])
         crowded.append(ah[beyond])
-        count = np.where(last[met], count, np.minimum(count, window))
+        count = np.minimum(count, window)
         total, at = np.cumsum(count), 0
         while at < len(met):  # in steps of whole lines, so that a crowded key does not fill the memory
             to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + step)))
@@ -361,7 +357,7 @@ def _candidates(table: pa.Table, k: int, window: int, take: int, asking: np.ndar
             good = (al[x] != bl[y]) & (bag_distance(ab[x], bb[y]) <= 2 * k)
             x, y = x[good], y[good]
             rank = np.arange(len(x)) - np.searchsorted(x, x)
-            now = (rank < take) | last[x]
+            now = rank < take
             over = np.unique(x[~now])
             yield al[over], al[over]
             crowded.append(ah[over])
@@ -409,7 +405,8 @@ def late_lines(docs: DataFrame, max_edits: int, min_bytes: int, window: int = 64
         """a, b: pairs, and lines with themselves; with b null, a is a key."""
 
         def match(table: pa.Table) -> pa.Table:
-            found = list(_candidates(table, max_edits, window, take, asking.value if asking else None, bits))
+            grown = 4 ** len(crowded)
+            found = list(_candidates(table, max_edits, grown * window, grown * take, asking.value if asking else None, bits))
             a = np.concatenate([np.zeros(0, np.int64), *(x for x, _ in found)])
             b = pa.concat_arrays([pa.array([], pa.int64()), *(pa.array(y, pa.int64()) if len(x) == len(y) else pa.nulls(len(x), pa.int64()) for x, y in found)])
             return pa.table({"a": pa.array(a, pa.int64()), "b": b})
@@ -418,7 +415,7 @@ def late_lines(docs: DataFrame, max_edits: int, min_bytes: int, window: int = 64
         return stored(packed.groupBy("part").applyInArrow(match, "a long, b long").distinct(), "pairs")
 
     late, asking, crowded = [], None, ()
-    while True:  # each round cuts gaps of the last one's keys, until none can be cut
+    while True:  # each round cuts gaps of the last one's keys and looks at more
         pairs = asked(asking, crowded)
         both, lines = with_texts(docs.select("text"), pairs.where("a <> b"), min_bytes, bits)
         late.append(stored(both.mapInArrow(verify, "line long, check long").distinct(), "near"))
