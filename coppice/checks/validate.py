@@ -16,7 +16,7 @@ def violations(rows: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame
 
 def element_rules() -> dict[str, Column]:
     r = F.col("representation")
-    base = F.substring("file", 1, 4).try_cast("int")
+    base = F.regexp_extract("file", r"^(\d+)", 1).try_cast("long")  # all digits: tags may have more than four
     return {
         "tag is missing": F.col("tag").isNull(),
         "change_tag is unknown": F.col("change_tag").isNotNull() & ~F.col("change_tag").isin(CHANGE_TAGS),
