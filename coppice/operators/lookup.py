@@ -109,9 +109,9 @@ def interval_route(value: Column, intervals: list[tuple[str, float, float]]) ->
     return chain
 
 
-def seeded_sample(rows: DataFrame, order: Column, n: int) -> DataFrame:
-    """``n`` rows by an order that a seed determines; the key must break ties."""
-    return rows.orderBy(order).limit(n)
+def seeded_sample(rows: DataFrame, order: Column, n: int, *keys: str) -> DataFrame:
+    """``n`` rows by an order that a seed determines; ``keys`` break ties, so that the sample does not hang on the files."""
+    return rows.orderBy(order, *keys).limit(n)
 
 
 def segment_links(elements: DataFrame, mirror: DataFrame) -> DataFrame:

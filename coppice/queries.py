@@ -309,7 +309,7 @@ def element_violations(t):
 
 @query("SELECT p_partkey, p_name FROM part ORDER BY (p_partkey * 7919 + 42) % 104729, p_partkey LIMIT 60")
 def seeded_sample(t):
-    return J.seeded_sample(t("part"), (F.col("p_partkey") * 7919 + 42) % 104729, 60).select("p_partkey", "p_name")
+    return J.seeded_sample(t("part"), (F.col("p_partkey") * 7919 + 42) % 104729, 60, "p_partkey").select("p_partkey", "p_name")
 
 
 _ACTIVE = "SELECT p_partkey AS tag FROM part WHERE p_retailprice >= 1000"

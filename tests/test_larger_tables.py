@@ -3,9 +3,16 @@
 from pyspark.sql import functions as F
 
 from coppice.checks import validate as V
+from coppice.operators import lookup as J
 
 
 def test_file_range_of_tags_with_five_digits(spark):
     e = spark.createDataFrame([("1000-1699.yaml", 1000), ("1000-1699.yaml", 1700), ("10000-10699.yaml", 10_699), ("10000-10699.yaml", 10_700), ("120000-120699.yaml", 1200), ("odd.yaml", 5)], "file string, tag int")
     rule = "tag outside its file's range"
     assert sorted(r.key for r in V.violations(e, "tag", {rule: V.element_rules()[rule]}).collect()) == [1200, 1700, 10_700]
+
+
+def test_sample_breaks_ties_by_keys(spark):
+    rows = spark.createDataFrame([(k,) for k in range(400, 0, -1)], "k int").repartition(3)
+    assert sorted(r.k for r in J.seeded_sample(rows, F.col("k") % 2, 10, "k").collect()) == list(range(2, 21, 2))
+    assert sorted(r.k for r in J.seeded_sample(rows, F.lit(0), 5, "k").collect()) == [1, 2, 3, 4, 5]
