@@ -526,7 +526,8 @@ def graph_round_trip(t):
     none = t("part").sparkSession.createDataFrame([], "key int, replacement int")
     s = T.node_triples(L.element_nodes(_elements(t).where("tag >= 1000"), none, "https://example.org"), T.names(_SPACE))
     folder = shared_dir(s.sparkSession, "graph")
-    K.write_files(K.turtle_files(s, _SPACE, 32), folder)
+    # Files of some thousand elements, so that one fits a row however many there are.
+    K.write_files(K.turtle_files(s, _SPACE, max(32, t("part").count() // 4096)), folder)
     read = rdf.turtle(s.sparkSession, folder, 1 << 20)
     named = lambda c: F.when(~F.col(c).startswith("_:"), F.col(c)).alias(c)
     return read.select(named("s"), "p", F.when(F.col("kind") != "blank", F.col("o")).alias("o"), "kind").groupBy("s", "p", "o", "kind").agg(F.count("*").alias("n"))

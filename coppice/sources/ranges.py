@@ -11,11 +11,20 @@ from .paths import opened
 
 
 def byte_ranges(spark: SparkSession, path: str, split_bytes: int, pattern: str | None = None) -> DataFrame:
-    """path, begin, end, length of the ranges of all files under ``path`` that hold anything, each row a task's work."""
+    """path, begin, end, length of the ranges of all files under ``path`` that hold anything, each row a task's work.
+
+    They are dealt over as many tasks as there are ranges: without a number Spark would put these few small rows, and so
+    the reading of all files, into one task.
+    """
     reader = spark.read.format("binaryFile")
     files = (reader.option("pathGlobFilter", pattern) if pattern else reader).load(path).where("length > 0").select("path", "length")
     each = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))).alias("begin"))
-    return each.select("path", "begin", F.least(F.col("begin") + split_bytes, F.col("length")).alias("end"), "length").repartition(F.col("path"), F.col("begin"))
+    return apart(each.select("path", "begin", F.least(F.col("begin") + split_bytes, F.col("length")).alias("end"), "length"), max(1, each.count()))
+
+
+def apart(ranges: DataFrame, n: int) -> DataFrame:
+    """``ranges`` over ``n`` tasks."""
+    return ranges.repartition(n, F.col("path"), F.col("begin"))
 
 
 class Lines:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from .ranges import Lines, byte_ranges
+from .ranges import Lines, apart, byte_ranges
 
 RDF = "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
 XSD = "http://www.w3.org/2001/XMLSchema#"
@@ -91,9 +91,15 @@ def statements(text: str, at: int, end: int, whole: bool) -> Iterator[tuple[list
         held.append(t)
         if t[0] == "open":
             break
-        own = _directive(held)
-        if (own is not None and len(held) == own[0]) or (own is None and t[:2] == ("mark", ".")):
-            yield held, own and own[1]
+        if len(held) == 1:
+            directs = t[0] in ("at", "word") and _directive(held) is not None
+        if directs:
+            own = _directive(held)
+            if len(held) == own[0]:
+                yield held, own[1]
+                held = []
+        elif t[1] == "." and t[0] == "mark":
+            yield held, None
             held = []
     if held:
         if whole:
@@ -126,6 +132,8 @@ def leaves(text: str, end: int, state: int) -> tuple[int, int, int, list[tuple[s
     ``skip`` is right for all entries amid a statement but those that miss tokens of a directive: see ``onward``.
     """
     at, n, skip = 0, 0, 0
+    if not state and (plain := _left_plainly(text, end)) is not None:
+        return plain
     if state:
         m = _CLOSE[state].match(text)
         if m is None or m.end() > end:
@@ -155,6 +163,34 @@ def leaves(text: str, end: int, state: int) -> tuple[int, int, int, list[tuple[s
     return 0, skip, n, sets
 
 
+#: What a directive has, and texts over many lines.
+_UNPLAIN = re.compile(r"(?i)prefix|base|\"\"\"|'''")
+
+
+def _left_plainly(text: str, end: int) -> tuple[int, int, int, list] | None:
+    """``leaves`` for a reader outside of texts where [0, ``end``) has neither directives nor texts over lines; None elsewhere.
+
+    Every line then begins between tokens, so the first tokens and the last line that has any tell all.
+    """
+    if _UNPLAIN.search(text, 0, end):
+        return None
+    n = 0
+    for t in _readable(text, 0):
+        if t[2] >= end or n == 3:
+            break
+        n += 1
+    stop = end
+    while n and stop > 0:
+        begin = text.rfind("\n", 0, stop - 1) + 1
+        last = None
+        for t in _readable(text[begin:stop], 0):
+            last = t
+        if last is not None:
+            return 0, 0 if last[:2] == ("mark", ".") else -1, n, []
+        stop = begin
+    return 0, 0, n, []
+
+
 def _readable(text: str, at: int) -> Iterator[Token]:
     """The tokens up to what is none: a reader who does not in fact enter here may find anything."""
     try:
@@ -363,7 +399,7 @@ def turtle(spark: SparkSession, path: str, split_bytes: int = 8 << 20, pattern:
                     yield _batches(rows[i : i + (1 << 14)])
 
     entries = ranges.mapInArrow(summed, summary).groupBy("path").applyInArrow(entered, entry_ddl)
-    return entries.repartition(F.col("path"), F.col("begin")).mapInArrow(parsed, STATEMENT)
+    return apart(entries, ranges.rdd.getNumPartitions()).mapInArrow(parsed, STATEMENT)
 
 
 def _range_rows(text: str, end: int, whole: bool, r: dict) -> list[tuple] | None:

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from coppice.checks import validate as V
 from coppice.operators import lookup as J
+from coppice.sources import rdf
 
 
 def test_file_range_of_tags_with_five_digits(spark):
@@ -15,4 +16,21 @@ def test_file_range_of_tags_with_five_digits(spark):
 def test_sample_breaks_ties_by_keys(spark):
     rows = spark.createDataFrame([(k,) for k in range(400, 0, -1)], "k int").repartition(3)
     assert sorted(r.k for r in J.seeded_sample(rows, F.col("k") % 2, 10, "k").collect()) == list(range(2, 21, 2))
-    assert sorted(r.k for r in J.seeded_sample(rows, F.lit(0), 5, "k").collect()) == [1, 2, 3, 4, 5]
+    assert sorted(r.k for r in J.seeded_sample(rows, F.col("k") * 0, 5, "k").collect()) == [1, 2, 3, 4, 5]
+
+
+def test_ranges_of_a_file_are_tasks_of_their_own(spark, tmp_path):
+    lines = [f'<a:{i}> <a:p> "base . {i}" ;\n  <a:q> {i} .\n' if i % 50 == 0 else f'<a:{i}> <a:p> "x . {i}" ;\n  <a:q> {i} .\n' for i in range(400)]
+    (tmp_path / "a.ttl").write_text("@prefix a: <a:> .\n" + "".join(lines))
+    read = rdf.turtle(spark, f"file://{tmp_path}", 1000)
+    assert read.rdd.getNumPartitions() >= 10
+    assert sorted((r.s, r.p, r.o) for r in read.collect()) == sorted(x for i in range(400) for x in ((f"a:{i}", "a:p", f"{'x' if i % 50 else 'base'} . {i}"), (f"a:{i}", "a:q", str(i))))
+
+
+def test_plain_ranges_are_left_as_others(monkeypatch):
+    texts = ["", "\n\n", "<a:s> <a:p> 1 .\n", "<a:s> <a:p>\n 1\n", ".\n", "a:p 1 ;\n# end . \n\n", 'x "a. b" .\n  # c\n', "<a:s>\n", "a b c .\n<x:y>\n"]
+    after = "<a:t> <a:p> 2 .\n@prefix c: <c:> .\n"
+    quick = [rdf._left_plainly(x, len(x)) for x in texts]
+    assert None not in quick and [rdf.leaves(x + after, len(x), 0) for x in texts] == quick
+    monkeypatch.setattr(rdf, "_left_plainly", lambda text, end: None)
+    assert [rdf.leaves(x + after, len(x), 0) for x in texts] == quick
