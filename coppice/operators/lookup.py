@@ -16,8 +16,12 @@ def aligned(left: DataFrame, right: DataFrame, on: Column, pairs: list[tuple[str
     return left.join(right, on).withColumn("aligned", same)
 
 
-def only_in(left: DataFrame, right: DataFrame, key: str, other: str) -> DataFrame:
-    return left.join(right.select(F.col(other).alias("__k")), F.col(key) == F.col("__k"), "left_anti")
+def only_in(left: DataFrame, right: DataFrame, key: str, other: str, parts: int | None = None) -> DataFrame:
+    """The rows of ``left`` whose key ``right`` lacks. ``parts`` is for sides of any size: rows are dealt by key over so many tasks at least, see ``parts_for``."""
+    k = right.select(F.col(other).alias("__k"))
+    if parts:
+        k = k.repartition(parts, "__k").hint("merge")  # the other side follows
+    return left.join(k, F.col(key) == F.col("__k"), "left_anti")
 
 
 def known_split(rows: DataFrame, key: str, known: DataFrame, other: str) -> DataFrame:

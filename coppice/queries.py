@@ -22,7 +22,7 @@ from .operators import ordered as O
 from .schemas import CHANGE_TAGS, INTERVALS, LEGEND_TAGS
 from .sinks import writers as K
 from .sources import rdf
-from .storage import shared_dir
+from .storage import parts_for, shared_dir
 from .streaming.sessions import run_once
 from .streaming.sessions import stream_sessions as sessions_of
 
@@ -103,9 +103,10 @@ def tag_join_aligned(t):
 @query("""SELECT 'left' AS side, o_orderkey AS key FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)
     UNION ALL SELECT DISTINCT 'right', l_orderkey FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM orders WHERE l_orderkey = o_orderkey)""")
 def anti_both_sides(t):
-    o, l = t("orders"), t("lineitem")
-    left = J.only_in(o, l, "o_orderkey", "l_orderkey").select(F.lit("left").alias("side"), F.col("o_orderkey").alias("key"))
-    right = J.only_in(l, o, "l_orderkey", "o_orderkey").select(F.lit("right").alias("side"), F.col("l_orderkey").alias("key")).distinct()
+    o, l = t("orders").select("o_orderkey"), t("lineitem").select("l_orderkey")
+    n = parts_for(l)
+    left = J.only_in(o, l, "o_orderkey", "l_orderkey", n).select(F.lit("left").alias("side"), F.col("o_orderkey").alias("key"))
+    right = J.only_in(l, o, "l_orderkey", "o_orderkey", n).select(F.lit("right").alias("side"), F.col("l_orderkey").alias("key")).distinct()
     return left.unionByName(right)
 
 

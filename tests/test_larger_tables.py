@@ -34,3 +34,10 @@ def test_plain_ranges_are_left_as_others(monkeypatch):
     assert None not in quick and [rdf.leaves(x + after, len(x), 0) for x in texts] == quick
     monkeypatch.setattr(rdf, "_left_plainly", lambda text, end: None)
     assert [rdf.leaves(x + after, len(x), 0) for x in texts] == quick
+
+
+def test_anti_join_over_parts_of_its_own(spark):
+    a, b = spark.range(1000).withColumnRenamed("id", "a"), spark.range(5, 2000, 2).withColumnRenamed("id", "b")
+    got = J.only_in(a, b, "a", "b", 37)
+    assert got.rdd.getNumPartitions() == 37  # Spark puts none together
+    assert sorted(r.a for r in got.collect()) == sorted({*range(0, 1000, 2), 1, 3})
