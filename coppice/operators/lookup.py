@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.notation import code_references
+from . import scan
 
 
 def aligned(left: DataFrame, right: DataFrame, on: Column, pairs: list[tuple[str, str]], required: str) -> DataFrame:
@@ -144,14 +145,29 @@ def references(entries: DataFrame) -> DataFrame:
     return e.select("code_list", "entry", "code", "name", "description", "pos", "r.kind", "r.tag")
 
 
-def nested_references(refs: DataFrame, elements: DataFrame) -> DataFrame:
-    """tag, refs: the references to known elements of any status, as a list in file and line order; an empty description is null."""
-    known = known_split(refs, "tag", elements, "tag").where("known")
+def nested_references(refs: DataFrame, elements: DataFrame, width: int | None = None, parts: int | None = None) -> DataFrame:
+    """tag, refs: the references to known elements of any status, as a list in file and line order; an empty description is null.
+
+    ``width`` is for tags with any number of references: tag, part, refs, the list in pieces of at most so many, in order
+    of ``part``. Rows are then sorted over ``parts`` ranges, and pieces end where ranges do.
+    """
+    tags = only_known(refs.select("tag").distinct(), elements, "left_semi")  # few, so that a tag's rows stay where they are
+    known = refs.join(tags, "tag", "left_semi")
     one = F.struct("code_list", "code", "name", "kind", F.nullif("description", F.lit("")).alias("description"))
-    listed = F.array_sort(F.collect_list(F.struct("code_list", "entry", "pos", one.alias("r"))))
-    return known.groupBy("tag").agg(F.transform(listed, lambda x: x.r).alias("refs"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("code_list", "entry", "pos", one.alias("r")))), lambda x: x.r).alias("refs")
+    if width is None:
+        return known.groupBy("tag").agg(listed)
+    s = scan.ordered(known, ["tag"], ["code_list", "entry", "pos"], parts)
+    # Numbers leave gaps between ranges but none within, so a piece is a stretch of one range.
+    pieces = s.withColumn("part", F.shiftleft(F.col(scan.PART).cast("long"), 33) + F.floor(F.col(scan.AT).bitwiseAND(F.lit((1 << 33) - 1)) / width))
+    return (pieces.repartition(parts, "tag", "part") if parts else pieces).groupBy("tag", "part").agg(listed)
 
 
 def unknown_tags(refs: DataFrame, elements: DataFrame) -> DataFrame:
     """tag: distinct, of references to no known element."""
-    return known_split(refs, "tag", elements, "tag").where("NOT known").select("tag").distinct()
+    return only_known(refs.select("tag").distinct(), elements, "left_anti")
+
+
+def only_known(tags: DataFrame, elements: DataFrame, how: str) -> DataFrame:
+    """The distinct tags that elements have (``left_semi``) or lack (``left_anti``), before their rows are looked at: these may be many for one tag."""
+    return tags.join(elements.select(F.col("tag").alias("__k")), F.col("tag") == F.col("__k"), how)

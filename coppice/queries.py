@@ -464,7 +464,10 @@ def grouped_nest(t):
     k = F.col("o_orderkey")
     entries = t("orders").select(k.alias("code_list"), F.lit(1).alias("entry"), F.lit("AB").alias("code"), F.lit("Name").alias("name"), F.format_string("[%d] see (%d)", 1000 + k % 9, 9990 + k % 8).alias("description"))
     refs, e = J.references(entries), _elements(t)
-    known = J.nested_references(refs, e).select(F.col("tag").cast("long").alias("tag"), F.size("refs").cast("long").alias("refs"), F.size(F.filter("refs", lambda r: r.kind == "equals")).cast("long").alias("equals"), F.get("refs", F.lit(0)).code_list.alias("first"), F.lit(True).alias("known"))
+    # Lists in pieces: a tag may have any number of references.
+    pieces = J.nested_references(refs, e, 4096, parts_for(t("orders")))
+    equals = F.size(F.filter("refs", lambda r: r.kind == "equals"))
+    known = pieces.groupBy(F.col("tag").cast("long").alias("tag")).agg(F.sum(F.size("refs")).alias("refs"), F.sum(equals).alias("equals"), F.min_by(F.get("refs", F.lit(0)).code_list, "part").alias("first")).withColumn("known", F.lit(True))
     lost = J.unknown_tags(refs, e).select(F.col("tag").cast("long").alias("tag"), F.lit(0).cast("long").alias("refs"), F.lit(0).cast("long").alias("equals"), F.lit(None).cast("long").alias("first"), F.lit(False).alias("known"))
     return known.unionByName(lost)
 

@@ -41,3 +41,14 @@ def test_anti_join_over_parts_of_its_own(spark):
     got = J.only_in(a, b, "a", "b", 37)
     assert got.rdd.getNumPartitions() == 37  # Spark puts none together
     assert sorted(r.a for r in got.collect()) == sorted({*range(0, 1000, 2), 1, 3})
+
+
+def test_references_of_one_tag_in_pieces(spark):
+    n = 1000
+    refs = spark.createDataFrame([(c, 1, "AB", "Name", "", 0, "equals" if c % 3 else "related", tag) for c in range(n) for tag in (7, 9)], "code_list long, entry int, code string, name string, description string, pos int, kind string, tag int").repartition(3)
+    elements = spark.createDataFrame([(7,), (7,), (8,)], "tag int")
+    found = sorted(J.nested_references(refs, elements, 64, 5).collect(), key=lambda r: r.part)
+    assert {r.tag for r in found} == {7} and max(len(r.refs) for r in found) <= 64
+    assert [x.code_list for r in found for x in r.refs] == list(range(n))
+    assert [x.code_list for x in J.nested_references(refs, elements).first().refs] == list(range(n))
+    assert [r.tag for r in J.unknown_tags(refs, elements).collect()] == [9]
