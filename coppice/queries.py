@@ -498,7 +498,8 @@ def all_inversions(t):
 def interval_join(t):
     b = t("customer").select(F.col("c_custkey").alias("user_id"), F.col("c_acctbal").alias("b"), F.explode(F.array(*map(F.lit, range(4)))).alias("k"))
     b = b.select("user_id", "k", (F.col("b") % 50 + F.col("k") * 20).alias("y0"), (F.col("b") % 50 + F.col("k") * 20 + 15).alias("y1"))
-    return I.interval_join(t("events").select("event_id", "user_id", "value"), b, ["user_id"], "value", "y0", "y1", 15.0).select("event_id", "user_id", "k")
+    e = t("events").select("event_id", "user_id", "value")
+    return I.interval_join(e, b, ["user_id"], "value", "y0", "y1", 15.0, parts_for(e)).select("event_id", "user_id", "k")
 
 
 @query("""WITH l AS (SELECT DISTINCT l_orderkey AS page, l_linenumber AS n FROM lineitem), w AS (SELECT page, n, n * 7.0 AS y FROM l), b AS (SELECT page, 1000 + n AS tag, y - 1 AS y0, coalesce((SELECT min(b.y) - 1 FROM w b WHERE b.page = w.page AND b.y > w.y + 3), y + 60) AS y1 FROM w),

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from coppice.checks import validate as V
 from coppice.operators import lookup as J
+from coppice.operators.intervals import interval_join
 from coppice.sources import rdf
 
 
@@ -52,3 +53,13 @@ def test_references_of_one_tag_in_pieces(spark):
     assert [x.code_list for r in found for x in r.refs] == list(range(n))
     assert [x.code_list for x in J.nested_references(refs, elements).first().refs] == list(range(n))
     assert [r.tag for r in J.unknown_tags(refs, elements).collect()] == [9]
+
+
+def test_ranges_are_dealt_and_not_sent(spark):
+    p = spark.range(200).select((F.col("id") % 5).alias("k"), F.col("id").cast("double").alias("v"))
+    r = spark.range(5).select(F.col("id").alias("k"), F.lit(10.0).alias("lo"), F.lit(90.0).alias("hi"))
+    for parts in (None, 23):
+        got = interval_join(p, r, ["k"], "v", "lo", "hi", 1.0, parts)
+        assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
+        assert got.count() == 80
+    assert got.rdd.getNumPartitions() == 23
