@@ -107,15 +107,18 @@ def row_bands(words: DataFrame, margin: float = 3.0, height: float = 60.0) -> Da
     return uids.select("page", "tag", (F.col("y") - 1).alias("y0"), F.coalesce(F.min("y").over(below) - 1, F.col("y") + height).alias("y1"))
 
 
-def band_cells(words: DataFrame, bands: DataFrame, columns: Column) -> DataFrame:
+def band_cells(words: DataFrame, bands: DataFrame, columns: Column, parts: int | None = None) -> DataFrame:
     """page, tag, column, fragments: the words of each band by column, those of a line joined by a space, the lines in order.
 
     ``words`` are those of ``layout_lines``, ``columns`` names the column of a word by its place. This is the printed
     text of what an OCR program reads in a band, so it is what its reading is held against. Words outside of every band
-    and columns without a name go; a word in two bands counts in both.
+    and columns without a name go; a word in two bands counts in both. ``parts`` is the number of tasks for tables of any
+    size, see ``parts_for``.
     """
     own = words.withColumn("column", columns).where("column IS NOT NULL")
-    held = interval_join(own, bands.select("page", "tag", "y0", "y1"), ["page"], "y", "y0", "y1", 60.0)
+    held = interval_join(own, bands.select("page", "tag", "y0", "y1"), ["page"], "y", "y0", "y1", 60.0, parts)
+    if parts:
+        held = held.repartition(parts, "page", "tag", "column")  # both groupings below find their rows together
     line = held.groupBy("page", "tag", "column", "line").agg(F.array_sort(F.collect_list(F.struct("y", "x", "word_no", "text"))).alias("ws"))
     line = line.withColumn("fragment", F.array_join(F.transform("ws", lambda w: w.text), " "))
     return line.groupBy("page", "tag", "column").agg(F.transform(F.array_sort(F.collect_list(F.struct("line", "fragment"))), lambda x: x.fragment).alias("fragments"))

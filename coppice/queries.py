@@ -507,11 +507,14 @@ def interval_join(t):
     SELECT page, tag, "column", string_agg("column" || ' ' || n, ' / ' ORDER BY n) AS text FROM x GROUP BY ALL""")
 def band_cells(t):
     """Words of two columns, a line for each number, into the bands of the numbers."""
-    l = t("lineitem").select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").alias("line")).distinct()
-    word = lambda x, text: l.select("page", "line", F.lit(x).alias("x"), (F.col("line") * 7).cast("double").alias("y"), F.lit(0).alias("word_no"), text.alias("text"))
-    words = word(110.0, (F.col("line") + 1000).cast("string")).unionByName(word(140.0, F.concat(F.lit("name "), "line"))).unionByName(word(660.0, F.concat(F.lit("notes "), "line")))
+    l = t("lineitem").select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").alias("line"))
+    n = parts_for(l)
+    l = l.repartition(n, "page").distinct()
+    word = lambda x, text: F.struct(F.lit(x).alias("x"), (F.col("line") * 7).cast("double").alias("y"), F.lit(0).alias("word_no"), text.alias("text"))
+    three = F.array(word(110.0, (F.col("line") + 1000).cast("string")), word(140.0, F.concat(F.lit("name "), "line")), word(660.0, F.concat(F.lit("notes "), "line")))
+    words = l.select("page", "line", F.explode(three).alias("w")).select("page", "line", "w.*")
     column = F.nullif(J.interval_route(F.col("x"), INTERVALS), F.lit("uid"))
-    return O.band_cells(words, O.row_bands(words), column).select("page", "tag", "column", F.array_join("fragments", " / ").alias("text"))
+    return O.band_cells(words, O.row_bands(words), column, n).select("page", "tag", "column", F.array_join("fragments", " / ").alias("text"))
 
 
 @query("""WITH e AS (SELECT p_partkey // 1000 AS category, CASE WHEN p_retailprice >= 1000 THEN 'active' ELSE 'retired' END AS status, CASE WHEN p_size % 5 > 0 THEN 'an' END AS charset, p_size FROM part)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from coppice.checks import validate as V
 from coppice.operators import lookup as J
+from coppice.operators import ordered as O
 from coppice.operators.intervals import interval_join
 from coppice.sources import rdf
 
@@ -63,3 +64,11 @@ def test_ranges_are_dealt_and_not_sent(spark):
         assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
         assert got.count() == 80
     assert got.rdd.getNumPartitions() == 23
+
+
+def test_bands_over_parts_of_their_own(spark):
+    words = spark.range(300).select((F.col("id") % 10).alias("page"), F.floor(F.col("id") / 10).alias("line"), F.lit(140.0).alias("x"), (F.floor(F.col("id") / 10) * 7).cast("double").alias("y"), F.lit(0).alias("word_no"), F.col("id").cast("string").alias("text"))
+    bands = spark.range(10).select(F.col("id").alias("page"), F.lit(1).alias("tag"), F.lit(0.0).alias("y0"), F.lit(100.0).alias("y1"))
+    whole, dealt = O.band_cells(words, bands, F.lit("name")), O.band_cells(words, bands, F.lit("name"), 19)
+    assert dealt.rdd.getNumPartitions() == 19  # Spark puts none together
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, whole.collect())) and whole.count() == 10
