@@ -67,8 +67,9 @@ def test_ranges_are_dealt_and_not_sent(spark):
 
 
 def test_bands_over_parts_of_their_own(spark):
-    words = spark.range(300).select((F.col("id") % 10).alias("page"), F.floor(F.col("id") / 10).alias("line"), F.lit(140.0).alias("x"), (F.floor(F.col("id") / 10) * 7).cast("double").alias("y"), F.lit(0).alias("word_no"), F.col("id").cast("string").alias("text"))
-    bands = spark.range(10).select(F.col("id").alias("page"), F.lit(1).alias("tag"), F.lit(0.0).alias("y0"), F.lit(100.0).alias("y1"))
-    whole, dealt = O.band_cells(words, bands, F.lit("name")), O.band_cells(words, bands, F.lit("name"), 19)
+    words = spark.range(300).select((F.col("id") % 10).alias("page"), F.floor(F.col("id") / 10).alias("line"), (F.col("id") % 10 + 140.0).alias("x"), (F.floor(F.col("id") / 10) * 7).cast("double").alias("y"), F.lit(0).alias("word_no"), F.col("id").cast("string").alias("text"))
+    bands = spark.range(10).select(F.col("id").alias("page"), (F.col("id") % 3).alias("tag"), F.lit(0.0).alias("y0"), F.lit(100.0).alias("y1"))
+    column = F.when(F.col("x") > 130, "name")
+    whole, dealt = O.band_cells(words, bands, column), O.band_cells(words, bands, column, 19)
     assert dealt.rdd.getNumPartitions() == 19  # Spark puts none together
     assert sorted(map(str, dealt.collect())) == sorted(map(str, whole.collect())) and whole.count() == 10
