@@ -1,9 +1,9 @@
 r"""Chat formatting by prefix-target expansion: every assistant turn is an example of its own.
 
-An example's context is all that precedes the reply in its conversation, and the reply alone is trainable. As texts the
-examples of a conversation of n turns would hold n * n / 2 turns, most of them again and again. So a conversation is
-formatted once, a piece for each turn, and an example is two places in this text: it reads from the conversation's
-begin to ``reply_end`` and trains on ``reply_start`` to ``reply_end``. Nothing is cut and nothing is written twice.
+An example's context is all that precedes the reply in its conversation, and the reply alone is trainable. Turns are
+formatted once, a piece for each, with their places in the conversation's text (``pieces``). ``expanded`` then makes the
+examples: each holds all pieces of its prefix and its target, a row each, so that none must fit a row and those of a long
+conversation, n * n / 4 pieces, spread over tasks. Nothing is cut. ``examples`` gives their places alone.
 
 A piece is ``### role: text</turn>`` and a line end. In texts a backslash goes before each backslash and ``#``, and into
 ``</turn>`` before its stroke, in roles before colons too; so no mark of the template occurs in a text, not even behind
@@ -142,28 +142,65 @@ def per_conversation(rows: DataFrame, columns: list[str], fold: Callable[[], tup
     return dealt.mapInArrow(run, f"`{key}` {kind.simpleString()}, {schema}")
 
 
-def read_back(formatted: DataFrame) -> DataFrame:
-    """What the formatted text says: conv_id, n_turns, turns_sha256 (role, line end, text, line end for each turn), loss_chars, loss_sha256, formatted_chars.
+#: Examples whose rows are joined by one key; a long conversation has several such keys.
+BLOCK = 256
+
 
-    Turns are parsed from the pieces; the trained text is cut out by the places of the examples, then unescaped.
+def expanded(formatted: DataFrame) -> DataFrame:
+    """The examples of ``pieces``, each with all of its turns: at (conv_id, example), n, piece, start, reply_start, reply_end.
+
+    An example is the prefix of the conversation up to an assistant turn, and this turn its target: only the target's row
+    has ``reply_start`` and ``reply_end``. Turns after the last reply come in one more example, without a target.
+    Examples of a conversation of n turns hold about n * n / 4 turns, a row each, dealt by blocks of examples.
     """
+    ends = formatted.groupBy("conv_id").agg(F.max("n").alias("last")).select(F.col("conv_id").alias("__c"), "last")
+    marked = formatted.join(ends, F.col("conv_id").eqNullSafe(F.col("__c")))
+    heads = marked.where("reply_start IS NOT NULL OR n = last").select(F.col("conv_id").alias("__k"), F.col("n").alias("example"), F.expr(f"n div {BLOCK}").alias("__block"))
+    rows = marked.withColumn("__b", F.explode(F.sequence(F.expr(f"n div {BLOCK}"), F.expr(f"last div {BLOCK}"))))
+    own = F.col("n") == F.col("example")
+    both = rows.join(heads, F.col("conv_id").eqNullSafe(F.col("__k")) & (F.col("__b") == F.col("__block")) & (F.col("n") <= F.col("example")))
+    return both.select(F.struct("conv_id", "example").alias("at"), "n", "piece", "start", F.when(own, F.col("reply_start")).alias("reply_start"), F.when(own, F.col("reply_end")).alias("reply_end"))
+
+
+def read_examples(examples: DataFrame) -> DataFrame:
+    """What each example of ``expanded`` says: at, n_turns, turns_sha256, target (the unescaped text under its loss mask, null without a target), chars."""
 
     def fold():
-        turns, loss = hashlib.sha256(), hashlib.sha256()
-        sums = [0, 0, 0]
+        turns, found = hashlib.sha256(), [0, 0, None]
 
         def add(piece: str, start: int, a: int | None, b: int | None) -> None:
             role, text = parse(piece)
+            if start != found[1] or found[2] is not None:
+                raise ValueError("pieces do not follow on each other, or go on past the target")
             turns.update(f"{role}\n{unescaped(text)}\n".encode())
-            sums[0] += 1
-            if start != sums[2]:
-                raise ValueError("pieces do not follow on each other")
             if a is not None:
-                trained = unescaped(piece[a - start : b - start])
-                loss.update(trained.encode())
-                sums[1] += len(trained)
-            sums[2] += len(piece)
+                found[2] = unescaped(piece[a - start : b - start])
+            found[0] += 1
+            found[1] += len(piece)
+
+        return add, lambda: (found[0], turns.hexdigest(), found[2], found[1])
+
+    return per_conversation(examples, ["piece", "start", "reply_start", "reply_end"], fold, "n_turns long, turns_sha256 string, target string, chars long", key="at", order=["n"])
+
+
+def read_back(formatted: DataFrame) -> DataFrame:
+    """What the examples of the formatted text say: conv_id, n_turns, turns_sha256 (role, line end, text, line end for each turn), loss_chars, loss_sha256, formatted_chars.
+
+    Turns are those of the last example, which holds all; the trained text is that of the targets, one after another;
+    ``formatted_chars`` counts all examples, prefixes included.
+    """
+
+    def fold():
+        loss, sums = hashlib.sha256(), [0, "", 0, 0]
+
+        def add(n_turns: int, turns: str, target: str | None, chars: int) -> None:
+            sums[0], sums[1] = n_turns, turns
+            if target is not None:
+                loss.update(target.encode())
+                sums[2] += len(target)
+            sums[3] += chars
 
-        return add, lambda: (sums[0], turns.hexdigest(), sums[1], loss.hexdigest(), sums[2])
+        return add, lambda: (sums[0], sums[1], sums[2], loss.hexdigest(), sums[3])
 
-    return per_conversation(formatted, ["piece", "start", "reply_start", "reply_end"], fold, "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long", order=["n"])
+    each = read_examples(expanded(formatted)).select("at.conv_id", "at.example", "n_turns", "turns_sha256", "target", "chars")
+    return per_conversation(each, ["n_turns", "turns_sha256", "target", "chars"], fold, "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long", order=["example"])

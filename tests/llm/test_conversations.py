@@ -260,3 +260,19 @@ def test_queries_of_conversations(spark):
     assert got == formatted([*rows, (-7, 0, "user", MARKED), (-7, 1, "assistant", MARKED)])
     assert {tuple(r) for r in QUERIES["op12_prefix_trie"](spark, SF).collect()} == nodes(rebuilt(rows))
     assert {r["conv_id"]: tuple(r[c] for c in FIELDS) for r in QUERIES["op11_structure_repair"](spark, SF).collect()} == repaired(rows)
+
+
+def test_chat_examples_are_expanded(spark):
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "a#"), (1, 2, "user", "r"), (1, 3, "assistant", ""), (1, 4, "user", "late"), (None, 0, "assistant", "b")]
+    p = C.pieces(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    x = C.expanded(p)
+    got = {}
+    for r in sorted(x.collect(), key=lambda r: (str(r["at"].conv_id), r["at"].example, r.n)):
+        got.setdefault((r["at"].conv_id, r["at"].example), []).append((r.piece, r.reply_start is not None))
+    q, a, u, e, late = "### user: q</turn>\n", "### assistant: a\\#</turn>\n", "### user: r</turn>\n", "### assistant: </turn>\n", "### user: late</turn>\n"
+    assert got == {
+        (1, 1): [(q, False), (a, True)], (1, 3): [(q, False), (a, False), (u, False), (e, True)], (1, 4): [(q, False), (a, False), (u, False), (e, False), (late, False)],
+        (None, 0): [("### assistant: b</turn>\n", True)],
+    }
+    assert {(r["at"].conv_id, r["at"].example): (r.n_turns, r.target) for r in C.read_examples(x).collect()} == {(1, 1): (2, "a#"), (1, 3): (4, ""), (1, 4): (5, None), (None, 0): (1, "b")}
+    assert {r.conv_id: r.formatted_chars for r in C.read_back(p).collect()} == {1: sum(len(y) for k, v in got.items() if k[0] for y, _ in v), None: len("### assistant: b</turn>\n")}
